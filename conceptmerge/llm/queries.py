@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .classlm import document_scores
 from .repeats import passages_removed
 from .simhash import simhash_components
 
@@ -23,9 +24,15 @@ def op9_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages_removed(_table(spark, sf_dir, "documents")).drop("kept_text")
 
 
+def op10_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
+    return document_scores(_table(spark, sf_dir, "documents"), held_out)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash_dedup": op2_simhash_dedup,
     "op9_repeated_passages": op9_repeated_passages,
+    "op10_class_lm": op10_class_lm,
 }
 
 ORACLES: dict[str, str] = {}
