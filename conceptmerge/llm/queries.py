@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .classlm import document_scores
+from .packing import packed
 from .repeats import passages_removed
 from .simhash import simhash_components
 
@@ -29,8 +30,19 @@ def op10_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_scores(_table(spark, sf_dir, "documents"), held_out)
 
 
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(_table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash_dedup": op2_simhash_dedup,
+    "op7_packing": op7_packing,
     "op9_repeated_passages": op9_repeated_passages,
     "op10_class_lm": op10_class_lm,
 }
