@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .classlm import document_scores
+from .contamination import contaminated
 from .packing import packed
 from .repeats import passages_removed
 from .simhash import simhash_components
@@ -30,6 +31,10 @@ def op10_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_scores(_table(spark, sf_dir, "documents"), held_out)
 
 
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
@@ -42,6 +47,7 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash_dedup": op2_simhash_dedup,
+    "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op7_packing": op7_packing,
     "op9_repeated_passages": op9_repeated_passages,
     "op10_class_lm": op10_class_lm,
