@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .classlm import document_scores
 from .contamination import contaminated
 from .packing import packed
+from .quality import fit_quality, scored
 from .repeats import passages_removed
 from .simhash import simhash_components
 
@@ -17,6 +18,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    model = fit_quality(docs, _table(spark, sf_dir, "labels"), ~held_out)
+    return scored(docs.select("doc_id", "text", held_out.alias("held_out")), model).select("doc_id", "held_out", "score", "predicted")
+
+
 def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_components(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -46,6 +54,7 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_rules": op1_quality_rules,
     "op2_simhash_dedup": op2_simhash_dedup,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op7_packing": op7_packing,
