@@ -9,10 +9,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .classlm import document_scores
 from .contamination import contaminated
 from .packing import packed
+from .pii import replaced
 from .quality import fit_quality, scored
 from .repeats import passages_removed
 from .simhash import simhash_components
 
+#: The key of the registered query; a deployment passes its own secret.
+PII_KEY = "a key for tests"
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -39,6 +43,12 @@ def op10_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_scores(_table(spark, sf_dir, "documents"), held_out)
 
 
+def op3_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = replaced(docs, PII_KEY, entities_col="entities")
+    return out.select("doc_id", "text", F.size("entities").alias("n_entities"), "entities")
+
+
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -56,6 +66,7 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_simhash_dedup": op2_simhash_dedup,
+    "op3_pii_surrogates": op3_pii_surrogates,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op7_packing": op7_packing,
     "op9_repeated_passages": op9_repeated_passages,
