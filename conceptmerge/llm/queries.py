@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .classlm import document_scores
 from .contamination import contaminated
+from .neighbours import linked_vectors
 from .packing import packed
 from .pii import replaced
 from .quality import fit_quality, scored
@@ -49,6 +50,10 @@ def op3_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "text", F.size("entities").alias("n_entities"), "entities")
 
 
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linked_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -67,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_simhash_dedup": op2_simhash_dedup,
     "op3_pii_surrogates": op3_pii_surrogates,
+    "op4_embedding_dedup": op4_embedding_dedup,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op7_packing": op7_packing,
     "op9_repeated_passages": op9_repeated_passages,
