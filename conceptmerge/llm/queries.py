@@ -14,6 +14,7 @@ from .pii import replaced
 from .quality import fit_quality, scored
 from .repeats import passages_removed
 from .simhash import simhash_components
+from .warc import capture_histories
 
 #: The key of the registered query; a deployment passes its own secret.
 PII_KEY = "a key for tests"
@@ -54,6 +55,11 @@ def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked_vectors(_table(spark, sf_dir, "embeddings"))
 
 
+def op5_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = capture_histories(_table(spark, sf_dir, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -73,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash_dedup": op2_simhash_dedup,
     "op3_pii_surrogates": op3_pii_surrogates,
     "op4_embedding_dedup": op4_embedding_dedup,
+    "op5_warc_index": op5_warc_index,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op7_packing": op7_packing,
     "op9_repeated_passages": op9_repeated_passages,
