@@ -11,6 +11,7 @@ from .contamination import contaminated
 from .neighbours import linked_vectors
 from .packing import packed
 from .pii import replaced
+from .preferences import preference_examples, turn_lists, with_curtailed_answer
 from .quality import fit_quality, scored
 from .repeats import passages_removed
 from .simhash import simhash_components
@@ -36,6 +37,10 @@ def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op8_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return preference_examples(with_curtailed_answer(turn_lists(_table(spark, sf_dir, "conversations"))))
+
+
 def op9_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages_removed(_table(spark, sf_dir, "documents")).drop("kept_text")
 
@@ -82,8 +87,54 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_warc_index": op5_warc_index,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op7_packing": op7_packing,
+    "op8_preference_format": op8_preference_format,
     "op9_repeated_passages": op9_repeated_passages,
     "op10_class_lm": op10_class_lm,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op5_warc_index": """
+        WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
+        d AS (SELECT page_id, octet_length(body)::BIGINT AS payload_bytes, sha256(body) AS payload_digest FROM p),
+        f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM d)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN payload_bytes >= 100 AND first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN payload_bytes >= 100 AND first <> page_id THEN first END AS refers_to
+        FROM f""",
+    "op6_benchmark_decontamination": """
+        WITH w AS (
+            SELECT 'd' AS side, doc_id AS id, text FROM documents
+            UNION ALL SELECT 'i', item_id, text FROM benchmark),
+        words AS (
+            SELECT side, id, list_filter(string_split_regex(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') AS ws FROM w),
+        shingles AS (
+            SELECT DISTINCT side, id, unnest(list_transform(range(1, greatest(len(ws) - 3, 2)::BIGINT), lambda i: array_to_string(ws[i : i + 4], ' '))) AS s
+            FROM words WHERE len(ws) > 0),
+        sizes AS (SELECT id, count(*) AS n_shingles FROM shingles WHERE side = 'i' GROUP BY id),
+        shared AS (
+            SELECT d.id AS doc_id, i.id AS item_id, count(*) AS n_shared
+            FROM shingles d JOIN shingles i ON d.s = i.s AND d.side = 'd' AND i.side = 'i' GROUP BY ALL)
+        SELECT doc_id, item_id, n_shingles, n_shared, n_shared / n_shingles AS containment
+        FROM shared JOIN sizes ON sizes.id = item_id WHERE n_shared * 5 >= n_shingles * 4""",
+    "op8_preference_format": """
+        WITH t AS (
+            SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS i FROM conversations),
+        l AS (SELECT *, max(i) FILTER (role = 'assistant') OVER (PARTITION BY conv_id) AS last FROM t),
+        b AS (SELECT *, CASE WHEN i = last THEN split_part(text, '. ', 1) ELSE text END AS other FROM l),
+        n AS (SELECT *, coalesce(min(i) FILTER (other <> text) OVER (PARTITION BY conv_id) - 1, count(*) OVER (PARTITION BY conv_id)) AS k FROM b),
+        r AS (
+            SELECT *, '<|im_start|>' || replace(role, '<|', '< |') || chr(10) AS head,
+                   replace(text, '<|', '< |') || '<|im_end|>' || chr(10) AS body, replace(other, '<|', '< |') || '<|im_end|>' || chr(10) AS short FROM n),
+        m AS (
+            SELECT *, CASE WHEN role = 'assistant' THEN length(head) || ':0,' || length(body) || ':1' ELSE length(head || body) || ':0' END AS mb,
+                   CASE WHEN role = 'assistant' THEN length(head) || ':0,' || length(short) || ':1' ELSE length(head || short) || ':0' END AS ms FROM r)
+        SELECT conv_id, max(k)::INTEGER AS n_prompt_turns,
+               coalesce(string_agg(head || body, '' ORDER BY i) FILTER (i <= k), '') AS prompt,
+               coalesce(string_agg(head || body, '' ORDER BY i) FILTER (i > k), '') AS chosen,
+               coalesce(string_agg(head || short, '' ORDER BY i) FILTER (i > k), '') AS rejected,
+               coalesce(string_agg(mb, ',' ORDER BY i) FILTER (i > k), '') AS chosen_mask,
+               coalesce(string_agg(ms, ',' ORDER BY i) FILTER (i > k), '') AS rejected_mask
+        FROM m GROUP BY conv_id""",
+}

@@ -2,9 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from conceptmerge.llm import simhash
+from conceptmerge.llm import contamination, packing, pii, quality, queries, simhash
+from conceptmerge.llm.staging import staged
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the rule ensemble scores below 0.7 go.  It learns from all labels (at most the documented number)."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = quality.fit_quality(docs, labels)
+    judged = quality.scored(docs, model, score="_score", predicted="_predicted")
+    return judged.where("_predicted = 1").select(docs.columns)
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -12,14 +21,37 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return simhash.near_duplicates_removed(docs)
 
 
-STAGES = [("simhash near-dedup", simhash_dedup)]
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold four fifths or more of a benchmark item go."""
+    return contamination.decontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def pii_surrogates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data is replaced in every text; the number of characters follows."""
+    out = pii.replaced(docs, queries.PII_KEY)
+    return out.withColumn("n_chars", F.coalesce(F.char_length("text"), F.lit(0)).cast("long")).select(docs.columns)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """What is left is tokenised and packed into sequences of at most 2048 tokens."""
+    return packing.packed(docs, queries.tokenizer_path())
+
+
+STAGES = [
+    ("quality classifier", quality_classifier),
+    ("simhash near-dedup", simhash_dedup),
+    ("benchmark decontamination", decontamination),
+    ("pii surrogates", pii_surrogates),
+    ("packing", packed),
+]
+
+#: No SQL: SimHash, a fitted classifier and a tokenizer are beyond it; tests compare with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from conceptmerge.llm.staging import staged
-
+    """All stages over ``documents``; the rows of the last."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = staged(stage(spark, docs, sf_dir), "pipeline")
+        docs = staged(stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))
     return docs
