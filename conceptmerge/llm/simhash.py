@@ -43,15 +43,16 @@ def fingerprint(text: str | None, width: int = 4) -> int:
 
 
 def with_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4) -> DataFrame:
-    """Rows ``(doc_id, fp)``: fp is the fingerprint's 64 bits as a signed long."""
+    """Rows ``(doc_id, mark, fp)``: fp is the fingerprint's 64 bits as a signed long, mark a code of the text."""
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            got = np.array([fingerprint(x, width) for x in batch.column(1).to_pylist()], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(got.view(np.int64))], names=["doc_id", "fp"])
+            got = np.array([fingerprint(x, width) for x in batch.column(2).to_pylist()], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(got.view(np.int64))], names=["doc_id", "mark", "fp"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "doc_id long, fp long")
+    text = F.col(text_col).cast("string")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("mark"), text.alias("text")).mapInArrow(run, "doc_id long, mark long, fp long")
 
 
 # --- the plan -------------------------------------------------------------------------------
@@ -301,6 +302,19 @@ def _blocked(rows: DataFrame, radius: int, bucket: int) -> DataFrame:
     return split.repartition("part", "key").sortWithinPartitions("part", "key").mapInArrow(_finder(radius), "a long, b long")
 
 
+def _labelled(docs: DataFrame, id_col: str, text_col: str, radius: int, width: int) -> DataFrame:
+    """Rows ``(doc_id, mark, fp, root, component_id)``; root is a fingerprint that names the component."""
+    marks = staged(with_fingerprints(docs, id_col, text_col, width), "simhash-marks")
+    nodes = staged(marks.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-nodes")
+    roots = component_labels(near_links(nodes.select("fp"), radius), "simhash-components")
+    named = nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    named = staged(named, "simhash-named")
+    least = named.groupBy("root").agg(F.min("least").alias("component_id"))
+    by_mark = staged(named.join(least, "root").select("fp", "root", "component_id"), "simhash-least")
+    dropped(nodes, named)
+    return marks.join(by_mark, "fp").select("doc_id", "mark", "fp", "root", "component_id")
+
+
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 4, width: int = 4) -> DataFrame:
     """Rows ``(doc_id, fp, component_id)``, one for each row of ``docs``.
 
@@ -308,20 +322,18 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     belong to their component but never name it; one without any id is named null.  Repeated
     rows stay.  An empty input gives an empty result.  Only the two named columns are read.
     """
-    marks = staged(with_fingerprints(docs, id_col, text_col, width), "simhash-marks")
-    nodes = marks.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    nodes = staged(nodes, "simhash-nodes")
-    roots = component_labels(near_links(nodes.select("fp"), radius), "simhash-components")
-    named = nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    named = staged(named, "simhash-named")
-    least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_mark = staged(named.join(least, "root").select("fp", "component_id"), "simhash-least")
-    dropped(nodes, named)
-    return marks.join(by_mark, "fp").select("doc_id", "fp", "component_id")
+    return _labelled(docs, id_col, text_col, radius, width).select("doc_id", "fp", "component_id")
 
 
-def near_duplicates_removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 4) -> DataFrame:
-    """``docs`` with one row of each component: that of the smallest id.  All columns stay."""
-    found = simhash_components(docs, id_col, text_col, radius)
-    keep = found.where("doc_id = component_id").select(F.col("doc_id").alias(id_col)).distinct()
-    return docs.join(keep, id_col, "left_semi").dropDuplicates([id_col])
+def near_duplicates_removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 4, width: int = 5) -> DataFrame:
+    """``docs`` with one row of each component: that of the smallest id, a null id coming last.  All columns stay.
+
+    Of repeated rows one stays; rows that share an id but not a component all stay.
+    """
+    found = _labelled(docs, id_col, text_col, radius, width)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")).alias("x")
+    keep = staged(found.groupBy("root").agg(first).select(F.col("x.doc_id").alias("_keep_id"), F.col("x.mark").alias("_keep_mark")).distinct(), "simhash-kept")
+    key = [F.coalesce(F.col(id_col).cast("long"), F.lit(-1)).alias("_a"), F.col(id_col).isNull().alias("_b"), F.xxhash64(F.col(text_col).cast("string")).alias("_c")]
+    rows = docs.select("*", *key)
+    kept = keep.select(F.coalesce("_keep_id", F.lit(-1)).alias("_a"), F.col("_keep_id").isNull().alias("_b"), F.col("_keep_mark").alias("_c"))
+    return rows.join(kept, ["_a", "_b", "_c"], "left_semi").dropDuplicates(["_a", "_b", "_c"]).select(docs.columns)

@@ -17,8 +17,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays: that of the smallest id."""
-    return simhash.near_duplicates_removed(docs)
+    """One document of each group within 6 of 64 bits, over five-word shingles, stays: that of the smallest id."""
+    return simhash.near_duplicates_removed(docs, radius=6, width=5)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
