@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..sources.scratch import fresh_path
+
 
 def numbered(rows: DataFrame, order: list[str | Column], name: str = "line", parts: list[str] | None = None) -> DataFrame:
     """``rows`` with their number from 1.
@@ -13,11 +15,15 @@ def numbered(rows: DataFrame, order: list[str | Column], name: str = "line", par
     """
     if parts:
         return rows.withColumn(name, F.row_number().over(Window.partitionBy(*parts).orderBy(*order)))
-    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rows.repartitionByRange(n, *order).withColumn("_p", F.spark_partition_id()).withColumn("_n", F.row_number().over(Window.partitionBy("_p").orderBy(*order)))
-    sizes = dealt.groupBy("_p").agg(F.count("*").alias("_size"))
-    before = sizes.withColumn("_before", F.coalesce(F.sum("_size").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))  # one row for each partition
-    return dealt.join(F.broadcast(before.select("_p", "_before")), "_p").withColumn(name, F.col("_before") + F.col("_n")).drop("_p", "_n", "_before")
+    spark = rows.sparkSession
+    n, path = int(spark.conf.get("spark.sql.shuffle.partitions")), fresh_path(spark, "numbered")
+    dealt = rows.repartitionByRange(n, *order).withColumn("_part", F.spark_partition_id())
+    dealt.write.parquet(path)  # range bounds come from a sample, so the deal must not be made twice
+    dealt = spark.read.parquet(path)
+    sizes = dealt.groupBy("_part").agg(F.count("*").alias("_size"))
+    before = sizes.select("_part", F.coalesce(F.sum("_size").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))  # one row for each partition
+    within = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
+    return dealt.withColumn("_within", within).join(F.broadcast(before), "_part").withColumn(name, F.col("_before") + F.col("_within")).drop("_part", "_within", "_before")
 
 
 def line_slice(rows: DataFrame, order: list[str | Column], first: int, last: int) -> DataFrame:

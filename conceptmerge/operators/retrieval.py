@@ -28,7 +28,7 @@ def top_k(queries: DataFrame, store: DataFrame, k: int, floor: float = 0.3, quer
     size = store.count()
     blocks = max(1, -(-size // store_rows_a_block), min(queries.sparkSession.sparkContext.defaultParallelism, size))
     stored = store.select(F.col(store_id).alias("id"), unit(F.col(vector)).alias("_v"), F.pmod(F.xxhash64(store_id), F.lit(blocks)).alias("_block"))
-    asked = queries.select(F.col(query_id).alias("query_id"), unit(F.col(vector)).alias("_q"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).cast("long").alias("_block"))
+    asked = queries.select(F.col(query_id).alias("query_id"), unit(F.col(vector)).alias("_q"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("_block"))
     dot = F.aggregate(F.zip_with("_q", "_v", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
     met = asked.join(stored, "_block").select("query_id", "id", "_block", dot.alias("score")).where(F.col("score") >= floor)
     best = met.withColumn("_r", F.row_number().over(Window.partitionBy("query_id", "_block").orderBy(F.desc("score"), "id"))).where(F.col("_r") <= k)

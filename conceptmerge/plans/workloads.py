@@ -319,8 +319,8 @@ def sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    WITH p AS (SELECT doc_id, text, strpos(text, ' the ') AS at FROM documents WHERE contains(text, ' the ')),
-    h AS (SELECT doc_id, regexp_extract(left(text, at), '(?s)^(?:.*\\.\\s+)?(.*)$', 1) AS head, substr(text, at + 1) AS tail FROM p)
+    WITH p AS (SELECT doc_id, text, strpos(text, ' the ') AS pos FROM documents WHERE contains(text, ' the ')),
+    h AS (SELECT doc_id, regexp_extract(left(text, pos), '(?s)^(?:.*\\.\\s+)?(.*)$', 1) AS head, substr(text, pos + 1) AS tail FROM p)
     SELECT doc_id, trim(head || CASE WHEN regexp_matches(tail, '(?s)\\.\\s') THEN regexp_extract(tail, '(?s)^(.*?\\.)\\s', 1) ELSE tail END, E' \\n\\t\\r') AS sentence FROM h""")
 def mention_in_sentence(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _t(spark, sf_dir, "documents").select("doc_id", "text").where(F.col("text").contains(" the "))
@@ -453,7 +453,7 @@ def flatten_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
     WITH g AS (SELECT l_orderkey, list(l_partkey ORDER BY l_partkey) AS a, list(l_suppkey ORDER BY l_suppkey) FILTER (l_returnflag = 'N') AS b FROM lineitem GROUP BY 1)
-    SELECT l_orderkey, array_to_string(list_transform(range(1, coalesce(least(len(a), len(b)), 0) + 1), lambda i: a[i] || '-' || b[i]), '|') AS pairs FROM g""")
+    SELECT l_orderkey, coalesce(array_to_string(list_transform(range(1, coalesce(least(len(a), len(b)), 0) + 1), lambda i: a[i] || '-' || b[i]), '|'), '') AS pairs FROM g""")
 def zip_positional(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = _t(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list("l_partkey")).alias("a"), F.array_sort(F.collect_list(F.when(F.col("l_returnflag") == "N", F.col("l_suppkey")))).alias("b"))
     pairs = F.transform(text.zipped(F.col("a"), F.col("b")), lambda p: F.concat(p["a"].cast("string"), F.lit("-"), p["b"].cast("string")))
