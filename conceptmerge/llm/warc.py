@@ -55,7 +55,7 @@ def url_key(url: str | None) -> str:
     """A sort key of a URL: host labels reversed, then path and query; scheme, ``www.``, port 80 or 443 and fragment do not matter."""
     text = (url or "").strip()
     try:
-        parts = urlsplit(text if "://" in text else f"//{text}")
+        parts = urlsplit(text if "://" in text or text.startswith("//") else f"//{text}")
         host, port = (parts.hostname or "").lower(), parts.port
     except ValueError:
         return text.lower()
@@ -353,7 +353,7 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
 
 
-def capture_histories(pages: DataFrame, folder: str | None = None, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", **merge: int) -> DataFrame:
+def capture_histories(pages: DataFrame, folder: str | None = None, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", every: int = 512, **merge: int) -> DataFrame:
     """Writes ``pages`` as WARC archives, reads them back and returns all captures in global order.
 
     One row for each page: a null payload is empty, a null URL empty; repeated ids and rows
@@ -368,7 +368,7 @@ def capture_histories(pages: DataFrame, folder: str | None = None, id_col: str =
         store.create_dir(path, recursive=True)
     with settings(spark, values={"spark.sql.execution.arrow.maxRecordsPerBatch": "256"}):
         archives = write_archives(pages, folder, id_col, url_col, payload_col)
-        runs = index_archives(archives, folder)
-    out = merged_index(runs, folder, **merge)
+        runs = index_archives(archives, folder, every)
+    out = merged_index(runs, folder, every=every, **merge)
     dropped(runs)
     return out
