@@ -8,7 +8,8 @@
    rows for each task.
 3. Confirmed windows are compiled, shard by shard, into Aho-Corasick automata over words.
    The cut passages of every document are streamed through the automaton of the shard that
-   their anchor names.  Shards have a bounded number of phrases; the passages of a hot shard
+   their anchor names.  Shards are small, as the automaton searches the many words that may
+   follow its root one by one; the passages of a hot shard
    are spread over several tasks, each with its own copy of that automaton.
 4. The words covered by a match of an earlier document's phrase go.
 """
@@ -173,8 +174,9 @@ def _phrases(sources: DataFrame, width: int, seed: int, shards: int) -> DataFram
 class PhraseAutomaton:
     """Aho-Corasick over word numbers: finds phrases of ``width`` words and the first document of each."""
 
-    def __init__(self, width: int):
-        self.width = width
+    def __init__(self, width: int, remembered: int = 100_000):
+        self.width, self.remembered = width, remembered
+        self.seen: dict[str, list[tuple[int, int, int]]] = {}
         self.numbers: dict[str, int] = {}
         self.machine = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
         self.size = 0
@@ -190,12 +192,27 @@ class PhraseAutomaton:
             self.machine.make_automaton()
         return self
 
-    def matches(self, text: str) -> Iterator[tuple[int, int]]:
-        """``(first word of the match, first document of the phrase)``."""
-        if self.size:
-            seen = tuple(self.numbers.get(x, 0) for x in text.split(" "))
-            for end, first in self.machine.iter(seen):
-                yield end - self.width + 1, first
+    def matches(self, text: str) -> list[tuple[int, int, int]]:
+        """``(first word, word after the last, first document)`` of runs of neighbouring matches; texts met before are remembered."""
+        if not self.size:
+            return []
+        got = self.seen.get(text)
+        if got is None:
+            known = self.numbers.get
+            got, lo, hi, whose = [], 0, -1, None
+            for end, first in self.machine.iter(tuple([known(x, 0) for x in text.split(" ")])):
+                if first == whose and end == hi:
+                    hi += 1
+                    continue
+                if whose is not None:
+                    got.append((lo, hi, whose))
+                lo, hi, whose = end - self.width + 1, end + 1, first
+            if whose is not None:
+                got.append((lo, hi, whose))
+            if len(self.seen) >= self.remembered:
+                self.seen.clear()
+            self.seen[text] = got
+        return got
 
 
 def _located(rows: DataFrame, width: int) -> DataFrame:
@@ -209,7 +226,8 @@ def _located(rows: DataFrame, width: int) -> DataFrame:
         automaton, open_ = PhraseAutomaton(width), True
         for batch in batches:
             out = []
-            cols = [batch.column(c).to_pylist() for c in ("shard", "salt", "kind", "doc", "mark", "place", "text", "firsts")]
+            plain = [batch.column(c).fill_null(0).to_numpy().tolist() for c in ("shard", "salt", "kind", "doc", "mark", "place")]
+            cols = [*plain, batch.column("text").to_pylist(), batch.column("firsts").to_pylist()]
             for shard, salt, kind, doc, mark, place, text, firsts in zip(*cols):
                 if (shard, salt) != at:
                     at, automaton, open_ = (shard, salt), PhraseAutomaton(width), True
@@ -219,17 +237,7 @@ def _located(rows: DataFrame, width: int) -> DataFrame:
                 if open_:
                     automaton.ready()
                     open_ = False
-                lo = hi = -1
-                for s, first in automaton.matches(text):
-                    if first >= doc:
-                        continue
-                    if s > hi:
-                        if hi > lo:
-                            out.append((doc, mark, place + lo, hi - lo))
-                        lo = s
-                    hi = s + width
-                if hi > lo:
-                    out.append((doc, mark, place + lo, hi - lo))
+                out += [(doc, mark, place + lo, hi - lo) for lo, hi, first in automaton.matches(text) if first < doc]
             if out:
                 d, m, p, n = zip(*out)
                 yield pa.RecordBatch.from_arrays([pa.array(d, pa.int64()), pa.array(m, pa.int64()), pa.array(p, pa.int32()), pa.array(n, pa.int32())], names=["doc", "mark", "place", "n"])
