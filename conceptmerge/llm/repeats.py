@@ -276,7 +276,7 @@ def _cleaned(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text", "gone").mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")
 
 
-def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 13, seed: int = 5, phrases_a_shard: int = 20_000, pieces_a_task: int = 100_000) -> DataFrame:
+def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 13, seed: int = 5, phrases_a_shard: int = 200, pieces_a_task: int = 100_000) -> DataFrame:
     """Rows ``(doc, mark, place, n)``: words of ``docs`` that repeat a window of an earlier document.
 
     doc is the id (``NO_ID`` for null), mark a code of the text, place the first word.
