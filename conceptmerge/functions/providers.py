@@ -68,7 +68,7 @@ def retain_by_length(terms: list[str]) -> str:
 def normalize_by_case(terms: list[str]) -> str:
     groups: dict[str, list[str]] = {}
     for t in terms:
-        groups.setdefault(re.sub(r"s\b", "", t.lower()), []).append(t)
+        groups.setdefault(re.sub(r"(?<![isu])s\b", "", t.lower()), []).append(t)
     return "\n".join(json.dumps({"normalized_term": k, "original_terms": v}, ensure_ascii=False) for k, v in groups.items())
 
 
