@@ -45,11 +45,14 @@ def unmatched_decisions(originals: DataFrame, decisions: DataFrame, order: Colum
 def reconcile_summary(originals: DataFrame, decisions: DataFrame, order: Column, **names: str) -> DataFrame:
     """One row of counts: total, discarded, active, matched, and unmatched both ways."""
     done = reconciled(originals, decisions, order, **names)
-    n = done.agg(
-        F.count("*").alias("total"), F.count_if(F.col("_status") == "discarded").alias("discarded"), F.count_if(F.col("_status") != "discarded").alias("active"),
-        F.count_if(F.col("_status") == "matched").alias("matched"), F.count_if(F.col("_status") == "unmatched").alias("unmatched_originals"),
+    status = lambda *kinds: F.col("_status").isin(*kinds).cast("long")
+    left = done.select(
+        F.lit(1).alias("total"), status("discarded").alias("discarded"), status("matched", "unmatched").alias("active"), status("matched").alias("matched"),
+        status("unmatched").alias("unmatched_originals"), F.lit(0).alias("unmatched_decisions"),
     )
-    return n.crossJoin(unmatched_decisions(originals, decisions, order, **names).agg(F.count("*").alias("unmatched_decisions")))  # one row each
+    zero = [F.lit(0).alias(c) for c in left.columns[:-1]]
+    both = left.unionByName(unmatched_decisions(originals, decisions, order, **names).select(*zero, F.lit(1).alias("unmatched_decisions")))
+    return both.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in left.columns])
 
 
 def require_reconciled(originals: DataFrame, decisions: DataFrame, order: Column, **names: str) -> DataFrame:

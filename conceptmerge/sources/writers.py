@@ -36,9 +36,10 @@ def write_document(row: DataFrame, path: str) -> None:
 
 def dictionary_document(nodes: DataFrame, edges: DataFrame, node_order: list[str], edge_order: list[str]) -> DataFrame:
     """``{"nodes": [...], "edges": [...]}`` with explicit nulls, as one row ``value``."""
-    n = array_document(nodes, node_order, keep_nulls=True).select(F.col("value").alias("n"))
-    e = array_document(edges, edge_order, keep_nulls=True).select(F.col("value").alias("e"))
-    return n.crossJoin(e).select(F.concat(F.lit('{"nodes":'), "n", F.lit(',"edges":'), "e", F.lit("}")).alias("value"))  # one row each
+    n = array_document(nodes, node_order, keep_nulls=True).select(F.lit('{"nodes":').alias("head"), "value")
+    e = array_document(edges, edge_order, keep_nulls=True).select(F.lit(',"edges":').alias("head"), "value")
+    part = lambda head: F.max(F.when(F.col("head") == head, F.concat("head", "value")))
+    return n.unionByName(e).agg(F.concat(part('{"nodes":'), part(',"edges":'), F.lit("}")).alias("value"))
 
 
 def stamp(now: datetime | None = None) -> str:
