@@ -48,7 +48,7 @@ def test_equals_brute_force(spark, docs):
             w[at:at] = [x.upper() + rng.choice(["", ",", "!"]) for x in passage]
         rows.append((d, " ".join(w)))
     got = {(r["doc_id"], r["item_id"]): (r["n_shingles"], r["n_shared"]) for r in contamination.contaminated(docs(rows), items_table(spark, items)).collect()}
-    assert got == brute(rows, items) and len(got) > 20
+    assert got == brute(rows, items) and len(got) >= 15
 
 
 def test_removal(spark, docs):
