@@ -15,26 +15,35 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .staging import dropped, staged
 
 # The kinds of entities and how they are written, in order of precedence.
-_WORD_EDGE = r"(?<![\p{L}\p{N}])"
-_WORD_END = r"(?![\p{L}\p{N}])"
+# Letters and digits as ranges: a lookup that is far cheaper at every character than Unicode properties.
+_W = r"0-9A-Za-zªµºÀ-ÖØ-öø-ʯͰ-῿Ⰰ-ⷿ々-퟿豈-﷿ﹰ-ﻼ"
+_WORD_EDGE = rf"(?<![{_W}])"
+_WORD_END = rf"(?![{_W}])"
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
 _TITLES_F = ("Mrs", "Ms", "Miss", "Madam", "Frau", "Mme", "Madame", "Mlle", "Señora", "Señorita", "Sra", "г-жа", "госпожа", "Κυρία", "κα")
 _TITLES_M = ("Mr", "Mister", "Sir", "Herr", "Monsieur", "Señor", "Sr", "г-н", "господин", "Κύριος", "κος")
 _TITLES_U = ("Dr", "Prof", "Doctor", "Professor", "Mx")
 _NAME = r"\p{Lu}[\p{L}'’-]+"
+_TITLES = "|".join((*_TITLES_F, *_TITLES_M, *_TITLES_U))
+# All but secrets begin at a word's edge, which ANY tests once for all of them.
 PATTERNS: dict[str, str] = {
-    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}+@[\p{L}\p{N}-]{1,63}(?:\.[\p{L}\p{N}-]{1,63}){0,8}\.\p{L}{2,24}",
-    "secret": r"(?<=password=|passwd=|secret=|token=|api_key=|token = \"|secret = \"|password = \"|api_key = \")[^\s\"']{6,256}",
-    "hex": _WORD_EDGE + r"(?=[a-f]*[0-9])(?=[0-9]*[a-f])[0-9a-f]{32,128}" + _WORD_END,
-    "access_key": _WORD_EDGE + r"(?:AKIA|ASIA)[0-9A-Z]{16}" + _WORD_END,
-    "iban": _WORD_EDGE + r"[A-Z]{2}[0-9]{2} ?[A-Z0-9]{4}(?: ?[0-9]{4}){2,6}(?: ?[0-9]{1,3})?" + _WORD_END,
-    "ip": r"(?<![\p{L}\p{N}.])(?:" + _OCTET + r"\.){3}" + _OCTET + r"(?![\p{L}\p{N}]|\.[0-9])",
-    "phone": r"(?<![\p{L}\p{N}+])(?:\+1[ .-]?\([0-9]{3}\) ?[0-9]{3}[ .-]?[0-9]{4}|\+[0-9]{1,3}(?:[ .-]?\(?[0-9]{1,4}\)?){1,2}[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}|\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}|[0-9]{3}-[0-9]{3}-[0-9]{4})(?![\p{L}\p{N}])",
-    "ssn": r"(?<![\p{L}\p{N}-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\p{L}\p{N}-])",
-    "card": _WORD_EDGE + r"(?:[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{13,19})" + _WORD_END,
-    "person": _WORD_EDGE + "(?:" + "|".join((*_TITLES_F, *_TITLES_M, *_TITLES_U)) + rf")\.? {_NAME}(?: {_NAME}){{0,2}}",
+    "secret": r"(?<=[=\"])(?<=password=|passwd=|secret=|token=|api_key=|token = \"|secret = \"|password = \"|api_key = \")[^\s\"']{6,256}",
+    "email": rf"(?<![._%+-])[{_W}._%+-]{{1,64}}+@[{_W}-]{{1,63}}(?:\.[{_W}-]{{1,63}}){{0,8}}\.\p{{L}}{{2,24}}",
+    "ip": r"(?<!\.)(?:" + _OCTET + r"\.){3}" + _OCTET + rf"(?![{_W}]|\.[0-9])",
+    "phone": rf"(?<!\+)(?:\+1[ .-]?\([0-9]{{3}}\) ?[0-9]{{3}}[ .-]?[0-9]{{4}}|\+[0-9]{{1,3}}(?:[ .-]?\(?[0-9]{{1,4}}\)?){{1,2}}[ .-]?[0-9]{{3,4}}[ .-]?[0-9]{{3,4}}|\([0-9]{{3}}\) ?[0-9]{{3}}-[0-9]{{4}}|[0-9]{{3}}-[0-9]{{3}}-[0-9]{{4}})(?![{_W}])",
+    "ssn": rf"(?<!-)[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}(?![{_W}-])",
+    "card": r"(?:[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{13,19})" + _WORD_END,
+    "hex": r"(?=[a-f]*[0-9])(?=[0-9]*[a-f])[0-9a-f]{32,128}" + _WORD_END,
+    "access_key": r"(?:AKIA|ASIA)[0-9A-Z]{16}" + _WORD_END,
+    "iban": r"[A-Z]{2}[0-9]{2} ?[A-Z0-9]{4}(?: ?[0-9]{4}){2,6}(?: ?[0-9]{1,3})?" + _WORD_END,
+    "person": rf"(?:{_TITLES})\.? {_NAME}(?: {_NAME}){{0,2}}",
 }
-ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
+_AT_DIGITS, _AT_CAPITALS = ("ip", "phone", "ssn", "card"), ("access_key", "iban", "person")
+ANY = (
+    PATTERNS["secret"] + "|" + _WORD_EDGE + "(?:" + PATTERNS["email"]
+    + "|(?=[0-9+(])(?:" + "|".join(PATTERNS[k] for k in _AT_DIGITS) + ")|(?=[0-9a-f]{32})" + PATTERNS["hex"]
+    + r"|(?=[A-Z]|[^\x00-\x7F]|κ)(?:" + "|".join(PATTERNS[k] for k in _AT_CAPITALS) + "))"
+)
 
 # Given names by gender and script, and family names by script.
 _NAMES: dict[str, tuple[str, ...]] = {
@@ -54,6 +63,14 @@ _NAMES: dict[str, tuple[str, ...]] = {
 _LETTERS = {"latin": ("abcdefghijklmnopqrstuvwxyz", r"\p{IsLatin}"), "cyrillic": ("абвгдежзиклмнопрстуфхцчшщэюя", r"\p{IsCyrillic}"), "greek": ("αβγδεζηθικλμνξοπρστυφχψω", r"\p{IsGreek}")}
 
 
+def may_hold(text: Column) -> Column:
+    """A cheap necessary test: whatever is an entity has a digit, a sign, or a title."""
+    out = text.rlike("[0-9@=]")
+    for title in (*_TITLES_F, *_TITLES_M, *_TITLES_U):
+        out = out | text.contains(title)
+    return F.coalesce(out, F.lit(False))
+
+
 def mentions(text: Column) -> Column:
     """All entities of a text, as written, in order."""
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(ANY), F.lit(0))
@@ -78,9 +95,8 @@ _DIGITS_ONLY = ("phone", "ssn", "card")
 
 def identities(mention: Column, kind: Column) -> Column:
     """What a mention names: ``array<struct<cls, canon>>``.  Names are one entry for each part, others a single one."""
-    title = "|".join((*_TITLES_F, *_TITLES_M, *_TITLES_U))
     gender = F.when(mention.rlike(rf"\A(?:{'|'.join(_TITLES_F)})\.? "), "f").when(mention.rlike(rf"\A(?:{'|'.join(_TITLES_M)})\.? "), "m").otherwise("u")
-    names = F.split(F.regexp_replace(mention, rf"\A(?:{title})\.? ", ""), " ")
+    names = F.split(F.regexp_replace(mention, rf"\A(?:{_TITLES})\.? ", ""), " ")
     parts = F.transform(
         names,
         lambda w, i: F.struct(F.concat(F.when(i == F.size(names) - 1, F.lit("s")).otherwise(gender), F.lit("_"), _script(w)).alias("cls"), F.lower(w).alias("canon")),
@@ -177,7 +193,7 @@ def _rendered(mention: Column, kind: Column, subs: Column) -> Column:
     digits = F.array_join(F.transform(chars, lambda c, i: F.when(c.rlike("[0-9]"), F.substring(sur, place(i), F.lit(1))).otherwise(c)), "")
     solid = lambda i: F.size(F.filter(F.slice(chars, 1, i + 1), lambda c: c != " "))
     spaced = F.array_join(F.transform(chars, lambda c, i: F.when(c == " ", c).otherwise(F.substring(sur, solid(i), F.lit(1)))), "")
-    title = F.regexp_extract(mention, rf"\A(?:{'|'.join((*_TITLES_F, *_TITLES_M, *_TITLES_U))})\.? ", 0)
+    title = F.regexp_extract(mention, rf"\A(?:{_TITLES})\.? ", 0)
     words = F.split(F.substring(mention, F.length(title) + 1, F.length(mention)), " ")
     names = F.array_join(F.transform(subs, lambda s, i: F.when((F.length(F.get(words, i)) > 1) & (F.get(words, i) == F.upper(F.get(words, i))), F.upper(s)).otherwise(s)), " ")
     return (
@@ -189,7 +205,9 @@ def _rendered(mention: Column, kind: Column, subs: Column) -> Column:
 
 def replacements(docs: DataFrame, text_col: str, key: str) -> DataFrame:
     """Rows ``(mention, kind, replacement)`` for every distinct mention of the corpus."""
-    seen = docs.select(F.explode(F.array_distinct(mentions(F.col(text_col)))).alias("mention")).distinct()
+    # explode_outer: for explode Catalyst would find the mentions twice, once to test for their presence
+    text = F.col(text_col).cast("string")
+    seen = docs.where(may_hold(text)).select(F.explode_outer(mentions(text)).alias("mention")).where("mention is not null").distinct()
     seen = seen.withColumn("kind", kind_of(F.col("mention"))).withColumn("subs", identities(F.col("mention"), F.col("kind")))
     seen = staged(seen, "pii-mentions")
     parts = seen.select("mention", "kind", F.posexplode("subs").alias("at", "x")).select("mention", "kind", "at", "x.*")
@@ -213,10 +231,10 @@ def replaced(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str =
     table = replacements(docs, text_col, key)
     text = F.col(text_col).cast("string")
     kind = "array<struct<kind:string,replacement:string>>"
-    has = F.coalesce(text.rlike(ANY), F.lit(False))
+    has = may_hold(text) & F.coalesce(text.rlike(ANY), F.lit(False))
     clean = docs.where(~has)
     touched = docs.where(has)
-    held = touched.select(F.col(id_col).alias("_id"), F.xxhash64(text).alias("_mark"), F.explode(F.array_distinct(mentions(text))).alias("mention"))
+    held = touched.select(F.col(id_col).alias("_id"), F.xxhash64(text).alias("_mark"), F.explode_outer(F.array_distinct(mentions(text))).alias("mention")).where("mention is not null")
     found = (
         held.join(table, "mention").groupBy("_id", "_mark")
         .agg(F.collect_set(F.struct("mention", "kind", "replacement")).alias("_found"))
