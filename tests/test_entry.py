@@ -20,6 +20,7 @@ def test_registry():
 @pytest.mark.parametrize("name", sorted(workloads.ORACLES))
 def test_equals_sql(spark, name):
     import duckdb
+    import pandas as pd
 
     con = duckdb.connect()
     for t in TABLES:
@@ -28,6 +29,6 @@ def test_equals_sql(spark, name):
     cols = sorted(df.columns)
     want = con.execute(workloads.ORACLES[name]).fetchdf()
     assert sorted(want.columns) == cols
-    plain = lambda v: "null" if v is None or v != v or str(v) in ("<NA>", "NaT") else f"{v:.9g}" if isinstance(v, float) else str(v)
+    plain = lambda v: "null" if pd.isna(v) else f"{v:.9g}" if isinstance(v, float) else str(v)
     rows = lambda df: sorted(tuple(plain(v) for v in r) for r in df[cols].itertuples(index=False))
     assert rows(df.toPandas()) == rows(want)
