@@ -330,7 +330,11 @@ def near_duplicates_removed(docs: DataFrame, id_col: str = "doc_id", text_col: s
 
     Of repeated rows one stays; rows that share an id but not a component all stay.
     """
-    found = _labelled(docs, id_col, text_col, radius, width)
+    return kept_of_each(docs, _labelled(docs, id_col, text_col, radius, width), id_col, text_col)
+
+
+def kept_of_each(docs: DataFrame, found: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The first row of each root in ``found(doc_id, mark, root)``."""
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")).alias("x")
     keep = staged(found.groupBy("root").agg(first).select(F.col("x.doc_id").alias("_keep_id"), F.col("x.mark").alias("_keep_mark")).distinct(), "simhash-kept")
     key = [F.coalesce(F.col(id_col).cast("long"), F.lit(-1)).alias("_a"), F.col(id_col).isNull().alias("_b"), F.xxhash64(F.col(text_col).cast("string")).alias("_c")]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from conceptmerge.llm import contamination, packing, pii, quality, queries, simhash
+from conceptmerge.llm import contamination, nearcopies, packing, pii, quality, queries
 from conceptmerge.llm.staging import staged
 
 
@@ -17,8 +17,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group within 6 of 64 bits, over five-word shingles, stays: that of the smallest id."""
-    return simhash.near_duplicates_removed(docs, radius=6, width=5)
+    """One document of each group of texts that share 0.8 or more of their five-word shingles stays: that of the smallest id."""
+    return nearcopies.near_copies_removed(docs, width=5, least=0.8)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
