@@ -61,6 +61,15 @@ _NAMES: dict[str, tuple[str, ...]] = {
     "s_greek": ("Βαλέτα", "Δούκα", "Κομνηνού", "Λάμπρου", "Μαυρή", "Παύλου", "Ράλλη", "Φωκά"),
 }
 _LETTERS = {"latin": ("abcdefghijklmnopqrstuvwxyz", r"\p{IsLatin}"), "cyrillic": ("абвгдежзиклмнопрстуфхцчшщэюя", r"\p{IsCyrillic}"), "greek": ("αβγδεζηθικλμνξοπρστυφχψω", r"\p{IsGreek}")}
+# Letters without case; a letter of none of these scripts becomes a Latin one.
+_CASELESS = {
+    r"\p{IsHan}": "".join(chr(0x4E00 + 37 * i) for i in range(128)), r"\p{IsHangul}": "".join(chr(0xAC00 + 83 * i) for i in range(128)),
+    r"\p{IsHiragana}": "あいうえおかきくけこさしすせそたちつてとなにぬねのはひふへほまみむめもやゆよらりるれろわ",
+    r"\p{IsKatakana}": "アイウエオカキクケコサシスセソタチツテトナニヌネノハヒフヘホマミムメモヤユヨラリルレロワ",
+    r"\p{IsArabic}": "ابتثجحخدذرزسشصضطظعغفقكلمنهوي", r"\p{IsHebrew}": "אבגדהוזחטיכלמנסעפצקרשת",
+    r"\p{IsDevanagari}": "कखगघचछजझटठडढणतथदधनपफबभमयरलवशषसह", r"\p{IsThai}": "กขคงจฉชซฌญฎฏฐฑฒณดตถทธนบปผฝพฟภมยรลวศษสหอฮ",
+}
+_SIGNS = "!#$%&*+-.:?@^_~"
 
 
 def may_hold(text: Column) -> Column:
@@ -121,22 +130,37 @@ def _byte(hexes: Column, i: Column) -> Column:
 
 
 def _same_form(c: Column, b: Column) -> Column:
-    """A character of the class of c chosen by the number b; others stay."""
-    out = F.when(c.rlike("[0-9]"), F.pmod(b, F.lit(10)).cast("string"))
+    """A character of the class of c chosen by the number b; signs and combining marks stay."""
+    out = F.when(c.rlike(r"\p{Nd}"), F.pmod(b, F.lit(10)).cast("string"))
     for letters, script in _LETTERS.values():
-        low = F.substring(F.lit(letters), F.pmod(b, F.lit(len(letters))) + 1, F.lit(1))
+        low = _from(letters, b)
         out = out.when(c.rlike(script), F.when(c.rlike(r"\p{Lu}"), F.upper(low)).otherwise(low))
-    return out.otherwise(c)
+    for script, letters in _CASELESS.items():
+        out = out.when(c.rlike(script) & c.rlike(r"\p{L}"), _from(letters, b))
+    return out.when(c.rlike(r"\p{L}"), _from(_LETTERS["latin"][0], b)).otherwise(c)
+
+
+def _from(letters: str, b: Column) -> Column:
+    return F.substring(F.lit(letters), F.pmod(b, F.lit(len(letters))) + 1, F.lit(1))
 
 
 def surrogate(cls: Column, canon: Column, attempt: Column, key: str) -> Column:
-    """The replacement of an identity at an attempt, in canonical form."""
+    """The replacement of an identity at an attempt, in canonical form.
+
+    Secrets, emails and names, whose own form may allow few values, grow with the attempt
+    from the ninth on, so there is always one that is free.  Numbers keep their length.
+    """
     h = _draw(cls, canon, attempt, key)
     chars = F.split(canon, "")
     form = lambda keep: F.array_join(F.transform(chars, lambda c, i: F.when(i < keep, c).otherwise(_same_form(c, _byte(h, i)))), "")
     tld = F.length(F.substring_index(canon, ".", -1))
     email = F.array_join(F.transform(chars, lambda c, i: F.when(i >= F.size(chars) - tld, c).otherwise(_same_form(c, _byte(h, i)))), "")
     hexes = F.array_join(F.transform(chars, lambda c, i: F.substring(F.lit("0123456789abcdef"), F.pmod(_byte(h, i), F.lit(16)) + 1, F.lit(1))), "")
+    # a value of hardly anything but signs gets other signs
+    signs = F.array_join(F.transform(chars, lambda c, i: F.when(c.rlike(r"[\p{L}\p{Nd}]"), _same_form(c, _byte(h, i))).otherwise(_from(_SIGNS, _byte(h, i)))), "")
+    secret = F.when(F.length(F.regexp_replace(canon, r"[^\p{L}\p{Nd}]", "")) < 6, signs).otherwise(form(0))
+    more = F.when(attempt >= 8, F.substring(F.reverse(h), F.lit(1), 2 * (attempt - 7))).otherwise(F.lit(""))
+    email = F.concat(F.substring_index(email, "@", 1), more, F.lit("@"), F.substring_index(email, "@", -1))
     octets = F.array_join(F.transform(F.split(canon, r"\."), lambda c, i: (F.pmod(F.conv(F.substring(h, i * 4 + 1, F.lit(4)), 16, 10).cast("int"), F.lit(254)) + 1).cast("string")), ".")
     body = F.transform(F.slice(chars, 1, F.size(chars) - 1), lambda c, i: F.when(i < 1, c).otherwise(F.pmod(_byte(h, i), F.lit(10)).cast("string")))
     n = F.size(body)
@@ -146,15 +170,17 @@ def surrogate(cls: Column, canon: Column, attempt: Column, key: str) -> Column:
     card = F.concat(F.array_join(body, ""), F.pmod(10 - F.pmod(total, F.lit(10)), F.lit(10)).cast("string"))
     phone = F.when(F.length(canon) == 11, form(1)).otherwise(form(F.greatest(F.length(canon) - 10, F.lit(0))))
     out = (
-        F.when(cls == "email", email).when((cls == "hex") | ((cls == "secret") & canon.rlike(r"\A[0-9a-f]+\z")), hexes).when(cls == "access_key", form(4))
+        F.when(cls == "email", email).when(cls == "hex", hexes).when((cls == "secret") & canon.rlike(r"\A[0-9a-f]+\z"), F.concat(hexes, more))
+        .when(cls == "secret", F.concat(secret, more)).when(cls == "access_key", form(4))
         .when(cls == "iban", form(2)).when(cls == "ip", octets).when(cls == "phone", phone).when(cls == "card", card)
     )
     for name, pool in _NAMES.items():
         size = len(pool)
         number = F.conv(F.substring(h, 1, 12), 16, 10).cast("long")
-        # one, two or three names joined by hyphens: more attempts draw from more names
+        # one to four names joined by hyphens, and from the ninth attempt on one more each time
         pick = lambda k, p=pool, s=size, x=number: F.element_at(F.lit(list(p)), (F.pmod((x / s**k).cast("long"), F.lit(s)) + 1).cast("int"))
-        made = F.concat_ws("-", pick(0), F.when(attempt >= 1, pick(1)), F.when(attempt >= 4, pick(2)), F.when(attempt >= 8, pick(3)))
+        rest = F.transform(F.sequence(F.lit(4), F.greatest(attempt, F.lit(9)) - 5), lambda k: F.element_at(F.lit(list(pool)), F.pmod(F.conv(F.substring(h, F.pmod(k, F.lit(64)) * 4 + 1, F.lit(4)), 16, 10).cast("int"), F.lit(size)) + 1))  # noqa: B023
+        made = F.concat_ws("-", pick(0), F.when(attempt >= 1, pick(1)), F.when(attempt >= 4, pick(2)), F.when(attempt >= 8, pick(3)), F.when(attempt >= 9, F.concat_ws("-", rest)))
         out = out.when(cls == name, made)
     return out.otherwise(form(0))
 

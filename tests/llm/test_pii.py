@@ -74,3 +74,23 @@ def test_no_python_in_the_plan(spark):
     docs = spark.createDataFrame(ROWS, "doc_id long, text string")
     plan = pii.replaced(docs, "key")._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_values_without_a_letter_pool_end(spark):
+    """Masked values, letters without case or pool, and scripts of their own."""
+    rows = ["password=********", "token=!!!!!!!", "mail 王小明@例子.中国 now", "mail محمد@مثال.مصر now", "secret=ࠀࠁࠂࠃࠄࠅ", "password=ɐɐɐɐ王王"]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in pii.replaced(docs, "key").collect()}
+    for i, old in enumerate(rows):
+        assert got[i] != old and len(got[i]) == len(old), (old, got[i])
+    assert re.fullmatch(r"mail [一-鿿]{3}@[一-鿿]{2}\.中国 now", got[2])
+    assert re.fullmatch(r"password=[^\w\s]{8}|password=[^a-z0-9\s]{8}", got[0])
+
+
+@pytest.mark.parametrize("cls, canon, n", [("f_greek", "concat('name', id)", 6000), ("email", "concat(char(97 + id % 26), '@', char(97 + id div 26), '.de')", 676), ("secret", "concat('*****', id)", 10)])
+def test_exhausted_forms_grow(spark, cls, canon, n):
+    """More entities than their form has values: each still gets its own."""
+    many = spark.range(n).selectExpr(f"'{cls}' AS cls", f"{canon} AS canon")
+    got = pii.surrogates(many, "key").collect()
+    known = {r["canon"] for r in got}
+    assert len(got) == len(known) == len({r["sur"].lower() for r in got}) == n and not known & {r["sur"].lower() for r in got}
