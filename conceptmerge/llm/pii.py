@@ -3,7 +3,8 @@
 Every kind of entity gets a replacement of its own kind and form: digits for digits, letters
 of the same script and case for letters, a name of the same gender and script for a name, a
 card number that passes its check digit.  Replacements follow from a secret key and the
-entity, so one person stays one person wherever and however written; over the whole corpus
+entity, so one person stays one person wherever and however written; names behind a title
+are also replaced where the same text has them without one.  Over the whole corpus
 two entities never share a replacement, and none is replaced by an entity that occurs: of
 those that clash all but one draw again until no clash is left.
 """
@@ -23,11 +24,12 @@ _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
 _TITLES_F = ("Mrs", "Ms", "Miss", "Madam", "Frau", "Mme", "Madame", "Mlle", "Señora", "Señorita", "Sra", "г-жа", "госпожа", "Κυρία", "κα")
 _TITLES_M = ("Mr", "Mister", "Sir", "Herr", "Monsieur", "Señor", "Sr", "г-н", "господин", "Κύριος", "κος")
 _TITLES_U = ("Dr", "Prof", "Doctor", "Professor", "Mx")
-_NAME = r"\p{Lu}[\p{L}'’-]+"
+# Two letters at least; marks within a name belong to it, a possessive s does not.
+_NAME = r"\p{Lu}(?:\p{L}++|(?=['’-]\p{L}))(?:['’-](?!s(?!\p{L}))\p{L}++)*+"
 _TITLES = "|".join((*_TITLES_F, *_TITLES_M, *_TITLES_U))
 # All but secrets begin at a word's edge, which ANY tests once for all of them.
 PATTERNS: dict[str, str] = {
-    "secret": r"(?<=[=\"])(?<=password=|passwd=|secret=|token=|api_key=|token = \"|secret = \"|password = \"|api_key = \")[^\s\"']{6,256}",
+    "secret": r"(?<=[=\"])(?<=password=|passwd=|secret=|token=|api_key=|token = \"|secret = \"|password = \"|api_key = \")[^\s\"']{6,}",
     "email": rf"(?<![._%+-])[{_W}._%+-]{{1,64}}+@[{_W}-]{{1,63}}(?:\.[{_W}-]{{1,63}}){{0,8}}\.\p{{L}}{{2,24}}",
     "ip": r"(?<!\.)(?:" + _OCTET + r"\.){3}" + _OCTET + rf"(?![{_W}]|\.[0-9])",
     "phone": rf"(?<!\+)(?:\+1[ .-]?\([0-9]{{3}}\) ?[0-9]{{3}}[ .-]?[0-9]{{4}}|\+[0-9]{{1,3}}(?:[ .-]?\(?[0-9]{{1,4}}\)?){{1,2}}[ .-]?[0-9]{{3,4}}[ .-]?[0-9]{{3,4}}|\([0-9]{{3}}\) ?[0-9]{{3}}-[0-9]{{4}}|[0-9]{{3}}-[0-9]{{3}}-[0-9]{{4}})(?![{_W}])",
@@ -120,13 +122,17 @@ def identities(mention: Column, kind: Column) -> Column:
 
 
 def _draw(cls: Column, canon: Column, attempt: Column, key: str) -> Column:
-    """128 pseudo-random bytes in hex that follow from the key, the identity and the attempt."""
-    seed = F.concat_ws("\u0001", F.lit(key), cls, canon, attempt.cast("string"))
-    return F.concat(F.sha2(F.concat(seed, F.lit("\u0001a")), 512), F.sha2(F.concat(seed, F.lit("\u0001b")), 512))
+    """A pseudo-random seed in hex that follows from the key, the identity and the attempt."""
+    return F.sha2(F.concat_ws("\u0001", F.lit(key), cls, canon, attempt.cast("string")), 512)
 
 
-def _byte(hexes: Column, i: Column) -> Column:
-    return F.conv(F.substring(hexes, F.pmod(i, F.lit(128)) * 2 + 1, F.lit(2)), 16, 10).cast("int")
+def _block(seed: Column, k: Column) -> Column:
+    """64 bytes in hex: as many blocks as a value needs."""
+    return F.sha2(F.concat_ws("\u0001", seed, k.cast("string")), 512)
+
+
+def _byte(seed: Column, i: Column) -> Column:
+    return F.conv(F.substring(_block(seed, (i / 64).cast("int")), F.pmod(i, F.lit(64)) * 2 + 1, F.lit(2)), 16, 10).cast("int")
 
 
 def _same_form(c: Column, b: Column) -> Column:
@@ -144,25 +150,26 @@ def _from(letters: str, b: Column) -> Column:
     return F.substring(F.lit(letters), F.pmod(b, F.lit(len(letters))) + 1, F.lit(1))
 
 
-def surrogate(cls: Column, canon: Column, attempt: Column, key: str) -> Column:
-    """The replacement of an identity at an attempt, in canonical form.
+def surrogate(cls: Column, canon: Column, attempt: Column) -> Column:
+    """The replacement of an identity at an attempt, in canonical form, by the column ``seed`` that ``_draw`` made.
 
     Secrets, emails and names, whose own form may allow few values, grow with the attempt
     from the ninth on, so there is always one that is free.  Numbers keep their length.
     """
-    h = _draw(cls, canon, attempt, key)
+    seed = F.col("seed")
+    h = F.concat(_block(seed, F.lit(-1)), _block(seed, F.lit(-2)))
     chars = F.split(canon, "")
-    form = lambda keep: F.array_join(F.transform(chars, lambda c, i: F.when(i < keep, c).otherwise(_same_form(c, _byte(h, i)))), "")
+    form = lambda keep: F.array_join(F.transform(chars, lambda c, i: F.when(i < keep, c).otherwise(_same_form(c, _byte(seed, i)))), "")
     tld = F.length(F.substring_index(canon, ".", -1))
-    email = F.array_join(F.transform(chars, lambda c, i: F.when(i >= F.size(chars) - tld, c).otherwise(_same_form(c, _byte(h, i)))), "")
-    hexes = F.array_join(F.transform(chars, lambda c, i: F.substring(F.lit("0123456789abcdef"), F.pmod(_byte(h, i), F.lit(16)) + 1, F.lit(1))), "")
+    email = F.array_join(F.transform(chars, lambda c, i: F.when(i >= F.size(chars) - tld, c).otherwise(_same_form(c, _byte(seed, i)))), "")
+    hexes = F.array_join(F.transform(chars, lambda c, i: F.substring(F.lit("0123456789abcdef"), F.pmod(_byte(seed, i), F.lit(16)) + 1, F.lit(1))), "")
     # a value of hardly anything but signs gets other signs
-    signs = F.array_join(F.transform(chars, lambda c, i: F.when(c.rlike(r"[\p{L}\p{Nd}]"), _same_form(c, _byte(h, i))).otherwise(_from(_SIGNS, _byte(h, i)))), "")
+    signs = F.array_join(F.transform(chars, lambda c, i: F.when(c.rlike(r"[\p{L}\p{Nd}]"), _same_form(c, _byte(seed, i))).otherwise(_from(_SIGNS, _byte(seed, i)))), "")
     secret = F.when(F.length(F.regexp_replace(canon, r"[^\p{L}\p{Nd}]", "")) < 6, signs).otherwise(form(0))
     more = F.when(attempt >= 8, F.substring(F.reverse(h), F.lit(1), 2 * (attempt - 7))).otherwise(F.lit(""))
     email = F.concat(F.substring_index(email, "@", 1), more, F.lit("@"), F.substring_index(email, "@", -1))
     octets = F.array_join(F.transform(F.split(canon, r"\."), lambda c, i: (F.pmod(F.conv(F.substring(h, i * 4 + 1, F.lit(4)), 16, 10).cast("int"), F.lit(254)) + 1).cast("string")), ".")
-    body = F.transform(F.slice(chars, 1, F.size(chars) - 1), lambda c, i: F.when(i < 1, c).otherwise(F.pmod(_byte(h, i), F.lit(10)).cast("string")))
+    body = F.transform(F.slice(chars, 1, F.size(chars) - 1), lambda c, i: F.when(i < 1, c).otherwise(F.pmod(_byte(seed, i), F.lit(10)).cast("string")))
     n = F.size(body)
     total = F.aggregate(
         F.transform(body, lambda c, i: F.when(F.pmod(n - i, F.lit(2)) == 1, c.cast("int") * 2 - F.when(c.cast("int") > 4, 9).otherwise(0)).otherwise(c.cast("int"))), F.lit(0), lambda a, b: a + b
@@ -194,7 +201,9 @@ def surrogates(entities: DataFrame, key: str, label: str = "pii-surrogates") ->
     known = staged(entities.select("cls", "canon").distinct(), label)
     open_, done, attempt, spent = known, None, 0, []
     while True:
-        drawn = open_.withColumn("sur", surrogate(F.col("cls"), F.col("canon"), F.lit(attempt), key))
+        # the seed is a column of a table, so that no character draws it anew
+        seeded = staged(open_.withColumn("seed", _draw(F.col("cls"), F.col("canon"), F.lit(attempt), key)), label)
+        drawn = seeded.withColumn("sur", surrogate(F.col("cls"), F.col("canon"), F.lit(attempt))).drop("seed")
         clash = known.select("cls", F.col("canon").alias("low"))
         free = drawn.withColumn("low", F.lower("sur")).join(clash.withColumn("low", F.lower("low")), ["cls", "low"], "left_anti")
         if done is not None:
@@ -204,7 +213,7 @@ def surrogates(entities: DataFrame, key: str, label: str = "pii-surrogates") ->
         won = staged(free.join(first, ["cls", "low", "canon"]).select("cls", "canon", "sur"), label)
         done = won if done is None else staged(done.unionByName(won), label)
         lost = staged(open_.join(won.select("cls", "canon"), ["cls", "canon"], "left_anti"), label)
-        spent += [free, won]
+        spent += [seeded, free, won]
         if lost.isEmpty():
             dropped(*[x for x in spent if x is not done])
             return done
@@ -236,7 +245,7 @@ def replacements(docs: DataFrame, text_col: str, key: str) -> DataFrame:
     seen = docs.where(may_hold(text)).select(F.explode_outer(mentions(text)).alias("mention")).where("mention is not null").distinct()
     seen = seen.withColumn("kind", kind_of(F.col("mention"))).withColumn("subs", identities(F.col("mention"), F.col("kind")))
     seen = staged(seen, "pii-mentions")
-    parts = seen.select("mention", "kind", F.posexplode("subs").alias("at", "x")).select("mention", "kind", "at", "x.*")
+    parts = _same_given_names(seen.select("mention", "kind", F.posexplode("subs").alias("at", "x")).select("mention", "kind", "at", "x.*"))
     chosen = surrogates(parts, key)
     whole = parts.join(chosen, ["cls", "canon"]).groupBy("mention", "kind").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "sur"))), lambda p: p["sur"]).alias("subs"))
     out = staged(whole.select("mention", "kind", _rendered(F.col("mention"), F.col("kind"), F.col("subs")).alias("replacement")), "pii-replacements")
@@ -244,6 +253,29 @@ def replacements(docs: DataFrame, text_col: str, key: str) -> DataFrame:
     return out
 
 
+def _same_given_names(parts: DataFrame) -> DataFrame:
+    """A name behind a title of no gender has the gender that most other mentions give it, so Dr and Mr John are one."""
+    plain = F.substring("cls", 3, 32)
+    of = parts.where(F.col("cls").rlike("^[fm]_")).groupBy(plain.alias("_script"), F.col("canon").alias("_canon")).agg(F.count_if(F.col("cls").startswith("f_")).alias("_f"), F.count("*").alias("_n"))
+    joined = parts.join(of, F.col("cls").startswith("u_") & (plain == F.col("_script")) & (F.col("canon") == F.col("_canon")), "left")
+    gender = F.when(F.col("_f") * 2 >= F.col("_n"), F.lit("f_")).otherwise(F.lit("m_"))
+    return joined.withColumn("cls", F.when(F.col("_n").isNull(), F.col("cls")).otherwise(F.concat(gender, plain))).drop("_script", "_canon", "_f", "_n")
+
+
+#: What a text consists of, for the search of names: words that may be names, and all between them.
+_PIECES = rf"(?<!\p{{L}}){_NAME}|[^\p{{Lu}}]+|\p{{Lu}}"
+
+
+def _names_of(found: Column) -> Column:
+    """``array<struct<word, sur>>`` of the names behind the titles of a text: as written, in capitals, and with a capital only."""
+    bare = lambda c: F.split(F.regexp_replace(c, rf"\A(?:{_TITLES})\.? ", ""), " ")
+    pairs = F.flatten(F.transform(F.filter(found, lambda x: x["kind"] == "person"), lambda x: F.zip_with(bare(x["mention"]), bare(x["replacement"]), lambda w, s: F.struct(w.alias("word"), s.alias("sur")))))
+    pairs = F.array_sort(pairs)
+    capitals = F.transform(pairs, lambda p: F.struct(F.upper(p["word"]).alias("word"), F.upper(p["sur"]).alias("sur")))
+    shouted = F.filter(pairs, lambda p: p["word"] == F.upper(p["word"]))
+    return F.concat(pairs, capitals, F.transform(shouted, lambda p: F.struct(F.initcap(F.lower(p["word"])).alias("word"), F.initcap(F.lower(p["sur"])).alias("sur"))))
+
+
 def replaced(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text", entities_col: str | None = None) -> DataFrame:
     """``docs`` with the entities of each text replaced; ``entities_col``, if named, adds what was replaced.
 
@@ -264,14 +296,18 @@ def replaced(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str =
     found = (
         held.join(table, "mention").groupBy("_id", "_mark")
         .agg(F.collect_set(F.struct("mention", "kind", "replacement")).alias("_found"))
+        .withColumn("_names", _names_of(F.col("_found")))
+        .withColumn("_words", F.transform("_names", lambda x: x["word"])).withColumn("_surs", F.transform("_names", lambda x: x["sur"])).drop("_names")
     )
     joined = touched.join(found, touched[id_col].eqNullSafe(F.col("_id")) & (F.xxhash64(text) == F.col("_mark")), "left").drop("_id", "_mark")
     lookup = F.map_from_entries(F.transform("_found", lambda x: F.struct(x["mention"], x["replacement"])))
     hits = mentions(text)
-    between = F.split(text, ANY, -1)
+    of_name = lambda t: F.coalesce(F.get("_surs", (F.array_position("_words", t) - 1).cast("int")), t)
+    unnamed = lambda x: F.array_join(F.transform(F.regexp_extract_all(x, F.lit(_PIECES), F.lit(0)), of_name), "")
+    between = F.transform(F.split(text, ANY, -1), lambda x: F.when(F.size("_words") > 0, unnamed(x)).otherwise(x))
     new = F.array_join(F.zip_with(between, F.transform(hits, lambda m: F.element_at(lookup, m)), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
     out = joined.withColumn(text_col, new)
     if entities_col:
         made = F.array_sort(F.transform("_found", lambda x: F.struct(x["kind"].alias("kind"), x["replacement"].alias("replacement"))))
         out, clean = out.withColumn(entities_col, made.cast(kind)), clean.withColumn(entities_col, F.array().cast(kind))
-    return clean.unionByName(out.drop("_found"))
+    return clean.unionByName(out.drop("_found", "_words", "_surs"))

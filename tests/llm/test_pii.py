@@ -94,3 +94,24 @@ def test_exhausted_forms_grow(spark, cls, canon, n):
     got = pii.surrogates(many, "key").collect()
     known = {r["canon"] for r in got}
     assert len(got) == len(known) == len({r["sur"].lower() for r in got}) == n and not known & {r["sur"].lower() for r in got}
+
+
+def test_long_secrets_are_replaced_whole(spark):
+    secret = "".join(chr(97 + (i * i) % 26) for i in range(1500))
+    docs = spark.createDataFrame([(1, f"token={secret} end")], "doc_id long, text string")
+    got = pii.replaced(docs, "key").first()["text"]
+    made = re.fullmatch(r"token=([a-z]{1500}) end", got)[1]
+    assert sum(a == b for a, b in zip(secret, made)) < 150
+    assert sum(a == b for a, b in zip(made, made[128:])) < 150  # no bytes are used twice
+
+
+def test_untitled_mentions_follow_titled_ones(spark):
+    rows = ["Mr John Smith came.\nJohn Smith's coat; SMITH left, Johnson and deSmith stayed, smith", "Dr John Smith", "John Smith without a title", "Mrs O'Brien's cat, O'Brien"]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in pii.replaced(docs, "key").collect()}
+    found = re.fullmatch(r"Mr (\S+) (\S+) came\.\n(\S+) (\S+)'s coat; (\S+) left, Johnson and deSmith stayed, smith", got[0])
+    given, family = found[1], found[2]
+    assert (given, family) != ("John", "Smith") and found.groups()[2:] == (given, family, family.upper())
+    assert got[1] == f"Dr {given} {family}" and got[2] == rows[2]
+    other = re.fullmatch(r"Mrs (\S+)'s cat, (\S+)", got[3])
+    assert other[1] == other[2] != "O'Brien"
