@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .staging import dropped, small_batches, staged
+from .staging import FEW, dropped, staged
 
 END = b""  # no word is empty
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -274,12 +274,11 @@ def document_scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", t
     twice in training.  Without any training text, counts are zero and the scores those of
     the smoothing alone.  An empty input gives an empty result.
     """
-    small_batches(docs.sparkSession)
     texts = _texts(docs, id_col, text_col)
     training = texts.where(~F.coalesce(held_out, F.lit(False)))
-    counts = staged(word_counts(training, int(model.get("groups", 128))), "classlm-counts")
+    counts = staged(word_counts(training, int(model.get("groups", 128))), "classlm-counts", FEW)
     fitted = fit(training, counts, **model)
-    parts = staged(_scored(texts, fitted).withColumn("row", F.monotonically_increasing_id()), "classlm-parts")
+    parts = staged(_scored(texts, fitted).withColumn("row", F.monotonically_increasing_id()), "classlm-parts", FEW)
     rare = parts.select("row", F.inline("rare"))
     c = F.coalesce("c", F.lit(0))
     seen = (

@@ -4,14 +4,15 @@ Containment search by MinHash sketches of the items.  Of an item with q shingles
 ``q - ceil(t q) + 1`` shingles of least code are its sketch (a bottom-k MinHash of a size
 that depends on the item's size).  A document that contains at least the share t of the
 item lacks at most ``q - ceil(t q)`` shingles, so it has one of the sketch: the search loses
-nothing.  Items are partitioned by size: the sketch size follows q, items of fewer words
-than a shingle make partitions with shingles of their own length, and a document is only
-probed for items whose share t it could hold.  Candidates are verified by exact containment of
-their shingles' texts.
-
-Documents are probed where they are read: a bit field of fixed size says which shingles can
-belong to a sketch, so only documents that pass it are shuffled, and of these only shingles
-that can belong to an item.
+nothing.  Items are partitioned by size: partition b holds those of ``2**b`` to ``2**(b+1) - 1``
+shingles, each partition has a sketch field of its own, and a document is only probed against
+partitions whose smallest item it could hold the share t of.  Items of fewer words than a
+shingle make partitions with shingles of their own length.  Candidates are verified by exact
+containment of their shingles' texts.
+
+Documents are probed where they are read: bit fields of fixed size, one for each partition and
+so at most 32 for each shingle length, say which shingles can belong to a sketch; only documents
+that pass are shuffled, and of these only shingles that can belong to an item.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .staging import small_batches, staged
+from .staging import FEW, staged, unused
 from .wordcodes import Words, text_buffers
 
 _FIELD_BITS = 24  # 2 MB each
@@ -99,21 +100,29 @@ def _in_field(field: np.ndarray, codes: np.ndarray) -> np.ndarray:
     return (field[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
 
 
-def _probed(docs: DataFrame, fields: dict[int, tuple[np.ndarray, np.ndarray]]) -> DataFrame:
-    """Rows ``(doc_id, row, k, n, shingle)`` for documents that may hold a sketched shingle; n: their shingles of that length."""
+def _probed(docs: DataFrame, fields: dict[int, tuple[dict[int, np.ndarray], np.ndarray]], share: Fraction) -> DataFrame:
+    """Rows ``(doc_id, row, k, n, shingle)`` for documents that may hold a sketched shingle; n: their shingles of that length.
+
+    ``fields`` has, for each shingle length, the sketch field of each size partition and one field of all shingles.
+    """
+    any_sketch = {k: np.bitwise_or.reduce(list(by_size.values())) for k, (by_size, _) in fields.items()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, rows = batch.column(0), batch.column(1)
             for lo, hi, w in _chunks(batch.column(2)):
                 owner, out = w.owner(), []
-                for k, (sketches, everything) in fields.items():
+                for k, (by_size, everything) in fields.items():
                     codes, whole = w.runs(k, 5)
                     if not len(codes):
                         continue
-                    probe = whole & _in_field(sketches, codes)
-                    docs_hit = np.unique(owner[: len(codes)][probe])
-                    for i in docs_hit.tolist():
+                    at = np.flatnonzero(whole & _in_field(any_sketch[k], codes))
+                    theirs = w.counts[owner[at]] - k + 1
+                    hit = np.zeros(len(at), dtype=bool)
+                    for b, sketches in by_size.items():
+                        able = theirs * share.denominator >= (1 << b) * share.numerator
+                        hit |= able & _in_field(sketches, codes[at])
+                    for i in np.unique(owner[at[hit]]).tolist():
                         a, b = int(w.first[i]), int(w.first[i + 1])
                         span = np.arange(a, b - k + 1)
                         got = {b" ".join(w.words(j, j + k)) for j in span[_in_field(everything, codes[a : b - k + 1])].tolist()}
@@ -128,39 +137,51 @@ def _probed(docs: DataFrame, fields: dict[int, tuple[np.ndarray, np.ndarray]]) -
     return docs.mapInArrow(run, "doc_id long, row long, k int, n long, shingle string")
 
 
-def contaminated(docs: DataFrame, items: DataFrame, share: float = 0.8, width: int = 5, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
-    """Rows ``(doc_id, item_id, n_shingles, n_shared, containment)``: items of which a document holds the share or more.
-
-    Containment is the share of the item's distinct shingles of ``width`` words that occur in
-    the document; words are runs of letters and digits, A-Z in lower case.  An item of fewer
-    words is one shingle of that length; one without words is never found.  Null texts are
-    empty.  Rows with equal ids are compared each for itself and reported once, with their
-    largest containment; null ids form one such group.  Empty tables give an empty result.
-    """
-    spark = docs.sparkSession
-    small_batches(spark)
+def _held(docs: DataFrame, items: DataFrame, share: float, width: int, id_col: str, text_col: str, item_id: str, item_text: str) -> DataFrame:
+    """Rows ``(doc_id, row, item_id, mark, q, n_shared)``: which item each document holds; row is a code of its text."""
     exact = Fraction(str(share))
     text = F.col(item_text).cast("string")
-    shingles = staged(
-        _item_shingles(items.select(F.col(item_id).cast("long").alias("item_id"), F.xxhash64(text).alias("mark"), text.alias("text")).distinct(), width, exact), "contamination-items"
-    )
-    lengths = sorted(r["k"] for r in shingles.select("k").distinct().collect())
-    fields = {k: (_field(shingles.where((F.col("k") == k) & F.col("sketched"))), _field(shingles.where(F.col("k") == k))) for k in lengths}
+    asked = items.select(F.col(item_id).cast("long").alias("item_id"), F.xxhash64(text).alias("mark"), text.alias("text")).distinct()
+    shingles = staged(_item_shingles(asked, width, exact), "contamination-items", FEW)
+    size = F.floor(F.log2("q")).cast("int")
+    parts = [(r["k"], r["b"]) for r in shingles.select("k", size.alias("b")).distinct().collect()]  # at most width x 32
+    fields = {}
+    for k in sorted({k for k, _ in parts}):
+        mine = shingles.where(F.col("k") == k)
+        fields[k] = ({b: _field(mine.where(F.col("sketched") & (size == b))) for b in sorted(b for x, b in parts if x == k)}, _field(mine))
     text = F.col(text_col).cast("string")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("row"), text.alias("text"))
-    probes = staged(_probed(rows, fields), "contamination-probes")
+    probes = staged(_probed(rows, fields, exact), "contamination-probes", FEW)
     held = probes.join(shingles, ["k", "shingle"]).where(F.col("n") >= F.ceil(F.col("q") * F.lit(share) - 1e-9))
-    found = (
+    return (
         held.select("doc_id", "row", "item_id", "mark", "q", "shingle", "sketched").distinct()
         .groupBy("doc_id", "row", "item_id", "mark", "q").agg(F.count("*").alias("n_shared"), F.max("sketched").alias("sketched"))
         .where(F.col("sketched") & (F.col("n_shared") * exact.denominator >= F.col("q").cast("long") * exact.numerator))
     )
+
+
+def contaminated(docs: DataFrame, items: DataFrame, share: float = 0.8, width: int = 5, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+    """Rows ``(doc_id, item_id, n_shingles, n_shared, containment)``: items of which a document holds the share or more.
+
+    Containment is the share of the item's distinct shingles of ``width`` words that occur in
+    the document; words are runs of letters and digits, A-Z in lower case.  An item of fewer
+    words is one shingle of that length; one without words is never found.  Null texts are
+    empty.  Rows with equal ids are compared each for itself and reported once, with their
+    largest containment; null ids form one such group.  Empty tables give an empty result.
+    """
+    found = _held(docs, items, share, width, id_col, text_col, item_id, item_text)
     best = found.groupBy("doc_id", "item_id").agg(F.max_by(F.struct(F.col("q").cast("long").alias("n_shingles"), "n_shared"), F.col("n_shared") / F.col("q")).alias("x"))
     return best.select("doc_id", "item_id", "x.*", (F.col("x.n_shared") / F.col("x.n_shingles")).alias("containment"))
 
 
-def decontaminated(docs: DataFrame, items: DataFrame, **how) -> DataFrame:
-    """``docs`` without the rows whose id is reported by ``contaminated``.  All columns stay; null ids stay unless reported."""
-    id_col = how.get("id_col", "doc_id")
-    bad = contaminated(docs, items, **how).select(F.col("doc_id").alias("bad_id")).distinct()
-    return docs.join(bad, docs[id_col].cast("long").eqNullSafe(F.col("bad_id")), "left_anti")
+def decontaminated(docs: DataFrame, items: DataFrame, share: float = 0.8, width: int = 5, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+    """``docs`` without the rows whose text holds the share or more of an item.  All columns stay.
+
+    Rows are told apart by id and text, so a clean row stays even if it has no id or shares
+    its id with a contaminated one.
+    """
+    found = _held(docs, items, share, width, id_col, text_col, item_id, item_text)
+    bad_id, bad_mark = unused(docs, "bad_id", "bad_mark")
+    bad = found.select(F.col("doc_id").alias(bad_id), F.col("row").alias(bad_mark)).distinct()
+    same = docs[id_col].cast("long").eqNullSafe(F.col(bad_id)) & (F.xxhash64(docs[text_col].cast("string")) == F.col(bad_mark))
+    return docs.join(bad, same, "left_anti")

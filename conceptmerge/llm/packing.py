@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .staging import dropped, small_batches, staged
+from .staging import FEW, dropped, staged
 
 _PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""  # fixed values: the published pre-tokenizer pattern
 #: Where a blank may be more than one plain space or line feed before a word, texts are encoded whole.
@@ -125,7 +125,6 @@ def token_pieces(docs: DataFrame, tokenizer: str, size: int, end_id: int, id_col
                     names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"],
                 )
 
-    small_batches(docs.sparkSession)
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
         run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
     )
@@ -203,7 +202,7 @@ def packed(docs: DataFrame, tokenizer: str, size: int = 2048, end_id: int = 1, i
     documents.  Sequences are numbered from 0, and pieces lie in one without gaps from
     offset 0.  An empty input gives an empty result.
     """
-    pieces = staged(token_pieces(docs, tokenizer, size, end_id, id_col, text_col), "packing-pieces")
+    pieces = staged(token_pieces(docs, tokenizer, size, end_id, id_col, text_col), "packing-pieces", FEW)
     by_length = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     plan, _ = best_fit(by_length, size)
     shares = max(1, -(-sum(by_length.values()) // rows_a_task))

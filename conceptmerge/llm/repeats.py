@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .staging import dropped, settings, small_batches, staged
+from .staging import FEW, dropped, settings, staged
 from .wordcodes import Words, sliding_min, word_chunks
 
 NO_ID = (1 << 63) - 1  # a null id counts as later than all others
@@ -283,7 +283,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """
     spark = docs.sparkSession
     keyed = _keyed(docs, id_col, text_col)
-    seen = staged(_occurrences(keyed, width, seed), "repeats-anchors")
+    seen = staged(_occurrences(keyed, width, seed), "repeats-anchors", FEW)
     recurring = staged(seen.groupBy("anchor").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo < hi").select("anchor"), "repeats-recurring")
     hits = staged(seen.join(recurring, "anchor", "left_semi").groupBy("doc").agg(F.collect_set("anchor").alias("hits")), "repeats-hits")
     dropped(seen, recurring)
@@ -327,7 +327,6 @@ def passages_removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     equal ids never remove from one another; a document of fewer words than ``width`` loses
     nothing.  Kept words are joined by one space.  An empty input gives an empty result.
     """
-    small_batches(docs.sparkSession)
     spans = repeated_passages(docs, id_col, text_col, width, **limits)
     gone = spans.groupBy("doc", "mark").agg(F.collect_list(F.struct("place", "n")).alias("gone"))
     joined = _keyed(docs, id_col, text_col).join(gone, ["doc", "mark"], "left")

@@ -10,6 +10,8 @@ from ..sources.scratch import fresh_path
 
 _CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Rows a batch for whole texts, which bounds a worker's memory.
+FEW = 512
 
 
 @contextlib.contextmanager
@@ -26,15 +28,18 @@ def settings(spark: SparkSession, **values: str):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
+def staged(df: DataFrame, label: str, rows_a_batch: int | None = None) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
     This cuts the lineage like a reliable checkpoint: a lost executor costs only the tasks
     it was running, and the shuffle files behind the table are given back at once.
+    ``rows_a_batch`` holds for the Arrow batches of this table's Python steps alone: few rows
+    where each may be a long text.
     """
     spark = df.sparkSession
     path = fresh_path(spark, label)
-    with settings(spark, values={_CLEAN: "true"}):
+    batch = {} if rows_a_batch is None else {_BATCH: str(rows_a_batch)}
+    with settings(spark, values={_CLEAN: "true"} | batch):
         df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._staged_at = path
@@ -55,7 +60,13 @@ def delete(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def small_batches(spark: SparkSession, rows: int = 512) -> None:
-    """Long texts go to Python in batches of few rows, which bounds a worker's memory."""
-    if int(spark.conf.get(_BATCH, "10000")) > rows:
-        spark.conf.set(_BATCH, str(rows))
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """Column names like the given ones that ``df`` does not have, whatever their case."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out

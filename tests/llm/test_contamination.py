@@ -58,3 +58,19 @@ def test_removal(spark, docs):
     assert sorted(r["doc_id"] for r in kept.collect()) == [2, 3] and kept.columns == ["doc_id", "text", "mark", "score"]
     assert contamination.decontaminated(docs(rows), items_table(spark, [])).count() == 4
     assert contamination.contaminated(docs([]), items).count() == 0
+
+
+def test_clean_rows_without_an_id_of_their_own_stay(spark):
+    rows = [(None, "x one two three four five six y"), (None, "clean text"), (7, "one two three four five six"), (7, "another clean text"), (8, None)]
+    docs = spark.createDataFrame([(i, t, 0) for i, t in rows], "doc_id long, text string, bad_id int")
+    kept = contamination.decontaminated(docs, items_table(spark, [(1, "One two three four five six")]))
+    assert kept.columns == docs.columns and sorted(r["text"] or "" for r in kept.collect()) == ["", "another clean text", "clean text"]
+
+
+def test_size_partitions_lose_nothing(spark, docs):
+    """Items of one to a few hundred shingles, each in a document that holds hardly more than it, and in a long one."""
+    rng = random.Random(4)
+    items = [(n, " ".join(f"i{n}w{rng.randrange(9000)}" for _ in range(n + 4))) for n in (1, 2, 3, 7, 8, 9, 31, 64, 300)]
+    rows = [(n, t) for n, t in items] + [(1000 + n, "a b c d e " * 400 + t + " f g h" * 300) for n, t in items]
+    got = {(r["doc_id"], r["item_id"]) for r in contamination.contaminated(docs(rows), items_table(spark, items)).collect()}
+    assert got == {(k, n) for n, _ in items for k in (n, 1000 + n)}
