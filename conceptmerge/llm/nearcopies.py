@@ -1,9 +1,12 @@
 """Near copies: texts whose sets of word shingles have a Jaccard similarity of ``least`` or more.
 
-Candidates share one of ``BANDS`` independent fingerprints, each of the minima of four hash
-functions over a text's shingles; a pair of similarity s shares one with a chance of
-``1 - (1 - s**4)**BANDS``, 0.99997 at 0.8.  Only candidates whose shingles (as 64-bit hashes)
-really have the similarity are linked, so no other pair is.
+Candidates come from two searches.  SimHash fingerprints over the same shingles within a few
+bits, found by the pigeonhole search of ``simhash``, connect the close copies at once; but at
+a similarity of 0.8 two fingerprints differ in about ten of 64 bits, beyond any radius that
+can be searched.  So texts that share one of ``BANDS`` independent fingerprints, each of the
+minima of four hash functions over the shingles, are candidates too: a pair of similarity s
+shares one with a chance of ``1 - (1 - s**4)**BANDS``, 0.99997 at 0.8.  Only candidates whose
+shingles (as 64-bit hashes) really have the similarity are linked, so no other pair is.
 """
 
 from __future__ import annotations
@@ -16,8 +19,8 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from .components import component_labels
-from .simhash import _LOWER, kept_of_each
-from .staging import dropped, small_batches, staged
+from .simhash import fingerprint_of, kept_of_each, near_links, shingle_codes
+from .staging import FEW, dropped, staged
 
 BANDS, ROWS = 20, 4
 _RANDOM = np.random.default_rng(11)
@@ -26,12 +29,8 @@ _TIMES = _RANDOM.integers(0, 1 << 63, (BANDS * ROWS, 1), dtype=np.uint64) * np.u
 
 
 def shingle_hashes(text: str | None, width: int) -> np.ndarray:
-    """The text's distinct shingles as sorted hashes; fewer words than ``width`` are one shingle."""
-    words = (text or "").encode().translate(_LOWER).split()
-    if not words:
-        return np.zeros(0, dtype=np.uint64)
-    grams = map(b" ".join, zip(*[words[i:] for i in range(width)])) if len(words) >= width else [b" ".join(words)]
-    return np.unique(np.array([xxhash.xxh64_intdigest(x, 42) for x in grams], dtype=np.uint64))
+    """The text's distinct shingles as sorted hashes."""
+    return np.unique(shingle_codes(text, width))
 
 
 def band_keys(hashes: np.ndarray, block: int = 4096) -> np.ndarray:
@@ -47,20 +46,25 @@ def band_keys(hashes: np.ndarray, block: int = 4096) -> np.ndarray:
 
 
 def with_bands(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """Rows ``(doc_id, mark, node, n, keys)``: node names the set of n shingles, mark the text."""
-    small_batches(docs.sparkSession)
+    """Rows ``(doc_id, mark, node, fp, n, keys)``: node names the set of n shingles, mark the text, fp is its SimHash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [shingle_hashes(x, width) for x in batch.column(2).to_pylist()]
-            node = np.array([xxhash.xxh64_intdigest(x.tobytes()) for x in found], dtype=np.uint64).view(np.int64)
-            sizes = pa.array([len(x) for x in found], type=pa.int64())
-            keys = pa.array([band_keys(x) for x in found], type=pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(node), sizes, keys], names=["doc_id", "mark", "node", "n", "keys"])
+            node, fp, sizes, keys = [], [], [], []
+            for text in batch.column(2).to_pylist():
+                codes = shingle_codes(text, width)
+                held = np.unique(codes)
+                node.append(xxhash.xxh64_intdigest(held.tobytes()))
+                fp.append(fingerprint_of(codes))
+                sizes.append(len(held))
+                keys.append(band_keys(held))
+            signed = [pa.array(np.array(x, dtype=np.uint64).view(np.int64)) for x in (node, fp)]
+            made = [batch.column(0), batch.column(1), *signed, pa.array(sizes, pa.int64()), pa.array(keys, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(made, names=["doc_id", "mark", "node", "fp", "n", "keys"])
 
     text = F.col(text_col).cast("string")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("mark"), text.alias("text"))
-    return rows.mapInArrow(run, "doc_id long, mark long, node long, n long, keys array<long>")
+    return rows.mapInArrow(run, "doc_id long, mark long, node long, fp long, n long, keys array<long>")
 
 
 def _hashed(texts: DataFrame, width: int) -> DataFrame:
@@ -88,18 +92,31 @@ def _pairs(one: DataFrame, other: DataFrame, least: float) -> DataFrame:
     return one.join(other, "key").where(near).select(F.least("node", "o_node").alias("a"), F.greatest("node", "o_node").alias("b")).distinct()
 
 
-def near_copy_links(bands: DataFrame, sets: DataFrame, least: float, few: int = 64, most: int = 8, rounds: int = 6) -> DataFrame:
-    """Links ``(a, b)`` that connect all candidates of ``bands(key, node, n)`` that have the similarity.
+def close_pairs(nodes: DataFrame, radius: int) -> DataFrame:
+    """Distinct pairs ``(a, b)`` that connect the ``nodes(node, fp)`` whose fingerprints lie within ``radius`` bits."""
+    of = staged(nodes.groupBy("fp").agg(F.min("node").alias("first")), "nearcopies-fingerprints")
+    near = near_links(of.select("fp"), radius)
+    a, b = of.select(F.col("fp").alias("a"), F.col("first").alias("x")), of.select(F.col("fp").alias("b"), F.col("first").alias("y"))
+    across = near.join(a, "a").join(b, "b").select("x", "y")
+    equal = nodes.join(of, "fp").where("node <> first").select(F.col("first").alias("x"), F.col("node").alias("y"))
+    return across.unionByName(equal).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
+def near_copy_links(bands: DataFrame, sets: DataFrame, least: float, few: int = 64, most: int = 8, rounds: int = 6, known: DataFrame | None = None) -> DataFrame:
+    """Links ``(a, b)`` that connect all candidates of ``bands(key, node, n)`` that have the similarity; ``known`` are links found before.
 
     While the pairs not yet connected are more than ``most`` times the rows, each bucket of
     more than ``few`` first compares its members to one of them, drawn anew in each round: a
     group of near copies becomes one component without a list of its pairs.  What is then not
-    connected is compared pair by pair, so nothing is left out.
+    connected, or what rounds no longer make much fewer, is compared pair by pair, so nothing
+    is left out.
     """
     shared = bands.groupBy("key").agg(F.count("*").alias("size")).where("size > 1").select("key")
     bands = staged(bands.join(shared, "key"), "nearcopies-bands")
-    links, roots = None, None
+    links, roots, before = known, None, None
     for turn in range(rounds + 1):
+        if links is not None:
+            roots = component_labels(links, "nearcopies-components")
         at = bands.withColumn("root", F.col("node"))
         if roots is not None:
             at = bands.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -109,7 +126,8 @@ def near_copy_links(bands: DataFrame, sets: DataFrame, least: float, few: int =
         total = buckets.agg(F.sum("open").alias("open"), F.sum("size").alias("size")).first()
         if not total["size"]:
             break
-        last = turn == rounds or total["open"] <= most * total["size"]
+        last = turn == rounds or total["open"] <= most * total["size"] or (before is not None and total["open"] > 0.8 * before)
+        before = total["open"]
         at = at.join(buckets if last else buckets.where(F.col("size") > few), "key")
         other = at.select("key", F.col("node").alias("o_node"), F.col("n").alias("o_n"), F.col("root").alias("o_root"))
         if last:
@@ -123,33 +141,35 @@ def near_copy_links(bands: DataFrame, sets: DataFrame, least: float, few: int =
         links = got if links is None else links.unionByName(got)
         if last:
             break
-        roots = component_labels(links, "nearcopies-components")
     if links is None:
         return bands.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
     return links
 
 
-def _labelled(docs: DataFrame, id_col: str, text_col: str, width: int, least: float) -> DataFrame:
+def _labelled(docs: DataFrame, id_col: str, text_col: str, width: int, least: float, radius: int) -> DataFrame:
     """Rows ``(doc_id, mark, root)``; root names the component."""
-    marks = staged(with_bands(docs, id_col, text_col, width), "nearcopies-marks")
-    nodes = marks.groupBy("node").agg(F.min_by(F.struct("doc_id", "mark", "n", "keys"), F.struct("mark", "doc_id")).alias("x")).select("node", "x.*")
+    marks = staged(with_bands(docs, id_col, text_col, width), "nearcopies-marks", FEW)
+    nodes = marks.groupBy("node").agg(F.min_by(F.struct("doc_id", "mark", "fp", "n", "keys"), F.struct("mark", "doc_id")).alias("x")).select("node", "x.*")
     nodes = staged(nodes, "nearcopies-nodes")
+    close = staged(close_pairs(nodes.where("n > 0").select("node", "fp"), radius), "nearcopies-close")
     bands = nodes.select(F.explode("keys").alias("key"), "node", "n")
     shared = bands.groupBy("key").agg(F.count("*").alias("size")).where("size > 1").select("key")
-    able = bands.join(shared, "key").select("node").distinct()
+    able = bands.join(shared, "key").select("node").unionByName(close.select(F.explode(F.array("a", "b")).alias("node"))).distinct()
     text = F.col(text_col).cast("string")
     here = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-1)).alias("_id"), F.xxhash64(text).alias("_mark"), text.alias("_text"))
     named = nodes.join(able, "node", "left_semi").select(F.coalesce("doc_id", F.lit(-1)).alias("_id"), F.col("mark").alias("_mark"), "node")
-    sets = staged(_hashed(here.join(named, ["_id", "_mark"]).select("node", "_text"), width).dropDuplicates(["node"]), "nearcopies-sets")
-    roots = component_labels(near_copy_links(bands, sets, least), "nearcopies-components")
-    dropped(sets)
+    sets = staged(_hashed(here.join(named, ["_id", "_mark"]).select("node", "_text"), width).dropDuplicates(["node"]), "nearcopies-sets", FEW)
+    known = staged(_verified(close, sets, least), "nearcopies-known")
+    roots = component_labels(near_copy_links(bands, sets, least, known=known), "nearcopies-components")
+    dropped(sets, close, known)
     return marks.select("doc_id", "mark", "node").join(roots, "node", "left").select("doc_id", "mark", F.coalesce("root", "node").alias("root"))
 
 
-def near_copies_removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, least: float = 0.8) -> DataFrame:
+def near_copies_removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, least: float = 0.8, radius: int = 4) -> DataFrame:
     """``docs`` with one row of each component of linked texts: that of the smallest id, a null id coming last.
 
     All columns stay.  Texts without words are copies of each other.  Of repeated rows one
-    stays; rows that share an id but not a component all stay.
+    stays; rows that share an id but not a component all stay.  ``radius`` is that of the
+    SimHash search and decides how soon, not which, texts are linked.
     """
-    return kept_of_each(docs, _labelled(docs, id_col, text_col, width, least), id_col, text_col)
+    return kept_of_each(docs, _labelled(docs, id_col, text_col, width, least, radius), id_col, text_col)

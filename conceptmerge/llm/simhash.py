@@ -20,31 +20,39 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from .components import component_labels
-from .staging import dropped, small_batches, staged
+from .staging import FEW, dropped, staged, unused
 
 BITS = 64
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
-def fingerprint(text: str | None, width: int = 4) -> int:
-    """The 64-bit SimHash of one text, as an unsigned number."""
+def shingle_codes(text: str | None, width: int) -> np.ndarray:
+    """Hashes of the text's shingles in order, repeats included; fewer words than ``width`` are one shingle."""
     words = (text or "").encode().translate(_LOWER).split()
     if not words:
-        return 0
+        return np.zeros(0, dtype=np.uint64)
     if len(words) < width:
-        hashes = [xxhash.xxh64_intdigest(b" ".join(words), 42)]
-    else:
-        shift = [words[i:] for i in range(width)]
-        hashes = [xxhash.xxh64_intdigest(x, 42) for x in map(b" ".join, zip(*shift))]
-    n = len(hashes)
-    bits = np.unpackbits(np.array(hashes, dtype="<u8").view(np.uint8).reshape(n, 8), axis=1, bitorder="little")
-    ones = bits.sum(axis=0, dtype=np.int64)
-    return int(sum(1 << i for i in np.flatnonzero(2 * ones > n).tolist()))
+        return np.array([xxhash.xxh64_intdigest(b" ".join(words), 42)], dtype=np.uint64)
+    shift = [itertools.islice(words, i, None) for i in range(width)]
+    return np.fromiter((xxhash.xxh64_intdigest(x, 42) for x in map(b" ".join, zip(*shift))), dtype=np.uint64, count=len(words) - width + 1)
+
+
+def fingerprint_of(codes: np.ndarray, block: int = 1 << 16) -> int:
+    """The SimHash of a text's shingle codes; memory beside them is bounded by ``block``."""
+    ones = np.zeros(BITS, dtype=np.int64)
+    for lo in range(0, len(codes), block):
+        part = np.ascontiguousarray(codes[lo : lo + block]).astype("<u8", copy=False)
+        ones += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(sum(1 << i for i in np.flatnonzero(2 * ones > len(codes)).tolist()))
+
+
+def fingerprint(text: str | None, width: int = 4) -> int:
+    """The 64-bit SimHash of one text, as an unsigned number."""
+    return fingerprint_of(shingle_codes(text, width))
 
 
 def with_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4) -> DataFrame:
     """Rows ``(doc_id, mark, fp)``: fp is the fingerprint's 64 bits as a signed long, mark a code of the text."""
-    small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -259,7 +267,8 @@ def _refined(rows: DataFrame, hot: DataFrame, parts: list[tuple[list[int], int]]
     ``radius + 1`` disjoint groups of bits at least one agrees in both: the bucket's key is
     extended by each group's value in turn.
     """
-    groups = [[b for b in range(BITS) if (b * 7 + level * 3) % (radius + 1) == g] for g in range(radius + 1)]
+    dealt = np.random.default_rng(1000 + level).permutation(BITS)  # another deal at each level
+    groups = [dealt[g :: radius + 1].tolist() for g in range(radius + 1)]
     inner = rows.join(hot, ["part", "key"])
     pick = F.explode(F.array(*[F.struct(F.lit(g).alias("g"), F.col("fp").bitwiseAND(F.lit(_signed(sum(1 << b for b in bits)))).alias("v")) for g, bits in enumerate(groups)]))
     return inner.select("part", "key", "probe", "fp", pick.alias("x")).select(
@@ -304,7 +313,7 @@ def _blocked(rows: DataFrame, radius: int, bucket: int) -> DataFrame:
 
 def _labelled(docs: DataFrame, id_col: str, text_col: str, radius: int, width: int) -> DataFrame:
     """Rows ``(doc_id, mark, fp, root, component_id)``; root is a fingerprint that names the component."""
-    marks = staged(with_fingerprints(docs, id_col, text_col, width), "simhash-marks")
+    marks = staged(with_fingerprints(docs, id_col, text_col, width), "simhash-marks", FEW)
     nodes = staged(marks.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-nodes")
     roots = component_labels(near_links(nodes.select("fp"), radius), "simhash-components")
     named = nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
@@ -336,8 +345,7 @@ def near_duplicates_removed(docs: DataFrame, id_col: str = "doc_id", text_col: s
 def kept_of_each(docs: DataFrame, found: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The first row of each root in ``found(doc_id, mark, root)``."""
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")).alias("x")
-    keep = staged(found.groupBy("root").agg(first).select(F.col("x.doc_id").alias("_keep_id"), F.col("x.mark").alias("_keep_mark")).distinct(), "simhash-kept")
-    key = [F.coalesce(F.col(id_col).cast("long"), F.lit(-1)).alias("_a"), F.col(id_col).isNull().alias("_b"), F.xxhash64(F.col(text_col).cast("string")).alias("_c")]
-    rows = docs.select("*", *key)
-    kept = keep.select(F.coalesce("_keep_id", F.lit(-1)).alias("_a"), F.col("_keep_id").isNull().alias("_b"), F.col("_keep_mark").alias("_c"))
-    return rows.join(kept, ["_a", "_b", "_c"], "left_semi").dropDuplicates(["_a", "_b", "_c"]).select(docs.columns)
+    a, b, c = unused(docs, "keep_id", "keep_none", "keep_mark")
+    keep = staged(found.groupBy("root").agg(first).select(F.coalesce("x.doc_id", F.lit(-1)).alias(a), F.col("x.none").alias(b), F.col("x.mark").alias(c)).distinct(), "simhash-kept")
+    rows = docs.select("*", F.coalesce(F.col(id_col).cast("long"), F.lit(-1)).alias(a), F.col(id_col).cast("long").isNull().alias(b), F.xxhash64(F.col(text_col).cast("string")).alias(c))
+    return rows.join(keep, [a, b, c], "left_semi").dropDuplicates([a, b, c]).select(docs.columns)

@@ -75,3 +75,9 @@ def test_odd_rows(spark, docs):
     kept = [r["doc_id"] for r in got.collect()]
     assert sorted(x for x in kept if x is not None) == [1, 4, 5, 6, 7, 7] and kept.count(None) == 1
     assert nearcopies.near_copies_removed(docs([])).count() == 0
+
+
+def test_clashing_column_names(spark):
+    docs = spark.createDataFrame([(1, "one two three four five six", 1, 2, 3), (2, "one two three four five six", 4, 5, 6)], "doc_id long, text string, keep_id int, _a int, mark int")
+    got = nearcopies.near_copies_removed(docs)
+    assert got.columns == docs.columns and [tuple(r) for r in got.collect()] == [(1, "one two three four five six", 1, 2, 3)]
