@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .staging import dropped, staged
+from .staging import dropped, staged, unused
 
 # The kinds of entities and how they are written, in order of precedence.
 # Letters and digits as ranges: a lookup that is far cheaper at every character than Unicode properties.
@@ -27,15 +27,18 @@ _TITLES_U = ("Dr", "Prof", "Doctor", "Professor", "Mx")
 # Two letters at least; marks within a name belong to it, a possessive s does not.
 _NAME = r"\p{Lu}(?:\p{L}++|(?=['’-]\p{L}))(?:['’-](?!s(?!\p{L}))\p{L}++)*+"
 _TITLES = "|".join((*_TITLES_F, *_TITLES_M, *_TITLES_U))
+_KEY = r"(?i:password|passwd|secret|token|api_key)"
+_H = "[0-9A-Fa-f]{1,4}"
 # All but secrets begin at a word's edge, which ANY tests once for all of them.
 PATTERNS: dict[str, str] = {
-    "secret": r"(?<=[=\"])(?<=password=|passwd=|secret=|token=|api_key=|token = \"|secret = \"|password = \"|api_key = \")[^\s\"']{6,}",
-    "email": rf"(?<![._%+-])[{_W}._%+-]{{1,64}}+@[{_W}-]{{1,63}}(?:\.[{_W}-]{{1,63}}){{0,8}}\.\p{{L}}{{2,24}}",
+    "secret": rf"(?<=[=\"':]|[=:] )(?:(?<={_KEY}(?:=|[\"']? ?[=:] ?[\"']))|(?<=(?i:password|passwd|api_key): ?)|(?<={_KEY}(?:: ?| = ))(?=[^\s\"']*[0-9]))[^\s\"']{{6,}}",
+    "email": rf"(?<![._%+-])[{_W}._%+-]{{1,256}}+@[{_W}-]{{1,63}}(?:\.[{_W}-]{{1,63}}){{0,8}}\.\p{{L}}{{2,24}}",
+    "ip6": rf"(?=[0-9A-Fa-f:]*[0-9])(?:(?:{_H}:){{7}}{_H}|(?:{_H}:){{1,6}}(?::{_H}){{1,6}}|(?:{_H}:){{1,7}}:)(?![{_W}:])",
     "ip": r"(?<!\.)(?:" + _OCTET + r"\.){3}" + _OCTET + rf"(?![{_W}]|\.[0-9])",
     "phone": rf"(?<!\+)(?:\+1[ .-]?\([0-9]{{3}}\) ?[0-9]{{3}}[ .-]?[0-9]{{4}}|\+[0-9]{{1,3}}(?:[ .-]?\(?[0-9]{{1,4}}\)?){{1,2}}[ .-]?[0-9]{{3,4}}[ .-]?[0-9]{{3,4}}|\([0-9]{{3}}\) ?[0-9]{{3}}-[0-9]{{4}}|[0-9]{{3}}-[0-9]{{3}}-[0-9]{{4}})(?![{_W}])",
     "ssn": rf"(?<!-)[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}(?![{_W}-])",
     "card": r"(?:[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{13,19})" + _WORD_END,
-    "hex": r"(?=[a-f]*[0-9])(?=[0-9]*[a-f])[0-9a-f]{32,128}" + _WORD_END,
+    "hex": r"(?=[a-f]*[0-9])(?=[0-9]*[a-f])[0-9a-f]{32,}+" + _WORD_END,
     "access_key": r"(?:AKIA|ASIA)[0-9A-Z]{16}" + _WORD_END,
     "iban": r"[A-Z]{2}[0-9]{2} ?[A-Z0-9]{4}(?: ?[0-9]{4}){2,6}(?: ?[0-9]{1,3})?" + _WORD_END,
     "person": rf"(?:{_TITLES})\.? {_NAME}(?: {_NAME}){{0,2}}",
@@ -43,7 +46,7 @@ PATTERNS: dict[str, str] = {
 _AT_DIGITS, _AT_CAPITALS = ("ip", "phone", "ssn", "card"), ("access_key", "iban", "person")
 ANY = (
     PATTERNS["secret"] + "|" + _WORD_EDGE + "(?:" + PATTERNS["email"]
-    + "|(?=[0-9+(])(?:" + "|".join(PATTERNS[k] for k in _AT_DIGITS) + ")|(?=[0-9a-f]{32})" + PATTERNS["hex"]
+    + "|(?=[0-9+(])(?:" + "|".join(PATTERNS[k] for k in _AT_DIGITS) + ")|(?=[0-9a-f]{32})" + PATTERNS["hex"] + "|(?=[0-9A-Fa-f]{1,4}:)" + PATTERNS["ip6"]
     + r"|(?=[A-Z]|[^\x00-\x7F]|κ)(?:" + "|".join(PATTERNS[k] for k in _AT_CAPITALS) + "))"
 )
 
@@ -76,23 +79,37 @@ _SIGNS = "!#$%&*+-.:?@^_~"
 
 def may_hold(text: Column) -> Column:
     """A cheap necessary test: whatever is an entity has a digit, a sign, or a title."""
-    out = text.rlike("[0-9@=]")
+    out = text.rlike("[0-9@=]|(?i:password|passwd|api_key|secret|token)")
     for title in (*_TITLES_F, *_TITLES_M, *_TITLES_U):
         out = out | text.contains(title)
     return F.coalesce(out, F.lit(False))
 
 
 def mentions(text: Column) -> Column:
-    """All entities of a text, as written, in order."""
+    """All that may be an entity of a text, as written, in order."""
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(ANY), F.lit(0))
 
 
+def _mere_number(before: Column, mention: Column) -> Column:
+    """Whether a run of digits fails the check digit of cards and stands behind no key word, so that it is no entity."""
+    return F.when(mention.rlike(r"\A[0-9]{13,19}\z"), ~_luhn(mention) & ~before.rlike(_KEY + r"[\"']? ?[=:] ?[\"']?\z")).otherwise(F.lit(False))
+
+
+def _luhn(digits: Column) -> Column:
+    """Whether the last digit is the check digit of those before it."""
+    number = F.transform(F.split(F.reverse(digits), ""), lambda c: c.cast("int"))
+    each = F.transform(number, lambda d, i: F.when(i % 2 == 1, d * 2 - F.when(d > 4, 9).otherwise(0)).otherwise(d))
+    return F.aggregate(each, F.lit(0), lambda a, b: a + b) % 10 == 0
+
+
 def kind_of(mention: Column) -> Column:
     """The kind of an entity that ``mentions`` found; a value after ``password=`` is a secret unless it looks like another kind."""
     out = None
     for kind, pattern in PATTERNS.items():
         if kind != "secret":
             hit = mention.rlike(rf"\A(?:{pattern})\z")
+            if kind == "card":
+                hit = hit & F.when(mention.rlike(r"\A[0-9]+\z"), _luhn(mention)).otherwise(F.lit(True))
             out = F.when(hit, F.lit(kind)) if out is None else out.when(hit, F.lit(kind))
     return out.otherwise(F.lit("secret"))
 
@@ -115,7 +132,7 @@ def identities(mention: Column, kind: Column) -> Column:
     canon = (
         F.when(kind.isin(*_DIGITS_ONLY), F.regexp_replace(mention, "[^0-9]", ""))
         .when(kind == "iban", F.regexp_replace(mention, " ", ""))
-        .when(kind == "email", F.lower(mention))
+        .when(kind.isin("email", "ip6"), F.lower(mention))
         .otherwise(mention)
     )
     return F.when(kind == "person", parts).otherwise(F.array(F.struct(kind.alias("cls"), canon.alias("canon"))))
@@ -163,6 +180,8 @@ def surrogate(cls: Column, canon: Column, attempt: Column) -> Column:
     tld = F.length(F.substring_index(canon, ".", -1))
     email = F.array_join(F.transform(chars, lambda c, i: F.when(i >= F.size(chars) - tld, c).otherwise(_same_form(c, _byte(seed, i)))), "")
     hexes = F.array_join(F.transform(chars, lambda c, i: F.substring(F.lit("0123456789abcdef"), F.pmod(_byte(seed, i), F.lit(16)) + 1, F.lit(1))), "")
+    # a short form that is used up becomes a whole address
+    ip6 = F.array_join(F.transform(F.when(attempt < 8, chars).otherwise(F.split(F.lit(":".join(["0000"] * 8)), "")), lambda c, i: F.when(c == ":", c).otherwise(F.substring(F.lit("0123456789abcdef"), F.pmod(_byte(seed, i), F.lit(16)) + 1, F.lit(1)))), "")
     # a value of hardly anything but signs gets other signs
     signs = F.array_join(F.transform(chars, lambda c, i: F.when(c.rlike(r"[\p{L}\p{Nd}]"), _same_form(c, _byte(seed, i))).otherwise(_from(_SIGNS, _byte(seed, i)))), "")
     secret = F.when(F.length(F.regexp_replace(canon, r"[^\p{L}\p{Nd}]", "")) < 6, signs).otherwise(form(0))
@@ -177,7 +196,7 @@ def surrogate(cls: Column, canon: Column, attempt: Column) -> Column:
     card = F.concat(F.array_join(body, ""), F.pmod(10 - F.pmod(total, F.lit(10)), F.lit(10)).cast("string"))
     phone = F.when(F.length(canon) == 11, form(1)).otherwise(form(F.greatest(F.length(canon) - 10, F.lit(0))))
     out = (
-        F.when(cls == "email", email).when(cls == "hex", hexes).when((cls == "secret") & canon.rlike(r"\A[0-9a-f]+\z"), F.concat(hexes, more))
+        F.when(cls == "email", email).when(cls == "ip6", ip6).when(cls == "hex", hexes).when((cls == "secret") & canon.rlike(r"\A(?=[0-9]*[a-f])[0-9a-f]+\z"), F.concat(hexes, more))
         .when(cls == "secret", F.concat(secret, more)).when(cls == "access_key", form(4))
         .when(cls == "iban", form(2)).when(cls == "ip", octets).when(cls == "phone", phone).when(cls == "card", card)
     )
@@ -192,11 +211,13 @@ def surrogate(cls: Column, canon: Column, attempt: Column) -> Column:
     return out.otherwise(form(0))
 
 
-def surrogates(entities: DataFrame, key: str, label: str = "pii-surrogates") -> DataFrame:
+def surrogates(entities: DataFrame, key: str, label: str = "pii-surrogates", most_rounds: int = 200) -> DataFrame:
     """Rows ``(cls, canon, sur)`` for distinct ``(cls, canon)``: within a class no two are equal and none is itself an entity.
 
     Each round the entity of least hash keeps a contested replacement and the others draw
     again, never what is taken; a lost race costs one more round over the losers alone.
+    Only numbers, which keep their length, can run out of values: where entities take nearly
+    all that a form has, ``most_rounds`` ends the search with an error instead of a result.
     """
     known = staged(entities.select("cls", "canon").distinct(), label)
     open_, done, attempt, spent = known, None, 0, []
@@ -217,6 +238,8 @@ def surrogates(entities: DataFrame, key: str, label: str = "pii-surrogates") ->
         if lost.isEmpty():
             dropped(*[x for x in spent if x is not done])
             return done
+        if attempt + 1 >= most_rounds:
+            raise RuntimeError(f"no replacement is free after {most_rounds} rounds for entities of the classes {sorted(r['cls'] for r in lost.select('cls').distinct().limit(20).collect())}")
         open_, attempt = lost, attempt + 1
 
 
@@ -233,7 +256,7 @@ def _rendered(mention: Column, kind: Column, subs: Column) -> Column:
     names = F.array_join(F.transform(subs, lambda s, i: F.when((F.length(F.get(words, i)) > 1) & (F.get(words, i) == F.upper(F.get(words, i))), F.upper(s)).otherwise(s)), " ")
     return (
         F.when(kind.isin(*_DIGITS_ONLY), digits).when(kind == "iban", spaced)
-        .when(kind == "email", F.when(mention == F.upper(mention), F.upper(sur)).otherwise(sur))
+        .when(kind.isin("email", "ip6"), F.when(mention == F.upper(mention), F.upper(sur)).otherwise(sur))
         .when(kind == "person", F.concat(title, names)).otherwise(sur)
     )
 
@@ -287,27 +310,30 @@ def replaced(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str =
     if entities_col in docs.columns:
         raise ValueError(f"the input already has a column {entities_col}; name another")
     table = replacements(docs, text_col, key)
+    id_, mark, found_, words, surs = unused(docs, "id_", "mark_", "found_", "words_", "surs_")
     text = F.col(text_col).cast("string")
     kind = "array<struct<kind:string,replacement:string>>"
     has = may_hold(text) & F.coalesce(text.rlike(ANY), F.lit(False))
     clean = docs.where(~has)
     touched = docs.where(has)
-    held = touched.select(F.col(id_col).alias("_id"), F.xxhash64(text).alias("_mark"), F.explode_outer(F.array_distinct(mentions(text))).alias("mention")).where("mention is not null")
+    hits, between = mentions(text), F.split(text, ANY, -1)
+    listed = F.zip_with(between, hits, lambda a, m: F.when(~_mere_number(a, m), m))
+    held = touched.select(F.col(id_col).alias(id_), F.xxhash64(text).alias(mark), F.explode_outer(F.array_distinct(listed)).alias("mention")).where("mention is not null")
     found = (
-        held.join(table, "mention").groupBy("_id", "_mark")
-        .agg(F.collect_set(F.struct("mention", "kind", "replacement")).alias("_found"))
-        .withColumn("_names", _names_of(F.col("_found")))
-        .withColumn("_words", F.transform("_names", lambda x: x["word"])).withColumn("_surs", F.transform("_names", lambda x: x["sur"])).drop("_names")
+        held.join(table, "mention").groupBy(id_, mark)
+        .agg(F.collect_set(F.struct("mention", "kind", "replacement")).alias(found_))
+        .withColumn("names", _names_of(F.col(found_)))
+        .select(id_, mark, found_, F.transform("names", lambda x: x["word"]).alias(words), F.transform("names", lambda x: x["sur"]).alias(surs))
     )
-    joined = touched.join(found, touched[id_col].eqNullSafe(F.col("_id")) & (F.xxhash64(text) == F.col("_mark")), "left").drop("_id", "_mark")
-    lookup = F.map_from_entries(F.transform("_found", lambda x: F.struct(x["mention"], x["replacement"])))
-    hits = mentions(text)
-    of_name = lambda t: F.coalesce(F.get("_surs", (F.array_position("_words", t) - 1).cast("int")), t)
+    joined = touched.join(found, touched[id_col].eqNullSafe(F.col(id_)) & (F.xxhash64(text) == F.col(mark)), "left").drop(id_, mark)
+    lookup = F.map_from_entries(F.transform(found_, lambda x: F.struct(x["mention"], x["replacement"])))
+    of_name = lambda t: F.coalesce(F.get(F.col(surs), (F.array_position(words, t) - 1).cast("int")), t)
     unnamed = lambda x: F.array_join(F.transform(F.regexp_extract_all(x, F.lit(_PIECES), F.lit(0)), of_name), "")
-    between = F.transform(F.split(text, ANY, -1), lambda x: F.when(F.size("_words") > 0, unnamed(x)).otherwise(x))
-    new = F.array_join(F.zip_with(between, F.transform(hits, lambda m: F.element_at(lookup, m)), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
+    rest = lambda x: F.when(F.size(words) > 0, unnamed(x)).otherwise(x)
+    put = lambda a, m: F.when(m.isNull(), F.lit("")).when(_mere_number(a, m), m).otherwise(F.coalesce(F.element_at(lookup, m), m))
+    new = F.array_join(F.zip_with(between, hits, lambda a, m: F.concat(rest(a), put(a, m))), "")
     out = joined.withColumn(text_col, new)
     if entities_col:
-        made = F.array_sort(F.transform("_found", lambda x: F.struct(x["kind"].alias("kind"), x["replacement"].alias("replacement"))))
+        made = F.array_sort(F.transform(F.coalesce(F.col(found_), F.array().cast("array<struct<mention:string,kind:string,replacement:string>>")), lambda x: F.struct(x["kind"].alias("kind"), x["replacement"].alias("replacement"))))
         out, clean = out.withColumn(entities_col, made.cast(kind)), clean.withColumn(entities_col, F.array().cast(kind))
-    return clean.unionByName(out.drop("_found", "_words", "_surs"))
+    return clean.unionByName(out.drop(found_, words, surs))

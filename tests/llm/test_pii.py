@@ -115,3 +115,36 @@ def test_untitled_mentions_follow_titled_ones(spark):
     assert got[1] == f"Dr {given} {family}" and got[2] == rows[2]
     other = re.fullmatch(r"Mrs (\S+)'s cat, (\S+)", got[3])
     assert other[1] == other[2] != "O'Brien"
+
+
+#: An independent finder: plain patterns of what must not be left, on texts whose clean parts hold none of it.
+LEFT = ["hunter2x", "xyzzyx", "s3cr3tt", "9807915762804490", "fe80::1ff", "2001:DB8", "ABCDEFGH", "abc1234", "a" * 90, "0123456789abcdef"]
+
+
+def test_forms_of_secrets_and_addresses(spark):
+    rows = [
+        "password: hunter2x, token: everything", '{"password": "xyzzyx", \'secret\': \'s3cr3tt\'}', "password=9807915762804490",
+        "at fe80::1ff:fe23:4567:890a and 2001:DB8:0:0:8:800:200C:417A", 'PASSWORD="ABCDEFGH" password = abc1234', "a" * 90 + "@example.com", "0123456789abcdef" * 20,
+        "order 9807915762804490 of std::vector a::b at 12:30:45", "card 4111111111111111",
+    ]
+    docs = spark.createDataFrame([(i, t, "n", "f", "m") for i, t in enumerate(rows)], "doc_id long, text string, id_ string, found_ string, mark_ string")
+    made = pii.replaced(docs, "key")
+    assert made.columns == docs.columns
+    got = {r["doc_id"]: r["text"] for r in made.collect()}
+    assert not [x for x in LEFT for i, t in got.items() if i != 7 and x in t], got
+    assert got[7] == rows[7] and got[0].endswith("token: everything")  # no check digit, no key word
+    assert re.fullmatch(r"password=\d{16}", got[2]) and re.fullmatch(r"at [0-9a-f]{4}::[0-9a-f]{3}(:[0-9a-f]{4}){3} and [0-9A-F:]{28}", got[3])
+    assert luhn(got[8][5:]) and len(got[6]) == 320
+
+
+def test_one_person_under_two_titles(spark):
+    docs = spark.createDataFrame([(1, "Mrs Anna Smith met Dr Anna Smith. Later Anna Smith and Smith left")], "doc_id long, text string")
+    got = re.fullmatch(r"Mrs (\S+) (\S+) met Dr (\S+) (\S+)\. Later (\S+) (\S+) and (\S+) left", pii.replaced(docs, "key").first()["text"]).groups()
+    assert len(set(got[0::2][:3])) == 1 and len({got[1], got[3], got[5], got[6]}) == 1 and not {"Anna", "Smith"} & set(got)
+
+
+def test_a_full_form_is_an_error(spark):
+    """All values of an eight-digit number but two are entities: the search ends."""
+    few = spark.range(4).selectExpr("'card' AS cls", "cast(id AS string) AS canon")
+    with pytest.raises(RuntimeError, match="no replacement is free"):
+        pii.surrogates(few, "key", most_rounds=3)
