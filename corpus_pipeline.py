@@ -5,19 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from conceptmerge.llm import contamination, nearcopies, packing, pii, quality, queries
-from conceptmerge.llm.staging import staged
+from conceptmerge.llm.staging import dropped, staged, unused
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rule ensemble scores below 0.7 go.  It learns from all labels (at most the documented number)."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = quality.fit_quality(docs, labels)
-    judged = quality.scored(docs, model, score="_score", predicted="_predicted")
-    return judged.where("_predicted = 1").select(docs.columns)
+    score, predicted = unused(docs, "score", "predicted")
+    judged = quality.scored(docs, model, score=score, predicted=predicted)
+    return judged.where(F.col(predicted) == 1).select(docs.columns)
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of texts that share 0.8 or more of their five-word shingles stays: that of the smallest id."""
+    """One document of each group of texts that share 0.8 or more of their five-word shingles stays: that of the smallest id.
+
+    SimHash fingerprints find the close copies, MinHash fingerprints the rest; shingles decide.
+    """
     return nearcopies.near_copies_removed(docs, width=5, least=0.8)
 
 
@@ -50,8 +54,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; the rows of the last."""
+    """All stages over ``documents``; the rows of the last.  What a stage wrote goes once the next has read it."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = staged(stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))
+        before, docs = docs, staged(stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))
+        dropped(before)
     return docs
