@@ -86,6 +86,93 @@ def _verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     return both.where(F.col("k") >= F.lit(least) * (F.col("p") + F.col("q") - F.col("k"))).select("a", "b")
 
 
+def shared_counts(a: list[np.ndarray], b: list[np.ndarray], step: int = 4096) -> np.ndarray:
+    """How many members each set of ``a`` shares with each of ``b``, by products of 0-1 tables of ``step`` columns."""
+    out = np.zeros((len(a), len(b)), dtype=np.float32)
+    everything = [np.concatenate(x) for x in (a, b)]
+    common = np.intersect1d(*everything)
+    held = []
+    for sets, flat in zip((a, b), everything):
+        owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+        at = np.minimum(np.searchsorted(common, flat), max(len(common) - 1, 0))
+        on = common[at] == flat if len(common) else np.zeros(len(flat), dtype=bool)
+        order = np.argsort(at[on], kind="stable")
+        held.append((owner[on][order], at[on][order]))
+    for lo in range(0, len(common), step):
+        tables = []
+        for sets, (owner, at) in zip((a, b), held):
+            i, j = np.searchsorted(at, (lo, lo + step))
+            table = np.zeros((len(sets), min(step, len(common) - lo)), dtype=np.float32)
+            table[owner[i:j], at[i:j] - lo] = 1
+            tables.append(table)
+        out += tables[0] @ tables[1].T
+    return out
+
+
+def _bucket_links(rows: DataFrame, least: float) -> DataFrame:
+    """Links ``(a, b)`` that span what each group ``(key, i, j)`` connects: members of side 0, held, against those of side 1, streamed.
+
+    Groups come one after another, side 0 first.  Pairs are compared in blocks and never
+    listed; a group of m components gives at most m - 1 links.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, up, first = None, {}, []
+
+        def top(x: int) -> int:
+            while up.setdefault(x, x) != x:
+                up[x] = x = up[up[x]]
+            return x
+
+        def held(part: pa.RecordBatch) -> list[tuple[int, int, np.ndarray]]:
+            sets = [x.values.to_numpy() for x in part.column("hashes")]
+            return list(zip(part.column("node").to_pylist(), part.column("root").to_pylist(), sets))
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            names = [batch.column(c).to_numpy() for c in ("key", "i", "j", "side")]
+            changes = np.zeros(batch.num_rows - 1, dtype=bool)
+            for x in names:
+                changes |= x[1:] != x[:-1]
+            cuts = [0, *(np.flatnonzero(changes) + 1).tolist(), batch.num_rows]
+            links: list[tuple[int, int]] = []
+            for lo, hi in zip(cuts, cuts[1:]):
+                key, i, j, side = (x[lo] for x in names)
+                if (key, i, j) != group:
+                    group, up, first = (key, i, j), {}, []
+                part = held(batch.slice(lo, hi - lo))
+                if side == 0:
+                    first += part
+                    continue
+                if not first:
+                    continue
+                k = shared_counts([x[2] for x in first], [x[2] for x in part]).astype(np.float64)
+                size = np.array([len(x[2]) for x in first])[:, None] + np.array([len(x[2]) for x in part])[None, :]
+                for x, y in np.argwhere(k >= least * (size - k)).tolist():
+                    (a, ra, _), (b, rb, _) = first[x], part[y]
+                    ra, rb = top(ra), top(rb)
+                    if ra != rb:
+                        up[max(ra, rb)] = min(ra, rb)
+                        links.append((a, b))
+            if links:
+                made = np.array(links, dtype=np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(made[:, 0]), pa.array(made[:, 1])], names=["a", "b"])
+
+    dealt = rows.select("key", "i", "j", "side", "node", "root", "hashes").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "side")
+    return dealt.mapInArrow(run, "a long, b long")
+
+
+def _dealt(at: DataFrame, sets: DataFrame, block: int) -> DataFrame:
+    """Members of open buckets in groups: those outside a bucket's main component, in blocks of ``block`` shingles, meet all its members, in blocks of eight times that."""
+    outside, whole = (F.greatest(F.ceil(F.col(c) / F.lit(n)).cast("int"), F.lit(1)) for c, n in (("outside_n", block), ("all_n", 8 * block)))
+    i, j = F.pmod(F.xxhash64("node"), outside).cast("int"), F.pmod(F.xxhash64("node", F.lit(1)), whole).cast("int")
+    entry = lambda i, j, side: F.struct(i.alias("i"), j.alias("j"), F.lit(side).alias("side"))
+    asking = F.when(F.col("root") != F.col("main"), F.transform(F.sequence(F.lit(0), whole - 1), lambda x: entry(i, x, 0))).otherwise(F.array().cast("array<struct<i:int,j:int,side:int>>"))
+    asked = F.transform(F.sequence(F.lit(0), outside - 1), lambda x: entry(x, j, 1))
+    return at.select("key", "node", "root", F.inline(F.concat(asking, asked))).join(sets, "node")
+
+
 def _pairs(one: DataFrame, other: DataFrame, least: float) -> DataFrame:
     """Distinct pairs of ``(key, node, n, root)`` with ``(key, o_node, o_n, o_root)`` that are not yet connected and whose sizes allow the similarity."""
     near = (F.least("n", "o_n") >= F.lit(least) * F.greatest("n", "o_n")) & (F.col("root") != F.col("o_root"))
@@ -102,47 +189,46 @@ def close_pairs(nodes: DataFrame, radius: int) -> DataFrame:
     return across.unionByName(equal).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
-def near_copy_links(bands: DataFrame, sets: DataFrame, least: float, few: int = 64, most: int = 8, rounds: int = 6, known: DataFrame | None = None) -> DataFrame:
+def near_copy_links(bands: DataFrame, sets: DataFrame, least: float, few: int = 64, most: int = 8, rounds: int = 6, known: DataFrame | None = None, block: int = 1 << 21) -> DataFrame:
     """Links ``(a, b)`` that connect all candidates of ``bands(key, node, n)`` that have the similarity; ``known`` are links found before.
 
     While the pairs not yet connected are more than ``most`` times the rows, each bucket of
     more than ``few`` first compares its members to one of them, drawn anew in each round: a
     group of near copies becomes one component without a list of its pairs.  What is then not
-    connected, or what rounds no longer make much fewer, is compared pair by pair, so nothing
-    is left out.
+    connected, or what rounds no longer make much fewer, is compared within its buckets, in
+    blocks of at most about ``block`` shingles, so nothing is left out and no pairs are listed.
     """
     shared = bands.groupBy("key").agg(F.count("*").alias("size")).where("size > 1").select("key")
     bands = staged(bands.join(shared, "key"), "nearcopies-bands")
-    links, roots, before = known, None, None
+    links, before = known, None
     for turn in range(rounds + 1):
+        at = bands.withColumn("root", F.col("node"))
         if links is not None:
             roots = component_labels(links, "nearcopies-components")
-        at = bands.withColumn("root", F.col("node"))
-        if roots is not None:
             at = bands.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        of_root = at.groupBy("key", "root").agg(F.count("*").alias("c"))
-        buckets = of_root.groupBy("key").agg(F.sum("c").alias("size"), F.sum(F.col("c") * F.col("c")).alias("sq"), F.max(F.struct("c", "root"))["root"].alias("main"))
-        buckets = staged(buckets.withColumn("open", (F.col("size") * F.col("size") - F.col("sq")) / 2).where("open > 0"), "nearcopies-buckets")
+        of_root = at.groupBy("key", "root").agg(F.count("*").alias("c"), F.sum("n").alias("n"))
+        buckets = of_root.groupBy("key").agg(F.sum("c").alias("size"), F.sum(F.col("c") * F.col("c")).alias("sq"), F.sum("n").alias("all_n"), F.max(F.struct("c", "root", "n")).alias("m"))
+        buckets = buckets.select("key", "size", "all_n", F.col("m.root").alias("main"), (F.col("all_n") - F.col("m.n")).alias("outside_n"), ((F.col("size") * F.col("size") - F.col("sq")) / 2).alias("open"))
+        buckets = staged(buckets.where("open > 0"), "nearcopies-buckets")
         total = buckets.agg(F.sum("open").alias("open"), F.sum("size").alias("size")).first()
         if not total["size"]:
             break
         last = turn == rounds or total["open"] <= most * total["size"] or (before is not None and total["open"] > 0.8 * before)
         before = total["open"]
         at = at.join(buckets if last else buckets.where(F.col("size") > few), "key")
-        other = at.select("key", F.col("node").alias("o_node"), F.col("n").alias("o_n"), F.col("root").alias("o_root"))
         if last:
-            # every pair of two components has a member outside the bucket's largest
-            one = at.where("root <> main").select("key", "node", "n", "root")
+            got = staged(_bucket_links(_dealt(at, sets, block), least), "nearcopies-links", 128)
         else:
-            hub = at.groupBy("key").agg(F.min_by(F.struct("node", "n", "root"), F.xxhash64("node", F.lit(turn))).alias("hub"))
-            one = hub.select("key", "hub.*")
-        got = staged(_verified(_pairs(one, other, least), sets, least), "nearcopies-links")
+            other = at.select("key", F.col("node").alias("o_node"), F.col("n").alias("o_n"), F.col("root").alias("o_root"))
+            hub = at.groupBy("key").agg(F.min_by(F.struct("node", "n", "root"), F.xxhash64("node", F.lit(turn))).alias("hub")).select("key", "hub.*")
+            got = staged(_verified(_pairs(hub, other, least), sets, least), "nearcopies-links")
         dropped(buckets)
         links = got if links is None else links.unionByName(got)
         if last:
             break
+    dropped(bands)
     if links is None:
-        return bands.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
+        return sets.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
     return links
 
 
