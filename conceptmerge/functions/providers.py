@@ -11,6 +11,7 @@ import hashlib
 import json
 import re
 from collections.abc import Callable, Iterator
+from urllib.parse import quote
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
@@ -107,6 +108,39 @@ class Lookups:
         return self.accessions.get(sequence, "not registered")
 
 
+class RemoteLookups:
+    """The same look-ups over a service.  ``get(url)`` gives ``(status, decoded JSON)`` or raises; tests pass a stand-in.
+
+    It must be picklable, as the calls run on the executors.
+    """
+
+    def __init__(self, get: Callable[[str], tuple[int, object]], base: str):
+        self.get, self.base = get, base.rstrip("/")
+
+    def sequence_of(self, accession: str) -> str:
+        """Two chained calls: the accession's WURCS, then its condensed form; any failure gives ``""``."""
+        try:
+            _, found = self.get(f"{self.base}/sparqlist/gtcid2seqs?gtcid={accession}")
+            _, made = self.get(f"{self.base}/glycanformatconverter/2.10.4/wurcs2iupaccondensed/{quote(found[0]['wurcs'], safe='')}")
+            return made["IUPACcondensed"]
+        except Exception:
+            return ""
+
+    def _id(self, route: str, sequence: str) -> str:
+        status, found = self.get(f"{self.base}/glycanformatconverter/{route}/{quote(sequence)}")
+        if status != 200:
+            return f"Error: {status}"
+        return found.get("id") or "No GlyTouCan ID found"
+
+    def accession_of_code(self, code: str) -> str:
+        """The accession of a GlycoCT text: the answer depends on the status and on whether an id came back."""
+        return self._id("2.10.4/glycoct2wurcs", code)
+
+    def accession_of(self, sequence: str) -> str:
+        """The accession of a condensed sequence."""
+        return self._id("2.8.2/iupaccondensed2wurcs", sequence)
+
+
 def looked_up(df: DataFrame, column: str, into: str, method: Callable[[str], str]) -> DataFrame:
     """Looks each distinct value up once."""
     @F.pandas_udf("string")

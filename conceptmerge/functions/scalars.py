@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, functions as F
 
 from ..schemas import DISCARD, ERROR
@@ -57,13 +59,41 @@ def missing_keys(raw: Column, keys: Sequence[str]) -> Column:
     return F.array_except(F.array(*map(F.lit, keys)), F.json_object_keys(raw))
 
 
-def flatten_json_list(c: Column, depth: int = 8) -> Column:
-    """The strings of nested JSON lists, in order, up to ``depth`` levels; a scalar alone is a list of one."""
-    out = F.array(c.cast("string"))
-    for _ in range(depth):
-        opened = F.transform(out, lambda x: F.when(F.ltrim(x).startswith("["), F.coalesce(F.from_json(x, "array<string>"), F.array(x))).otherwise(F.array(x)))
-        out = F.flatten(opened)
-    return F.filter(out, lambda x: x.isNotNull())
+class _Written(float):
+    """A number with the text that it was written as."""
+
+    def __new__(cls, text: str):
+        out = super().__new__(cls, text)
+        out.text = text
+        return out
+
+
+def _leaves(value: str | None) -> list[str] | None:
+    if value is None:
+        return None
+    try:
+        found = json.loads(value, parse_float=_Written) if value.lstrip().startswith("[") else value
+    except ValueError:
+        found = value
+    out, open_ = [], [found]
+    while open_:
+        x = open_.pop()
+        if isinstance(x, list):
+            open_ += reversed(x)
+        elif x is not None:
+            out.append(x if isinstance(x, str) else x.text if isinstance(x, _Written) else json.dumps(x, ensure_ascii=False, separators=(",", ":")))
+    return out
+
+
+def flatten_json_list(c: Column) -> Column:
+    """The members of nested JSON lists, in order and at any depth, as strings; a scalar alone is a list of one.
+
+    Only lists within lists go to Python, in Arrow batches; the rest is parsed in place.
+    """
+    deep = F.pandas_udf(lambda values: values.map(_leaves), "array<string>")
+    text = c.cast("string")
+    plain = F.filter(F.from_json(text, "array<string>"), lambda x: x.isNotNull())
+    return F.when(~F.ltrim(text).startswith("["), F.array(text)).when(~text.rlike(r"\A\s*\[.*[\[{]"), plain).otherwise(deep(text))
 
 
 def content_list(c: Column) -> Column:

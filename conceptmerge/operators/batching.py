@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..sources.scratch import fresh_path
@@ -15,15 +17,35 @@ def numbered(rows: DataFrame, order: list[str | Column], name: str = "line", par
     """
     if parts:
         return rows.withColumn(name, F.row_number().over(Window.partitionBy(*parts).orderBy(*order)))
+    return running_totals(rows, order, None, name)
+
+
+def _dealt(rows: DataFrame, order: list[str | Column]) -> DataFrame:
+    """Rows range partitioned along the order, with ``_part``, the number of their partition.
+
+    Range bounds come from a sample, so the deal is written once and not made twice.
+    """
     spark = rows.sparkSession
     n, path = int(spark.conf.get("spark.sql.shuffle.partitions")), fresh_path(spark, "numbered")
-    dealt = rows.repartitionByRange(n, *order).withColumn("_part", F.spark_partition_id())
-    dealt.write.parquet(path)  # range bounds come from a sample, so the deal must not be made twice
-    dealt = spark.read.parquet(path)
-    sizes = dealt.groupBy("_part").agg(F.count("*").alias("_size"))
-    before = sizes.select("_part", F.coalesce(F.sum("_size").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))  # one row for each partition
-    within = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
-    return dealt.withColumn("_within", within).join(F.broadcast(before), "_part").withColumn(name, F.col("_before") + F.col("_within")).drop("_part", "_within", "_before")
+    rows.repartitionByRange(n, *order).withColumn("_part", F.spark_partition_id()).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def running_totals(rows: DataFrame, order: list[str | Column], value: str | None, name: str = "line", total: str = "total") -> DataFrame:
+    """``rows`` with their number from 1 and, if a ``value`` is named, its sum up to each row; no task sees all rows."""
+    dealt = _dealt(rows, order)
+    sums = [F.count("*").alias("_size")] + ([F.sum(value).alias("_sum")] if value else [])
+    sizes = dealt.groupBy("_part").agg(*sums)
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row for each partition
+    before = sizes.select("_part", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before"), *([F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_so_far")] if value else []))
+    w = Window.partitionBy("_part").orderBy(*order)
+    out = dealt.withColumn("_within", F.row_number().over(w))
+    if value:
+        out = out.withColumn("_run", F.sum(value).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    out = out.join(F.broadcast(before), "_part").withColumn(name, F.col("_before") + F.col("_within"))
+    if value:
+        out = out.withColumn(total, F.col("_so_far") + F.col("_run"))
+    return out.drop("_part", "_within", "_before", "_so_far", "_run")
 
 
 def line_slice(rows: DataFrame, order: list[str | Column], first: int, last: int) -> DataFrame:
@@ -36,29 +58,73 @@ def fixed_batches(rows: DataFrame, order: list[str | Column], size: int, parts:
     return numbered(rows, order, "_n", parts).withColumn("batch", F.floor((F.col("_n") - 1) / size).cast("long")).drop("_n")
 
 
-def adaptive_batches(rows: DataFrame, part: str | list[str], order: list[str], term: str, least: int = 5, most: int = 12, prefix: int = 4) -> DataFrame:
-    """``rows`` with ``batch`` within each part: at least ``least`` rows, and up to ``most`` while terms are alike.
+def adaptive_batches(rows: DataFrame, part: str | list[str] | None, order: list[str], term: str, least: int = 5, most: int = 12, prefix: int = 4) -> DataFrame:
+    """``rows`` with ``batch``: at least ``least`` rows, and up to ``most`` while terms are alike; along one order, or within each part.
 
-    A recurrence along the order, so one part is folded in one task; a large table needs
-    parts.  Alike are terms that are equal or share their first letters in lower case.
+    Alike are terms that are equal or share their first letters in lower case.  The rule is an
+    automaton whose state is the size of the open batch, so a stretch of rows is a function of
+    the size it begins with.  Without ``part`` each range partition is folded for all sizes at
+    once, the functions are chained over partitions (a row each, on the driver), and then each
+    partition numbers its batches.  With ``part`` a part is folded in one task.
     """
-    part = [part] if isinstance(part, str) else part
-    w = Window.partitionBy(*part).orderBy(*order)
-    before = F.lag(term).over(w)
-    alike = F.coalesce((F.col(term) == before) | (F.substring(F.lower(term), 1, prefix) == F.substring(F.lower(before), 1, prefix)), F.lit(False))
-    number = F.row_number().over(w)
-    # the size of the open batch before each row follows from the run of likeness and the row's number alone
-    listed = rows.withColumn("_alike", alike).withColumn("_no", number).groupBy(*part).agg(F.transform(F.array_sort(F.collect_list(F.struct("_no", "_alike"))), lambda x: x["_alike"]).alias("_l"))
-
-    def step(acc: Column, like: Column) -> Column:
-        stays = (acc["n"] > 0) & ((acc["n"] < least) | (like & (acc["n"] < most)))
-        batch = F.when(stays, acc["b"]).otherwise(acc["b"] + 1)
-        return F.struct(batch.alias("b"), F.when(stays, acc["n"] + 1).otherwise(1).alias("n"), F.array_append(acc["starts"], F.when(stays, F.lit(0)).otherwise(1)).alias("starts"))
-
-    zero = F.struct(F.lit(-1).alias("b"), F.lit(0).alias("n"), F.array().cast("array<int>").alias("starts"))
-    starts = listed.select(*part, F.posexplode(F.aggregate("_l", zero, step)["starts"]).alias("_at", "_start"))
-    marked = rows.withColumn("_no", number).join(starts.withColumn("_no", F.col("_at") + 1).drop("_at"), [*part, "_no"])
-    return marked.withColumn("batch", (F.sum("_start").over(Window.partitionBy(*part).orderBy("_no")) - 1).cast("long")).drop("_no", "_start")
+    names = rows.columns
+    if part is not None:
+        keys = [part] if isinstance(part, str) else part
+        before = F.lag(term).over(Window.partitionBy(*keys).orderBy(*order))
+        marked = rows.withColumn("_like", _alike(F.col(term), before, prefix))
+
+        def whole(pdf: pd.DataFrame) -> pd.DataFrame:
+            pdf = pdf.sort_values(order, kind="stable")
+            return pdf[names].assign(batch=_batches(pdf["_like"].to_numpy(), 0, least, most)[0] - 1)
+
+        return marked.groupBy(*keys).applyInPandas(whole, rows.withColumn("batch", F.lit(0).cast("long")).schema)
+
+    dealt = _dealt(rows, order)
+    w = Window.partitionBy("_part").orderBy(*order)
+    # the last term of each partition that has rows, for the first row of the next
+    ends = dealt.groupBy("_part").agg(F.max_by(term, F.struct(*order)).alias("_end"))
+    ends = ends.select((F.lead("_part").over(Window.orderBy("_part"))).alias("_part"), "_end").where("_part is not null")
+    first = F.row_number().over(w) == 1
+    marked = dealt.withColumn("_first", first).withColumn("_before", F.lag(term).over(w)).join(F.broadcast(ends), "_part", "left")
+    marked = marked.withColumn("_like", _alike(F.col(term), F.when(F.col("_first"), F.col("_end")).otherwise(F.col("_before")), prefix)).drop("_first", "_before", "_end")
+
+    def folded(pdf: pd.DataFrame) -> pd.DataFrame:
+        like = pdf.sort_values(order, kind="stable")["_like"].to_numpy()
+        made = [_batches(like, size, least, most) for size in range(most + 1)]
+        return pd.DataFrame({"_part": pdf["_part"].iloc[0], "size": range(most + 1), "started": [m[0][-1] for m in made], "left": [m[1] for m in made]})
+
+    by_part: dict[int, dict[int, tuple[int, int]]] = {}
+    for r in marked.groupBy("_part").applyInPandas(folded, "_part int, size int, started long, left int").collect():
+        by_part.setdefault(r["_part"], {})[r["size"]] = (r["started"], r["left"])
+    size, count, enter = 0, 0, {}
+    for p in sorted(by_part):
+        enter[p] = (size, count)
+        started, size = by_part[p][size]
+        count += started
+
+    def placed(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(order, kind="stable")
+        size, count = enter[int(pdf["_part"].iloc[0])]
+        return pdf[names].assign(batch=count + _batches(pdf["_like"].to_numpy(), size, least, most)[0] - 1)
+
+    return marked.groupBy("_part").applyInPandas(placed, rows.withColumn("batch", F.lit(0).cast("long")).schema)
+
+
+def _alike(term: Column, before: Column, prefix: int) -> Column:
+    return F.coalesce((term == before) | (F.substring(F.lower(term), 1, prefix) == F.substring(F.lower(before), 1, prefix)), F.lit(False))
+
+
+def _batches(like: np.ndarray, size: int, least: int, most: int) -> tuple[np.ndarray, int]:
+    """How many batches have begun up to each row, if the open one begins with ``size`` rows (0: none is open), and the size of the last."""
+    begun = np.zeros(len(like), dtype=np.int64)
+    n = 0
+    for i, same in enumerate(like.tolist()):
+        if size and (size < least or (same and size < most)):
+            size += 1
+        else:
+            size, n = 1, n + 1
+        begun[i] = n
+    return begun, size
 
 
 def runs(rows: DataFrame, part: list[str], order: list[str], key: str) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.scalars import missing_keys
+from ..functions.scalars import missing_keys, ustrip
 from ..schemas import CONCEPT_PREFIX, MANDATORY_EDGE_KEYS, MANDATORY_TERM_KEYS, SOURCE_PREFIX
 
 
@@ -79,8 +79,11 @@ def require_clean(violations: DataFrame, shown: int = 5) -> None:
 
 
 def repeated_labels(nodes: DataFrame) -> DataFrame:
-    """Labels of more than one node, with the nodes' ids."""
-    return nodes.groupBy("lbl").agg(F.count("*").alias("n"), F.array_sort(F.collect_list("term_uuid")).alias("term_uuids")).where("n > 1")
+    """Stripped labels of more than one node, with the nodes' ids and, if ``nodes`` has ``sources``, each node's ``src_uuid`` list beside its id."""
+    label = ustrip(F.coalesce(F.col("lbl"), F.lit("")))
+    held = nodes.withColumn("lbl", label).where("lbl <> ''")
+    sources = [F.array_sort(F.collect_list(F.struct("term_uuid", F.col("sources.src_uuid").alias("src_uuids")))).alias("sources")] if "sources" in nodes.columns else []
+    return held.groupBy("lbl").agg(F.count("*").alias("n"), F.array_sort(F.collect_list("term_uuid")).alias("term_uuids"), *sources).where("n > 1")
 
 
 def repeated_accessions(nodes: DataFrame) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.scalars import document_text, stable_id, with_synonym
@@ -48,19 +51,66 @@ def decide(terms: DataFrame, known: DataFrame, term: str = "term", known_name: s
     return found.select(*terms.columns, action.alias("action"), F.coalesce(F.col("_id").cast("string"), stable_id(F.col(term))).alias("mapped_to_uuid"))
 
 
-def decide_one_by_one(terms: list[tuple[str, str]], known: dict[str, str]) -> list[tuple[str, str, str]]:
+def decide_one_by_one(terms: Iterable[tuple[str, str]], known: dict[str, str], provider: Callable[[str, dict[str, str]], str | None] | None = None) -> list[tuple[str, str, str]]:
     """Sequential decisions in which a term added at one step is known at the next: ``(term, uuid, action)``.
 
-    The order-dependent mode for short interactive lists; ``decide`` works on a snapshot.
+    ``provider(term, known)`` names the concept to map to, or None to add one; without it a
+    literal match in lower case maps.  Each step depends on all before it, so this runs on
+    the driver, for interactive lists; ``decide`` works on a snapshot of any size.
+    """
+    out = []
+    for term, new_id in terms:
+        held = known.get(term.lower()) if provider is None else provider(term, known)
+        action = "add" if held is None else "map"
+        held = new_id if held is None else held
+        known.setdefault(term.lower(), held)
+        out.append((term, held, action))
+    return out
+
+
+class MutableStore:
+    """An order-dependent vector store on the driver: what is added or changed at one step is found at the next.
+
+    Holds ``(term, synonyms, vector)`` by id, for interactive lists; ``top_k`` and
+    ``upserted_store`` are the operations on tables.
     """
+
+    def __init__(self, embed: Callable[[str], list[float]], entries: Iterable[tuple[str, str]] = ()):
+        self.embed, self.held = embed, {}
+        for uuid, term in entries:
+            self.add(uuid, term)
+
+    def _put(self, uuid: str, term: str, synonyms: list[str]) -> None:
+        v = np.asarray(self.embed("\n".join([term, *synonyms])), dtype=float)
+        self.held[uuid] = (term, synonyms, v / (np.linalg.norm(v) or 1.0))
+
+    def add(self, uuid: str, term: str) -> None:
+        self._put(uuid, term, [])
+
+    def map(self, uuid: str, term: str) -> None:
+        """The term becomes a synonym, unless it is one already, and the entry is embedded anew."""
+        name, synonyms, _ = self.held[uuid]
+        if term != name and term not in synonyms:
+            self._put(uuid, name, [*synonyms, term])
+
+    def search(self, term: str, k: int = 4, floor: float = 0.3) -> list[tuple[str, float]]:
+        v = np.asarray(self.embed(term), dtype=float)
+        v = v / (np.linalg.norm(v) or 1.0)
+        scored = sorted(((uuid, float(v @ x)) for uuid, (_, _, x) in self.held.items()), key=lambda p: (-p[1], p[0]))
+        return [(u, s) for u, s in scored[:k] if s >= floor]
+
+
+def decide_in_turn(terms: Iterable[tuple[str, str]], store: MutableStore, provider: Callable[[str, list[tuple[str, float]]], str | None], k: int = 4, floor: float = 0.3) -> list[tuple[str, str, str]]:
+    """The full loop: retrieve, let the provider choose a retrieved id or None, then map or add in the store; ``(term, uuid, action)``."""
     out = []
     for term, new_id in terms:
-        held = known.get(term.lower())
-        if held is None:
-            known[term.lower()] = held = new_id
-            out.append((term, held, "add"))
+        chosen = provider(term, store.search(term, k, floor))
+        if chosen is None:
+            store.add(new_id, term)
+            out.append((term, new_id, "add"))
         else:
-            out.append((term, held, "map"))
+            store.map(chosen, term)
+            out.append((term, chosen, "map"))
     return out
 
 

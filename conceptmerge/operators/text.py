@@ -2,48 +2,76 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.scalars import stable_id, ustrip
+from .batching import running_totals
 
 SEPARATORS = ("\n\n", "\n", ". ", ", ", " ")
 
-#: Names that are no structures: proteins that bind or carry glycans, antibodies, enzymes,
-#: measures, activated sugars, bare linkages, lipid shorthand and vague modifiers.
-EXCLUDED = {
-    "binding and carrier proteins": r"(?iu)\b(?:\w*mucins?|galectins?(?:-\d+)?|\w*lectins?|integrins?|\w*albumin|\w*transferrin)\b",
-    "antibodies": r"(?iu)\b(?:immunoglobulins?|ig[gmaed]\d?|antibod(?:y|ies)|anti-?(?:glycan|carbohydrate)s?)\b",
-    "enzymes": r"(?iu)\w*(?:transferases?|glycosidases?|hexosaminidases?|mannosidases?|sialidases?)\b",
-    "clinical measures": r"(?iu)\b(?:score|index|ratio|serum level|titer)s?\b",
-    "peak labels": r"(?iu)\bGP\d{1,3}\b",
-    "activated sugars": r"(?iu)\b(?:UDP|GDP|CMP|ADP|TDP)-\w+",
-    "bare linkages": r"^(?:[αβab]?\d ?[-→] ?\d)$",
-    "lipid shorthand": r"\bC\d{2}:\d\b",
-    "vague modifiers": r"(?iu)\b(?:multivalent|synthetic|bacterial|mammalian|human|cellular|cell-surface)\b",
-    "linkage words": r"(?iu)\b\w*linkages?\b",
-}
+# What names no structure, found anywhere in a term and in any letter case ...
+EXCLUDED_ANY_CASE = (
+    r"\bMUC\d+\b",
+    r"\bgalectin-?\d*\b",
+    r"\blectins?\b",
+    r"\bintegrins?\b",
+    r"\balbumin\b",
+    r"\btransferrin\b",
+    r"\b(?:IgG|IgA|IgM)\b",
+    r"\bantibod(?:y|ies)\b",
+    r"\banti[-–\s]?glycans?\b",
+    r"\b[a-zA-Zβ-]*transferases?\b",
+    r"\b[a-zA-Zβ-]*glycosidas(?:e|es)\b",
+    r"\bhexosaminidas(?:e|es)\b",
+    r"\bmannosidas(?:e|es)\b",
+    r"\b(?:GlycA|M2BPGi)\b",
+    r"\bGP\d{1,3}\b",
+    r"\b(?:UDP|GDP|CMP)-[A-Za-z0-9]+(?:Kdn|Xyl|Fuc|Man|Gal|Glc|GlcA|GlcNAc|GalNAc|Neu5Ac|Neu5Gc)?\b",
+    r"\b(?:multivalent|vertebrate|bacterial|plant|fungal|nonreducing|cell surface|synthetic)(?:[-\w]*)\b",
+    r"\b(?:[-\w]*?)linkage\b",
+)
+# ... or in this letter case.
+EXCLUDED_AS_WRITTEN = (r"\b[αβ][1-9]-[1-9]\b", r"\b[αβ][1-9]→[1-9]\b", r"\bC[1-9]{2}:[1-9]\b")
+# Whole terms, in lower case, that are too general.
 STOP_TERMS = (
-    "carbohydrate", "carbohydrates", "chain", "chains", "disaccharide", "glycan", "glycans", "glycoconjugate", "glycolipid", "glycolipids", "glycoprotein", "glycoproteins",
-    "hexose", "monosaccharide", "monosaccharides", "oligosaccharide", "oligosaccharides", "polysaccharide", "polysaccharides", "residue", "residues", "saccharide", "structure",
-    "structures", "sugar", "sugars", "the", "and", "of", "that", "with", "from",
+    "glycan", "glycans", "carbohydrate", "carbohydrates", "monosaccharide", "monosaccharides", "disaccharide", "disaccharides", "trisaccharide", "trisaccharides",
+    "oligosaccharide", "oligosaccharides", "polysaccharide", "polysaccharides", "glycosylation", "glycosylations", "glycoform", "glycoforms", "glycoconjugate", "glycoconjugates",
+    "glycoprotein", "glycoproteins", "glycosidic bond", "glycosidic bonds", "glycolipid", "glycolipids", "glycan structure", "glycan structures", "glycan motif", "glycan motifs",
+    "glycan epitope", "glycan epitopes", "n-glycan", "n-glycans", "n-linked glycan", "n-linked glycans", "n-glycan structure", "n-glycan structures",
+    "o-glycan", "o-glycans", "o-linked glycan", "o-linked glycans", "o-glycan structure", "o-glycan structures", "gag", "gags", "glycosaminoglycan", "glycosaminoglycans",
+    "proteoglycan", "proteoglycans", "peptidoglycan", "peptidoglycans", "gt", "gts", "gh", "ghs", "sialidase", "sialidases", "neuraminidase", "neuraminidases",
+    "ogt", "ogts", "oga", "ogas", "dol-p-man", "mannac-6-p",
 )
+_BREAK = re.compile(r"(?<=\.)\s+")
 
 
-def sentence_spans(text: Column) -> Column:
-    """``array<struct<s, e>>`` of half-open character spans; a sentence ends after a full stop and the first blank behind it."""
-    parts = F.split(text, r"(?<=\.)(?=\s)")
+def _spans(text: str | None) -> list[dict[str, int]] | None:
+    if text is None:
+        return None
+    out, start = [], 0
+    for gap in _BREAK.finditer(text):
+        out.append({"s": start, "e": gap.start() + 1})
+        start = gap.end()
+    if start < len(text):
+        out.append({"s": start, "e": len(text)})
+    return out
+
 
-    def step(acc: Column, part: Column) -> Column:
-        return F.struct((acc["at"] + F.length(part)).alias("at"), F.array_append(acc["out"], F.struct(acc["at"].alias("s"), (acc["at"] + F.length(part)).alias("e"))).alias("out"))
+def _span_lists(texts: pd.Series) -> pd.Series:
+    return texts.map(_spans)
 
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<s:int,e:int>>").alias("out"))
-    raw = F.aggregate(parts, start, step)["out"]
-    lead = lambda p: F.length(F.regexp_extract(F.substring(text, p["s"] + 1, p["e"] - p["s"]), r"^\s+", 0))
-    moved = F.transform(raw, lambda p, i: F.struct((p["s"] + F.when(i == 0, 0).otherwise(lead(p))).alias("s"), (p["e"] + F.when(i == F.size(raw) - 1, 0).otherwise(1)).alias("e")))
-    return F.filter(moved, lambda p: p["s"] < p["e"])
+
+def sentence_spans(text: Column) -> Column:
+    """``array<struct<s, e>>`` of half-open character spans; a sentence ends after a full stop and the first blank behind it.
+
+    One pass over each text in Arrow batches: running offsets as array expressions would copy
+    the list at every sentence.
+    """
+    return F.pandas_udf(_span_lists, "array<struct<s:int,e:int>>")(text)
 
 
 def sentences(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -62,18 +90,41 @@ def mention_sentence(text: Column, spans: Column, start: Column, end: Column, ar
 
 
 def is_excluded(term: Column) -> Column:
-    out = F.lit(False)
-    for pattern in EXCLUDED.values():
-        out = out | term.rlike(pattern)
-    return out
+    """Whether a term holds anything of the excluded families."""
+    any_case, as_written = "|".join(EXCLUDED_ANY_CASE), "|".join(EXCLUDED_AS_WRITTEN)
+    return term.rlike(f"(?iuU)(?:{any_case})") | term.rlike(f"(?U)(?:{as_written})")
 
 
 def kept_mentions(mentions: DataFrame, term: str = "term", start: str = "start_pos", end: str = "end_pos", least: int = 3) -> DataFrame:
-    """Mentions with sound spans whose term is long enough, not generic and of no excluded family."""
+    """Mentions with sound spans whose term is long enough, not generic and of no excluded family; the term is stripped.
+
+    The tests are one condition on term and span, cheap ones first, so a plan that has
+    aggregated mentions by term keeps them above that aggregate.
+    """
     t = ustrip(F.coalesce(F.col(term), F.lit("")))
-    s, e = F.try_to_number(F.col(start).cast("string"), F.lit("999999999999")), F.try_to_number(F.col(end).cast("string"), F.lit("999999999999"))
-    sound = (s >= 0) & (e > s)
-    return mentions.withColumn(term, t).where(F.coalesce(sound, F.lit(False)) & (F.length(term) >= least) & ~F.lower(term).isin(*STOP_TERMS) & ~is_excluded(F.col(term)))
+    s, e = F.try_to_number(F.col(start).cast("string"), F.lit("S999999999999")), F.try_to_number(F.col(end).cast("string"), F.lit("S999999999999"))
+    sound = F.coalesce((s >= 0) & (e > s), F.lit(False))
+    kept = F.when(sound & (F.length(t) >= least) & ~F.lower(t).isin(*STOP_TERMS), ~is_excluded(t)).otherwise(F.lit(False))
+    return mentions.where(kept).withColumn(term, t)
+
+
+def first_filled(*values: Column, default: Column | None = None) -> Column:
+    """The first value that is neither null nor empty, as ``uuid`` else ``id``; ``default`` if there is none."""
+    return F.coalesce(*[F.nullif(v.cast("string"), F.lit("")) for v in values], *([] if default is None else [default]))
+
+
+def score_of(raw: Column) -> Column:
+    """A mention's score out of its JSON: ``score``, else ``confidence`` where the key is absent, else 0."""
+    keys = F.json_object_keys(raw)
+    value = F.when(F.array_contains(keys, "score"), F.get_json_object(raw, "$.score")).when(F.array_contains(keys, "confidence"), F.get_json_object(raw, "$.confidence")).otherwise(F.lit("0"))
+    return value.cast("double")
+
+
+def progress(chunks: DataFrame, order: list[str | Column], hits: str, every: int = 10) -> DataFrame:
+    """Rows ``(processed, hits)`` after each ``every`` chunks along the order, and after the last: how many were seen, and their mentions."""
+    counted = running_totals(chunks.select(*order, F.coalesce(F.col(hits), F.lit(0)).cast("long").alias("_hits")), order, "_hits")
+    last = counted.agg(F.max("line").alias("_last"))
+    return counted.join(F.broadcast(last), (F.col("line") % every == 0) | (F.col("line") == F.col("_last"))).select(F.col("line").alias("processed"), F.col("total").alias("hits"))
 
 
 def chunk_text(text: str, size: int = 1000, overlap: int = 200) -> list[str]:

@@ -240,15 +240,17 @@ def qc_repeated_accessions(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- reconciliation -------------------------------------------------------------------------
 
 def _sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    docs = _t(spark, sf_dir, "documents").where("lang = 'en'")
-    name = F.when(F.col("doc_id") % 10 == 0, "[DISCARD]").otherwise(F.concat(F.lit(" doc"), F.col("doc_id").cast("string"), F.lit("\n")))
-    decided = _t(spark, sf_dir, "labels").where("quality = 1").select(F.concat(F.lit("doc"), F.col("doc_id").cast("string")).alias("source_term"), F.concat(F.lit("U"), F.col("doc_id").cast("string")).alias("mapped_to_uuid"), "doc_id")
+    docs = _t(spark, sf_dir, "documents")
+    ending = F.when(F.col("lang") == "en", "\n").otherwise(" elsewhere\n")
+    name = F.when(F.col("doc_id") % 10 == 0, "[DISCARD]").otherwise(F.concat(F.lit(" doc"), F.col("doc_id").cast("string"), ending))
+    about = F.when(F.col("quality") == 1, "doc").otherwise("poor")
+    decided = _t(spark, sf_dir, "labels").select(F.concat(about, F.col("doc_id").cast("string")).alias("source_term"), F.concat(F.lit("U"), F.col("doc_id").cast("string")).alias("mapped_to_uuid"), "doc_id")
     return docs.select("doc_id", name.alias("normalized_term")), decided
 
 
 _SIDES = """
-    WITH o AS (SELECT doc_id, CASE WHEN doc_id % 10 = 0 THEN '[DISCARD]' ELSE 'doc' || doc_id END AS t FROM documents WHERE lang = 'en'),
-    d AS (SELECT 'doc' || doc_id AS t, 'U' || doc_id AS u FROM labels WHERE quality = 1)"""
+    WITH o AS (SELECT doc_id, CASE WHEN doc_id % 10 = 0 THEN '[DISCARD]' ELSE 'doc' || doc_id || CASE lang WHEN 'en' THEN '' ELSE ' elsewhere' END END AS t FROM documents),
+    d AS (SELECT CASE quality WHEN 1 THEN 'doc' ELSE 'poor' END || doc_id AS t, 'U' || doc_id AS u FROM labels)"""
 
 
 @query(_SIDES + " SELECT doc_id, CASE WHEN o.t <> '[DISCARD]' THEN u END AS term_uuid, CASE WHEN o.t = '[DISCARD]' THEN 'discarded' WHEN u IS NOT NULL THEN 'matched' ELSE 'unmatched' END AS status FROM o LEFT JOIN d USING (t)")
@@ -328,19 +330,64 @@ def mention_in_sentence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", text.mention_sentence(F.col("text"), text.sentence_spans(F.col("text")), at, at + 3).alias("sentence"))
 
 
-_STOP = ", ".join(f"'{w}'" for w in text.STOP_TERMS)
-_EXCLUDED = "|".join(p.replace("(?iu)", "(?i:") + ")" if p.startswith("(?iu)") else f"(?:{p})" for p in text.EXCLUDED.values())
-
-
-@query(f"""
-    SELECT term, count(*) AS n FROM (SELECT unnest(string_split_regex(text, '\\s+')) AS term FROM documents)
-    WHERE regexp_full_match(term, '[A-Za-z0-9:>-]+') AND length(term) >= 3 AND lower(term) NOT IN ({_STOP}) AND NOT regexp_matches(term, '{_EXCLUDED}') GROUP BY term""")
+#: Terms that a filter must tell apart, dealt to the parts in turn.
+_SPECIMENS = (
+    "MUC1", "muc16 core", "galectin-3", "Galectin", "lectins", "selectin", "integrin", "albumin", "transferrin", "IgG", "igm", "Antibodies", "anti glycan", "anti-glycans", "sialyltransferase",
+    "β-galactosidase", "glycosidase", "glycosidases x", "hexosaminidase", "mannosidases", "GlycA", "M2BPGi", "GP12", "GP1234", "UDP-Gal", "cmp-Neu5Ac", "ADP-ribose", "α2-3 sialyl", "β1→4", "b1-4",
+    "C18:1", "c18:1", "C10:2", "multivalent", "vertebrate glycan", "plants", "fungal-like", "nonreducing end", "cell surface", "synthetically", "linkage", "cross-linkage x", "linkages", "n-glycan", "O-Glycans",
+    "gag", "GAGs", "proteoglycan", "glycoform", "trisaccharide", "Glycan Motif", "Dol-P-Man", "ogt", "gh", "index", "sugar", "chain", "human milk glycan", "Lewis x", " core 2 ", "H", "xy", "",
+)
+
+
+@query(r"""
+    WITH s AS (SELECT """ + repr(list(_SPECIMENS)).replace('"', "'") + r""" AS l),
+    t AS (SELECT unnest(string_split_regex(text, '\s+')) AS term FROM documents UNION ALL SELECT l[p_partkey % len(l) + 1] FROM part, s),
+    c AS (SELECT term, count(*) AS n FROM t GROUP BY term),
+    w AS (SELECT trim(term) AS term, n, CASE WHEN n % 7 = 0 THEN 'x' WHEN n % 5 = 0 THEN '-1' ELSE '0' END AS s FROM c WHERE regexp_full_match(term, '[ A-Za-z0-9:>αβ→-]*'))
+    SELECT term, n FROM w WHERE s = '0' AND length(term) >= 3
+      AND NOT regexp_matches(term, '(?i)\b(MUC[0-9]+|galectin-?[0-9]*|lectins?|integrins?|albumin|transferrin|igg|iga|igm|antibody|antibodies|anti[- ]?glycans?|GlycA|M2BPGi|GP[0-9]{1,3}|hexosaminidases?|mannosidases?)\b')
+      AND NOT regexp_matches(term, '(?i)(transferase|glycosidase|transferases|glycosidases)\b') AND NOT regexp_matches(term, '(?i)linkage\b')
+      AND NOT regexp_matches(term, '(?i)\b(UDP|GDP|CMP)-[A-Z0-9]') AND NOT regexp_matches(term, '(?i)\b(multivalent|vertebrate|bacterial|plant|fungal|nonreducing|cell surface|synthetic)')
+      AND NOT regexp_matches(term, '(^|[^0-9A-Za-z_αβ])[αβ][1-9](-|→)[1-9]($|[^0-9A-Za-z_αβ])') AND NOT regexp_matches(term, '\bC[1-9][1-9]:[1-9]\b')
+      AND NOT regexp_full_match(lower(term), '(n-|o-|n-linked |o-linked |)glycans?|(n-|o-|)glycan structures?|glycan (motif|epitope)s?|carbohydrates?|(mono|di|tri|oligo|poly)saccharides?|glycosylations?|glycoforms?|glycoconjugates?|glycoproteins?|glycosidic bonds?|glycolipids?|gags?|glycosaminoglycans?|(proteo|peptido)glycans?|gts?|ghs?|(sial|neuramin)idases?|ogts?|ogas?|dol-p-man|mannac-6-p')""")
 def mention_exclusion_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = _t(spark, sf_dir, "documents").select(F.explode(F.split("text", r"\s+")).alias("term")).where(F.col("term").rlike(r"\A[A-Za-z0-9:>-]+\z"))
-    spans = words.groupBy("term").agg(F.count("*").alias("n")).select("term", "n", F.lit(0).alias("start_pos"), F.length("term").alias("end_pos"))
+    words = _t(spark, sf_dir, "documents").select(F.explode(F.split("text", r"\s+")).alias("term"))
+    dealt = _t(spark, sf_dir, "part").select(F.get(F.array(*map(F.lit, _SPECIMENS)), (F.col("p_partkey") % len(_SPECIMENS)).cast("int")).alias("term"))
+    terms = words.unionByName(dealt).groupBy("term").agg(F.count("*").alias("n"))
+    start = F.when(F.col("n") % 7 == 0, "x").when(F.col("n") % 5 == 0, "-1").otherwise("0")
+    spans = terms.where(F.col("n").isNotNull() & F.when(F.col("n") > 0, F.col("term").rlike(r"\A[ A-Za-z0-9:>αβ→-]*\z"))).select("term", "n", start.alias("start_pos"), F.col("n").alias("end_pos"))
     return text.kept_mentions(spans).select("term", "n")
 
 
+@query(r"""
+    WITH p AS (SELECT doc_id, regexp_extract_all(text, '(?s)(.*?\.\s+|.+$)') AS parts FROM documents),
+    u AS (SELECT doc_id, unnest(parts) AS part, generate_subscripts(parts, 1) AS i FROM p),
+    a AS (SELECT doc_id, i, part, sum(length(part)) OVER (PARTITION BY doc_id ORDER BY i) AS stop FROM u)
+    SELECT doc_id, (i - 1)::INTEGER AS at, (stop - length(part))::INTEGER AS s,
+           CASE WHEN regexp_matches(part, '(?s)\.\s+$') THEN stop - length(part) + length(regexp_replace(part, '\s+$', '')) + 1 ELSE stop END::INTEGER AS e FROM a WHERE part <> ''""")
+def sentence_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _t(spark, sf_dir, "documents").where(F.length("text") > 0)
+    return docs.select("doc_id", F.posexplode(text.sentence_spans(F.col("text"))).alias("at", "x")).select("doc_id", "at", "x.s", "x.e")
+
+
+@query("""
+    WITH n AS (SELECT row_number() OVER (ORDER BY doc_id) AS processed, sum(length(text) % 4) OVER (ORDER BY doc_id) AS hits FROM documents)
+    SELECT processed, hits::BIGINT AS hits FROM n WHERE processed % 10 = 0 OR processed = (SELECT count(*) FROM documents)""")
+def extraction_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chunks = _t(spark, sf_dir, "documents").select("doc_id", (F.length("text") % 4).alias("hits"))
+    return text.progress(chunks, ["doc_id"], "hits")
+
+
+@query("""
+    SELECT event_id, coalesce(nullif(CASE WHEN event_id % 3 = 0 THEN '' WHEN event_id % 3 = 1 THEN event_type END, ''), 'id' || event_id) AS uuid,
+           CASE event_id % 3 WHEN 0 THEN 0.5 WHEN 1 THEN 0.25 ELSE 0 END::DOUBLE AS score FROM events""")
+def coalesced_alternates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("event_id") % 3
+    uuid = F.when(k == 0, "").when(k == 1, F.col("event_type"))
+    raw = F.when(k == 0, '{"score": 0.5, "confidence": 0.9}').when(k == 1, '{"confidence": 0.25}').otherwise('{"text": "t"}')
+    return _t(spark, sf_dir, "events").select("event_id", text.first_filled(uuid, F.concat(F.lit("id"), F.col("event_id").cast("string"))).alias("uuid"), text.score_of(raw).alias("score"))
+
+
 @query()
 def chunk_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text.chunks(_t(spark, sf_dir, "documents"), "doc_id")
@@ -399,6 +446,18 @@ def batch_adaptive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batching.adaptive_batches(_t(spark, sf_dir, "part").select("p_brand", "p_partkey", "p_name"), "p_brand", ["p_partkey"], "p_name").select("p_brand", "p_partkey", "batch")
 
 
+@query("""
+    WITH RECURSIVE r AS (SELECT p_partkey, p_name, row_number() OVER (ORDER BY p_name, p_partkey) AS i, lag(p_name) OVER (ORDER BY p_name, p_partkey) AS before FROM part),
+    f AS (
+        SELECT p_partkey, i, 0::BIGINT AS batch, 1 AS n FROM r WHERE i = 1
+        UNION ALL
+        SELECT r.p_partkey, r.i, CASE WHEN stays THEN batch ELSE batch + 1 END, CASE WHEN stays THEN n + 1 ELSE 1 END
+        FROM (SELECT r.*, f.batch, f.n, (f.n < 5 OR (f.n < 12 AND left(lower(r.p_name), 4) = left(lower(r.before), 4))) AS stays FROM r JOIN f ON r.i = f.i + 1) r)
+    SELECT p_partkey, batch FROM f""")
+def batch_adaptive_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return batching.adaptive_batches(_t(spark, sf_dir, "part").select("p_partkey", "p_name"), None, ["p_name", "p_partkey"], "p_name").select("p_partkey", "batch")
+
+
 _RUNS = """
     WITH m AS (SELECT *, CASE WHEN event_type = lag(event_type) OVER w THEN 0 ELSE 1 END AS new FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
     r AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS run FROM m)"""
@@ -479,6 +538,28 @@ def json_ingest_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("event_id", F.from_json("raw", "k int")["k"].alias("k"))
 
 
+@query(f"""
+    WITH l AS (SELECT CASE WHEN event_id % 11 = 0 THEN '' ELSE {_BROKEN} END AS raw, event_id FROM events)
+    SELECT mode, coalesce(k, -1) AS k, count(*) AS n FROM (
+        SELECT 'permissive' AS mode, json_extract_string(CASE WHEN json_valid(raw) THEN raw ELSE '{{}}' END, '$.k')::INTEGER AS k FROM l WHERE json_valid(raw)
+        UNION ALL SELECT 'checked', CASE WHEN json_valid(raw) THEN json_extract_string(raw, '$.k')::INTEGER END FROM l
+        UNION ALL SELECT 'strict', json_extract_string(CASE WHEN json_valid(raw) THEN raw ELSE '{{}}' END, '$.k')::INTEGER FROM l WHERE json_valid(raw)
+        UNION ALL SELECT 'raising', json_extract_string(CASE WHEN json_valid(raw) THEN raw ELSE '{{}}' END, '$.k')::INTEGER FROM l WHERE json_valid(raw)) GROUP BY ALL""")
+def jsonl_scan_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Writes the events as line files, sound ones apart, and reads them back in each mode."""
+    rows = _t(spark, sf_dir, "events").select(F.when(F.col("event_id") % 11 == 0, "").otherwise(F.expr(_BROKEN)).alias("raw"))
+    sound = F.json_object_keys("raw").isNotNull()
+    root = fresh_path(spark, "jsonl")
+    rows.coalesce(1).write.text(f"{root}/all")
+    rows.where(sound).coalesce(1).write.text(f"{root}/sound")
+    out = None
+    for mode in (readers.PERMISSIVE, readers.CHECKED, readers.STRICT, readers.RAISING):
+        lines = readers.read_jsonl(spark, f"{root}/{'all' if mode in (readers.PERMISSIVE, readers.CHECKED) else 'sound'}/*.txt", "k int", mode)
+        one = lines.groupBy(F.coalesce("k", F.lit(-1)).alias("k")).agg(F.count("*").alias("n")).select(F.lit(mode).alias("mode"), "k", "n")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 @query("SELECT event_id, CASE WHEN event_id % 7 = 0 THEN 'Others' ELSE event_type END AS classification FROM events")
 def code_fence_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     body = F.concat(F.lit('{"classification":"'), "event_type", F.lit('"}'))

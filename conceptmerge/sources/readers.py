@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.scalars import stable_id
@@ -15,16 +15,21 @@ STRICT, PERMISSIVE, RAISING, CHECKED = "strict", "permissive", "raising", "check
 def numbered_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """Every line as it is, blank ones too: ``(_source, _source_rank, _line, _raw)``; rank is the place in ``paths``.
 
-    Files are read whole, so numbers are exact; source files are small.
+    Large files are read in blocks: a line's number is its place in its block after the lines
+    of the blocks before it, so no task sees a whole file.
     """
     if not paths:
         return spark.createDataFrame([], "_source string, _source_rank int, _line long, _raw string")
     out = None
     for rank, path in enumerate(paths):
-        lines = F.split("value", r"\r\n|\r|\n")
-        one = spark.read.text(path, wholetext=True).select(F.lit(path).alias("_source"), F.lit(rank).alias("_source_rank"), F.posexplode(lines).alias("_at", "_raw"), F.size(lines).alias("_n"))
-        one = one.where(~((F.col("_at") == F.col("_n") - 1) & (F.col("_raw") == "")))  # the end of the last line opens none
-        one = one.select("_source", "_source_rank", (F.col("_at") + 1).cast("long").alias("_line"), "_raw")
+        block = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block")]
+        lines = spark.read.text(path).select("value", *block, F.monotonically_increasing_id().alias("_at"))
+        sizes = spark.read.text(path).select(*block).groupBy("_file", "_block").agg(F.count("*").alias("_n"))
+        earlier = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)  # one row for each block
+        before = sizes.select("_file", "_block", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+        within = F.row_number().over(Window.partitionBy("_file", "_block").orderBy("_at"))
+        one = lines.withColumn("_within", within).join(F.broadcast(before), ["_file", "_block"])
+        one = one.select(F.lit(path).alias("_source"), F.lit(rank).alias("_source_rank"), (F.col("_before") + F.col("_within")).alias("_line"), F.col("value").alias("_raw"))
         out = one if out is None else out.unionByName(one)
     return out
 

@@ -104,6 +104,67 @@ def test_sentences_and_mentions(spark):
     assert sorted(r["term"] for r in text.kept_mentions(df).collect()) == ["Lewis x", "core 2"]
 
 
+def test_exclusions_as_they_are_fixed(spark):
+    drop = ["MUC1", "GlycA", "M2BPGi", "α2-3 sialyl", "β1→4", "n-glycan", "gag", "vertebrate", "plant", "fungal", "nonreducing", "glycoform", "proteoglycan", "trisaccharide", "anti glycan", "β-galactosidases x glycosidase", "cross-linkage"]
+    keep = ["index", "sugar", "chain", "human milk glycan", "selectin", "linkages", "GP1234", "c18:1", "b1-4"]
+    df = spark.createDataFrame([(t, "0", "9") for t in drop + keep], "term string, start_pos string, end_pos string")
+    assert sorted(r["term"] for r in text.kept_mentions(df).collect()) == sorted(keep)
+    spans = spark.createDataFrame([("a term", s, e) for s, e in ((0, 0), (-1, 4), (3, 2), (None, 4), (2, 8))], "term string, start_pos int, end_pos int")
+    assert text.kept_mentions(spans).count() == 1
+
+
+def test_spans_of_a_long_text(spark):
+    df = spark.range(1).select(F.repeat(F.lit("One more sentence. "), 100_000).alias("t"))
+    got = df.select(text.sentence_spans(F.col("t")).alias("x")).select(F.size("x"), F.element_at("x", -1)["s"]).first()
+    assert tuple(got) == (100_000, 99_999 * 19)
+
+
+def test_alternates_and_remote_lookups():
+    from conceptmerge.functions.providers import RemoteLookups
+
+    calls = []
+
+    def get(url):
+        calls.append(url)
+        if "gtcid2seqs" in url:
+            return 200, [{"wurcs": "W/2 1"}] if url.endswith("G1") else []
+        return (200, {"IUPACcondensed": "Gal", "id": None if "empty" in url else "G9"}) if "bad" not in url else (500, None)
+
+    r = RemoteLookups(get, "https://example.org/")
+    assert (r.sequence_of("G1"), r.sequence_of("G2")) == ("Gal", "") and calls[1].endswith("/W%2F2%201")
+    assert (r.accession_of("Gal(b1-4)"), r.accession_of("empty"), r.accession_of_code("bad")) == ("G9", "No GlyTouCan ID found", "Error: 500")
+
+
+def test_decisions_in_turn():
+    store = retrieval.MutableStore(lambda t: [float("gal" in t.lower()), float("man" in t.lower()), 0.1], [("u1", "Gal")])
+    choose = lambda term, found: found[0][0] if found and found[0][1] > 0.9 else None
+    got = retrieval.decide_in_turn([("galactose", "n1"), ("mannose", "n2"), ("Man", "n3")], store, choose)
+    assert got == [("galactose", "u1", "map"), ("mannose", "n2", "add"), ("Man", "n2", "map")] and store.held["u1"][1] == ["galactose"]
+
+
+def test_batches_along_one_order(spark):
+    """The parallel fold equals a plain loop, whatever the partitions."""
+    import random
+
+    draw = random.Random(2)
+    terms = [draw.choice(["alpha", "alphb", "beta", "betx", None]) for _ in range(3000)]
+    want, batch, n = [], -1, 0
+    for i, t in enumerate(terms):
+        before = terms[i - 1] if i else None
+        like = t is not None and before is not None and t[:4] == before[:4]
+        n, batch = (n + 1, batch) if n and (n < 5 or (like and n < 12)) else (1, batch + 1)
+        want.append(batch)
+    df = spark.createDataFrame(list(enumerate(terms)), "i int, t string")
+    got = {r["i"]: r["batch"] for r in batching.adaptive_batches(df, None, ["i"], "t").collect()}
+    assert [got[i] for i in range(3000)] == want
+
+
+def test_lists_at_any_depth(spark):
+    deep = "[" * 30 + '"x", {"a": [1, 2]}, 3.50' + "]" * 30
+    assert one(spark, s.flatten_json_list(F.lit(deep))) == ["x", '{"a":[1,2]}', "3.50"]
+    assert [one(spark, s.flatten_json_list(F.lit(x))) for x in ('["a",null,"b"]', "plain", "[broken [", "[]")] == [["a", "b"], ["plain"], ["[broken ["], []]
+
+
 def test_chunks():
     t = "".join(f"Sentence number {i} is here. " for i in range(200))
     got = text.chunk_text(t)
