@@ -1,18 +1,25 @@
 """A Brown class-based bigram model, and held-out scores of whole documents.
 
 ``P(text) = product of P(class | class before) * P(word | class)``, from the end mark to the
-end mark.  Classes come from exchange clustering: each unit moves to the class that raises
-the likelihood of the training text most, until none moves.  Units are the most frequent
-words (``exchanged``, a model parameter) and, for all other words, groups by spelling; so
-every word of the vocabulary has a class, the unit counts are those of all training text,
-and the table that the clustering needs has a fixed size whatever the corpus.
-
-Words unseen in training share what absolute discounting takes from the seen words of their
-spelling group.  For each class the probabilities of its words and unseen groups sum to one.
+end mark.  Classes are learned in two steps, both from all training text:
+
+1. Exchange clustering of the most frequent words: each moves to the class that raises the
+   likelihood most, until none moves.  All other words take part in it as groups by spelling,
+   which only serve as a first guess of the classes that stand beside them.
+2. Every other word of the vocabulary goes to the class under which the classes that follow
+   and precede it in training are most likely: an aggregation by word, so the vocabulary may
+   be of any size.  Its table is joined, never collected; workers hold its most frequent words.
+
+Transitions and emissions are then counted with the final classes.  Absolute discounting
+takes a share of each word for one unknown word, which has a class of its own: a token of a
+word that occurs c times counts ``1 - d/c`` for its class and ``d/c`` for the unknown one, so
+what stands beside unknown words is learned too.  The emissions of each class sum to one over
+its words, and those of the unknown class are the unknown word alone.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 import zlib
 from collections import Counter
@@ -23,14 +30,20 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .staging import FEW, dropped, staged
+from .staging import FEW, dropped, settings, staged
 
 END = b""  # no word is empty
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
+_LONG = 64
+_OTHER = (1 << 16) - 1  # the place of a word that workers do not hold
 
 
 def tokens(text: str | None) -> list[bytes]:
-    return (text or "").encode().translate(_LOWER).split()
+    """Words in lower case; one of more than 64 bytes stands as a digest, so that tables of words have a known size."""
+    found = (text or "").encode().translate(_LOWER).split()
+    if any(len(x) > _LONG for x in found):
+        found = [x if len(x) <= _LONG else b" " + hashlib.sha256(x).hexdigest()[:48].encode() + x[-3:].hex().encode() for x in found]
+    return found
 
 
 def spelling_group(word: bytes, groups: int) -> int:
@@ -41,18 +54,18 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
-def word_counts(texts: DataFrame, groups: int, flush: int = 300_000) -> DataFrame:
-    """Rows ``(word, spelling, c)`` over all tokens of the texts, end marks included."""
+def _words(column: list[bytes]) -> pa.Array:
+    return pa.array(column, pa.binary()).cast(pa.string())
+
+
+def word_counts(texts: DataFrame, flush: int = 300_000) -> DataFrame:
+    """Rows ``(word, c)`` over all tokens of the texts, end marks included."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter[bytes] = Counter()
 
         def out() -> pa.RecordBatch:
-            words = list(seen)
-            made = pa.RecordBatch.from_arrays(
-                [pa.array(words, pa.binary()).cast(pa.string()), pa.array([spelling_group(x, groups) for x in words], pa.int32()), pa.array(list(seen.values()), pa.int64())],
-                names=["word", "spelling", "n"],
-            )
+            made = pa.RecordBatch.from_arrays([_words(list(seen)), pa.array(list(seen.values()), pa.int64())], names=["word", "n"])
             seen.clear()
             return made
 
@@ -65,32 +78,28 @@ def word_counts(texts: DataFrame, groups: int, flush: int = 300_000) -> DataFram
         if seen:
             yield out()
 
-    rows = texts.select("text").mapInArrow(run, "word string, spelling int, n long")
-    return rows.groupBy("word", "spelling").agg(F.sum("n").alias("c"))
+    return texts.select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("c"))
 
 
 @dataclass
 class Units:
-    """Numbers of words: ``direct`` words by place, the others by spelling after ``exchanged``."""
+    """Numbers of words in the first step: ``direct`` words below ``exchanged`` by place, all others by spelling after them."""
 
     exchanged: int
     groups: int
     direct: dict[bytes, int] = field(default_factory=dict)
     counts: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
-    unit_of: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
 
     @property
     def size(self) -> int:
         return self.exchanged + self.groups
 
-    def coded(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """The unit of each word, and its place among the direct words or -1."""
-        get = self.direct.get
-        place = np.array([get(x, -1) for x in words], dtype=np.int64)
-        unit = self.unit_of[place] if len(self.unit_of) else np.zeros(len(place), np.int64)
-        for k in np.flatnonzero(place < 0).tolist():
-            unit[k] = self.exchanged + zlib.crc32(words[k][-3:]) % self.groups
-        return unit, place
+    def coded(self, words: list[bytes]) -> np.ndarray:
+        get, low, n = self.direct.get, self.exchanged, self.groups
+        out = np.fromiter((get(x, low) for x in words), dtype=np.int64, count=len(words))
+        for k in np.flatnonzero(out >= low).tolist():
+            out[k] = low + zlib.crc32(words[k][-3:]) % n
+        return out
 
 
 def unit_bigrams(texts: DataFrame, units: Units) -> np.ndarray:
@@ -102,14 +111,15 @@ def unit_bigrams(texts: DataFrame, units: Units) -> np.ndarray:
         for batch in batches:
             pairs = []
             for text in batch.column(0).to_pylist():
-                unit, _ = units.coded([END, *tokens(text), END])
+                unit = units.coded([END, *tokens(text), END])
                 pairs.append(unit[:-1] * n + unit[1:])
             if pairs:
                 total += np.bincount(np.concatenate(pairs), minlength=n * n)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at])], names=["cell", "n"])
 
-    got = texts.select("text").mapInArrow(run, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    with settings(texts.sparkSession, values={"spark.sql.execution.arrow.maxRecordsPerBatch": str(FEW)}):
+        got = texts.select("text").mapInArrow(run, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(n * n, dtype=np.float64)
     out[got.column("cell").to_numpy()] = got.column("n").to_numpy()
     return out.reshape(n, n)
@@ -119,8 +129,8 @@ def _xlogx(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1e-300))
 
 
-def exchange(bigrams: np.ndarray, classes: int, rounds: int = 8) -> np.ndarray:
-    """The class of each unit.  Unit 0, the end mark, keeps class 0 to itself."""
+def exchange(bigrams: np.ndarray, classes: int, rounds: int = 200) -> np.ndarray:
+    """The class of each unit, once none moves; ``rounds`` only guards against an endless loop.  Unit 0, the end mark, keeps class 0 to itself."""
     n = len(bigrams)
     freq = bigrams.sum(1) + bigrams.sum(0)
     order = [u for u in np.argsort(-freq, kind="stable").tolist() if u]
@@ -168,105 +178,179 @@ def exchange(bigrams: np.ndarray, classes: int, rounds: int = 8) -> np.ndarray:
     return of
 
 
+def _contexts(texts: DataFrame, units: Units, class_of: np.ndarray, classes: int, flush: int = 400_000) -> DataFrame:
+    """Rows ``(word, ctx, n)`` for all words beyond the exchanged ones: how often each stands between two classes (before * classes + after)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: Counter[tuple[bytes, int]] = Counter()
+
+        def out() -> pa.RecordBatch:
+            words, ctx = zip(*seen)
+            made = pa.RecordBatch.from_arrays([_words(list(words)), pa.array(ctx, pa.int32()), pa.array(list(seen.values()), pa.int64())], names=["word", "ctx", "n"])
+            seen.clear()
+            return made
+
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                got = tokens(text)
+                unit = units.coded([END, *got, END])
+                cls = class_of[unit]
+                at = np.flatnonzero(unit[1:-1] >= units.exchanged)
+                seen.update(zip([got[k] for k in at.tolist()], (cls[at] * classes + cls[at + 2]).tolist()))
+            if len(seen) > flush:
+                yield out()
+        if seen:
+            yield out()
+
+    rows = texts.select("text").mapInArrow(run, "word string, ctx int, n long")
+    return rows.groupBy("word", "ctx").agg(F.sum("n").alias("n"))
+
+
+def _placed(contexts: DataFrame, before: np.ndarray, after: np.ndarray) -> DataFrame:
+    """Rows ``(word, c, cls)``: each word's count and the class that makes its contexts most likely; ``before[c, k]`` and ``after[c, k]`` are log shares of class k beside class c."""
+    classes = len(before)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("l")
+            sizes = np.diff(lists.offsets.to_numpy())
+            owner = np.repeat(np.arange(len(sizes)), sizes)
+            flat = lists.flatten()
+            ctx, n = flat.field("ctx").to_numpy().astype(np.int64), flat.field("n").to_numpy().astype(np.float64)
+            best, count = np.zeros(len(sizes), np.int32), np.bincount(owner, weights=n, minlength=len(sizes)).astype(np.int64)
+            for lo in range(0, len(sizes), 4096):
+                hi = min(lo + 4096, len(sizes))
+                a, b = np.searchsorted(owner, (lo, hi))
+                cell = (owner[a:b] - lo) * classes
+                left = np.bincount(cell + ctx[a:b] // classes, weights=n[a:b], minlength=(hi - lo) * classes).reshape(-1, classes)
+                right = np.bincount(cell + ctx[a:b] % classes, weights=n[a:b], minlength=(hi - lo) * classes).reshape(-1, classes)
+                best[lo:hi] = 1 + np.argmax((left @ before.T + right @ after.T)[:, 1:], axis=1)
+            yield pa.RecordBatch.from_arrays([batch.column("word"), pa.array(count), pa.array(best)], names=["word", "c", "cls"])
+
+    # at most classes * classes contexts a word
+    return contexts.groupBy("word").agg(F.collect_list(F.struct("ctx", "n")).alias("l")).mapInArrow(run, "word string, c long, cls int")
+
+
 @dataclass
-class ClassModel:
-    """The fitted model; its tables have sizes that parameters fix."""
+class Vocabulary:
+    """What workers hold of the classes: the most frequent words; ``rest`` has all others in a table ``(word, c, cls)``."""
 
-    units: Units
+    place: dict[bytes, int]
+    counts: np.ndarray
     class_of: np.ndarray
-    transition: np.ndarray
-    direct_log: np.ndarray
-    spelling_log: np.ndarray
-    unseen_log: np.ndarray
+    classes: int  # without the unknown one, whose number is this
     discount: float
     n: int
     v: int
+    mass: np.ndarray  # what is left of each class's counts after discounting
 
 
-def fit(texts: DataFrame, counts: DataFrame, classes: int = 48, exchanged: int = 1000, groups: int = 128, direct: int = 40_000, prior: float = 10.0) -> ClassModel:
-    """The model of ``texts`` with their ``counts`` (from word_counts)."""
+def learned(training: DataFrame, classes: int = 48, exchanged: int = 1000, groups: int = 128, direct: int = 40_000) -> tuple[Vocabulary, DataFrame]:
+    """The classes of all training words: those that workers hold, and the table of all words beyond the exchanged ones.
+
+    ``exchanged`` words are clustered one by one, ``groups`` are the first guess for the
+    others, ``direct`` words at most are held by each worker; none of these bounds the
+    vocabulary, whose every word gets a class by what stands beside it.
+    """
+    if not exchanged <= direct < _OTHER:
+        raise ValueError(f"direct must lie between exchanged and {_OTHER - 1}")
     end = END.decode()
-    by = {r["spelling"]: r for r in counts.where(F.col("word") != end).groupBy("spelling").agg(
-        F.sum("c").alias("n"), F.count("*").alias("v"), F.count_if(F.col("c") == 1).alias("n1"), F.count_if(F.col("c") == 2).alias("n2")).collect()}
+    counts = staged(word_counts(training), "classlm-counts", FEW)
+    about = counts.where(F.col("word") != end).agg(F.sum("c").alias("n"), F.count("*").alias("v"), F.count_if(F.col("c") == 1).alias("n1"), F.count_if(F.col("c") == 2).alias("n2")).first()
     ends = counts.where(F.col("word") == end).agg(F.sum("c")).first()[0] or 0
-    n = ends + sum(r["n"] for r in by.values())
-    v = (1 if ends else 0) + sum(r["v"] for r in by.values())
-    n1, n2 = (sum(r[k] for r in by.values()) for k in ("n1", "n2"))
+    n1, n2 = about["n1"], about["n2"]
     discount = min(0.9, max(0.1, n1 / (n1 + 2 * n2) if n1 else 0.5))
-    top = counts.where((F.col("word") != end) & (F.octet_length("word") <= 64)).orderBy(F.desc("c"), "word").limit(direct).collect()
-    units = Units(exchanged, groups)
-    units.direct = {END: 0} | {r["word"].encode(): i + 1 for i, r in enumerate(top)}
-    units.counts = np.array([ends, *(r["c"] for r in top)], dtype=np.int64)
-    units.unit_of = np.array([0, *(i + 1 if i + 1 < exchanged else exchanged + r["spelling"] for i, r in enumerate(top))], dtype=np.int64)
-    bigrams = unit_bigrams(texts, units)
+    top = counts.where(F.col("word") != end).orderBy(F.desc("c"), "word").limit(direct).collect()
+    units = Units(exchanged, groups, {END: 0} | {r["word"].encode(): i + 1 for i, r in enumerate(top[: exchanged - 1])})
+    bigrams = unit_bigrams(training, units)
     of = exchange(bigrams, classes)
-
     one = np.zeros((units.size, classes))
     one[np.arange(units.size), of] = 1
     table = one.T @ bigrams @ one
     share = (table.sum(0) + 1) / (table.sum() + classes)
-    transition = (table + prior * share) / (table.sum(1, keepdims=True) + prior)
-
-    exact = np.arange(len(units.counts)) < min(exchanged, len(units.counts))  # counted one by one; the rest belong to a group
-    mass = np.zeros(classes)
-    np.add.at(mass, of[units.unit_of[exact]], units.counts[exact])
-    kinds, held = np.zeros(groups), np.zeros(groups)
-    for s, r in by.items():
-        kinds[s], held[s] = r["v"], r["n"]
-    for i in np.flatnonzero(exact).tolist()[1:]:
-        s = top[i - 1]["spelling"]
-        kinds[s] -= 1
-        held[s] -= top[i - 1]["c"]
-    group_class = of[exchanged:]
-    np.add.at(mass, group_class, held + 1)
-    given = np.where(exact, units.counts, units.counts - discount).astype(float)
-    direct_log = np.log10(np.maximum(given, 1e-300)) - np.log10(np.maximum(mass[of[units.unit_of]], 1e-300))
-    return ClassModel(units, of, np.log10(transition), direct_log, -np.log10(mass[group_class]), np.log10(discount * kinds + 1), discount, int(n), int(v))
-
-
-def _scored(docs: DataFrame, model: ClassModel) -> DataFrame:
-    """Per document what the model's fixed tables give, and the remaining words with their numbers."""
-    kind = "doc_id long, n_tokens long, n_known long, base double, score double, rare array<struct<word:string,spelling:int,n:int>>"
-    rare_type = pa.list_(pa.struct([("word", pa.string()), ("spelling", pa.int32()), ("n", pa.int32())]))
+    beside = lambda t: np.log((t + share) / (t.sum(1, keepdims=True) + 1))
+    rest = staged(_placed(_contexts(training, units, of, classes), beside(table.T), beside(table)), "classlm-classes", FEW)
+    dropped(counts)
+    held = [(r["word"].encode(), r["c"]) for r in top]
+    class_of = np.zeros(len(held) + 1, dtype=np.int64)
+    class_of[1:exchanged] = of[1 : min(exchanged, len(held) + 1)]
+    place = {END: 0} | {w: i + 1 for i, (w, _) in enumerate(held)}
+    if len(held) >= exchanged:
+        asked = training.sparkSession.createDataFrame([(w.decode(), i + 1) for i, (w, _) in enumerate(held) if i + 1 >= exchanged], "word string, at int")  # at most ``direct`` rows
+        for r in rest.join(F.broadcast(asked), "word").select("at", "cls").collect():
+            class_of[r["at"]] = r["cls"]
+    known = np.array([ends, *(c for _, c in held)], dtype=np.int64)
+    mass = np.bincount(class_of[:exchanged], weights=np.append(known[:1], known[1:exchanged] - discount), minlength=classes)
+    for r in rest.groupBy("cls").agg(F.sum(F.col("c") - F.lit(discount)).alias("m")).collect():
+        mass[r["cls"]] += r["m"]
+    return Vocabulary(place, known, class_of, classes, discount, int(ends + (about["n"] or 0)), int((1 if ends else 0) + about["v"]), mass), rest
+
+
+_TAIL = "array<struct<word:string,at:int>>"
+
+
+def _sequences(texts: DataFrame, held: Vocabulary) -> DataFrame:
+    """Per document its tokens as places among the held words (or that of any other word), and the other words with their positions."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units = model.units
-        base_log = np.log10(units.counts + 1.0)
+        get = held.place.get
+        inner_type = pa.struct([("word", pa.string()), ("at", pa.int32())])
         for batch in batches:
-            rows, words, spelling, times, ends = [], [], [], [], [0]
+            n, seq, words, at, ends = [], [], [], [], [0]
             for text in batch.column(1).to_pylist():
                 got = tokens(text)
                 got.append(END)
-                unit, place = units.coded(got)
-                cls = model.class_of[unit]
-                score = model.transition[np.append(0, cls[:-1]), cls].sum()
-                direct = place >= 0
-                at = place[direct]
-                known = int((units.counts[at] > 0).sum())
-                base = base_log[at].sum()
-                score += model.direct_log[at].sum()
-                group = unit[~direct] - units.exchanged
-                score += model.spelling_log[group].sum()
-                rest: Counter[tuple[bytes, int]] = Counter(zip([got[k] for k in np.flatnonzero(~direct).tolist()], group.tolist()))
-                for (w, s), k in rest.items():
-                    words.append(w)
-                    spelling.append(s)
-                    times.append(k)
+                place = np.fromiter((get(x, _OTHER) for x in got), dtype=np.uint16, count=len(got))
+                other = np.flatnonzero(place == _OTHER)
+                words += [got[k] for k in other.tolist()]
+                at.append(other.astype(np.int32))
                 ends.append(len(words))
-                rows.append((len(got), known, float(base), float(score)))
-            if not rows:
-                continue
-            n, known, base, score = zip(*rows)
-            inner = pa.StructArray.from_arrays([pa.array(words, pa.binary()).cast(pa.string()), pa.array(spelling, pa.int32()), pa.array(times, pa.int32())], names=["word", "spelling", "n"])
-            rare = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), inner).cast(rare_type)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(known, pa.int64()), pa.array(base), pa.array(score), rare], names=["doc_id", "n_tokens", "n_known", "base", "score", "rare"]
-            )
+                n.append(len(got))
+                seq.append(place.tobytes())
+            if n:
+                inner = pa.StructArray.from_arrays([_words(words), pa.array(np.concatenate(at))], fields=list(inner_type))
+                made = [batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(seq, pa.binary()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), inner)]
+                yield pa.RecordBatch.from_arrays(made, names=["doc_id", "learns", "n_tokens", "seq", "tail"])
+
+    return texts.mapInArrow(run, f"doc_id long, learns boolean, n_tokens long, seq binary, tail {_TAIL}")
+
+
+def _resolved(batch: pa.RecordBatch, held: Vocabulary) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Class and count of each token of each document; an unknown word has count 0 and the unknown class."""
+    class_of, counts = (np.append(x, np.full(_OTHER + 1 - len(x), y)) for x, y in ((held.class_of, held.classes), (held.counts, 0)))
+    lists = batch.column("known")
+    ends, none = lists.offsets.to_numpy(), lists.is_null().to_numpy(zero_copy_only=False)
+    at, count, cls_of = (lists.values.field(x).to_numpy() for x in ("at", "c", "cls"))
+    for k, seq in enumerate(batch.column("seq").to_pylist()):
+        place = np.frombuffer(seq, dtype=np.uint16)
+        cls, c = class_of[place], counts[place]
+        if not none[k]:
+            i, j = ends[k], ends[k + 1]
+            cls[at[i:j]], c[at[i:j]] = cls_of[i:j], count[i:j]
+        yield cls, c
+
+
+def _class_bigrams(rows: DataFrame, held: Vocabulary) -> np.ndarray:
+    """How often classes follow each other in training, the unknown class among them."""
+    k = held.classes + 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(k * k)
+        for batch in batches:
+            for cls, c in _resolved(batch, held):
+                cls, lost = np.append(0, cls), np.append(0.0, np.where(cls == 0, 0.0, held.discount / np.maximum(c, 1)))
+                for a, wa in ((cls, 1 - lost), (np.full(len(cls), k - 1), lost)):
+                    for b, wb in ((cls, 1 - lost), (np.full(len(cls), k - 1), lost)):
+                        total += np.bincount(a[:-1] * k + b[1:], weights=wa[:-1] * wb[1:], minlength=k * k)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(k * k), pa.int32()), pa.array(total)], names=["cell", "n"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, kind)
+    out = np.zeros(k * k)
+    for r in rows.where("learns").select("seq", "known").mapInArrow(run, "cell int, n double").groupBy("cell").agg(F.sum("n").alias("n")).collect():
+        out[r["cell"]] = r["n"]
+    return out.reshape(k, k)
 
 
-def document_scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", **model: float) -> DataFrame:
+def document_scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", prior: float = 10.0, **model: int) -> DataFrame:
     """Rows ``(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)``, one for each row of ``docs``.
 
     Learns from the rows where ``held_out``, a condition on ``doc_id``, is not true (null
@@ -274,30 +358,35 @@ def document_scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", t
     twice in training.  Without any training text, counts are zero and the scores those of
     the smoothing alone.  An empty input gives an empty result.
     """
+    spark = docs.sparkSession
     texts = _texts(docs, id_col, text_col)
-    training = texts.where(~F.coalesce(held_out, F.lit(False)))
-    counts = staged(word_counts(training, int(model.get("groups", 128))), "classlm-counts", FEW)
-    fitted = fit(training, counts, **model)
-    parts = staged(_scored(texts, fitted).withColumn("row", F.monotonically_increasing_id()), "classlm-parts", FEW)
-    rare = parts.select("row", F.inline("rare"))
-    c = F.coalesce("c", F.lit(0))
-    seen = (
-        rare.join(counts.select("word", "c").hint("shuffle_hash"), "word", "left")
-        .select(
-            "row",
-            F.when(c > 0, F.col("n")).otherwise(0).cast("long").alias("known_more"),
-            (F.col("n") * F.log10(c + 1.0)).alias("base_more"),
-            (F.col("n") * F.when(c > 0, F.log10(c - F.lit(fitted.discount))).otherwise(F.get(F.lit(fitted.unseen_log.tolist()), F.col("spelling")))).alias("score_more"),
-        )
-        .groupBy("row").agg(F.sum("known_more").alias("known_more"), F.sum("base_more").alias("base_more"), F.sum("score_more").alias("score_more"))
-    )
-    total = math.log10(fitted.n + fitted.v + 1)
-    return parts.drop("rare").join(seen, "row", "left").select(
-        "doc_id",
-        F.coalesce(held_out, F.lit(False)).alias("held_out"),
-        "n_tokens",
-        (F.col("n_known") + F.coalesce("known_more", F.lit(0))).alias("n_known"),
-        F.lit(fitted.n).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("base_more", F.lit(0.0)) - F.col("n_tokens") * F.lit(total)).alias("base_score"),
-        (F.col("score") + F.coalesce("score_more", F.lit(0.0))).alias("score"),
-    )
+    learns = ~F.coalesce(held_out, F.lit(False))
+    held, rest = learned(texts.where(learns), **model)
+    parts = staged(_sequences(texts.select("doc_id", "text", learns.alias("learns")), held).withColumn("row", F.monotonically_increasing_id()), "classlm-parts", FEW)
+    tail = parts.select("row", F.inline("tail")).join(rest, "word").groupBy("row").agg(F.collect_list(F.struct("at", "c", "cls")).alias("known"))
+    whole = staged(parts.drop("tail").join(tail, "row", "left").drop("row"), "classlm-sequences")
+    dropped(parts, rest)
+    with settings(spark, values={"spark.sql.execution.arrow.maxRecordsPerBatch": str(FEW)}):
+        bigrams = _class_bigrams(whole, held)
+    share = (bigrams.sum(0) + 1) / (bigrams.sum() + len(bigrams))
+    transition = np.log10((bigrams + prior * share) / (bigrams.sum(1, keepdims=True) + prior))
+    mass = np.append(held.mass, 1.0)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = math.log10(held.n + held.v + 1)
+        with np.errstate(divide="ignore"):
+            of_class = np.log10(np.maximum(mass, 1e-300))
+        for batch in batches:
+            known, base, score = [], [], []
+            for cls, c in _resolved(batch, held):
+                seen = c > 0
+                lost = np.where(cls == 0, 0.0, held.discount)
+                emission = np.log10(np.where(seen, c - lost, 1.0)) - np.where(seen, of_class[cls], 0.0)
+                known.append(int(seen.sum()))
+                base.append(float(np.log10(c + 1.0).sum() - len(c) * total))
+                score.append(float(transition[np.append(0, cls[:-1]), cls].sum() + emission.sum()))
+            made = [batch.column("doc_id"), batch.column("n_tokens"), pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(score, pa.float64())]
+            yield pa.RecordBatch.from_arrays(made, names=["doc_id", "n_tokens", "n_known", "base_score", "score"])
+
+    out = whole.select("doc_id", "n_tokens", "seq", "known").mapInArrow(run, "doc_id long, n_tokens long, n_known long, base_score double, score double")
+    return out.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "n_tokens", "n_known", F.lit(held.n).cast("long").alias("train_tokens"), "base_score", "score")

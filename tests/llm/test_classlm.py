@@ -35,20 +35,57 @@ def test_counts_and_base(docs):
     assert sum(r["score"] for r in unseen) > sum(r["base_score"] for r in unseen)
 
 
-def test_probabilities_sum_to_one(spark, docs):
+def test_every_word_has_a_class_and_emissions_sum_to_one(spark, docs):
     texts = docs(TEXTS).select("doc_id", "text")
-    counts = classlm.word_counts(texts, 5)
-    m = classlm.fit(texts, counts, classes=6, exchanged=8, groups=5, direct=12)
-    assert np.allclose((10**m.transition).sum(1), 1)
+    held, rest = classlm.learned(texts, classes=6, exchanged=8, groups=5, direct=12)
+    counts = collections.Counter(w for _, t in TEXTS for w in words(t))
+    table = {r["word"]: (r["c"], r["cls"]) for r in rest.collect()}
+    near = {w.decode(): (int(held.counts[i]), int(held.class_of[i])) for w, i in held.place.items()}
+    assert {w: c for w, (c, _) in (table | near).items()} == counts and len(near) == 13
+    assert all(table[w] == near[w] for w in set(table) & set(near)) and len(table) == len(counts) - 8
     total = np.zeros(6)
-    np.add.at(total, m.class_of[m.units.unit_of], 10**m.direct_log)
-    for r in counts.collect():
-        if r["word"].encode() not in m.units.direct:
-            total[m.class_of[8 + r["spelling"]]] += 10 ** (math.log10(r["c"] - m.discount) + m.spelling_log[r["spelling"]])
-    for g in range(5):
-        total[m.class_of[8 + g]] += 10 ** (m.unseen_log[g] + m.spelling_log[g])
-    used = np.unique(np.append(m.class_of[m.units.unit_of], m.class_of[8:]))
-    assert np.allclose(total[used], 1)
+    for w, (c, k) in (table | near).items():
+        total[k] += (c - (held.discount if w else 0)) / held.mass[k]
+    assert np.allclose(total[held.mass > 0], 1) and (held.n, held.v) == (sum(counts.values()), len(counts))
+
+
+def test_score_equals_a_plain_model(spark, docs):
+    """Transitions and emissions counted anew from the learned classes, in plain loops."""
+    rows = TEXTS + ODD
+    small = {"exchanged": 8, "groups": 5, "direct": 12, "classes": 6}
+    table = docs(rows)
+    inside = lambda i: i is None or zlib.crc32(str(i).encode()) % 7 != 2
+    model, rest = classlm.learned(table.where(~F.coalesce(held(), F.lit(False))).select("doc_id", "text"), **small)
+    cls = {r["word"]: r["cls"] for r in rest.collect()} | {w.decode(): int(model.class_of[i]) for w, i in model.place.items()}
+    name = lambda w: classlm.tokens(w)[0].decode() if w else ""
+    seen = collections.Counter(name(w) for i, t in rows if inside(i) for w in words(t))
+    d, unk = model.discount, 6
+    kinds = lambda w: [(0, 1.0)] if not w else [(cls[w], 1 - d / seen[w]), (unk, d / seen[w])]
+    big = np.zeros((7, 7))
+    for i, t in rows:
+        if inside(i):
+            got = [name(w) for w in words(t)]
+            for x, y in zip(["", *got], got):
+                for a, p in kinds(x):
+                    for b, q in kinds(y):
+                        big[a, b] += p * q
+    share = (big.sum(0) + 1) / (big.sum() + 7)
+    step = (big + 10 * share) / (big.sum(1, keepdims=True) + 10)
+    assert np.allclose(step.sum(1), 1)
+    mass = collections.Counter()
+    for w, c in seen.items():
+        mass[cls[w]] += c - (d if w else 0)
+
+    def score(t):
+        out, k = 0.0, 0
+        for w in map(name, words(t)):
+            now = cls[w] if w in seen else unk
+            out += math.log10(step[k, now]) + (math.log10((seen[w] - (d if w else 0)) / mass[now]) if w in seen else 0.0)
+            k = now
+        return out
+
+    want = sorted((str(i), round(score(t), 5)) for i, t in rows)
+    assert sorted((str(r["doc_id"]), round(r["score"], 5)) for r in classlm.document_scores(table, held(), **small).collect()) == want
 
 
 def test_exchange_finds_classes():
