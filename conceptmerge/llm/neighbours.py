@@ -4,7 +4,11 @@ Each tree splits by random directions at the median of the projections.  In its
 levels a margin on both sides of the median goes down both ways, so close vectors are seldom
 parted.  Vectors are compared only within leaves, exactly and in double precision.  A pair
 that shares leaves of several trees counts in the first it shares, which both members can
-tell from the leaves that they carry: links are counted without ever being listed.
+tell from the leaf numbers that they carry: links are counted without ever being listed.
+
+Large labels have medians of their own.  How often a tree parts vectors at the floor depends
+on the data, so it is measured on pairs of the sample, and trees are added until the label
+that does worst is expected to reach the recall.
 """
 
 from __future__ import annotations
@@ -21,51 +25,84 @@ from .components import component_labels
 from .simhash import _Forest
 from .staging import dropped, settings, staged
 
+_LEAF_BITS = 20  # a leaf's number, below that of its tree
+
 
 @dataclass
-class Forest:
-    """Per tree and level one direction, and per node a median and the margin around it."""
-
-    directions: np.ndarray  # trees, levels, dimensions
-    medians: list[list[np.ndarray]]  # tree, level: one value for each node
-    margins: list[list[np.ndarray]]
-
-    def leaves(self, x: np.ndarray) -> list[list[np.ndarray]]:
-        """For each tree the leaves of each row: a list of (row, leaf) arrays."""
-        out = []
-        for d, medians, margins in zip(self.directions, self.medians, self.margins):
-            row, node = np.arange(len(x)), np.zeros(len(x), dtype=np.int64)
-            for level, (m, g) in enumerate(zip(medians, margins)):
-                p = (x @ d[level])[row] - m[node]
-                left, right = p <= g[node], p > -g[node]
-                row, node = np.concatenate([row[left], row[right]]), np.concatenate([2 * node[left], 2 * node[right] + 1])
-            out.append([row, node])
-        return out
-
-
-def grow(sample: np.ndarray, trees: int, levels: int, spill_levels: int, margin: float, seed: int = 11) -> Forest:
-    """A forest whose medians come from ``sample``; a node without sampled rows splits at its parent's mean projection."""
-    rng = np.random.default_rng(seed)
-    dims = sample.shape[1]
-    d = rng.standard_normal((trees, max(levels, 1), dims))
-    d /= np.linalg.norm(d, axis=2, keepdims=True)
+class Tree:
+    """Per level one direction, and per group and node a median (infinite: no split) and the margin around it."""
+
+    directions: np.ndarray  # levels, dimensions
+    medians: list[np.ndarray]  # level: groups x nodes
+    margins: list[float]
+
+    def leaves(self, x: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs (row, leaf) for all leaves of each row."""
+        row, node = np.arange(len(x)), np.zeros(len(x), dtype=np.int64)
+        for d, m, g in zip(self.directions, self.medians, self.margins):
+            p = (x @ d)[row] - m[group[row], node]
+            left, right = p <= g, p > -g
+            row, node = np.concatenate([row[left], row[right]]), np.concatenate([2 * node[left], 2 * node[right] + 1])
+        return row, node
+
+
+def grow(sample: np.ndarray, group: np.ndarray, levels: list[int], spill_levels: int, margin: float, rng: np.random.Generator) -> Tree:
+    """A tree whose medians come from ``sample``, group by group; a node without sampled rows splits at its group's median."""
+    d = rng.standard_normal((max([*levels, 1]), sample.shape[1]))
+    d /= np.linalg.norm(d, axis=1, keepdims=True)
     medians, margins = [], []
-    for t in range(trees):
-        node = np.zeros(len(sample), dtype=np.int64)
-        ms, gs = [], []
-        for level in range(levels):
-            p = sample @ d[t, level]
-            m = np.full(1 << level, float(np.median(p)) if len(p) else 0.0)
-            order = np.argsort(node, kind="stable")
+    node = np.zeros(len(sample), dtype=np.int64)
+    for level in range(max([*levels, 0])):
+        p = sample @ d[level]
+        m = np.full((len(levels), 1 << level), np.inf)
+        for g, most in enumerate(levels):
+            mine = np.flatnonzero(group == g)
+            if level >= most or not len(mine):
+                continue
+            m[g] = np.median(p[mine])
+            order = mine[np.argsort(node[mine], kind="stable")]
             ids, begin = np.unique(node[order], return_index=True)
             for i, part in zip(ids, np.split(order, begin[1:])):
-                m[i] = np.median(p[part])
-            ms.append(m)
-            gs.append(np.full(1 << level, margin if level < spill_levels else 0.0))
-            node = 2 * node + (p > m[node])
-        medians.append(ms)
-        margins.append(gs)
-    return Forest(d, medians, margins)
+                m[g, i] = np.median(p[part])
+        medians.append(m)
+        margins.append(margin if level < spill_levels else 0.0)
+        node = 2 * node + (p > m[group, node])
+    return Tree(d, medians, margins)
+
+
+def close_pairs(sample: np.ndarray, group: np.ndarray, floor: float, rng: np.random.Generator, each: int = 500) -> list[tuple[np.ndarray, np.ndarray, int]]:
+    """Per group pairs to measure recall on: sampled vectors with a partner made at the floor, and pairs of the sample that reach it."""
+    out = []
+    for g in np.unique(group).tolist():
+        x = sample[group == g][:2000]
+        made = rng.standard_normal(x[:each].shape)
+        made -= (made * x[:each]).sum(1, keepdims=True) * x[:each]
+        made /= np.maximum(np.linalg.norm(made, axis=1, keepdims=True), 1e-12)
+        a, b = np.nonzero(np.triu(x @ x.T >= floor, 1))
+        pick = rng.permutation(len(a))[:each]
+        out.append((np.concatenate([x[:each], x[a[pick]]]), np.concatenate([floor * x[:each] + math.sqrt(max(0.0, 1 - floor * floor)) * made, x[b[pick]]]), g))
+    return out
+
+
+def shared_rate(tree: Tree, a: np.ndarray, b: np.ndarray, g: int) -> float:
+    """The share of the pairs that meet in a leaf of the tree."""
+    held = []
+    for x in (a, b):
+        row, leaf = tree.leaves(x, np.full(len(x), g))
+        held.append(np.unique(row << _LEAF_BITS | leaf))
+    return len(np.unique(np.intersect1d(*held) >> _LEAF_BITS)) / len(a)
+
+
+def planted(sample: np.ndarray, group: np.ndarray, levels: list[int], floor: float, recall: float, spill_levels: int, margin: float, least_trees: int, most_trees: int = 512, seed: int = 11) -> tuple[list[Tree], float]:
+    """Trees, ``least_trees`` and more until the worst group's expected recall reaches ``recall``, and that recall."""
+    rng = np.random.default_rng(seed)
+    pairs = close_pairs(sample, group, floor, rng) if len(sample) else []
+    trees: list[Tree] = []
+    missed = np.ones(max(len(pairs), 1))
+    while len(trees) < least_trees or (missed.max() > 1 - recall and len(trees) < most_trees):
+        trees.append(grow(sample, group, levels, spill_levels, margin, rng))
+        missed *= [max(1e-6, 1 - shared_rate(trees[-1], a, b, g)) for a, b, g in pairs] or 0.0
+    return trees, 1 - float(missed.max())
 
 
 def _unit(column: pa.Array, dims: int) -> np.ndarray:
@@ -74,20 +111,39 @@ def _unit(column: pa.Array, dims: int) -> np.ndarray:
     return flat / np.linalg.norm(flat, axis=1, keepdims=True)
 
 
-def _assigned(nodes: DataFrame, forest: Forest, dims: int) -> DataFrame:
-    """A row for each vector and leaf, with all leaves of the vector (tree number times 2^40 plus leaf)."""
+def _leaf_codes(x: np.ndarray, group: np.ndarray, trees: list[Tree]) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (row, leaf number), in order; leaf numbers count through all trees."""
+    pairs = [(row, node | t << _LEAF_BITS) for t, (row, node) in enumerate(tree.leaves(x, group) for tree in trees)]
+    row, leaf = np.concatenate([p[0] for p in pairs]), np.concatenate([p[1] for p in pairs])
+    order = np.lexsort((leaf, row))
+    return row[order], leaf[order].astype(np.int32)
+
+
+def _group_of(labels: pa.Array, hot: dict[int, int]) -> np.ndarray:
+    return np.fromiter((hot.get(x, 0) for x in labels.to_pylist()), dtype=np.int64, count=len(labels))
+
+
+def _leaf_sizes(nodes: DataFrame, trees: list[Tree], hot: dict[int, int], dims: int) -> DataFrame:
+    """Rows ``(label, leaf, size)``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                row, leaf = _leaf_codes(_unit(batch.column("vec"), dims), _group_of(batch.column("label"), hot), trees)
+                yield pa.RecordBatch.from_arrays([batch.column("label").take(pa.array(row)), pa.array(leaf)], names=["label", "leaf"])
+
+    return nodes.select("label", "vec").mapInArrow(run, "label long, leaf int").groupBy("label", "leaf").agg(F.count("*").alias("size"))
+
+
+def _assigned(nodes: DataFrame, trees: list[Tree], hot: dict[int, int], dims: int) -> DataFrame:
+    """A row for each vector and leaf, with the numbers of all leaves of the vector."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x = _unit(batch.column("vec"), dims)
-            pairs = [(row, node + (t << 40)) for t, (row, node) in enumerate(forest.leaves(x))]
-            row, leaf = np.concatenate([p[0] for p in pairs]), np.concatenate([p[1] for p in pairs])
-            order = np.lexsort((leaf, row))
-            row, leaf = row[order], leaf[order]
-            counts = np.bincount(row, minlength=len(x))
-            ends = np.append(0, np.cumsum(counts)).astype(np.int32)
+            row, leaf = _leaf_codes(_unit(batch.column("vec"), dims), _group_of(batch.column("label"), hot), trees)
+            ends = np.append(0, np.cumsum(np.bincount(row, minlength=batch.num_rows))).astype(np.int32)
             member = pa.ListArray.from_arrays(pa.array(ends), pa.array(leaf))
             take = pa.array(row)
             yield pa.RecordBatch.from_arrays(
@@ -95,13 +151,13 @@ def _assigned(nodes: DataFrame, forest: Forest, dims: int) -> DataFrame:
                 names=["label", "leaf", "node", "weight", "member", "vec"],
             )
 
-    return nodes.select("label", "node", "weight", "vec").mapInArrow(run, "label long, leaf long, node long, weight long, member array<long>, vec array<float>")
+    return nodes.select("label", "node", "weight", "vec").mapInArrow(run, "label long, leaf int, node long, weight long, member array<int>, vec array<float>")
 
 
 def _first_shared(member: list[np.ndarray], i: np.ndarray, j: np.ndarray, leaf: int) -> np.ndarray:
     """Of pairs that share ``leaf``, those that share none before it."""
     width = max(map(len, member))
-    table = np.full((len(member), width), -1, dtype=np.int64)
+    table = np.full((len(member), width), -1, dtype=np.int32)
     for k, m in enumerate(member):
         early = m[m < leaf]
         table[k, : len(early)] = early
@@ -172,7 +228,7 @@ def _compared(rows: DataFrame, floor: float, dims: int, step: int = 1024) -> Dat
 
 def linked_vectors(
     vectors: DataFrame, floor: float = 0.93, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label",
-    leaf_size: int = 1024, spill_levels: int = 3, margin: float = 0.03, recall: float = 0.999, sample: int = 20_000, block: int = 2048,
+    leaf_size: int = 1024, spill_levels: int = 3, margin: float = 0.65, recall: float = 0.9999, sample: int = 50_000, block: int = 2048, least_trees: int = 4, least_levels: int = 2, hot_labels: int = 64,
 ) -> DataFrame:
     """Rows ``(vec_id, n_links, component_id, kept)``, one for each row of ``vectors``.
 
@@ -183,9 +239,13 @@ def linked_vectors(
     never names a component.  A vector without links is its own component.  An empty input
     gives an empty result.
 
-    Medians come from at most ``sample`` vectors; every vector is indexed.  Levels grow with
-    the logarithm of the largest label, trees so that the expected recall stays the same.
-    Leaves of more than ``block`` rows are compared in pairs of blocks.
+    Every size goes through a forest of ``least_trees`` or more trees of ``least_levels`` or
+    more levels.  Medians come from at most ``sample`` vectors, for each of the ``hot_labels``
+    largest labels from its own, for the others from theirs together; every vector is indexed.
+    Levels grow with the logarithm of a label's size up to one leaf for each 16 sampled vectors,
+    trees as the measured recall asks; ``margin`` is in standard deviations of
+    the difference of two projections at the floor.  Leaves of more than ``block`` rows are compared in
+    pairs of blocks.
     """
     spark = vectors.sparkSession
     vec = F.col(vector_col).cast("array<float>")
@@ -197,22 +257,26 @@ def linked_vectors(
     finite = F.forall("vec", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
     sound = F.coalesce((F.size("vec") == dims) & finite & F.exists("vec", lambda v: v != 0) & F.col("label").isNotNull(), F.lit(False))
     nodes = staged(rows.where(sound).groupBy("label", "vec").agg(F.min("row").alias("node"), F.count("*").alias("weight")), "neighbours-nodes")
-    largest = nodes.groupBy("label").count().agg(F.max("count"), F.sum("count")).first()
-    most, total = largest[0] or 0, largest[1] or 0
-    levels = max(0, math.ceil(math.log2(max(1, most) / leaf_size)))
-    apart = min(0.5, 1.3 * math.acos(floor) / math.pi)  # chance that one split parts vectors at the floor
-    lost = 1 - (1 - apart) ** max(0, levels - spill_levels) * (1 - apart / 20) ** min(levels, spill_levels)
-    trees = 1 if levels == 0 else max(2, math.ceil(math.log(1 - recall) / math.log(min(max(lost, 1e-9), 1 - 1e-9))))
-    picked = nodes.where(F.pmod(F.xxhash64("node"), F.lit(max(1, total // sample))) == 0).select("vec").limit(sample).toArrow() if levels else None
-    base = _unit(picked.column("vec").combine_chunks(), dims) if picked is not None and picked.num_rows else np.zeros((0, dims))
+    largest = nodes.groupBy("label").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "label").limit(hot_labels + 1).collect()
+    total = nodes.count()
+    big = [r for r in largest[:hot_labels] if r["n"] > 2 * leaf_size]
+    hot = {r["label"]: i + 1 for i, r in enumerate(big)}
+    sizes = [max((r["n"] for r in largest if r["label"] not in hot), default=1), *(r["n"] for r in big)]
+    share = -(-total // sample) if total else 1
+    picked = nodes.where(F.pmod(F.xxhash64("node"), F.lit(share)) == 0).select("label", "vec").limit(2 * sample).toArrow()
+    base = _unit(picked.column("vec").combine_chunks(), dims) if picked.num_rows else np.zeros((0, dims))
+    group = _group_of(picked.column("label"), hot)
+    known = np.bincount(group, minlength=len(sizes))
+    levels = [max(least_levels, min(math.ceil(math.log2(max(1, n) / leaf_size)), int(math.log2(max(k, 16) / 16)))) for n, k in zip(sizes, known.tolist())]
+    spill = margin * math.sqrt(2 * (1 - floor) / dims)
+    trees, _ = planted(base, group, levels, floor, recall, spill_levels, spill, least_trees)
     with settings(spark, values={"spark.sql.execution.arrow.maxRecordsPerBatch": "2048"}):
-        placed = staged(_assigned(nodes, grow(base, trees, levels, spill_levels, margin), dims), "neighbours-leaves")
-        full = placed.groupBy("label", "leaf").agg(F.count("*").alias("size"))
+        full = staged(_leaf_sizes(nodes, trees, hot, dims).where("size > 1"), "neighbours-leaves")
         blocks = F.ceil(F.col("size") / block).cast("int")
         mine = F.pmod(F.xxhash64("node"), blocks).cast("int")
-        pairs = F.transform(F.sequence(F.lit(0), blocks - 1), lambda o: F.struct((F.least(mine, o) * 1_000_000 + F.greatest(mine, o)).cast("long").alias("bucket"), (mine != o).alias("crossed"), F.when(mine > o, 1).otherwise(0).alias("side")))
+        pairs = F.transform(F.sequence(F.lit(0), blocks - 1), lambda o: F.struct((F.least(mine, o).cast("long") * (1 << 31) + F.greatest(mine, o)).alias("bucket"), (mine != o).alias("crossed"), F.when(mine > o, 1).otherwise(0).alias("side")))
         dealt = (
-            placed.join(full.where("size > 1"), ["label", "leaf"]).withColumn("p", F.explode(pairs))
+            _assigned(nodes, trees, hot, dims).join(full, ["label", "leaf"]).withColumn("p", F.explode(pairs))
             .select("label", "leaf", "p.bucket", "p.crossed", "p.side", "node", "weight", "member", "vec")
             .repartition("label", "leaf", "bucket").sortWithinPartitions("label", "leaf", "bucket")
         )
@@ -224,7 +288,7 @@ def linked_vectors(
     known = rows.where(sound).join(about, ["label", "vec"]).select("row", "n_links", "root")
     every = staged(rows.select("row", "vec_id").join(known, "row", "left"), "neighbours-every")
     least = every.where("root is not null").groupBy("root").agg(F.min("vec_id").alias("least"))
-    dropped(placed, nodes, got)
+    dropped(full, nodes, got)
     component = F.coalesce("least", "vec_id")
     return every.join(least, "root", "left").select(
         "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(False)).alias("kept")
