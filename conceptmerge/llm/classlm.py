@@ -83,7 +83,7 @@ def word_counts(texts: DataFrame, flush: int = 300_000) -> DataFrame:
 
 @dataclass
 class Units:
-    """Numbers of words in the first step: ``direct`` words below ``exchanged`` by place, all others by spelling after them."""
+    """Numbers of words in the first step: exchanged words by place, all others by spelling after them; ``direct`` holds those of frequent words."""
 
     exchanged: int
     groups: int
@@ -96,8 +96,8 @@ class Units:
 
     def coded(self, words: list[bytes]) -> np.ndarray:
         get, low, n = self.direct.get, self.exchanged, self.groups
-        out = np.fromiter((get(x, low) for x in words), dtype=np.int64, count=len(words))
-        for k in np.flatnonzero(out >= low).tolist():
+        out = np.fromiter((get(x, -1) for x in words), dtype=np.int64, count=len(words))
+        for k in np.flatnonzero(out < 0).tolist():
             out[k] = low + zlib.crc32(words[k][-3:]) % n
         return out
 
@@ -178,32 +178,66 @@ def exchange(bigrams: np.ndarray, classes: int, rounds: int = 200) -> np.ndarray
     return of
 
 
-def _contexts(texts: DataFrame, units: Units, class_of: np.ndarray, classes: int, flush: int = 400_000) -> DataFrame:
-    """Rows ``(word, ctx, n)`` for all words beyond the exchanged ones: how often each stands between two classes (before * classes + after)."""
+def _contexts(texts: DataFrame, units: Units, direct: list[bytes], class_of: np.ndarray, classes: int, flush: int = 400_000) -> DataFrame:
+    """Rows ``(word, cell, n)`` for all words beyond the exchanged ones: how often a class stands before one (its number), after it (``classes`` more), or two stand around it (all pairs, from twice ``classes`` on).
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter[tuple[bytes, int]] = Counter()
+    Workers add up the words of ``direct`` in a table of fixed size and send one row for each
+    word and task; the cells of other words go as they come.  Rows are dealt by word once, and
+    all sums over a word are made where it went.
+    """
 
-        def out() -> pa.RecordBatch:
-            words, ctx = zip(*seen)
-            made = pa.RecordBatch.from_arrays([_words(list(words)), pa.array(ctx, pa.int32()), pa.array(list(seen.values()), pa.int64())], names=["word", "ctx", "n"])
-            seen.clear()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        k2 = 2 * classes
+        place = {w: i for i, w in enumerate(direct)}
+        table = np.zeros(len(direct) * k2, dtype=np.int64)
+        others: dict[bytes, list[int]] = {}
+        held = 0
+
+        def out(words: list[bytes], ends: np.ndarray, cells: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+            ends = pa.array(ends.astype(np.int32))
+            lists = [pa.ListArray.from_arrays(ends, pa.array(x)) for x in (cells.astype(np.int32), n.astype(np.int64))]
+            return pa.RecordBatch.from_arrays([_words(words), *lists], names=["word", "cells", "ns"])
+
+        def rest() -> pa.RecordBatch:
+            lists = list(others.values())
+            cells = np.fromiter((x for one in lists for x in one), dtype=np.int32, count=held)
+            made = out(list(others), np.append(0, np.cumsum([len(x) for x in lists])), cells, np.ones(held, np.int64))
+            others.clear()
             return made
 
         for batch in batches:
+            found = []
             for text in batch.column(0).to_pylist():
                 got = tokens(text)
                 unit = units.coded([END, *got, END])
                 cls = class_of[unit]
                 at = np.flatnonzero(unit[1:-1] >= units.exchanged)
-                seen.update(zip([got[k] for k in at.tolist()], (cls[at] * classes + cls[at + 2]).tolist()))
-            if len(seen) > flush:
-                yield out()
-        if seen:
-            yield out()
-
-    rows = texts.select("text").mapInArrow(run, "word string, ctx int, n long")
-    return rows.groupBy("word", "ctx").agg(F.sum("n").alias("n"))
+                mine = [got[k] for k in at.tolist()]
+                where = np.fromiter((place.get(w, -1) for w in mine), dtype=np.int64, count=len(mine))
+                left, right = cls[at], cls[at + 2]
+                near = where >= 0
+                found += (where[near] * k2 + left[near], where[near] * k2 + classes + right[near])
+                around = (k2 + left * classes + right).tolist()
+                for k in np.flatnonzero(~near).tolist():
+                    others.setdefault(mine[k], []).append(around[k])
+                    held += 1
+            if found:
+                table += np.bincount(np.concatenate(found), minlength=len(table))
+            if held > flush:
+                yield rest()
+                held = 0
+        if held:
+            yield rest()
+        by_word = table.reshape(-1, k2) if len(table) else np.zeros((0, k2), np.int64)
+        for lo in range(0, len(direct), 4096):
+            part = by_word[lo : lo + 4096]
+            row, cell = np.nonzero(part)
+            if len(row):
+                yield out(direct[lo : lo + 4096], np.append(0, np.cumsum((part > 0).sum(1))), cell, part[row, cell])
+
+    rows = texts.select("text").mapInArrow(run, "word string, cells array<int>, ns array<long>")
+    dealt = rows.where("size(cells) > 0").repartition("word")
+    return dealt.select("word", F.inline(F.arrays_zip(F.col("cells").alias("cell"), F.col("ns").alias("n")))).groupBy("word", "cell").agg(F.sum("n").alias("n"))
 
 
 def _placed(contexts: DataFrame, before: np.ndarray, after: np.ndarray) -> DataFrame:
@@ -216,19 +250,19 @@ def _placed(contexts: DataFrame, before: np.ndarray, after: np.ndarray) -> DataF
             sizes = np.diff(lists.offsets.to_numpy())
             owner = np.repeat(np.arange(len(sizes)), sizes)
             flat = lists.flatten()
-            ctx, n = flat.field("ctx").to_numpy().astype(np.int64), flat.field("n").to_numpy().astype(np.float64)
-            best, count = np.zeros(len(sizes), np.int32), np.bincount(owner, weights=n, minlength=len(sizes)).astype(np.int64)
-            for lo in range(0, len(sizes), 4096):
-                hi = min(lo + 4096, len(sizes))
-                a, b = np.searchsorted(owner, (lo, hi))
-                cell = (owner[a:b] - lo) * classes
-                left = np.bincount(cell + ctx[a:b] // classes, weights=n[a:b], minlength=(hi - lo) * classes).reshape(-1, classes)
-                right = np.bincount(cell + ctx[a:b] % classes, weights=n[a:b], minlength=(hi - lo) * classes).reshape(-1, classes)
-                best[lo:hi] = 1 + np.argmax((left @ before.T + right @ after.T)[:, 1:], axis=1)
-            yield pa.RecordBatch.from_arrays([batch.column("word"), pa.array(count), pa.array(best)], names=["word", "c", "cls"])
+            cell, n = flat.field("cell").to_numpy().astype(np.int64), flat.field("n").to_numpy().astype(np.float64)
+            pair = cell >= 2 * classes
+            around = cell - 2 * classes
+            beside = np.zeros((len(sizes), 2 * classes))
+            np.add.at(beside, (owner[~pair], cell[~pair]), n[~pair])
+            np.add.at(beside, (owner[pair], around[pair] // classes), n[pair])
+            np.add.at(beside, (owner[pair], classes + around[pair] % classes), n[pair])
+            left, right = beside[:, :classes], beside[:, classes:]
+            best = 1 + np.argmax((left @ before.T + right @ after.T)[:, 1:], axis=1)
+            yield pa.RecordBatch.from_arrays([batch.column("word"), pa.array(left.sum(1).astype(np.int64)), pa.array(best.astype(np.int32))], names=["word", "c", "cls"])
 
-    # at most classes * classes contexts a word
-    return contexts.groupBy("word").agg(F.collect_list(F.struct("ctx", "n")).alias("l")).mapInArrow(run, "word string, c long, cls int")
+    # at most classes * (classes + 2) cells a word
+    return contexts.groupBy("word").agg(F.collect_list(F.struct("cell", "n")).alias("l")).mapInArrow(run, "word string, c long, cls int")
 
 
 @dataclass
@@ -261,7 +295,9 @@ def learned(training: DataFrame, classes: int = 48, exchanged: int = 1000, group
     n1, n2 = about["n1"], about["n2"]
     discount = min(0.9, max(0.1, n1 / (n1 + 2 * n2) if n1 else 0.5))
     top = counts.where(F.col("word") != end).orderBy(F.desc("c"), "word").limit(direct).collect()
-    units = Units(exchanged, groups, {END: 0} | {r["word"].encode(): i + 1 for i, r in enumerate(top[: exchanged - 1])})
+    frequent = [r["word"].encode() for r in top[exchanged - 1 :]]
+    numbers = {END: 0} | {r["word"].encode(): i + 1 for i, r in enumerate(top[: exchanged - 1])}
+    units = Units(exchanged, groups, numbers | {w: exchanged + spelling_group(w, groups) for w in frequent})
     bigrams = unit_bigrams(training, units)
     of = exchange(bigrams, classes)
     one = np.zeros((units.size, classes))
@@ -269,7 +305,7 @@ def learned(training: DataFrame, classes: int = 48, exchanged: int = 1000, group
     table = one.T @ bigrams @ one
     share = (table.sum(0) + 1) / (table.sum() + classes)
     beside = lambda t: np.log((t + share) / (t.sum(1, keepdims=True) + 1))
-    rest = staged(_placed(_contexts(training, units, of, classes), beside(table.T), beside(table)), "classlm-classes", FEW)
+    rest = staged(_placed(_contexts(training, units, frequent, of, classes), beside(table.T), beside(table)), "classlm-classes", FEW)
     dropped(counts)
     held = [(r["word"].encode(), r["c"]) for r in top]
     class_of = np.zeros(len(held) + 1, dtype=np.int64)
@@ -363,7 +399,8 @@ def document_scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", t
     learns = ~F.coalesce(held_out, F.lit(False))
     held, rest = learned(texts.where(learns), **model)
     parts = staged(_sequences(texts.select("doc_id", "text", learns.alias("learns")), held).withColumn("row", F.monotonically_increasing_id()), "classlm-parts", FEW)
-    tail = parts.select("row", F.inline("tail")).join(rest, "word").groupBy("row").agg(F.collect_list(F.struct("at", "c", "cls")).alias("known"))
+    # dealt by row first: lists of one element made before a shuffle would only be longer
+    tail = parts.select("row", F.inline("tail")).join(rest, "word").select("row", "at", "c", "cls").repartition("row").groupBy("row").agg(F.collect_list(F.struct("at", "c", "cls")).alias("known"))
     whole = staged(parts.drop("tail").join(tail, "row", "left").drop("row"), "classlm-sequences")
     dropped(parts, rest)
     with settings(spark, values={"spark.sql.execution.arrow.maxRecordsPerBatch": str(FEW)}):

@@ -2,8 +2,9 @@
 
 A word is a run of bytes other than space and the control bytes 9 to 13.  Each word gets a
 64-bit code; codes of neighbouring words combine into codes of shingles and windows.
-Codes only propose candidates or carry two independent halves, so nothing rests on one
-64-bit code being free of collisions.
+Codes propose candidates.  Where two codes of a window stand for its words, both are made of
+the same word codes: they differ for different sequences of codes, but two words of equal
+64-bit code (a chance of about ``v**2 / 2**65`` among v distinct words) are one word to both.
 """
 
 from __future__ import annotations
