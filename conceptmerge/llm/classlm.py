@@ -178,7 +178,7 @@ def exchange(bigrams: np.ndarray, classes: int, rounds: int = 200) -> np.ndarray
     return of
 
 
-def _contexts(texts: DataFrame, units: Units, direct: list[bytes], class_of: np.ndarray, classes: int, flush: int = 400_000) -> DataFrame:
+def _contexts(texts: DataFrame, units: Units, direct: list[bytes], class_of: np.ndarray, classes: int, flush: int = 800_000) -> DataFrame:
     """Rows ``(word, cell, n)`` for all words beyond the exchanged ones: how often a class stands before one (its number), after it (``classes`` more), or two stand around it (all pairs, from twice ``classes`` on).
 
     Workers add up the words of ``direct`` in a table of fixed size and send one row for each
@@ -186,6 +186,8 @@ def _contexts(texts: DataFrame, units: Units, direct: list[bytes], class_of: np.
     all sums over a word are made where it went.
     """
 
+    bits = (classes * (classes + 2)).bit_length()  # of a code: the cell; above it the count
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         k2 = 2 * classes
         place = {w: i for i, w in enumerate(direct)}
@@ -194,13 +196,12 @@ def _contexts(texts: DataFrame, units: Units, direct: list[bytes], class_of: np.
         held = 0
 
         def out(words: list[bytes], ends: np.ndarray, cells: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-            ends = pa.array(ends.astype(np.int32))
-            lists = [pa.ListArray.from_arrays(ends, pa.array(x)) for x in (cells.astype(np.int32), n.astype(np.int64))]
-            return pa.RecordBatch.from_arrays([_words(words), *lists], names=["word", "cells", "ns"])
+            codes = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(n.astype(np.int64) << bits | cells))
+            return pa.RecordBatch.from_arrays([_words(words), codes], names=["word", "codes"])
 
         def rest() -> pa.RecordBatch:
             lists = list(others.values())
-            cells = np.fromiter((x for one in lists for x in one), dtype=np.int32, count=held)
+            cells = np.fromiter((x for one in lists for x in one), dtype=np.int64, count=held)
             made = out(list(others), np.append(0, np.cumsum([len(x) for x in lists])), cells, np.ones(held, np.int64))
             others.clear()
             return made
@@ -235,9 +236,10 @@ def _contexts(texts: DataFrame, units: Units, direct: list[bytes], class_of: np.
             if len(row):
                 yield out(direct[lo : lo + 4096], np.append(0, np.cumsum((part > 0).sum(1))), cell, part[row, cell])
 
-    rows = texts.select("text").mapInArrow(run, "word string, cells array<int>, ns array<long>")
-    dealt = rows.where("size(cells) > 0").repartition("word")
-    return dealt.select("word", F.inline(F.arrays_zip(F.col("cells").alias("cell"), F.col("ns").alias("n")))).groupBy("word", "cell").agg(F.sum("n").alias("n"))
+    rows = texts.select("text").mapInArrow(run, "word string, codes array<long>")
+    cells = rows.repartition("word").select("word", F.explode("codes").alias("code"))
+    cells = cells.select("word", F.col("code").bitwiseAND((1 << bits) - 1).cast("int").alias("cell"), F.shiftright("code", bits).alias("n"))
+    return cells.groupBy("word", "cell").agg(F.sum("n").alias("n"))
 
 
 def _placed(contexts: DataFrame, before: np.ndarray, after: np.ndarray) -> DataFrame:
