@@ -307,7 +307,7 @@ def learned(training: DataFrame, classes: int = 48, exchanged: int = 1000, group
     table = one.T @ bigrams @ one
     share = (table.sum(0) + 1) / (table.sum() + classes)
     beside = lambda t: np.log((t + share) / (t.sum(1, keepdims=True) + 1))
-    rest = staged(_placed(_contexts(training, units, frequent, of, classes), beside(table.T), beside(table)), "classlm-classes", FEW)
+    rest = staged(_placed(_contexts(training, units, frequent, of, classes), beside(table.T), beside(table)), "classlm-classes", FEW, "zstd")
     dropped(counts)
     held = [(r["word"].encode(), r["c"]) for r in top]
     class_of = np.zeros(len(held) + 1, dtype=np.int64)
@@ -400,10 +400,10 @@ def document_scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", t
     texts = _texts(docs, id_col, text_col)
     learns = ~F.coalesce(held_out, F.lit(False))
     held, rest = learned(texts.where(learns), **model)
-    parts = staged(_sequences(texts.select("doc_id", "text", learns.alias("learns")), held).withColumn("row", F.monotonically_increasing_id()), "classlm-parts", FEW)
+    parts = staged(_sequences(texts.select("doc_id", "text", learns.alias("learns")), held).withColumn("row", F.monotonically_increasing_id()), "classlm-parts", FEW, "zstd")
     # dealt by row first: lists of one element made before a shuffle would only be longer
     tail = parts.select("row", F.inline("tail")).join(rest, "word").select("row", "at", "c", "cls").repartition("row").groupBy("row").agg(F.collect_list(F.struct("at", "c", "cls")).alias("known"))
-    whole = staged(parts.drop("tail").join(tail, "row", "left").drop("row"), "classlm-sequences")
+    whole = staged(parts.drop("tail").join(tail, "row", "left").drop("row"), "classlm-sequences", codec="zstd")
     dropped(parts, rest)
     with settings(spark, values={"spark.sql.execution.arrow.maxRecordsPerBatch": str(FEW)}):
         bigrams = _class_bigrams(whole, held)

@@ -28,19 +28,19 @@ def settings(spark: SparkSession, **values: str):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def staged(df: DataFrame, label: str, rows_a_batch: int | None = None) -> DataFrame:
+def staged(df: DataFrame, label: str, rows_a_batch: int | None = None, codec: str | None = None) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
     This cuts the lineage like a reliable checkpoint: a lost executor costs only the tasks
     it was running, and the shuffle files behind the table are given back at once.
     ``rows_a_batch`` holds for the Arrow batches of this table's Python steps alone: few rows
-    where each may be a long text.
+    where each may be a long text.  ``codec`` is the table's compression, the session's if not given.
     """
     spark = df.sparkSession
     path = fresh_path(spark, label)
     batch = {} if rows_a_batch is None else {_BATCH: str(rows_a_batch)}
     with settings(spark, values={_CLEAN: "true"} | batch):
-        df.write.parquet(path)
+        df.write.options(**({"compression": codec} if codec else {})).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._staged_at = path
     return out
