@@ -37,7 +37,8 @@ def component_labels(links: DataFrame, label: str = "components") -> DataFrame:
     minimum is combined before its shuffle, and the renaming is a join that Spark may split.
 
     Nulls and self-links are ignored; an empty input gives an empty result.  The scramble
-    changes from round to round, and it is a bijection, so no two nodes tie.
+    is a bijection, so no two nodes tie.  It changes every second round: under a new one half of
+    a star's leaves stay where they are, and only the same one again brings them all to the least.
     """
     links = staged(
         links.where("a is not null and b is not null and a <> b")
@@ -47,11 +48,12 @@ def component_labels(links: DataFrame, label: str = "components") -> DataFrame:
     )
     trail, depth = [], 0
     while not links.isEmpty():
+        order = depth // 2
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = (
             both.groupBy("a")
-            .agg(F.min(_scramble(F.col("b"), depth)).alias("near"))
-            .select(F.col("a").alias("node"), _unscramble(F.least("near", _scramble(F.col("a"), depth)), depth).alias("to"))
+            .agg(F.min(_scramble(F.col("b"), order)).alias("near"))
+            .select(F.col("a").alias("node"), _unscramble(F.least("near", _scramble(F.col("a"), order)), order).alias("to"))
         )
         least = staged(least, label)
         trail.append(least)

@@ -197,14 +197,17 @@ def near_copy_links(bands: DataFrame, sets: DataFrame, least: float, few: int =
     group of near copies becomes one component without a list of its pairs.  What is then not
     connected, or what rounds no longer make much fewer, is compared within its buckets, in
     blocks of at most about ``block`` shingles, so nothing is left out and no pairs are listed.
+    Each round starts from the former components as stars, which contract at once.
     """
     shared = bands.groupBy("key").agg(F.count("*").alias("size")).where("size > 1").select("key")
     bands = staged(bands.join(shared, "key"), "nearcopies-bands")
-    links, before = known, None
+    links, before, spent = known, None, []
     for turn in range(rounds + 1):
         at = bands.withColumn("root", F.col("node"))
         if links is not None:
             roots = component_labels(links, "nearcopies-components")
+            dropped(*spent)
+            links, spent = roots.select(F.col("node").alias("a"), F.col("root").alias("b")), [roots]
             at = bands.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         of_root = at.groupBy("key", "root").agg(F.count("*").alias("c"), F.sum("n").alias("n"))
         buckets = of_root.groupBy("key").agg(F.sum("c").alias("size"), F.sum(F.col("c") * F.col("c")).alias("sq"), F.sum("n").alias("all_n"), F.max(F.struct("c", "root", "n")).alias("m"))
@@ -223,6 +226,7 @@ def near_copy_links(bands: DataFrame, sets: DataFrame, least: float, few: int =
             hub = at.groupBy("key").agg(F.min_by(F.struct("node", "n", "root"), F.xxhash64("node", F.lit(turn))).alias("hub")).select("key", "hub.*")
             got = staged(_verified(_pairs(hub, other, least), sets, least), "nearcopies-links")
         dropped(buckets)
+        spent.append(got)
         links = got if links is None else links.unionByName(got)
         if last:
             break
