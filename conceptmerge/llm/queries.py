@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .alignment import alignments
 from .classlm import document_scores
 from .contamination import contaminated
 from .neighbours import linked_vectors
@@ -15,6 +16,7 @@ from .preferences import preference_examples, turn_lists, with_curtailed_answer
 from .quality import fit_quality, scored
 from .repeats import passages_removed
 from .simhash import simhash_components
+from .survivorship import Field, golden_records
 from .warc import capture_histories
 
 #: The key of the registered query; a deployment passes its own secret.
@@ -79,6 +81,23 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+#: The shop's sources by falling trust, and how each field of its golden record is chosen.
+CLIENT_SOURCES = ("crm", "web", "store", "partner")
+CLIENT_FIELDS = (
+    Field("name", ("name",), "longest"), Field("email", ("email",), "trusted"), Field("segment", ("segment",), "recent"),
+    Field("balance", ("balance",), "within", of="segment"), Field("address", ("city", "nation_id"), "fullest"),
+)
+
+
+def op11_golden_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = golden_records(_table(spark, sf_dir, "clients"), CLIENT_FIELDS, CLIENT_SOURCES)
+    return found.withColumn("balance", F.floor(F.col("balance") * 100 + 0.5).cast("long")).withColumnRenamed("balance", "balance_cents")
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignments(_table(spark, sf_dir, "documents"), tokenizer_path(), tokenizer_path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_simhash_dedup": op2_simhash_dedup,
@@ -90,6 +109,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_preference_format": op8_preference_format,
     "op9_repeated_passages": op9_repeated_passages,
     "op10_class_lm": op10_class_lm,
+    "op11_golden_records": op11_golden_records,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 ORACLES: dict[str, str] = {
@@ -137,4 +158,36 @@ ORACLES: dict[str, str] = {
                coalesce(string_agg(mb, ',' ORDER BY i) FILTER (i > k), '') AS chosen_mask,
                coalesce(string_agg(ms, ',' ORDER BY i) FILTER (i > k), '') AS rejected_mask
         FROM m GROUP BY conv_id""",
+    "op11_golden_records": """
+        WITH r AS (
+            SELECT coalesce(master_id, client_id) AS cluster_id, client_id, updated_at, nation_id,
+                   CASE source WHEN 'crm' THEN 0 WHEN 'web' THEN 1 WHEN 'store' THEN 2 WHEN 'partner' THEN 3 ELSE 4 END AS rank,
+                   CASE WHEN regexp_full_match(name, '[\x20\x09-\x0D]*') THEN NULL ELSE name END AS name,
+                   CASE WHEN regexp_full_match(email, '[\x20\x09-\x0D]*') THEN NULL ELSE email END AS email,
+                   CASE WHEN regexp_full_match(city, '[\x20\x09-\x0D]*') THEN NULL ELSE city END AS city,
+                   CASE WHEN regexp_full_match(segment, '[\x20\x09-\x0D]*') THEN NULL ELSE segment END AS segment,
+                   CASE WHEN isfinite(balance) THEN balance END AS balance
+            FROM clients),
+        s AS (
+            SELECT *, updated_at IS NULL OR updated_at < max(updated_at) OVER (PARTITION BY cluster_id) - INTERVAL 1440 HOUR AS stale,
+                   first_value(segment IGNORE NULLS) OVER (
+                       PARTITION BY cluster_id ORDER BY updated_at DESC NULLS LAST, rank, client_id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS chosen
+            FROM r),
+        o AS (
+            SELECT *, row_number() OVER (PARTITION BY cluster_id ORDER BY updated_at DESC NULLS LAST, rank, client_id) AS recent,
+                   row_number() OVER (PARTITION BY cluster_id ORDER BY stale, rank, updated_at DESC NULLS LAST, client_id) AS trusted,
+                   row_number() OVER (PARTITION BY cluster_id ORDER BY length(name) DESC NULLS LAST, stale, rank, updated_at DESC NULLS LAST, client_id) AS longest,
+                   row_number() OVER (
+                       PARTITION BY cluster_id ORDER BY segment IS DISTINCT FROM chosen, updated_at DESC NULLS LAST, rank, client_id) AS inside,
+                   row_number() OVER (
+                       PARTITION BY cluster_id ORDER BY (city IS NULL)::INT + (nation_id IS NULL)::INT, stale, rank, updated_at DESC NULLS LAST, client_id) AS fullest
+            FROM s)
+        SELECT cluster_id, count(*) AS n_records, count(*) FILTER (stale) AS n_stale,
+               arg_min(name, longest) AS name, arg_min(email, trusted) FILTER (email IS NOT NULL) AS email,
+               arg_min(segment, recent) FILTER (segment IS NOT NULL) AS segment, max(city) FILTER (fullest = 1) AS city, max(nation_id) FILTER (fullest = 1) AS nation_id,
+               floor(100 * (arg_min(balance, inside) FILTER (balance IS NOT NULL)) + 0.5)::BIGINT AS balance_cents,
+               arg_min(client_id, longest) FILTER (name IS NOT NULL) AS name_from, arg_min(client_id, trusted) FILTER (email IS NOT NULL) AS email_from,
+               arg_min(client_id, recent) FILTER (segment IS NOT NULL) AS segment_from, arg_min(client_id, inside) FILTER (balance IS NOT NULL) AS balance_from,
+               max(client_id) FILTER (fullest = 1 AND (city IS NOT NULL OR nation_id IS NOT NULL)) AS address_from
+        FROM o GROUP BY cluster_id""",
 }
