@@ -15,6 +15,7 @@ from .pii import replaced
 from .preferences import preference_examples, turn_lists, with_curtailed_answer
 from .quality import fit_quality, scored
 from .repeats import passages_removed
+from .sharding import sharded
 from .simhash import simhash_components
 from .survivorship import Field, golden_records
 from .warc import capture_histories
@@ -94,6 +95,15 @@ def op11_golden_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("balance", F.floor(F.col("balance") * 100 + 0.5).cast("long")).withColumnRenamed("balance", "balance_cents")
 
 
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Law ``bytes``: sizes near equal; equal texts, null and empty ones among them, stay together."""
+    text = F.coalesce("text", F.lit(""))
+    docs = _table(spark, sf_dir, "documents").select("doc_id", text.alias("text"))
+    docs = docs.select("doc_id", "text", (F.octet_length("text") + 16).cast("long").alias("size"), F.crc32("text").alias("text_crc32"))
+    found = sharded(docs, 40, F.col("size"), F.col("text"), carried=["doc_id", "size", "text_crc32"])
+    return found.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignments(_table(spark, sf_dir, "documents"), tokenizer_path(), tokenizer_path("piece_bpe_32k.model"))
 
@@ -110,6 +120,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_repeated_passages": op9_repeated_passages,
     "op10_class_lm": op10_class_lm,
     "op11_golden_records": op11_golden_records,
+    "op12_sharding": op12_sharding,
     "op13_token_alignment": op13_token_alignment,
 }
 
