@@ -5,10 +5,10 @@ import pytest
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from conceptmerge.llm import contamination, packing, queries, simhash
+from conceptmerge.llm import packing, queries
 
 from .test_contamination import brute as leaks
-from .test_simhash import brute as groups
+from .test_nearcopies import brute as near_copies
 
 DATA = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="test tables are not here")
@@ -38,9 +38,8 @@ def test_stages_in_turn(spark, tmp_path):
             assert sum(judged) >= 0.97 * len(judged)
         elif k == 1:
             ids = sorted(old)
-            group = groups([simhash.fingerprint(old[i], 5) for i in ids], 6)
             least = {}
-            for i, g in zip(ids, group):
+            for i, g in zip(ids, near_copies([old[i] for i in ids])):
                 least.setdefault(g, i)
             assert sorted(new) == sorted(least.values())
         elif k == 2:
