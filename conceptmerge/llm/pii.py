@@ -307,7 +307,7 @@ def replaced(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str =
     joined to their replacements by id and a hash of the text, so equal or null ids are no
     harm, and all other columns stay.  An empty input gives an empty result.
     """
-    if entities_col in docs.columns:
+    if entities_col and entities_col.lower() in {c.lower() for c in docs.columns}:
         raise ValueError(f"the input already has a column {entities_col}; name another")
     table = replacements(docs, text_col, key)
     id_, mark, found_, words, surs = unused(docs, "id_", "mark_", "found_", "words_", "surs_")

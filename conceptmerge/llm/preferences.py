@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .staging import unused
+
 # The marks of the published ChatML layout.
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>\n"
 
@@ -60,20 +62,21 @@ def preference_examples(pairs: DataFrame, chosen: str = "chosen_turns", rejected
     The prompt is the longest common prefix of whole turns; the completions are the turns
     after it.  Equal lists give empty completions, lists that differ at once an empty prompt;
     a null list counts as empty; repeated rows stay.  Other columns stay, but must not have
-    the names that are made.  An empty input gives an empty result.
+    the names that are made, in any case.  An empty input gives an empty result.
     """
     made = ("n_prompt_turns", "prompt", "chosen", "rejected", "chosen_mask", "rejected_mask")
     kept = [c for c in pairs.columns if c not in (chosen, rejected)]
-    if clash := sorted(set(kept) & set(made)):
+    if clash := sorted(c for c in kept if c.lower() in made):
         raise ValueError(f"the input already has columns {clash}; rename them")
     none = F.array().cast("array<struct<role:string,text:string>>")
     a, b = F.coalesce(F.col(chosen), none), F.coalesce(F.col(rejected), none)
-    cut = pairs.select(*kept, a.alias("_a"), b.alias("_b"), common_turns(a, b).alias("n_prompt_turns"))
-    rest = lambda c: F.slice(c, F.col("n_prompt_turns") + 1, F.greatest(F.size(c) - F.col("n_prompt_turns"), F.lit(0)))
-    cut = cut.select(*kept, "n_prompt_turns", F.slice("_a", 1, F.col("n_prompt_turns")).alias("_p"), rest(F.col("_a")).alias("_a"), rest(F.col("_b")).alias("_b"))
+    p_, a_, b_, n = (*unused(pairs, "p_", "a_", "b_"), "n_prompt_turns")
+    cut = pairs.select(*kept, a.alias(a_), b.alias(b_), common_turns(a, b).alias(n))
+    rest = lambda c: F.slice(c, F.col(n) + 1, F.greatest(F.size(c) - F.col(n), F.lit(0)))
+    cut = cut.select(*kept, n, F.slice(a_, 1, F.col(n)).alias(p_), rest(F.col(a_)).alias(a_), rest(F.col(b_)).alias(b_))
     return cut.select(
-        *kept, "n_prompt_turns", rendered(F.col("_p")).alias("prompt"), rendered(F.col("_a")).alias("chosen"), rendered(F.col("_b")).alias("rejected"),
-        mask(F.col("_a"), trained_role).alias("chosen_mask"), mask(F.col("_b"), trained_role).alias("rejected_mask"),
+        *kept, n, rendered(F.col(p_)).alias("prompt"), rendered(F.col(a_)).alias("chosen"), rendered(F.col(b_)).alias("rejected"),
+        mask(F.col(a_), trained_role).alias("chosen_mask"), mask(F.col(b_), trained_role).alias("rejected_mask"),
     )
 
 

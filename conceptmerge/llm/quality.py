@@ -16,6 +16,8 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .staging import unused
+
 #: ASCII punctuation that is not usual in sentences.
 _SYMBOLS = "*#$%&|@^~=+<>\\_{}[]`/"
 
@@ -142,8 +144,8 @@ def _lasso(z: np.ndarray, y: np.ndarray, penalty: float, rounds: int = 600) -> t
     return float(b - mean @ w), w
 
 
-def fit_rules(x: np.ndarray, y: np.ndarray, trees: int = 24, depth: int = 3, penalty: float = 1e-3, seed: int = 7) -> RuleModel:
-    """The rule ensemble of labelled statistics.  With one class or no rows the score is that class's smoothed share."""
+def fit_rules(x: np.ndarray, y: np.ndarray, trees: int = 24, depth: int = 3, penalty: float = 1e-3, seed: int = 7, draws: int = 4000) -> RuleModel:
+    """The rule ensemble of labelled statistics; each tree sees at most ``draws`` of the rows.  With one class or no rows the score is that class's smoothed share."""
     if len(y) < 2 or y.min() == y.max():
         share = (y.sum() + 1) / (len(y) + 2)
         return RuleModel(math.log(share / (1 - share)), ())
@@ -151,7 +153,7 @@ def fit_rules(x: np.ndarray, y: np.ndarray, trees: int = 24, depth: int = 3, pen
     least = max(3, len(y) // 400)
     found: dict[Rule, None] = {}
     for _ in range(trees):
-        pick = rng.integers(0, len(y), size=min(len(y), 4000))
+        pick = rng.integers(0, len(y), size=min(len(y), draws))
         found |= dict.fromkeys(_grow(x[pick], y[pick].astype(float), rng, depth, least))
     by_rows: dict[bytes, Rule] = {}
     for rule in sorted(found, key=lambda r: (len(r.tests), r.tests)):  # of rules that hold for the same rows the shortest stays
@@ -163,7 +165,7 @@ def fit_rules(x: np.ndarray, y: np.ndarray, trees: int = 24, depth: int = 3, pen
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, most: int, id_col: str, text_col: str, label_col: str, usable: Column | None) -> tuple[np.ndarray, np.ndarray]:
-    """Statistics and labels of at most ``most`` labelled rows, the first in the order of a hash of the id."""
+    """Statistics and labels of at most ``most`` labelled ids, the first in the order of a hash of the id; of an id's texts the least in all statistics counts."""
     chosen = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
     if usable is not None:
         chosen = chosen.where(usable)
@@ -172,7 +174,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, most: int, id_col: str,
         .orderBy(F.xxhash64("_id"), "_id").limit(most)
     )
     rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text")).join(F.broadcast(chosen), "_id")
-    rows = rows.select("_id", "_y", statistics(F.col("_text")).alias("s")).select("_id", "_y", "s.*")
+    rows = rows.select("_id", "_y", statistics(F.col("_text")).alias("s")).groupBy("_id", "_y").agg(F.min("s").alias("s")).select("_id", "_y", "s.*")
     got = rows.toArrow().to_pandas().sort_values(["_id", "words", "mean_word"], kind="stable")
     return got[list(STATISTICS)].to_numpy(dtype=float), (got["_y"].to_numpy() > 0).astype(int)
 
@@ -181,8 +183,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, usable: Column | None = None
     """The model of the labelled documents that meet ``usable`` (a condition on the id column).
 
     At most ``most`` labelled rows are learned from: a documented bound, under which fitting
-    on the driver takes memory and time that do not grow with the corpus.  Where an id has
-    several labels the least counts.  Rows without a label, id or document teach nothing.
+    on the driver takes memory and time that do not grow with the corpus, also where ids repeat.
+    ``how`` goes to ``fit_rules``.  Where an id has several labels the least counts.  Rows without a label, id or document teach nothing.
     """
     x, y = labelled_sample(docs, labels, most, id_col, text_col, label_col, usable)
     return fit_rules(x, y, **how)
@@ -190,9 +192,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, usable: Column | None = None
 
 def scored(docs: DataFrame, model: RuleModel, text_col: str = "text", threshold: float = 0.7, score: str = "score", predicted: str = "predicted") -> DataFrame:
     """``docs`` with the model's score and 1 or 0.  Null texts score like empty ones; repeated rows alike; no rows, no result."""
-    names = set(docs.columns)
-    if {score, predicted} & names:
-        raise ValueError(f"the input already has a column {sorted({score, predicted} & names)}; name others")
-    stats = next(f"_stats{i}" for i in range(len(names) + 1) if f"_stats{i}" not in names)
+    if clash := sorted(c for c in docs.columns if c.lower() in (score.lower(), predicted.lower())):
+        raise ValueError(f"the input already has a column {clash}; name others")
+    (stats,) = unused(docs, "stats")
     out = docs.withColumn(stats, statistics(F.col(text_col))).withColumn(score, model.column(stats))
     return out.withColumn(predicted, (F.col(score) >= threshold).cast("int")).drop(stats)

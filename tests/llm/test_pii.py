@@ -148,3 +148,10 @@ def test_a_full_form_is_an_error(spark):
     few = spark.range(4).selectExpr("'card' AS cls", "cast(id AS string) AS canon")
     with pytest.raises(RuntimeError, match="no replacement is free"):
         pii.surrogates(few, "key", most_rounds=3)
+
+
+def test_a_column_of_the_same_name_is_not_lost(spark):
+    df = spark.createDataFrame([(1, "write to ann.lee@example.org", "mine")], "doc_id long, text string, Entities string")
+    with pytest.raises(ValueError, match="entities"):
+        pii.replaced(df, "key", entities_col="entities")
+    assert pii.replaced(df, "key").first()["Entities"] == "mine"

@@ -53,3 +53,13 @@ def test_turn_lists(spark):
     assert cut[1]["n_prompt_turns"] == 2 and cut[1]["rejected"] == render([("assistant", "b")]) and cut[2]["chosen"] == ""
     plan = p.preference_examples(p.with_curtailed_answer(listed))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_clashing_column_names(spark):
+    import pytest
+
+    df = spark.createDataFrame([(1, "x", [("user", "a")], [("user", "b")])], KIND)
+    got = p.preference_examples(df.selectExpr("*", "1 _a", "2 a_", "3 P_"))
+    assert got.columns[:5] == ["id", "prompt_id", "_a", "a_", "P_"] and [got.first()[c] for c in ("_a", "a_", "P_")] == [1, 2, 3]
+    with pytest.raises(ValueError, match="Prompt"):
+        p.preference_examples(df.selectExpr("*", "1 Prompt"))

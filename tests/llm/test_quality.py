@@ -38,3 +38,33 @@ def test_edges(spark, docs):
     with pytest.raises(ValueError, match="score"):
         quality.scored(docs(ODD), model)
     assert quality.scored(docs(ODD), model, score="s2").count() == len(ODD)
+
+
+def test_clashing_names_and_repeated_ids(spark, docs):
+    rows = labelled()
+    labels = spark.createDataFrame([(i, int(i < 1000)) for i, _ in rows], "doc_id long, quality int")
+    with pytest.raises(ValueError, match="Score"):
+        quality.scored(docs(rows).withColumnRenamed("score", "Score"), quality.RuleModel(0.0, ()))
+    got = quality.scored(docs(rows).drop("score").withColumn("Stats", F.lit("mine")), quality.RuleModel(0.0, ()))
+    assert {r["Stats"] for r in got.collect()} == {"mine"}
+    repeated = docs(rows + [(5, f"another text {i}") for i in range(300)])
+    x, y = quality.labelled_sample(repeated, labels, 100, "doc_id", "text", "quality", None)
+    assert len(x) == len(y) == 100
+    assert len(quality.labelled_sample(repeated, labels, 10_000, "doc_id", "text", "quality", None)[1]) == len(rows)
+
+
+def test_statistics_against_plain_python(spark):
+    import math
+    import re
+
+    texts = [t for _, t in ODD if t and len(t) < 100_000] + ["Ünï cödé ABC! 12 ?\n\nx\ty.", "a  b\nc\na  b", "***", "É" * 25 + " yes no yes"]
+    got = [tuple(r["s"]) for r in spark.createDataFrame([(t,) for t in texts], "t string").select(quality.statistics(F.col("t")).alias("s")).collect()]
+    for t, row in zip(texts, got):
+        words, lines, n = [w for w in re.split(r"[\x20\x09-\x0D]+", t) if w], t.split("\n"), len(t)
+        per = max(len(words), 1)
+        count = lambda of: sum(c in of for c in t)
+        want = (
+            math.log10(len(words) + 1), count(r"*#$%&|@^~=+<>\_{}[]`/") / n, count("!") / per, sum(c.isupper() for c in t) / n, count("0123456789") / n, n / per, len(set(words)) / per,
+            len(set(lines)) / len(lines), len(words) / len(lines), count(".?") / per, count(" \n\t\r") / n, sum(len(w) > 20 for w in words) / per,
+        )
+        assert np.allclose(row, want), t[:40]
