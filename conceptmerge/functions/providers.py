@@ -10,13 +10,18 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+import time
 from collections.abc import Callable, Iterator
 from urllib.parse import quote
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-CATEGORIES = ("Glycolipid", "Glycoprotein", "Glycosaminoglycan", "Monosaccharide", "N-glycan", "O-glycan", "Oligosaccharide", "Polysaccharide", "Motif", "Others")
+# The tags that a summary may have.
+CATEGORIES = (
+    "IUPAC String", "N-Linked Type", "O-Linked Core", "Glycolipid", "Named Functional Motif", "Polysaccharide", "Polysaccharide Repeating Unit", "Monosaccharide", "Disaccharide", "Others",
+)
 
 
 def hashed_embedding(texts: pd.Series, dims: int = 64) -> pd.Series:
@@ -73,24 +78,33 @@ def normalize_by_case(terms: list[str]) -> str:
     return "\n".join(json.dumps({"normalized_term": k, "original_terms": v}, ensure_ascii=False) for k, v in groups.items())
 
 
-def summarize_first(term: str, descriptions: str) -> str:
-    kind = next((c for c in CATEGORIES if c.lower().rstrip("s") in descriptions.lower()), "Others")
-    return "```json\n" + json.dumps({"classification": kind, "description": descriptions.split(". ")[0]}, ensure_ascii=False) + "\n```"
+def summarize_first(term: str, original_terms: list[str], descriptions: str) -> str:
+    """Stand-in for the model that sums a run up: the longest tag that the descriptions name, the other terms, the first sentence."""
+    kind = next((c for c in sorted(CATEGORIES, key=len, reverse=True) if c.lower() in descriptions.lower()), "Others")
+    made = {"exact_synonyms": sorted(set(original_terms) - {term}), "classification": kind, "description": descriptions.split(". ")[0]}
+    return "```json\n" + json.dumps(made, ensure_ascii=False) + "\n```"
 
 
-def answered(batches: DataFrame, argument: str, into: str, provider: Callable[..., str]) -> DataFrame:
-    """A provider's answer for each batch row; an exception becomes an empty answer, which parsing turns into its fallback."""
-    @F.pandas_udf("string")
-    def call(column: pd.Series) -> pd.Series:
-        def one(x) -> str:
+def answered(batches: DataFrame, arguments: str | list[str], into: str, provider: Callable[..., str]) -> DataFrame:
+    """A provider's answer for each row, and ``<into>_error``, null where it answered.
+
+    An exception leaves an empty answer, which parsing turns into its fallback, and its text
+    as the error, so a provider that is down can be told from one that answers nonsense.
+    """
+    names = [arguments] if isinstance(arguments, str) else arguments
+
+    @F.pandas_udf("answer string, error string")
+    def call(*columns: pd.Series) -> pd.DataFrame:
+        def one(*row) -> tuple[str, str | None]:
             try:
-                return provider(x.tolist() if hasattr(x, "tolist") else x)
-            except Exception:
-                return ""
+                return provider(*[x.tolist() if hasattr(x, "tolist") else x for x in row]), None
+            except Exception as e:
+                return "", f"{type(e).__name__}: {e}"
 
-        return column.map(one)
+        return pd.DataFrame([one(*row) for row in zip(*columns)], columns=["answer", "error"])
 
-    return batches.withColumn(into, call(F.col(argument)))
+    said = batches.withColumn("_said", call(*[F.col(c) for c in names]))
+    return said.withColumn(into, F.col("_said.answer")).withColumn(f"{into}_error", F.col("_said.error")).drop("_said")
 
 
 class Lookups:
@@ -109,7 +123,7 @@ class Lookups:
 
 
 class RemoteLookups:
-    """The same look-ups over a service.  ``get(url)`` gives ``(status, decoded JSON)`` or raises; tests pass a stand-in.
+    """The same look-ups over a service.  Its routes and messages are fixed values.  ``get(url)`` gives ``(status, decoded JSON)`` or raises; tests pass a stand-in.
 
     It must be picklable, as the calls run on the executors.
     """
@@ -149,3 +163,39 @@ def looked_up(df: DataFrame, column: str, into: str, method: Callable[[str], str
 
     distinct = df.select(column).distinct().withColumn(into, call(F.col(column)))
     return df.join(distinct, column, "left")
+
+
+def resolved(df: DataFrame, column: str, connect: Callable[[], Callable[[str], str | None]], tries: int = 4, wait: float = 0.5, calls_a_second: float | None = None, tasks: int | None = None) -> DataFrame:
+    """Rows ``(key, value, error, tries)`` for each distinct value of a column: what a remote service says about it.
+
+    ``connect`` runs once in each task and gives the call for one key, so clients need not be
+    picklable.  A call that raises is made again, up to ``tries`` times, after ``wait`` seconds
+    and then twice as long each time; the last error stays in the row, so failures are a table
+    (``error is not null``) that can be resolved again.  Keys are dealt to ``tasks`` (by default
+    the session's shuffle partitions), each asked for once and one after another, which with
+    ``calls_a_second`` bounds what a service sees.  A null key is not asked for.
+    """
+    spark = df.sparkSession
+    tasks = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ask, pause = None, 1 / calls_a_second if calls_a_second else 0
+        for batch in batches:
+            rows = []
+            for key in batch.column(0).to_pylist():
+                for turn in range(1, tries + 1):
+                    try:
+                        ask = ask or connect()
+                        rows.append((key, ask(key), None, turn))
+                        break
+                    except Exception as e:
+                        if turn == tries:
+                            rows.append((key, None, f"{type(e).__name__}: {e}", turn))
+                        else:
+                            time.sleep(wait * 2 ** (turn - 1))
+                time.sleep(pause)
+            columns = list(zip(*rows)) or [(), (), (), ()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.string(), pa.string(), pa.int32()))], names=["key", "value", "error", "tries"])
+
+    keys = df.select(F.col(column).cast("string").alias("key")).where("key is not null").distinct()
+    return keys.repartition(tasks, "key").mapInArrow(run, "key string, value string, error string, tries int")

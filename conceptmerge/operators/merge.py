@@ -6,7 +6,7 @@ Precedence is data: rows carry ``_source_rank`` (place of their file in the queu
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
 from ..functions.scalars import is_kept, ustrip
 from ..schemas import DISCARD
@@ -20,25 +20,44 @@ def usable_terms(terms: DataFrame) -> DataFrame:
     return out.where((F.col("term_uuid") != "") & is_kept(F.col("term")))
 
 
-def merge_concepts(terms: DataFrame, compat: bool = False) -> DataFrame:
-    """One node for each ``term_uuid``: ``(lbl, term_uuid, gtc_id, gsd_id, sources, _created)``.
+_STATE = ("ord", "source", "lbl", "lbl_ord", "gsd", "gsd_ord", "lists", "n")
 
-    The label is the first non-empty term.  Ids come in order: the creator's as they are,
-    later ones when new.  ``gsd_id`` is the last non-empty one; in compatible mode the
-    creator's own is lost, and nodes seen once have none (null: the key is absent) while
-    nodes updated without one have ``""``.  Sources are unique by ``src_uuid``, first come
-    first.  A node holds all its sources, so a group is as large as its output row.
-    """
+
+def concept_states(terms: DataFrame) -> DataFrame:
+    """What is to be known of the rows of each ``(term_uuid, src_uuid)``; states of more rows fold into one."""
     ids = F.filter(F.coalesce("gtc_id", F.array().cast("array<string>")), lambda x: x.isNotNull() & (x != ""))
     order = F.struct("_source_rank", "_line")
     rows = usable_terms(terms).select("term_uuid", "term", "xref", "src_uuid", ids.alias("ids"), F.nullif("gsd_id", F.lit("")).alias("gsd"), order.alias("ord"))
     source = F.struct(F.col("term").alias("src_lbl"), F.col("xref").alias("src"), "src_uuid")
-    first_of = rows.groupBy("term_uuid", "src_uuid").agg(
+    return rows.groupBy("term_uuid", "src_uuid").agg(
         F.min("ord").alias("ord"), F.min_by(source, "ord").alias("source"), F.min_by("term", F.when(F.col("term") != "", F.col("ord"))).alias("lbl"),
         F.min(F.when(F.col("term") != "", F.col("ord"))).alias("lbl_ord"), F.max_by("gsd", F.when(F.col("gsd").isNotNull(), F.col("ord"))).alias("gsd"),
         F.max(F.when(F.col("gsd").isNotNull(), F.col("ord"))).alias("gsd_ord"), F.collect_list(F.struct("ord", "ids")).alias("lists"), F.count("*").alias("n"),
     )
-    whole = first_of.groupBy("term_uuid").agg(
+
+
+def _first_seen(lists: Column) -> Column:
+    """Lists of ids by place: the first as it is, then each further id where it came first."""
+    ordered = F.array_sort(lists)
+    first = F.get(ordered, 0)
+    each = F.flatten(F.transform(F.slice(ordered, 2, F.greatest(F.size(ordered) - 1, F.lit(0))), lambda x: F.transform(x["ids"], lambda i: F.struct(x["ord"].alias("ord"), i.alias("id")))))
+    names = F.transform(each, lambda x: x["id"])
+    new = F.filter(each, lambda x, i: (F.array_position(names, x["id"]) == i + 1) & ~F.array_contains(first["ids"], x["id"]))
+    return F.concat(F.array(first), F.transform(new, lambda x: F.struct(x["ord"].alias("ord"), F.array(x["id"]).alias("ids"))))
+
+
+def folded_states(states: DataFrame) -> DataFrame:
+    """One state for each ``(term_uuid, src_uuid)``, of all its states in whatever order they came."""
+    folded = states.groupBy("term_uuid", "src_uuid").agg(
+        F.min_by("source", "ord").alias("source"), F.min_by("lbl", "lbl_ord").alias("lbl"), F.max_by("gsd", "gsd_ord").alias("gsd"), F.flatten(F.collect_list("lists")).alias("lists"),
+        *[F.min(c).alias(c) for c in ("ord", "lbl_ord")], F.max("gsd_ord").alias("gsd_ord"), F.sum("n").alias("n"),
+    )
+    return folded.withColumn("lists", _first_seen(F.col("lists"))).select("term_uuid", "src_uuid", *_STATE)
+
+
+def concepts_of(states: DataFrame, compat: bool = False) -> DataFrame:
+    """The nodes of ``merge_concepts`` from states."""
+    whole = states.groupBy("term_uuid").agg(
         F.min("ord").alias("_created"), F.min_by("lbl", "lbl_ord").alias("lbl"), F.max_by("gsd", "gsd_ord").alias("gsd"), F.max("gsd_ord").alias("gsd_ord"),
         F.array_sort(F.flatten(F.collect_list("lists"))).alias("lists"), F.array_sort(F.collect_list(F.struct("ord", "source"))).alias("sources"), F.sum("n").alias("n"),
     )
@@ -52,6 +71,48 @@ def merge_concepts(terms: DataFrame, compat: bool = False) -> DataFrame:
     )
 
 
+def merge_concepts(terms: DataFrame, compat: bool = False) -> DataFrame:
+    """One node for each ``term_uuid``: ``(lbl, term_uuid, gtc_id, gsd_id, sources, _created)``.
+
+    The label is the first non-empty term.  Ids come in order: the creator's as they are,
+    later ones when new.  ``gsd_id`` is the last non-empty one; in compatible mode the
+    creator's own is lost, and nodes seen once have none (null: the key is absent) while
+    nodes updated without one have ``""``.  Sources are unique by ``src_uuid``, first come
+    first.  A node holds all its sources, so a group is as large as its output row.
+    """
+    return concepts_of(concept_states(terms), compat)
+
+
+class MergeCounts:
+    """Counters of a merge, taken while its rows pass; there once an action over the nodes has ended."""
+
+    def __init__(self, sources: int, rows: Observation, nodes: Observation):
+        self.sources, self.rows, self.nodes = sources, rows, nodes
+
+    def get(self) -> list[tuple[int, int, int, int]]:
+        """``(source rank, skipped, created, updated)`` of each source."""
+        rows, nodes = self.rows.get, self.nodes.get
+        made = [(r, rows[f"skipped_{r}"], nodes[f"created_{r}"], rows[f"used_{r}"] - nodes[f"created_{r}"]) for r in range(self.sources)]
+        return [x for x in made if x[1] or x[2] or x[3]]
+
+
+def merge_observed(terms: DataFrame, sources: int, compat: bool = False) -> tuple[DataFrame, MergeCounts]:
+    """``merge_concepts`` and its counters in one pass over the rows of ``sources`` ranks.
+
+    What is skipped is counted where it is dropped, and a source has created the nodes whose
+    first row is its own.  A stage that runs again after a loss may count its rows again:
+    ``merge_counters`` is the exact count, for a second scan.
+    """
+    rank = F.col("_source_rank")
+    uuid, term = (ustrip(F.coalesce(F.col(k), F.lit(""))) for k in ("term_uuid", "term"))
+    used = (uuid != "") & is_kept(term)
+    seen, made = Observation(), Observation()
+    counted = [F.count_if(~used & (rank == r)).alias(f"skipped_{r}") for r in range(sources)] + [F.count_if(used & (rank == r)).alias(f"used_{r}") for r in range(sources)]
+    nodes = merge_concepts(terms.observe(seen, *counted), compat)
+    created = [F.count_if(F.col("_created._source_rank") == r).alias(f"created_{r}") for r in range(sources)]
+    return nodes.observe(made, *created), MergeCounts(sources, seen, made)
+
+
 def merge_counters(terms: DataFrame) -> DataFrame:
     """For each source: rows skipped, concepts created, rows that updated one."""
     keys = ("term", "term_uuid")

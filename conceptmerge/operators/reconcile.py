@@ -63,3 +63,8 @@ def require_reconciled(originals: DataFrame, decisions: DataFrame, order: Column
     if left or right:
         raise ReconcileFailed(f"records without a decision: {left}; decisions without a record: {right}", done)
     return done.drop("_status")
+
+
+def match_sample(rows: DataFrame, order: list[str], n: int = 3, uuid: str = "term_uuid") -> DataFrame:
+    """Of the first ``n`` rows along the order those that were matched: a report to look at."""
+    return rows.orderBy(*order).limit(n).where(F.col(uuid).isNotNull())

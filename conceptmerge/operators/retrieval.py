@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.scalars import document_text, stable_id, with_synonym
+from ..sources.scratch import fresh_path, removed, written
+from .batching import numbered
+from .nearest import DIGITS, nearest, unit_rows
 
 
 def cosine(a: Column, b: Column) -> Column:
@@ -17,26 +21,87 @@ def cosine(a: Column, b: Column) -> Column:
     return F.try_divide(dot, norm(a) * norm(b))
 
 
-def top_k(queries: DataFrame, store: DataFrame, k: int, floor: float = 0.3, query_id: str = "query_id", store_id: str = "id", vector: str = "embedding", store_rows_a_block: int = 50_000) -> DataFrame:
+def top_k(queries: DataFrame, store: DataFrame, k: int, floor: float = 0.3, query_id: str = "query_id", store_id: str = "id", vector: str = "embedding", store_rows_a_block: int = 4096) -> DataFrame:
     """Rows ``(query_id, id, score, rank)``: the k nearest stored vectors of each query, ties by id.
 
-    The stated queries meet the store block by block: they are copied once for each block of
-    the store, and each block keeps its own k best before the final ranking.  Vectors are
-    scaled to length one beforehand, so a pair costs one dot product.
+    Scores are cosines in double precision, to twelve digits.  Blocks of queries meet blocks
+    of the store in matrix products; see ``nearest``.
     """
-    def unit(v: Column) -> Column:
-        n = F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
-        return F.transform(v, lambda x: F.try_divide(x.cast("double"), n))
-
-    size = store.count()
-    blocks = max(1, -(-size // store_rows_a_block), min(queries.sparkSession.sparkContext.defaultParallelism, size))
-    stored = store.select(F.col(store_id).alias("id"), unit(F.col(vector)).alias("_v"), F.pmod(F.xxhash64(store_id), F.lit(blocks)).alias("_block"))
-    asked = queries.select(F.col(query_id).alias("query_id"), unit(F.col(vector)).alias("_q"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("_block"))
-    dot = F.aggregate(F.zip_with("_q", "_v", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
-    met = asked.join(stored, "_block").select("query_id", "id", "_block", dot.alias("score")).where(F.col("score") >= floor)
-    best = met.withColumn("_r", F.row_number().over(Window.partitionBy("query_id", "_block").orderBy(F.desc("score"), "id"))).where(F.col("_r") <= k)
-    ranked = best.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "id")))
-    return ranked.where(F.col("rank") <= k).select("query_id", "id", "score", "rank")
+    none = F.lit(0).cast("long").alias("at")
+    asked = queries.select(F.col(query_id).alias("id"), none, F.col(vector).alias("v"))
+    stored = store.select(F.col(store_id).alias("id"), none, F.col(vector).alias("v"))
+    return nearest(asked, stored, k, floor, rows_a_block=store_rows_a_block)
+
+
+def decide_in_order(terms: DataFrame, id_col: str, order: list[str], vector: str = "embedding", floor: float = 0.3, prefix: int = 4096) -> DataFrame:
+    """Order-dependent decisions on a table of any size: ``(id, action, concept_id, score)``.
+
+    Terms take their turn along ``order`` (ties by id).  A term maps to the nearest concept
+    founded before it, if one lies within the floor, else it founds a concept of its own;
+    the founders are the first independent set of the order.  They are found in rounds: the
+    first ``prefix`` terms that are still open depend on each other alone and are decided one
+    by one, on the driver, which never holds more; then all open terms near the new founders
+    close, in one pass without a shuffle.  A round's founders are sent to the tasks: at most
+    ``prefix`` vectors.  What maps finds its nearest founder by ``nearest``.
+
+    A vector without a direction (null, zero, not finite) founds a concept that nothing maps
+    to.  Ids are distinct.
+    """
+    spark = terms.sparkSession
+    kind = dict(terms.dtypes)[id_col]
+    plain = terms.select(F.col(id_col).alias("id"), F.struct(*order).alias("o"), F.col(vector).cast("array<double>").alias("v"))
+    every = written(numbered(plain, ["o", "id"], "at").select("id", "at", "v"), "in-order")
+    pending, used = every, [every]
+    founders = None
+    while True:
+        first = pending.orderBy("at").limit(prefix).toArrow()
+        if not first.num_rows:
+            break
+        rows, _, parts = unit_rows(first.column("v"))
+        at = first.column("at").to_numpy()
+        groups, begun = [], np.zeros(first.num_rows, dtype=bool)
+        begun[np.setdiff1d(np.arange(first.num_rows), rows)] = True
+        seen = 0
+        for m in parts:
+            mine = rows[seen : seen + len(m)]
+            seen += len(m)
+            turn = np.argsort(at[mine])
+            mine, m = mine[turn], m[turn]
+            open_, chosen = np.ones(len(m), dtype=bool), []
+            for i in range(len(m)):
+                if open_[i]:
+                    chosen.append(i)
+                    open_[i:] &= np.round(m[i:] @ m[i], DIGITS) < floor
+            begun[mine[chosen]] = True
+            groups.append(m[chosen])
+        new = spark.createDataFrame(first.select(["id", "at", "v"]).filter(pa.array(begun)))
+        new.select(F.col("id").cast(kind).alias("id"), "at", "v").write.mode("append").parquet(founders := founders or fresh_path(spark, "founders"))
+        sent = spark.sparkContext.broadcast(groups)
+        last = int(at.max())
+
+        def still_open(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                keep = np.ones(batch.num_rows, dtype=bool)
+                rows, dims, parts = unit_rows(batch.column("v"))
+                for m in parts:
+                    here = rows[dims == m.shape[1]]
+                    for f in sent.value:
+                        if len(f) and f.shape[1] == m.shape[1]:
+                            keep[here] &= np.round(m @ f.T, DIGITS).max(axis=1) < floor
+                yield batch.filter(pa.array(keep))
+
+        pending = written(pending.where(F.col("at") > last).mapInArrow(still_open, pending.schema), "in-order-open")
+        used.append(pending)
+    if founders is None:
+        return every.select("id", F.lit("add").alias("action"), F.col("id").alias("concept_id"), F.lit(0.0).alias("score"))
+    held = spark.read.parquet(founders)
+    rest = every.join(held.select("id"), "id", "left_anti")
+    near = nearest(rest, held, 1, floor, earlier=True).select(F.col("query_id").alias("id"), F.lit("map").alias("action"), F.col("id").alias("concept_id"), "score")
+    out = written(near.unionByName(held.select("id", F.lit("add").alias("action"), F.col("id").alias("concept_id"), F.lit(None).cast("double").alias("score"))), "in-order-decisions")
+    for df in used:
+        removed(df)
+    removed(held)
+    return out
 
 
 def decide(terms: DataFrame, known: DataFrame, term: str = "term", known_name: str = "name", known_id: str = "id") -> DataFrame:

@@ -89,6 +89,37 @@ def mention_sentence(text: Column, spans: Column, start: Column, end: Column, ar
     return ustrip(F.when(hit.isNotNull(), F.substring(text, hit["s"] + 1, hit["e"] - hit["s"])).otherwise(near))
 
 
+def occurrences(docs: DataFrame, id_col: str, text_col: str, literal: str) -> DataFrame:
+    """Rows ``(id, start_pos, end_pos)``: all places of the literal in whole texts, from left to right without overlaps, in characters."""
+    pattern, n = re.compile(re.escape(literal)), len(literal)
+
+    def places(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: [m.start() for m in pattern.finditer(t)] if t else [])
+
+    found = docs.where(F.contains(F.col(text_col), F.lit(literal))).select(F.col(id_col).alias("id"), F.explode(F.pandas_udf(places, "array<int>")(F.col(text_col))).alias("start_pos"))
+    return found.withColumn("end_pos", F.col("start_pos") + n)
+
+
+def first_overlaps(mentions: DataFrame, spans: DataFrame, id_col: str = "id", start: str = "start_pos", end: str = "end_pos", width: int = 2048) -> DataFrame:
+    """``mentions`` with ``s`` and ``e`` of the first span of ``spans (id, s, e)`` of the same document that they overlap, null without one.
+
+    A join of ranges: both sides are put into bins of ``width`` places, so rows meet by
+    document and bin, and a document with any number of mentions is spread over its bins.
+    What meets in several bins is one match again in the minimum that picks the first.
+    """
+    def bins(low: Column, high: Column) -> Column:
+        return F.explode(F.sequence(F.floor(low / width), F.floor(F.greatest(high - 1, low) / width)))
+
+    key = [F.col(id_col).alias("_id"), F.col(start).alias("_a"), F.col(end).alias("_b")]
+    sound = F.col("_id").isNotNull() & (F.col("_a") <= F.col("_b"))
+    asked = mentions.select(*key).distinct().where(sound).withColumn("_bin", bins(F.col("_a"), F.col("_b")))
+    held = spans.select(F.col("id").alias("_id"), "s", "e").where("s < e").withColumn("_bin", bins(F.col("s"), F.col("e")))
+    met = asked.join(held, ["_id", "_bin"]).where((F.col("s") < F.col("_b")) & (F.col("e") > F.col("_a")))
+    first = met.groupBy("_id", "_a", "_b").agg(F.min(F.struct("s", "e")).alias("_first"))
+    same = (F.col(id_col) == F.col("_id")) & (F.col(start) == F.col("_a")) & (F.col(end) == F.col("_b"))
+    return mentions.join(first, same, "left").select(*mentions.columns, F.col("_first.s").alias("s"), F.col("_first.e").alias("e"))
+
+
 def is_excluded(term: Column) -> Column:
     """Whether a term holds anything of the excluded families."""
     any_case, as_written = "|".join(EXCLUDED_ANY_CASE), "|".join(EXCLUDED_AS_WRITTEN)
@@ -164,6 +195,11 @@ def chunks(docs: DataFrame, id_col: str, text_col: str = "text", size: int = 100
     return out.withColumn("chunk_id", stable_id(F.col("id").cast("string"), F.col("at").cast("string")))
 
 
+def chunk_preview(chunked: DataFrame, n: int = 3) -> DataFrame:
+    """The first ``n`` chunks, by document and place: a report to look at."""
+    return chunked.orderBy("id", "at").limit(n)
+
+
 def mention_groups(mentions: DataFrame, term: str, sentence: str, about: Column, order: str) -> DataFrame:
     """Rows ``(original_term, term_in_sentence, metadata)``: all mentions of a term, in order."""
     one = F.struct(F.col(order).alias("o"), F.col(sentence).alias("s"), about.alias("m"))

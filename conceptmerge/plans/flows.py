@@ -66,10 +66,11 @@ def write_catalogue(spark: SparkSession, made: Catalogue, folder: str, when: str
     writers.backed_up(spark, folder, when=stamp)
     paths = {k: f"{folder}/{k}{stamp}.json" for k in ("master_nodes", "master_edges", "dictionary")}
     edges = made.edges.select("subj", "pred", "obj", "comment", "_source_rank", "_line")
-    writers.write_document(writers.array_document(made.nodes, ["_created"]), paths["master_nodes"])
-    writers.write_document(writers.array_document(edges, ["_source_rank", "_line"]), paths["master_edges"])
     ordered = made.dictionary.join(made.nodes.select("term_uuid", "_created"), "term_uuid")
-    writers.write_document(writers.dictionary_document(ordered, edges, ["_created"], ["_source_rank", "_line"]), paths["dictionary"])
+    nodes, linked = (made.nodes, ["_created"]), (edges, ["_source_rank", "_line"])
+    writers.write_ordered(spark, paths["master_nodes"], nodes)
+    writers.write_ordered(spark, paths["master_edges"], linked)
+    writers.write_ordered(spark, paths["dictionary"], '{"nodes":', (ordered, ["_created"]), ',"edges":', linked, "}", keep_nulls=True)
     return paths
 
 
@@ -106,8 +107,10 @@ def extracted(texts: DataFrame, names: tuple[str, ...], provider: Callable = pro
 def summarized(mentions: DataFrame, keep: Callable = providers.retain_by_length, normalize: Callable = providers.normalize_by_case, summarize: Callable = providers.summarize_first) -> DataFrame:
     """Mentions grouped by term, filtered and normalised in batches by the providers, and summarised by normalised term.
 
-    ``(glycan_term, exact_synonyms, classification, description)``; unreadable answers count as
-    kept terms, as their own normal form, and as ``Others``.
+    ``(glycan_term, exact_synonyms, classification, description, original_terms, error)``;
+    unreadable answers count as kept terms and as their own normal form, and as a summary
+    without synonyms, of the tag ``Others``, described as ``ERROR``.  Terms are normalised in
+    batches along one order over all of them.
     """
     grouped = text.mention_groups(mentions, "term", "term_in_sentence", F.col("metadata"), "start_pos")
     batches = batching.fixed_batches(grouped.select("original_term"), ["original_term"], 5).groupBy("batch").agg(F.array_sort(F.collect_list("original_term")).alias("terms"))
@@ -119,14 +122,13 @@ def summarized(mentions: DataFrame, keep: Callable = providers.retain_by_length,
     error = F.struct(F.col("line").alias("original_term"), F.lit("error").alias("decision"))
     verdicts = lines(providers.answered(batches, "terms", "answer", keep), "original_term string, decision string", error)
     held = grouped.join(verdicts.where("decision = 'remove'").select("original_term").distinct(), "original_term", "left_anti")
-    letters = held.select("original_term", F.substring(F.lower("original_term"), 1, 1).alias("_part"))
-    again = batching.adaptive_batches(letters, "_part", ["original_term"], "original_term").groupBy("_part", "batch").agg(F.array_sort(F.collect_list("original_term")).alias("terms"))
+    again = batching.adaptive_batches(held.select("original_term"), None, ["original_term"], "original_term").groupBy("batch").agg(F.array_sort(F.collect_list("original_term")).alias("terms"))
     own = F.struct(F.col("line").alias("normalized_term"), F.array("line").alias("original_terms"))
     normal = lines(providers.answered(again, "terms", "answer", normalize), "normalized_term string, original_terms array<string>", own)
     named = normal.select("normalized_term", F.explode("original_terms").alias("original_term")).join(held, "original_term")
     rows = named.select("normalized_term", "original_term", F.array("original_term").alias("terms"), F.array_join("term_in_sentence", " ").alias("d"))
     runs = batching.summarized_runs(rows, ["normalized_term"], ["original_term"], "normalized_term", "terms", "d")
-    answers = providers.answered(runs, "descriptions", "answer", lambda d: summarize("", d))
-    others = F.struct(F.lit("Others").alias("classification"), F.lit("").alias("description"))
-    parsed = answers.withColumn("r", s.parsed_or(F.col("answer"), "classification string, description string", others))
-    return parsed.select(F.col("normalized_term").alias("glycan_term"), F.array_sort("distinct_terms").alias("exact_synonyms"), "r.classification", "r.description")
+    answers = providers.answered(runs, ["normalized_term", "distinct_terms", "descriptions"], "answer", summarize)
+    failed = F.struct(F.array().cast("array<string>").alias("exact_synonyms"), F.lit("Others").alias("classification"), F.lit("ERROR").alias("description"))
+    parsed = answers.withColumn("r", s.parsed_or(F.col("answer"), "exact_synonyms array<string>, classification string, description string", failed))
+    return parsed.select(F.col("normalized_term").alias("glycan_term"), "r.exact_synonyms", "r.classification", "r.description", F.col("nested").alias("original_terms"), F.col("answer_error").alias("error"))

@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions import providers, scalars as s
 from ..operators import batching, checks, graph, merge, reconcile, retrieval, text
 from ..schemas import RELATED
-from ..sources import readers
+from ..sources import readers, writers
 from ..sources.scratch import fresh_path
-from ..streaming import upsert
+from ..streaming import buckets, upsert
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -88,6 +88,18 @@ def merge_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge.merge_counters(rows).withColumnRenamed("_source_rank", "source_rank")
 
 
+@query(ORACLES["merge_counters"])
+def merge_counters_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counters of the merge from its own pass, whose nodes are written meanwhile."""
+    rows = _t(spark, sf_dir, "part").select(
+        F.when(F.col("p_size") % 10 == 0, "[DISCARD]").otherwise(F.col("p_type")).alias("term"), F.col("p_name").alias("term_uuid"), F.col("p_brand").alias("xref"), F.col("p_brand").alias("src_uuid"),
+        F.array("p_type").alias("gtc_id"), F.col("p_size").cast("string").alias("gsd_id"), (F.col("p_size") % 3).alias("_source_rank"), F.col("p_partkey").alias("_line"),
+    )
+    nodes, counts = merge.merge_observed(rows, 3)
+    nodes.write.parquet(fresh_path(spark, "nodes"))
+    return spark.createDataFrame(counts.get(), "source_rank int, skipped long, created long, updated long")
+
+
 def _item_edges(spark: SparkSession, sf_dir: str, labelled: bool = False) -> DataFrame:
     rank = F.when(F.col("l_returnflag") == "A", 0).when(F.col("l_returnflag") == "N", 1).otherwise(2)
     p, q = ("P", "S") if labelled else ("", "")
@@ -118,6 +130,19 @@ def last_wins_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge.last_wins(orders, "customer", "status", F.struct("o_orderdate", "o_orderkey"))
 
 
+@query("SELECT client_id, arg_max(city, change_id) AS city, max(change_id) AS change_id, count(*) AS n_changes FROM client_changes WHERE city IS NOT NULL AND client_id IS NOT NULL GROUP BY client_id")
+def append_log_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes appended to a log in four batches, each of them twice as after a failure; the last of each client counts, and no row counts twice."""
+    changes = _t(spark, sf_dir, "client_changes").where("city is not null and client_id is not null").select("change_id", "client_id", "city")
+    folder = fresh_path(spark, "log")
+    for batch in (2, 0, 3, 1):
+        rows = changes.where(F.col("change_id") % 4 == batch)
+        writers.append_batch(rows, folder, batch)
+        writers.append_batch(rows, folder, batch)
+    log = writers.read_log(spark, folder, changes.schema)
+    return log.groupBy("client_id").agg(F.max_by("city", "change_id").alias("city"), F.max("change_id").alias("change_id"), F.count("*").alias("n_changes"))
+
+
 @query("SELECT 0 AS source_rank, s_nationkey AS nation, count(*) AS n FROM supplier GROUP BY ALL UNION ALL SELECT 1, c_nationkey, count(*) FROM customer GROUP BY ALL")
 def union_by_precedence(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = merge.union_by_precedence(_t(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("nation")), _t(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("nation")))
@@ -130,6 +155,24 @@ def set_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.where("o_orderstatus = 'F'").select("custkey").subtract(orders.where("o_orderstatus = 'O'").select("custkey"))
 
 
+_COMMENTED = "CASE WHEN l_linenumber % 5 = 0 THEN '[DISCARD]' WHEN l_linenumber % 3 = 0 THEN ' seen ' ELSE l_linestatus END"
+
+
+@query(f"""
+    WITH e AS (SELECT trim(' ' || l_partkey || ' ') AS subj, l_suppkey::VARCHAR AS obj, trim({_COMMENTED}) AS comment,
+               CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END AS r, l_orderkey * 10 + l_linenumber AS l FROM lineitem),
+    k AS (SELECT * FROM e WHERE comment <> '[DISCARD]')
+    SELECT subj, 'has_related_synonym' AS pred, obj, arg_min(comment, (r, l)) AS comment FROM k GROUP BY subj, obj""")
+def edges_discarded_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Edges whose comment discards them go before repeats are looked for, so a later edge takes the place of a discarded first."""
+    rank = F.when(F.col("l_returnflag") == "A", 0).when(F.col("l_returnflag") == "N", 1).otherwise(2)
+    edges = _t(spark, sf_dir, "lineitem").select(
+        F.concat(F.lit(" "), F.col("l_partkey").cast("string"), F.lit(" ")).alias("subj"), F.lit(RELATED).alias("pred"), F.col("l_suppkey").cast("string").alias("obj"),
+        F.expr(_COMMENTED).alias("comment"), rank.alias("_source_rank"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("_line"), F.lit("x").alias("xref"),
+    )
+    return graph.stripped_edges(merge.merge_edges(edges))
+
+
 # --- graph ----------------------------------------------------------------------------------
 
 @query("""
@@ -230,6 +273,16 @@ def qc_repeated_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.repeated_labels(nodes).withColumn("term_uuids", _joined("term_uuids"))
 
 
+@query("""
+    SELECT p_name AS lbl, string_agg(p_partkey || ':' || p_brand, '|' ORDER BY p_partkey::VARCHAR) AS sources FROM part GROUP BY p_name HAVING count(*) > 1""")
+def qc_repeated_label_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated labels with each node's sources beside its id."""
+    source = F.array(F.struct(F.col("p_brand").alias("src_uuid")))
+    nodes = _t(spark, sf_dir, "part").select(F.concat(F.lit(" "), F.col("p_name")).alias("lbl"), F.col("p_partkey").cast("string").alias("term_uuid"), source.alias("sources"))
+    each = F.transform("sources", lambda x: F.concat(x["term_uuid"], F.lit(":"), F.array_join(x["src_uuids"], ",")))
+    return checks.repeated_labels(nodes).select("lbl", F.array_join(each, "|").alias("sources"))
+
+
 @query("""
     SELECT p_brand AS gsd_id, count(*) AS n, string_agg(p_partkey::VARCHAR, '|' ORDER BY p_partkey::VARCHAR) AS src_uuids FROM part GROUP BY 1 HAVING count(*) > 1""")
 def qc_repeated_accessions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -274,6 +327,11 @@ def reconcile_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile.reconcile_summary(*_sides(spark, sf_dir), F.col("doc_id"))
 
 
+@query(_SIDES + " SELECT doc_id, u AS term_uuid FROM (SELECT o.doc_id, CASE WHEN o.t <> '[DISCARD]' THEN u END AS u FROM o LEFT JOIN d USING (t) ORDER BY o.doc_id LIMIT 3) WHERE u IS NOT NULL")
+def reconcile_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reconcile.match_sample(reconcile.reconciled(*_sides(spark, sf_dir), F.col("doc_id")), ["doc_id"]).select("doc_id", "term_uuid")
+
+
 # --- retrieval ------------------------------------------------------------------------------
 
 @query("""
@@ -288,6 +346,24 @@ def topk_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return retrieval.top_k(asked, store, 4).withColumn("score", F.round("score", 6))
 
 
+@query("""
+    WITH RECURSIVE v AS (SELECT row_number() OVER (ORDER BY vec_id) AS i, vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+    r AS (
+        SELECT 0::BIGINT AS i, []::STRUCT(id BIGINT, e DOUBLE[])[] AS f
+        UNION ALL
+        SELECT r.i + 1, CASE WHEN len(list_filter(r.f, lambda x: list_cosine_similarity(x.e, v.e) >= 0.6)) > 0 THEN r.f ELSE list_append(r.f, {'id': v.vec_id, 'e': v.e}) END
+        FROM r JOIN v ON v.i = r.i + 1),
+    f AS (SELECT x.id AS id, x.e AS e FROM (SELECT unnest(f) AS x FROM (SELECT f FROM r ORDER BY i DESC LIMIT 1))),
+    n AS (
+        SELECT v.vec_id AS id, f.id AS concept_id, round(list_cosine_similarity(v.e, f.e), 12) AS score FROM v JOIN f ON f.id < v.vec_id WHERE v.vec_id NOT IN (SELECT id FROM f)),
+    b AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY score DESC, concept_id) AS k FROM n WHERE score >= 0.6)
+    SELECT id, 'map' AS action, concept_id, round(score, 6) AS score FROM b WHERE k = 1 UNION ALL SELECT id, 'add', id, NULL FROM f""")
+def decide_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each vector in the order of ids maps to the nearest concept founded before it within 0.6, or founds one."""
+    out = retrieval.decide_in_order(_t(spark, sf_dir, "embeddings"), "vec_id", ["vec_id"], floor=0.6)
+    return out.withColumn("score", F.round("score", 6))
+
+
 @query("""
     WITH k AS (SELECT lower(p_name) AS n, min(p_partkey) AS id FROM part WHERE p_size <= 3 GROUP BY 1),
     t AS (SELECT p_partkey, CASE WHEN p_size % 2 = 0 THEN upper(p_name) ELSE p_name END AS term FROM part)
@@ -330,6 +406,24 @@ def mention_in_sentence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", text.mention_sentence(F.col("text"), text.sentence_spans(F.col("text")), at, at + 3).alias("sentence"))
 
 
+@query("""
+    WITH p AS (SELECT doc_id, unnest(parts) AS part, generate_subscripts(parts, 1) AS i, len(parts) AS n FROM (SELECT doc_id, string_split(text, ' the ') AS parts FROM documents)),
+    m AS (SELECT doc_id, sum(length(part) + 5) OVER (PARTITION BY doc_id ORDER BY i) - 4 AS a, i, n FROM p),
+    q AS (SELECT doc_id, unnest(parts) AS part, generate_subscripts(parts, 1) AS i FROM (
+        SELECT doc_id, string_split(regexp_replace(text, '\\.(\\s+)', '.' || chr(1) || '\\1', 'g'), chr(1)) AS parts FROM documents)),
+    b AS (SELECT doc_id, part, i, sum(length(part)) OVER (PARTITION BY doc_id ORDER BY i) AS e, (i < count(*) OVER (PARTITION BY doc_id))::INTEGER AS blank FROM q),
+    s AS (SELECT doc_id, e - CASE WHEN i = 1 THEN length(part) ELSE length(ltrim(part, E' \\n\\t\\r\\f')) END AS s, e + blank AS e FROM b)
+    SELECT m.doc_id, a::INTEGER AS start_pos, min(s.s)::INTEGER AS s, arg_min(s.e, s.s)::INTEGER AS e
+    FROM m LEFT JOIN s ON s.doc_id = m.doc_id AND s.s < s.e AND s.s < m.a + 3 AND s.e > m.a WHERE m.i < m.n GROUP BY m.doc_id, a""")
+def mentions_in_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every mention of ``the`` in every document with its sentence, by a join of ranges between the two tables."""
+    docs = _t(spark, sf_dir, "documents").select("doc_id", "text")
+    found = text.occurrences(docs, "doc_id", "text", " the ")
+    mentions = found.select(F.col("id").alias("doc_id"), (F.col("start_pos") + 1).alias("start_pos"), (F.col("end_pos") - 1).alias("end_pos"))
+    spans = docs.select(F.col("doc_id").alias("id"), F.explode(text.sentence_spans(F.col("text"))).alias("x")).select("id", "x.*")
+    return text.first_overlaps(mentions, spans, "doc_id").drop("end_pos")
+
+
 #: Terms that a filter must tell apart, dealt to the parts in turn.
 _SPECIMENS = (
     "MUC1", "muc16 core", "galectin-3", "Galectin", "lectins", "selectin", "integrin", "albumin", "transferrin", "IgG", "igm", "Antibodies", "anti glycan", "anti-glycans", "sialyltransferase",
@@ -550,8 +644,8 @@ def jsonl_scan_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _t(spark, sf_dir, "events").select(F.when(F.col("event_id") % 11 == 0, "").otherwise(F.expr(_BROKEN)).alias("raw"))
     sound = F.json_object_keys("raw").isNotNull()
     root = fresh_path(spark, "jsonl")
-    rows.coalesce(1).write.text(f"{root}/all")
-    rows.where(sound).coalesce(1).write.text(f"{root}/sound")
+    rows.repartition(8).write.text(f"{root}/all")
+    rows.where(sound).repartition(8).write.text(f"{root}/sound")
     out = None
     for mode in (readers.PERMISSIVE, readers.CHECKED, readers.STRICT, readers.RAISING):
         lines = readers.read_jsonl(spark, f"{root}/{'all' if mode in (readers.PERMISSIVE, readers.CHECKED) else 'sound'}/*.txt", "k int", mode)
@@ -560,6 +654,17 @@ def jsonl_scan_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+@query("SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id % 16 ORDER BY event_id) AS line, (user_id % 16)::INTEGER AS source_rank FROM events")
+def numbered_line_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line of sixteen line files with its number and the place of its file, from one scan that shuffles no line."""
+    events = _t(spark, sf_dir, "events").select((F.col("user_id") % 16).alias("part"), "event_id", F.to_json(F.struct("user_id", "event_id")).alias("value"))
+    root = fresh_path(spark, "lines")
+    events.repartition(16, "part").sortWithinPartitions("part", "event_id").select("part", "value").write.partitionBy("part").text(root)
+    lines = readers.numbered_lines(spark, [f"{root}/part={i}" for i in range(16)])
+    held = F.from_json("_raw", "user_id long, event_id long")
+    return lines.select(held["user_id"].alias("user_id"), held["event_id"].alias("event_id"), F.col("_line").alias("line"), F.col("_source_rank").alias("source_rank"))
+
+
 @query("SELECT event_id, CASE WHEN event_id % 7 = 0 THEN 'Others' ELSE event_type END AS classification FROM events")
 def code_fence_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     body = F.concat(F.lit('{"classification":"'), "event_type", F.lit('"}'))
@@ -595,6 +700,32 @@ def provider_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.select("batch", s.parsed_or(F.col("line"), "original_term string, decision string", fallback).alias("r")).select("batch", "r.*")
 
 
+class _NationService:
+    """A stand-in for a service that knows the nations: some keys are never answered, some only when asked again."""
+
+    def __init__(self, names: dict[str, str]):
+        self.names, self.asked = names, set()
+
+    def __call__(self, key: str) -> str | None:
+        if int(key) % 7 == 3:
+            raise ConnectionError(f"no answer for {key}")
+        if int(key) % 5 == 1 and key not in self.asked:
+            self.asked.add(key)
+            raise TimeoutError(key)
+        return self.names.get(key)
+
+
+@query("""
+    WITH k AS (SELECT DISTINCT nation_id AS k FROM clients WHERE nation_id IS NOT NULL UNION SELECT DISTINCT nation_id FROM vendors WHERE nation_id IS NOT NULL UNION SELECT 99)
+    SELECT k::VARCHAR AS key, CASE WHEN k % 7 <> 3 THEN n_name END AS value, CASE WHEN k % 7 = 3 THEN 'ConnectionError: no answer for ' || k END AS error,
+           CASE WHEN k % 7 = 3 THEN 3 WHEN k % 5 = 1 THEN 2 ELSE 1 END AS tries FROM k LEFT JOIN nation ON n_nationkey = k""")
+def resolved_lookups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each nation that clients or vendors name is asked for once; failures are rows with their error."""
+    names = {str(r["n_nationkey"]): r["n_name"] for r in _t(spark, sf_dir, "nation").select("n_nationkey", "n_name").collect()}  # 25 rows at every size
+    used = _t(spark, sf_dir, "clients").select("nation_id").unionByName(_t(spark, sf_dir, "vendors").select("nation_id")).unionByName(spark.range(1).select(F.lit(99).alias("nation_id")))
+    return providers.resolved(used, "nation_id", lambda: _NationService(names), tries=3, wait=0.01)
+
+
 @query("""
     SELECT event_type, time_bucket(INTERVAL 1 HOUR, ts) AS start, count(*) AS n FROM events GROUP BY ALL""")
 def windowed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -604,12 +735,23 @@ def windowed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT user_id, arg_max(event_type, (ts, event_id)) AS event_type, max(event_id) FILTER (true) IS NOT NULL AS seen, max((ts, event_id))[2] AS event_id FROM events GROUP BY user_id")
 def incremental_upsert_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Reads the events as a stream of files, merges batch by batch, and returns the final state."""
+    """The events, dealt to eight files, as a stream of a file a batch, each merged into the buckets its users fall into; the final state."""
     whole = _t(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type")
-    kind = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    stream = spark.readStream.schema(kind).parquet(f"{sf_dir}/events.parque[t]").select(*whole.columns)
     target = fresh_path(spark, "upsert")
-    running = upsert.upsert_stream(stream, f"{target}/state", ["user_id"], ["ts", "event_id"], f"{target}/progress")
-    running.awaitTermination()
-    last = running.lastProgress["batchId"] if running.lastProgress else 0
-    return spark.read.parquet(f"{target}/state/v{last}").select("user_id", "event_type", F.lit(True).alias("seen"), "event_id")
+    whole.repartition(8).write.parquet(f"{target}/arrived")
+    stream = spark.readStream.schema(whole.schema).option("maxFilesPerTrigger", 1).parquet(f"{target}/arrived")
+    table = upsert.latest_table(spark, f"{target}/state", ["user_id"], ["ts", "event_id"], buckets=32)
+    upsert.upsert_stream(stream, table, f"{target}/progress").awaitTermination()
+    return table.read().select("user_id", "event_type", F.lit(True).alias("seen"), "event_id")
+
+
+@query(ORACLES["merge_ordered_upsert"])
+def incremental_master_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same master from batches that arrive out of order and one that comes twice; each rewrites the buckets it touches."""
+    terms = _part_terms(spark, sf_dir)
+    table = buckets.BucketTable(spark, fresh_path(spark, "master"), ["term_uuid"], merge.folded_states, buckets=32)
+    for number, part in enumerate((4, 1, 5, 0, 3, 2)):
+        arrived = merge.concept_states(terms.where(F.pmod(F.xxhash64("term_uuid", "_line"), F.lit(6)) == part))
+        table.merge(arrived, number)
+        table.merge(arrived, number)
+    return _flat_nodes(merge.concepts_of(table.read(), compat=True))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StructType
@@ -15,23 +17,27 @@ STRICT, PERMISSIVE, RAISING, CHECKED = "strict", "permissive", "raising", "check
 def numbered_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """Every line as it is, blank ones too: ``(_source, _source_rank, _line, _raw)``; rank is the place in ``paths``.
 
-    Large files are read in blocks: a line's number is its place in its block after the lines
-    of the blocks before it, so no task sees a whole file.
+    One scan reads all files.  A task reads a block's lines one after another, so their row ids
+    follow each other: a line's number is its row id less the least of its block, after the
+    lines of the blocks before it.  What is joined is a row for each block (of some 128 MB);
+    lines are never shuffled.  A path may be a pattern or a folder; its files are numbered
+    each on its own, and a file that several paths name stands once for each.
     """
     if not paths:
         return spark.createDataFrame([], "_source string, _source_rank int, _line long, _raw string")
-    out = None
-    for rank, path in enumerate(paths):
-        block = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block")]
-        lines = spark.read.text(path).select("value", *block, F.monotonically_increasing_id().alias("_at"))
-        sizes = spark.read.text(path).select(*block).groupBy("_file", "_block").agg(F.count("*").alias("_n"))
-        earlier = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)  # one row for each block
-        before = sizes.select("_file", "_block", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-        within = F.row_number().over(Window.partitionBy("_file", "_block").orderBy("_at"))
-        one = lines.withColumn("_within", within).join(F.broadcast(before), ["_file", "_block"])
-        one = one.select(F.lit(path).alias("_source"), F.lit(rank).alias("_source_rank"), (F.col("_before") + F.col("_within")).alias("_line"), F.col("value").alias("_raw"))
-        out = one if out is None else out.unionByName(one)
-    return out
+    named = [(file, path, rank) for rank, path in enumerate(paths) for file in spark.read.text(path).inputFiles()]
+    files = {file for file, _, _ in named}
+    distinct = list(dict.fromkeys(paths))
+    if len({(file, path) for file, path, _ in named}) > len(files):  # patterns that overlap: one scan would read a file for each
+        parts = [numbered_lines(spark, [path]).withColumn("_source_rank", F.lit(rank)) for rank, path in enumerate(paths)]
+        return functools.reduce(DataFrame.unionByName, parts)
+    lines = spark.read.text(distinct).select("value", F.input_file_name().alias("_file"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_at"))
+    blocks = lines.groupBy("_file", "_block").agg(F.count("*").alias("_n"), F.min("_at").alias("_first"))
+    earlier = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)  # one row for each block
+    before = blocks.select("_file", "_block", (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first") + 1).alias("_add"))
+    ranks = spark.createDataFrame(named, "_file string, _source string, _source_rank int")
+    numbered = lines.join(F.broadcast(before.join(F.broadcast(ranks), "_file")), ["_file", "_block"])
+    return numbered.select("_source", "_source_rank", (F.col("_at") + F.col("_add")).alias("_line"), F.col("value").alias("_raw"))
 
 
 def read_jsonl(spark: SparkSession, paths: Sequence[str] | str, schema: str, mode: str = STRICT, comments: bool = False) -> DataFrame:
@@ -77,12 +83,14 @@ def _fields(schema: str) -> str:
 
 
 def read_texts(spark: SparkSession, folder: str, pattern: str = "ch*.txt") -> DataFrame:
-    """Whole text files as ``(document_id, text)``; the id is the file's name without its ending.  None is an error."""
-    out = spark.read.option("pathGlobFilter", pattern).text(folder, wholetext=True)
-    out = out.select(F.regexp_replace(F.col("_metadata.file_name"), r"\.[^.]*$", "").alias("document_id"), F.col("value").alias("text"))
-    if out.isEmpty():
+    """Whole text files as ``(document_id, text, _rank)``; the id is the file's name without its ending, the rank its place in the order of names.  None is an error."""
+    files = spark.read.option("pathGlobFilter", pattern).text(folder, wholetext=True)
+    held = [f.rpartition("/")[2] for f in files.inputFiles()]  # as a location has them: a space is %20
+    if not held:
         raise FileNotFoundError(f"{folder}/{pattern}")
-    return out
+    names = [(rank, name, unquote(name).rpartition(".")[0] or unquote(name)) for rank, name in enumerate(sorted(held, key=unquote))]  # a row for each file
+    ranks = F.broadcast(spark.createDataFrame(names, "_rank int, _name string, document_id string"))
+    return files.select(F.col("_metadata.file_name").alias("_name"), F.col("value").alias("text")).join(ranks, "_name").select("document_id", "text", "_rank")
 
 
 def read_tsv(spark: SparkSession, path: str) -> DataFrame:

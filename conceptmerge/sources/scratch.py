@@ -7,7 +7,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -26,3 +26,20 @@ def shared_folder(spark: SparkSession) -> str:
 
 def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` as a table in the shared folder, read back: what follows does not run it again, whoever is lost."""
+    path = fresh_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def removed(df: DataFrame) -> None:
+    """Deletes the files below the shared folder that ``df`` is read from, once nothing reads them any more."""
+    spark = df.sparkSession
+    own = shared_folder(spark)
+    for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        if path.getName() and own.partition(":")[2].strip("/") in folder:
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

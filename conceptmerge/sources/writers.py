@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
+
+from .scratch import fresh_path
 
 
 def _filesystem(spark: SparkSession, path: str):
@@ -42,6 +46,91 @@ def dictionary_document(nodes: DataFrame, edges: DataFrame, node_order: list[str
     return n.unionByName(e).agg(F.concat(part('{"nodes":'), part(',"edges":'), F.lit("}")).alias("value"))
 
 
+def write_ordered(spark: SparkSession, path: str, *pieces: str | tuple[DataFrame, list[str]], keep_nulls: bool = False) -> None:
+    """Writes one file out of texts and JSON arrays, in turn, whose rows are written by all tasks.
+
+    An array is ``(rows, order)``; columns whose names begin with an underscore are left out
+    of it.  Rows are range partitioned along the order and each partition writes its part, the
+    commas being the line ends of Spark's text writer.  The parts are then copied one after
+    another through a buffer, an array's last without its comma, into a file that appears when
+    it is complete.  No task and no row holds the document.
+    """
+    work, parts = fresh_path(spark, "document"), []
+    for n, piece in enumerate(pieces):
+        if isinstance(piece, str):
+            parts.append(piece)
+            continue
+        rows, order = piece
+        rest = F.struct(*[c for c in rows.columns if not c.startswith("_")])
+        placed = rows.select(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)], rest.alias("r")).orderBy(*[f"_o{i}" for i in range(len(order))], "r")
+        folder = f"{work}/{n}"
+        placed.select(F.to_json("r", {"ignoreNullFields": str(not keep_nulls).lower()}).alias("value")).write.option("lineSep", ",").text(folder)
+        fs, at = _filesystem(spark, folder)
+        held = sorted((s.getPath().toString(), s.getLen()) for s in fs.listStatus(at) if s.getPath().getName().startswith("part-") and s.getLen())
+        parts += ["[", *[(p, size - (k == len(held))) for k, (p, size) in enumerate(held, 1)], "]"]
+    _joined(spark, parts, path)
+    fs, at = _filesystem(spark, work)
+    fs.delete(at, True)
+
+
+def _joined(spark: SparkSession, parts: list[str | tuple[str, int]], path: str) -> None:
+    """Texts and the first bytes of files one after another as ``path``."""
+    jvm = spark._jvm
+    fs, target = _filesystem(spark, path)
+    _, draft = _filesystem(spark, f"{path}.{uuid.uuid4().hex}.draft")
+    out = fs.create(draft, True)
+    try:
+        for part in parts:
+            if isinstance(part, str):
+                out.write(bytearray(part.encode()))
+                continue
+            held, at = _filesystem(spark, part[0])
+            source = held.open(at)
+            try:
+                jvm.org.apache.commons.io.IOUtils.copyLarge(source, out, 0, part[1])
+            finally:
+                source.close()
+    finally:
+        out.close()
+    fs.delete(target, True)
+    if not fs.rename(draft, target):
+        raise OSError(f"cannot write {path}")
+
+
+def append_batch(df: DataFrame, folder: str, batch: int | str) -> bool:
+    """Appends a batch of records to a log once; whether it was added now.
+
+    Rows go to a folder of this attempt, and count when its name stands in the batch's entry
+    of the manifest, which is put in place by one rename.  A batch that comes again finds the
+    entry and adds nothing; files of attempts that failed are read by nobody.
+    """
+    spark = df.sparkSession
+    fs, entry = _filesystem(spark, f"{folder}/batches/{batch}.txt")
+    if fs.exists(entry):
+        return False
+    attempt = f"{batch}-{uuid.uuid4().hex}"
+    df.write.parquet(f"{folder}/rows/{attempt}")
+    _, draft = _filesystem(spark, f"{folder}/batches/{attempt}.draft")
+    out = fs.create(draft, False)
+    out.write(bytearray(attempt.encode()))
+    out.close()
+    if fs.rename(draft, entry):
+        return True
+    fs.delete(draft, False)
+    return False
+
+
+def read_log(spark: SparkSession, folder: str, schema: str | StructType) -> DataFrame:
+    """The rows of all batches of a log, with ``_batch``, the name of the batch."""
+    fs, at = _filesystem(spark, f"{folder}/batches")
+    names = [s.getPath().toString() for s in fs.listStatus(at) if s.getPath().getName().endswith(".txt")] if fs.exists(at) else []
+    attempts = [r[0] for r in spark.read.text(names).collect()] if names else []  # one name for each batch
+    if not attempts:
+        return spark.createDataFrame([], schema).withColumn("_batch", F.lit(None).cast("string"))
+    rows = spark.read.schema(schema).parquet(*[f"{folder}/rows/{a}" for a in attempts])
+    return rows.withColumn("_batch", F.regexp_extract(F.col("_metadata.file_path"), r"/rows/(.*)-[0-9a-f]{32}/", 1))
+
+
 def stamp(now: datetime | None = None) -> str:
     return (now or datetime.now()).strftime("_%Y%m%d_%H%M%S")
 

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from .buckets import BucketTable
+
 
 def latest(rows: DataFrame, key: list[str], order: list[str]) -> DataFrame:
     """The last row of each key; the state a stream of upserts ends in."""
@@ -14,25 +14,25 @@ def latest(rows: DataFrame, key: list[str], order: list[str]) -> DataFrame:
     return rows.groupBy(*key).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("x")).select(*key, "x.*")
 
 
+def latest_table(spark: SparkSession, folder: str, key: list[str], order: list[str], buckets: int = 64) -> BucketTable:
+    """A bucket table that keeps the last row of each key, whatever batch it came in."""
+    return BucketTable(spark, folder, key, lambda rows: latest(rows, key, order).select(rows.columns), buckets)
+
+
 def streamed_latest(spark: SparkSession, folder: str, schema: str, key: list[str], order: list[str], pattern: str = "*") -> DataFrame:
     """``latest`` over a folder of parquet files as a streaming aggregation (complete or update mode)."""
     stream = spark.readStream.schema(schema).option("pathGlobFilter", pattern).option("maxFilesPerTrigger", 1).parquet(folder)
     return latest(stream, key, order)
 
 
-def upsert_stream(source: DataFrame, target: str, key: list[str], order: list[str], checkpoint: str, merge: Callable[[DataFrame, list[str], list[str]], DataFrame] = latest) -> StreamingQuery:
-    """Merges each micro-batch into a parquet table by writing its next version.
+def upsert_stream(source: DataFrame, table: BucketTable, checkpoint: str) -> StreamingQuery:
+    """Merges each micro-batch into a bucket table, under the batch's number.
 
-    Versions are folders named by batch; a batch that runs again rewrites its own folder
-    from the version before it, so a retry does no harm.
+    A batch rewrites the buckets its keys fall into; one that comes again after a failure
+    finds its version and adds nothing.
     """
     def write(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        before = f"{target}/v{number - 1}"
-        fs_path = spark._jvm.org.apache.hadoop.fs.Path(before)
-        held = fs_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(fs_path)
-        rows = batch.unionByName(spark.read.parquet(before)) if held else batch
-        merge(rows, key, order).write.mode("overwrite").parquet(f"{target}/v{number}")
+        table.merge(batch, number)
 
     return source.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

@@ -59,9 +59,34 @@ def test_matching(spark):
 
 
 def test_extraction(spark):
-    texts = spark.createDataFrame([("ch1", "The lewis x antigen is old. A Lewis X epitope and core fucose are N-glycan parts. Glycan is generic.")], "document_id string, text string")
+    texts = spark.createDataFrame([("ch1", "The lewis x antigen is old. A Lewis X epitope and core fucose are parts of an N-linked type. Glycan is generic.")], "document_id string, text string")
     mentions = flows.extracted(texts, ("Lewis x", "core fucose", "glycan"))
     assert sorted(r["term"] for r in mentions.collect()) == ["Lewis X", "core fucose", "lewis x"]
     got = {r["glycan_term"]: r for r in flows.summarized(mentions).collect()}
-    assert got["lewis x"]["exact_synonyms"] == ["Lewis X", "lewis x"] and set(got) == {"lewis x", "core fucose"}
-    assert got["core fucose"]["classification"] == "N-glycan"
+    assert got["lewis x"]["exact_synonyms"] == ["Lewis X"] and got["lewis x"]["original_terms"] == [["Lewis X"], ["lewis x"]] and set(got) == {"lewis x", "core fucose"}
+    assert got["core fucose"]["classification"] == "N-Linked Type" and got["core fucose"]["error"] is None
+
+
+def test_a_provider_that_fails_is_told_from_one_that_answers_nonsense(spark):
+    texts = spark.createDataFrame([("ch1", "The lewis x antigen is old. Core fucose is older.")], "document_id string, text string")
+    mentions = flows.extracted(texts, ("Lewis x", "core fucose"))
+
+    def summarize(term, originals, descriptions):
+        if term == "lewis x":
+            raise TimeoutError("no answer")
+        return "nonsense"
+
+    got = {r["glycan_term"]: (r["classification"], r["description"], r["exact_synonyms"], r["error"]) for r in flows.summarized(mentions, summarize=summarize).collect()}
+    assert got == {"lewis x": ("Others", "ERROR", [], "TimeoutError: no answer"), "core fucose": ("Others", "ERROR", [], None)}
+
+
+def test_terms_are_batched_along_one_order(spark):
+    """Batches go over the first letter of a term: eleven terms are batches of five, five and one, not of their letters."""
+    names = tuple(f"{c}{c}{c}{c} term" for c in "abcdefghijk")
+    texts = spark.createDataFrame([("ch1", ". ".join(names) + ".")], "document_id string, text string")
+
+    def normalize(terms):
+        return "\n".join(json.dumps({"normalized_term": f"{len(terms)} of {terms[0]}", "original_terms": terms}) for _ in [0])
+
+    got = sorted(r["glycan_term"] for r in flows.summarized(flows.extracted(texts, names), normalize=normalize).collect())
+    assert got == ["1 of kkkk term", "5 of aaaa term", "5 of ffff term"]

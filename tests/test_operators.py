@@ -1,5 +1,9 @@
 """Operators on hand-made rows with the results that their rules give."""
 
+import math
+import random
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -243,3 +247,108 @@ def test_providers(spark):
     assert abs(sum(x * x for x in v) - 1) < 1e-5
     look = providers.Lookups({"G1": "WURCS"})
     assert providers.looked_up(spark.createDataFrame([("G1",), ("G2",)], "a string"), "a", "s", look.sequence_of).orderBy("a").collect()[0]["s"] == "WURCS"
+
+
+@pytest.mark.parametrize("compat", [True, False])
+def test_states_fold_in_any_order(spark, compat):
+    rng = random.Random(2)
+    rows = [
+        (rng.choice("abc"), rng.choice(["x", "", "y"]), "s", rng.choice("pq"), [rng.choice(["1", "2", "3", "", None]) for _ in range(rng.randrange(4))], rng.choice([None, "", "g1", "g2"]), rng.randrange(3), i)
+        for i in range(60)
+    ]
+    df = spark.createDataFrame(rows, "term_uuid string, term string, xref string, src_uuid string, gtc_id array<string>, gsd_id string, _source_rank int, _line int")
+    nodes = lambda x: sorted(map(str, x.collect()))
+    state = None
+    for part in (3, 0, 2, 1):
+        new = merge.concept_states(df.where(F.col("_line") % 4 == part))
+        state = merge.folded_states(new if state is None else state.unionByName(new))
+    assert nodes(merge.concepts_of(state, compat)) == nodes(merge.merge_concepts(df, compat))
+
+
+def vectors(spark, n, dims=6, seed=1):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(5, dims))
+    rows = [(i, (centres[i % 5] + 0.6 * rng.normal(size=dims)).tolist()) for i in range(n)]
+    rows += [(n, rows[3][1]), (n + 1, [2 * x for x in rows[3][1]]), (n + 2, None), (n + 3, [0.0] * dims), (n + 4, []), (n + 5, [math.nan] * dims), (n + 6, [1.0, 2.0]), (n + 7, [2.0, 4.0]), (n + 8, [1.0, None])]
+    return spark.createDataFrame(rows, "id long, embedding array<double>").repartition(5), rows
+
+
+def plain_cosine(a, b):
+    if not a or not b or len(a) != len(b) or None in a or None in b:
+        return None
+    a, b = np.array(a), np.array(b)
+    with np.errstate(all="ignore"):
+        x = a @ b / np.sqrt((a @ a) * (b @ b))
+    return round(float(x), 12) if np.isfinite(x) else None
+
+
+@pytest.mark.parametrize("block", [7, 4096])
+def test_top_k_against_all_pairs(spark, block):
+    df, rows = vectors(spark, 150)
+    got = [tuple(r) for r in retrieval.top_k(df.withColumnRenamed("id", "query_id"), df, 4, 0.3, store_rows_a_block=block).orderBy("query_id", "rank").collect()]
+    want = []
+    for q, a in rows:
+        scored = sorted((-s, i) for i, b in rows if (s := plain_cosine(a, b)) is not None and s >= 0.3)
+        want += [(q, i, -s, k) for k, (s, i) in enumerate(scored[:4], 1)]
+    assert [(q, i, k) for q, i, _, k in got] == [(q, i, k) for q, i, _, k in want] and np.allclose([x[2] for x in got], [x[2] for x in want])
+    assert retrieval.top_k(df.limit(0).withColumnRenamed("id", "query_id"), df, 4).count() == 0 == retrieval.top_k(df.withColumnRenamed("id", "query_id"), df.limit(0), 4).count()
+
+
+@pytest.mark.parametrize("prefix", [1, 9, 4096])
+def test_decisions_in_order_against_a_loop(spark, prefix):
+    df, rows = vectors(spark, 60)
+    founders, want = [], []
+    for i, v in rows:
+        near = sorted((-s, f) for f, b in founders if (s := plain_cosine(v, b)) is not None and s >= 0.8)
+        want.append((i, "map", near[0][1]) if near else (i, "add", i))
+        if not near:
+            founders.append((i, v))
+    got = retrieval.decide_in_order(df, "id", ["id"], floor=0.8, prefix=prefix)
+    assert sorted((r["id"], r["action"], r["concept_id"]) for r in got.collect()) == want
+    assert retrieval.decide_in_order(df.limit(0), "id", ["id"]).count() == 0
+
+
+@pytest.mark.parametrize("width", [3, 2048])
+def test_first_overlaps_against_all_pairs(spark, width):
+    rng = random.Random(4)
+    spans = [(d, a, a + rng.randrange(12)) for d in (1, 2, None) for a in range(0, 60, 5)]
+    mentions = [(d, a, a + rng.randrange(9), "extra") for d in (1, 2, 3, None) for a in range(0, 70, 3)] + [(1, 5, 6, "again"), (1, 5, 6, "again"), (1, 9, 2, "bad"), (1, None, 3, "bad")]
+    got = text.first_overlaps(spark.createDataFrame(mentions, "id int, start_pos int, end_pos int, s_ string"), spark.createDataFrame(spans, "id int, s int, e int"), width=width)
+    want = []
+    for d, a, b, x in mentions:
+        hits = [(s, e) for i, s, e in spans if d is not None and i == d and a is not None and a <= b and s < e and s < b and e > a]
+        want.append((d, a, b, x, *(min(hits) if hits else (None, None))))
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
+
+
+def test_occurrences(spark):
+    df = spark.createDataFrame([(1, "é the the the x"), (2, None), (3, "none"), (4, "a. the ")], "id int, text string")
+    assert sorted(map(tuple, text.occurrences(df, "id", "text", " the ").collect())) == [(1, 1, 6), (1, 9, 14), (4, 2, 7)]
+
+
+class Flaky:
+    def __init__(self, down):
+        self.down, self.asked = down, {}
+
+    def __call__(self, key):
+        self.asked[key] = self.asked.get(key, 0) + 1
+        if key == "bad" or self.asked[key] <= self.down.get(key, 0):
+            raise OSError(key)
+        return {"none": None}.get(key, key.upper())
+
+
+def test_lookups_are_tried_again_and_failures_are_rows(spark):
+    df = spark.createDataFrame([("a",), ("slow",), ("bad",), ("a",), (None,), ("none",)], "k string")
+    got = providers.resolved(df, "k", lambda: Flaky({"slow": 2}), tries=3, wait=0.001, calls_a_second=1000, tasks=2)
+    assert sorted(map(tuple, got.collect()), key=str) == [("a", "A", None, 1), ("bad", None, "OSError: bad", 3), ("none", None, None, 1), ("slow", "SLOW", None, 3)]
+
+    def down():
+        raise ConnectionError("down")
+
+    assert {r["error"] for r in providers.resolved(df, "k", down, tries=2, wait=0.001).collect()} == {"ConnectionError: down"}
+
+
+def test_counters_of_the_merges_own_pass(spark):
+    nodes, counts = merge.merge_observed(terms(spark), 4)
+    assert nodes.count() == merge.merge_concepts(terms(spark)).count()
+    assert {r: tuple(x) for r, *x in counts.get()} == {0: (1, 1, 0), 1: (0, 1, 1), 2: (0, 0, 1)}
