@@ -5,8 +5,9 @@ of the same script and case for letters, a name of the same gender and script fo
 card number that passes its check digit.  Replacements follow from a secret key and the
 entity, so one person stays one person wherever and however written; names behind a title
 are also replaced where the same text has them without one.  Over the whole corpus
-two entities never share a replacement, and none is replaced by an entity that occurs: of
-those that clash all but one draw again until no clash is left.
+two entities of a kind never share a replacement, and none is replaced by an entity of its
+kind that occurs (all names are one kind here): of those that clash all but one draw again
+until no clash is left.
 """
 
 from __future__ import annotations
@@ -27,26 +28,31 @@ _TITLES_U = ("Dr", "Prof", "Doctor", "Professor", "Mx")
 # Two letters at least; marks within a name belong to it, a possessive s does not.
 _NAME = r"\p{Lu}(?:\p{L}++|(?=['’-]\p{L}))(?:['’-](?!s(?!\p{L}))\p{L}++)*+"
 _TITLES = "|".join((*_TITLES_F, *_TITLES_M, *_TITLES_U))
-_KEY = r"(?i:password|passwd|secret|token|api_key)"
+_KEY = r"(?i:password|passwd|passphrase|secret|token|api[_-]?key|access[_-]?key|secret[_-]?key|private[_-]?key)"
+_SURE_KEY = r"(?i:password|passwd|passphrase|api[_-]?key|access[_-]?key|secret[_-]?key|private[_-]?key)"
+# How published kinds of tokens begin.
+_TOKEN_HEADS = r"sk-(?:proj-|ant-)?|[rs]k_(?:live|test)_|gh[pousr]_|github_pat_|glpat-|xox[abprs]-|AIza|hf_|npm_"
 _H = "[0-9A-Fa-f]{1,4}"
 # All but secrets begin at a word's edge, which ANY tests once for all of them.
 PATTERNS: dict[str, str] = {
-    "secret": rf"(?<=[=\"':]|[=:] )(?:(?<={_KEY}(?:=|[\"']? ?[=:] ?[\"']))|(?<=(?i:password|passwd|api_key): ?)|(?<={_KEY}(?:: ?| = ))(?=[^\s\"']*[0-9]))[^\s\"']{{6,}}",
+    "secret": rf"(?<=[=\"':]|[=:] )(?:(?<={_KEY}(?:=|[\"']? ?[=:] ?[\"']))|(?<={_SURE_KEY}: ?)|(?<={_KEY}(?:: ?| = ))(?=[^\s\"']*[0-9]))[^\s\"']{{6,}}",
+    "bearer": r"(?<=[rRcCnN] )(?<=(?i:bearer|basic|token) )(?:(?<=(?i:authorization[\"']?: ?[\"']?(?:bearer|basic|token)) )|(?=[^\s\"']{16})(?=[^\s\"']*[0-9]))[^\s\"',;]{6,}",
     "email": rf"(?<![._%+-])[{_W}._%+-]{{1,256}}+@[{_W}-]{{1,63}}(?:\.[{_W}-]{{1,63}}){{0,8}}\.\p{{L}}{{2,24}}",
     "ip6": rf"(?=[0-9A-Fa-f:]*[0-9])(?:(?:{_H}:){{7}}{_H}|(?:{_H}:){{1,6}}(?::{_H}){{1,6}}|(?:{_H}:){{1,7}}:)(?![{_W}:])",
     "ip": r"(?<!\.)(?:" + _OCTET + r"\.){3}" + _OCTET + rf"(?![{_W}]|\.[0-9])",
-    "phone": rf"(?<!\+)(?:\+1[ .-]?\([0-9]{{3}}\) ?[0-9]{{3}}[ .-]?[0-9]{{4}}|\+[0-9]{{1,3}}(?:[ .-]?\(?[0-9]{{1,4}}\)?){{1,2}}[ .-]?[0-9]{{3,4}}[ .-]?[0-9]{{3,4}}|\([0-9]{{3}}\) ?[0-9]{{3}}-[0-9]{{4}}|[0-9]{{3}}-[0-9]{{3}}-[0-9]{{4}})(?![{_W}])",
+    "phone": rf"(?<!\+)(?:\+1[ .-]?\([0-9]{{3}}\) ?[0-9]{{3}}[ .-]?[0-9]{{4}}|\+[0-9]{{1,3}}(?:[ .-]?\(?[0-9]{{1,4}}\)?){{1,2}}[ .-]?[0-9]{{3,4}}[ .-]?[0-9]{{3,4}}|\([0-9]{{3}}\) ?[0-9]{{3}}-[0-9]{{4}}|[0-9]{{3}}-[0-9]{{3}}-[0-9]{{4}}|00[1-9][0-9]{{0,2}}[ .-](?:\(?[0-9]{{1,4}}\)?[ .-]?){{1,2}}[0-9]{{3,4}}[ .-]?[0-9]{{3,4}})(?![{_W}])",
     "ssn": rf"(?<!-)[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}(?![{_W}-])",
     "card": r"(?:[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{13,19})" + _WORD_END,
     "hex": r"(?=[a-f]*[0-9])(?=[0-9]*[a-f])[0-9a-f]{32,}+" + _WORD_END,
+    "token": rf"(?:{_TOKEN_HEADS})[0-9A-Za-z_-]{{16,}}+",
     "access_key": r"(?:AKIA|ASIA)[0-9A-Z]{16}" + _WORD_END,
     "iban": r"[A-Z]{2}[0-9]{2} ?[A-Z0-9]{4}(?: ?[0-9]{4}){2,6}(?: ?[0-9]{1,3})?" + _WORD_END,
     "person": rf"(?:{_TITLES})\.? {_NAME}(?: {_NAME}){{0,2}}",
 }
 _AT_DIGITS, _AT_CAPITALS = ("ip", "phone", "ssn", "card"), ("access_key", "iban", "person")
 ANY = (
-    PATTERNS["secret"] + "|" + _WORD_EDGE + "(?:" + PATTERNS["email"]
-    + "|(?=[0-9+(])(?:" + "|".join(PATTERNS[k] for k in _AT_DIGITS) + ")|(?=[0-9a-f]{32})" + PATTERNS["hex"] + "|(?=[0-9A-Fa-f]{1,4}:)" + PATTERNS["ip6"]
+    PATTERNS["secret"] + "|" + PATTERNS["bearer"] + "|" + _WORD_EDGE + "(?:" + PATTERNS["email"]
+    + "|(?=[0-9+(])(?:" + "|".join(PATTERNS[k] for k in _AT_DIGITS) + ")|(?=[0-9a-f]{32})" + PATTERNS["hex"] + "|(?=[Aghnrsx])" + PATTERNS["token"] + "|(?=[0-9A-Fa-f]{1,4}:)" + PATTERNS["ip6"]
     + r"|(?=[A-Z]|[^\x00-\x7F]|κ)(?:" + "|".join(PATTERNS[k] for k in _AT_CAPITALS) + "))"
 )
 
@@ -79,7 +85,7 @@ _SIGNS = "!#$%&*+-.:?@^_~"
 
 def may_hold(text: Column) -> Column:
     """A cheap necessary test: whatever is an entity has a digit, a sign, or a title."""
-    out = text.rlike("[0-9@=]|(?i:password|passwd|api_key|secret|token)")
+    out = text.rlike(f"[0-9@=]|{_KEY}|(?i:authorization)|{_TOKEN_HEADS}")
     for title in (*_TITLES_F, *_TITLES_M, *_TITLES_U):
         out = out | text.contains(title)
     return F.coalesce(out, F.lit(False))
@@ -106,7 +112,7 @@ def kind_of(mention: Column) -> Column:
     """The kind of an entity that ``mentions`` found; a value after ``password=`` is a secret unless it looks like another kind."""
     out = None
     for kind, pattern in PATTERNS.items():
-        if kind != "secret":
+        if kind not in ("secret", "bearer"):
             hit = mention.rlike(rf"\A(?:{pattern})\z")
             if kind == "card":
                 hit = hit & F.when(mention.rlike(r"\A[0-9]+\z"), _luhn(mention)).otherwise(F.lit(True))
@@ -198,6 +204,7 @@ def surrogate(cls: Column, canon: Column, attempt: Column) -> Column:
     out = (
         F.when(cls == "email", email).when(cls == "ip6", ip6).when(cls == "hex", hexes).when((cls == "secret") & canon.rlike(r"\A(?=[0-9]*[a-f])[0-9a-f]+\z"), F.concat(hexes, more))
         .when(cls == "secret", F.concat(secret, more)).when(cls == "access_key", form(4))
+        .when(cls == "token", F.concat(form(F.length(F.regexp_extract(canon, rf"\A(?:{_TOKEN_HEADS})", 0))), more))
         .when(cls == "iban", form(2)).when(cls == "ip", octets).when(cls == "phone", phone).when(cls == "card", card)
     )
     for name, pool in _NAMES.items():
@@ -211,8 +218,13 @@ def surrogate(cls: Column, canon: Column, attempt: Column) -> Column:
     return out.otherwise(form(0))
 
 
+def _family(cls: Column) -> Column:
+    """The class, one for all names: no name becomes a name that occurs, whatever its gender or place."""
+    return F.when(cls.isin(*_NAMES), F.lit("name")).otherwise(cls)
+
+
 def surrogates(entities: DataFrame, key: str, label: str = "pii-surrogates", most_rounds: int = 200) -> DataFrame:
-    """Rows ``(cls, canon, sur)`` for distinct ``(cls, canon)``: within a class no two are equal and none is itself an entity.
+    """Rows ``(cls, canon, sur)`` for distinct ``(cls, canon)``: within a class no two are equal, and none is itself an entity of its class, or a name that occurs.
 
     Each round the entity of least hash keeps a contested replacement and the others draw
     again, never what is taken; a lost race costs one more round over the losers alone.
@@ -225,8 +237,8 @@ def surrogates(entities: DataFrame, key: str, label: str = "pii-surrogates", mos
         # the seed is a column of a table, so that no character draws it anew
         seeded = staged(open_.withColumn("seed", _draw(F.col("cls"), F.col("canon"), F.lit(attempt), key)), label)
         drawn = seeded.withColumn("sur", surrogate(F.col("cls"), F.col("canon"), F.lit(attempt))).drop("seed")
-        clash = known.select("cls", F.col("canon").alias("low"))
-        free = drawn.withColumn("low", F.lower("sur")).join(clash.withColumn("low", F.lower("low")), ["cls", "low"], "left_anti")
+        clash = known.select(_family(F.col("cls")).alias("family"), F.lower("canon").alias("low"))
+        free = drawn.withColumn("low", F.lower("sur")).withColumn("family", _family(F.col("cls"))).join(clash, ["family", "low"], "left_anti").drop("family")
         if done is not None:
             free = free.join(done.select("cls", F.lower("sur").alias("low")), ["cls", "low"], "left_anti")
         free = staged(free, label)
