@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 
-from conceptmerge.llm.neighbours import linked_vectors
+from conceptmerge.llm.neighbours import linked_vectors, planted
 
 KIND = "vec_id long, embedding array<float>, label int, node string"
 
@@ -68,3 +68,39 @@ def test_no_rows(spark):
     assert linked_vectors(spark.createDataFrame([], KIND)).count() == 0
     lone = linked_vectors(spark.createDataFrame([(1, None, None, "x")], KIND)).first()
     assert tuple(lone) == (1, 0, 1, True)
+
+
+DOUBLES = "vec_id long, embedding array<double>, label int, node string"
+
+
+def test_cosine_in_double_precision(spark):
+    """A pair just above the floor, which floats would put below it."""
+    c = 0.930000002
+    rows = [(1, [1.0] + [0.0] * 15, 1, "x"), (2, [c, (1 - c * c) ** 0.5] + [0.0] * 14, 1, "x"), (3, [0.0, 0.0, 1.0] + [0.0] * 13, 1, "x"), (4, [0.0, 0.0, 0.929999999, (1 - 0.929999999**2) ** 0.5] + [0.0] * 12, 1, "x")]
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in linked_vectors(spark.createDataFrame(rows, DOUBLES)).collect()}
+    assert got == {1: (1, 1), 2: (1, 1), 3: (0, 3), 4: (0, 4)}
+
+
+@pytest.mark.parametrize("lengths", [1, 4])
+def test_vectors_of_every_length_meet_their_like(spark, lengths):
+    rng = np.random.default_rng(6)
+    rows, k = [], 0
+    for n, dims in ((60, 8), (40, 2), (12, 5), (3, 1)):
+        base = rng.standard_normal((3, dims))
+        for _ in range(n):
+            rows.append((k, (base[rng.integers(3)] + 0.1 * rng.standard_normal(dims)).tolist(), int(rng.integers(2)), "x"))
+            k += 1
+    got = {r["vec_id"]: r["n_links"] for r in linked_vectors(spark.createDataFrame(rows, DOUBLES).repartition(3), leaf_size=8, lengths=lengths).collect()}
+    cos = lambda a, b: np.dot(a, b) / np.sqrt(np.dot(a, a) * np.dot(b, b))
+    want = {i: sum(j != i and p == q and len(v) == len(w) and cos(v, w) >= 0.93 for j, w, q, _ in rows) for i, v, p, _ in rows}
+    short = {i for i, v, *_ in rows if len(v) != 8}
+    assert sum(got.values()) >= 0.97 * sum(want.values()) and all(got[i] <= want[i] for i in got)
+    assert lengths > 1 or all(got[i] == want[i] for i in short)
+
+
+def test_recall_is_reached_or_levels_go():
+    rng = np.random.default_rng(3)
+    x = rng.standard_normal((400, 8))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    trees, recall = planted(x, np.zeros(400, dtype=np.int64), [6], 0.93, 0.9999, 0, 0.0, 1, most_trees=2)
+    assert recall >= 0.9999 and len(trees) <= 2 and len(trees[0].medians) < 6
