@@ -2,17 +2,19 @@
 
 Writing: each task writes its records to one archive of gzip members (one for each record);
 repeated payloads become revisit records.  Indexing: each archive is read back from its
-bytes, and its captures are written as a run sorted by URL key, time and page.  Merging: key
-ranges of about equal size are chosen from a sparse index of the runs; for each range a task
-reads its slice of every run and merges the slices with a loser tree.  With more runs than
-``fan_in``, runs are first merged in groups, so a task never has more files open than that.
+bytes, and its captures are written as a run sorted by URL key, time and page, with a sparse
+index of a row for each block of lines.  Merging: these rows are numbered along all runs, which
+parts the keys into ranges of about equal size; joined with them, each run's blocks tell which
+bytes a range needs of it.  For each range a task reads its slice of every run and merges the
+slices with a loser tree.  With more runs than ``fan_in``, runs are first merged in groups, so a
+task never has more files open than that.  Index, ranges and slices are tables: the driver
+holds their counts alone.
 
 A task that runs again writes new files; only files that a completed task reported are read.
 """
 
 from __future__ import annotations
 
-import bisect
 import hashlib
 import json
 import re
@@ -25,8 +27,9 @@ from urllib.parse import urlsplit
 
 import pyarrow as pa
 from pyarrow import fs as pafs
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
+from ..operators.batching import numbered
 from .staging import dropped, fresh_path, settings, staged
 
 SMALLEST = 100  # payloads of fewer bytes are never revisits
@@ -179,23 +182,39 @@ def _parsed(line: bytes) -> Capture:
     return Capture(*json.loads(line))
 
 
-_RUN = "path string, n long, marks array<struct<key:string,at:long>>"
+_KEY = "url_key string, timestamp string, unnamed boolean, page long, record string"
+_RUN = f"path string, n long, at long, until long, key struct<{_KEY.replace(' ', ':').replace(',:', ',')}>"
 
 
-def _written_run(folder: str, captures: Iterator[Capture], every: int) -> pa.RecordBatch | None:
-    """Writes sorted captures as a run; every so many lines its sparse index has a mark."""
+def _key(c: tuple) -> dict:
+    """The first fields of a capture as columns that Spark orders alike; a page without an id comes last."""
+    unnamed = c[2] == 2 * _WIDE
+    return {"url_key": c[0], "timestamp": c[1], "unnamed": unnamed, "page": 0 if unnamed else c[2] - _WIDE, "record": c[3]}
+
+
+def _tuple(key: dict | None) -> tuple | None:
+    return None if key is None else (key["url_key"], key["timestamp"], 2 * _WIDE if key["unnamed"] else key["page"] + _WIDE, key["record"])
+
+
+def _written_run(folder: str, captures: Iterator[Capture], every: int) -> pa.RecordBatch:
+    """Writes sorted captures as a run; a row for each block of so many lines with its first key, and one of no lines with the last key."""
     store, path = _open(f"{folder}/run-{uuid.uuid4().hex}.cdxj")
-    n, at, marks = 0, 0, []
+    at, rows, last = 0, [], None
     with store.open_output_stream(path, buffer_size=1 << 18) as out:
-        for c in captures:
+        for n, c in enumerate(captures):
             line = _line(c)
             if n % every == 0:
-                marks.append({"key": json.dumps(c[:4], ensure_ascii=False), "at": at})
+                rows.append([0, at, at, _key(c)])
             out.write(line)
-            n, at = n + 1, at + len(line)
-    marks.append({"key": "", "at": at})  # the run's end
-    kind = pa.list_(pa.struct([("key", pa.string()), ("at", pa.int64())]))
-    return pa.RecordBatch.from_arrays([pa.array([path]), pa.array([n], pa.int64()), pa.array([marks], kind)], names=["path", "n", "marks"])
+            at, last = at + len(line), c
+            rows[-1][0] += 1
+            rows[-1][2] = at
+    rows.append([0, at, at, _key(last)])
+    n, begin, until, key = zip(*rows)
+    kind = pa.struct([("url_key", pa.string()), ("timestamp", pa.string()), ("unnamed", pa.bool_()), ("page", pa.int64()), ("record", pa.string())])
+    return pa.RecordBatch.from_arrays(
+        [pa.array([path] * len(rows)), *(pa.array(x, pa.int64()) for x in (n, begin, until)), pa.array(key, kind)], names=["path", "n", "at", "until", "key"]
+    )
 
 
 def _slice(store: pafs.FileSystem, path: str, begin: int, end: int, low: tuple | None, high: tuple | None) -> Iterator[Capture]:
@@ -218,13 +237,6 @@ def _slice(store: pafs.FileSystem, path: str, begin: int, end: int, low: tuple |
                     yield c
 
 
-def _bounds(marks: list[tuple[tuple, int]], end: int, low: tuple | None, high: tuple | None) -> tuple[int, int]:
-    keys = [m[0] for m in marks]
-    begin = marks[max(0, bisect.bisect_right(keys, low) - 1)][1] if low is not None and marks else 0
-    stop = bisect.bisect_left(keys, high) if high is not None else len(keys)
-    return begin, marks[stop][1] if stop < len(marks) else end
-
-
 def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", level: int = 2) -> DataFrame:
     """Writes all pages as archives in ``folder``; rows ``(path, n_records)`` of complete archives.
 
@@ -293,46 +305,55 @@ def index_archives(archives: DataFrame, folder: str, every: int = 512, memory_ro
 _CAPTURE = "url_key string, timestamp string, page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, archive string, offset long, length long, range_no long, position long"
 
 
-def _ranges(runs: list, most: int) -> list[tuple]:
-    """Splitters between key ranges of about ``most`` captures, from the marks of the runs."""
-    total = sum(r["n"] for r in runs)
-    keys = sorted(tuple(json.loads(m["key"])) for r in runs for m in r["marks"] if m["key"])
-    parts = min(len(keys), -(-total // most))
-    return sorted({keys[len(keys) * i // parts] for i in range(1, parts)}) if parts > 1 else []
+def _grouped(blocks: DataFrame, folder: str, fan_in: int, every: int, n: int) -> DataFrame:
+    """Runs merged in groups of ``fan_in``."""
+    ends = numbered(blocks.groupBy("path").agg(F.max("until").alias("until")), ["path"], "i")
+    groups = ends.groupBy(((F.col("i") - 1) / fan_in).cast("long").alias("g")).agg(F.collect_list(F.struct("path", "until")).alias("runs"))
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, _ = _open(folder)
+        for batch in batches:
+            for runs in batch.column(0).to_pylist():
+                yield _written_run(folder, iter(LoserTree([_slice(store, r["path"], 0, r["until"], None, None) for r in runs])), every)
+
+    return staged(groups.repartition(-(-n // fan_in), "g").select("runs").mapInArrow(run, _RUN), "warc-runs")
+
+
+def _slices(blocks: DataFrame, parts: int) -> DataFrame:
+    """Rows ``(range_no, low, high, runs)``: the keys between which a range lies, and of each run the bytes that may hold them."""
+    keys = numbered(blocks.select("key").distinct(), ["key"], "rank")
+    keys = staged(keys, "warc-keys")
+    per = max(1, -(-keys.count() // parts))
+    keys_in = keys.withColumn("range_no", ((F.col("rank") - 1) / per).cast("long"))
+    lows = keys_in.where((F.col("rank") - 1) % per == 0).select("range_no", F.col("key").alias("low"))
+    here = blocks.join(keys_in.select("key", "range_no"), "key")
+    # a block's keys go on to the first key of the next block of its run
+    on = F.lead("range_no").over(Window.partitionBy("path").orderBy("at", "until"))
+    held = here.withColumn("last", on).where("until > at").select("path", "at", "until", F.explode(F.sequence("range_no", F.coalesce("last", "range_no"))).alias("range_no"))
+    held = held.groupBy("range_no", "path").agg(F.min("at").alias("begin"), F.max("until").alias("until"))
+    runs = held.groupBy("range_no").agg(F.collect_list(F.struct("path", "begin", "until")).alias("runs"))
+    highs = lows.select((F.col("range_no") - 1).alias("range_no"), F.col("low").alias("high"))
+    first = F.when(F.col("range_no") > 0, F.col("low")).alias("low")  # the first range has no lower end
+    out = staged(runs.join(lows, "range_no").join(highs, "range_no", "left").select("range_no", first, "high", "runs"), "warc-ranges")
+    dropped(keys)
+    return out
 
-def merged_index(runs: DataFrame, folder: str, fan_in: int = 256, captures_a_task: int = 50_000, every: int = 512) -> DataFrame:
-    """The captures of all runs in global order: by ``range_no``, then ``position``.
-
-    What the driver holds is the runs' sparse index, one mark for each ``every`` captures,
-    and at most ``fan_in`` runs at a time are merged.
-    """
-    spark = runs.sparkSession
-    described = [r.asDict(recursive=True) for r in runs.collect()]
-    while len(described) > fan_in:
-        groups = [described[i : i + fan_in] for i in range(0, len(described), fan_in)]
 
-        def regrouped(batches: Iterator[pa.RecordBatch], groups=groups) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for g in batch.column(0).to_pylist():
-                    store, _ = _open(folder)
-                    slices = [_slice(store, r["path"], 0, r["marks"][-1]["at"], None, None) for r in groups[g]]
-                    yield _written_run(folder, iter(LoserTree(slices)), every)
-
-        done = staged(spark.range(0, len(groups), 1, len(groups)).mapInArrow(regrouped, _RUN), "warc-runs")
-        described = [r.asDict(recursive=True) for r in done.collect()]
-        dropped(done)
-    splitters = _ranges(described, captures_a_task) if described else []
-    lows, highs = [None, *splitters], [*splitters, None]
-    known = [(r["path"], [(tuple(json.loads(m["key"])), m["at"]) for m in r["marks"][:-1]], r["marks"][-1]["at"]) for r in described]
-    tasks = [(lo, hi, [(p, *_bounds(m, e, lo, hi)) for p, m, e in known]) for lo, hi in zip(lows, highs)]
+def merged_index(runs: DataFrame, folder: str, fan_in: int = 256, captures_a_task: int = 50_000, every: int = 512) -> DataFrame:
+    """The captures of all runs in global order: by ``range_no``, then ``position``; at most ``fan_in`` runs are merged at a time."""
+    blocks, spent = runs, []
+    while (n := blocks.select("path").distinct().count()) > fan_in:
+        blocks = _grouped(blocks, folder, fan_in, every, n)
+        spent.append(blocks)
+    parts = max(1, -(-(blocks.agg(F.sum("n")).first()[0] or 0) // captures_a_task))
+    ranges = _slices(blocks, parts)
+    dropped(*spent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, _ = _open(folder)
         for batch in batches:
-            for t in batch.column(0).to_pylist():
-                low, high, slices = tasks[t]
-                store, _ = _open(folder)
-                tree = LoserTree([_slice(store, p, b, e, low, high) for p, b, e in slices if e > b])
+            for t, low, high, slices in zip(*(batch.column(c).to_pylist() for c in ("range_no", "low", "high", "runs"))):
+                tree = LoserTree([_slice(store, r["path"], r["begin"], r["until"], _tuple(low), _tuple(high)) for r in slices])
                 held, position = [], 0
                 for c in tree:
                     held.append((c.url_key, c.timestamp, None if c.page == 2 * _WIDE else c.page - _WIDE, c.url, c.payload_bytes, c.payload_digest, c.record_type, c.refers_to, c.archive, c.offset, c.length, t, position))
@@ -343,7 +364,7 @@ def merged_index(runs: DataFrame, folder: str, fan_in: int = 256, captures_a_tas
                 if held:
                     yield _batch(held)
 
-    return spark.range(0, len(tasks), 1, len(tasks)).mapInArrow(run, _CAPTURE)
+    return ranges.repartition(parts, "range_no").mapInArrow(run, _CAPTURE)
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:

@@ -77,3 +77,22 @@ def test_url_keys():
     same = ["http://www.Example.com/a?y=1&x=2", "https://example.com:443/a?x=2&y=1#top", "//www2.example.com/a?x=2&y=1"]
     assert {warc.url_key(u) for u in same} == {"com,example)/a?x=2&y=1"}
     assert warc.url_key("http://h:8080") == "h:8080)/" and warc.url_key(None) == ")/"
+
+
+def test_very_many_small_runs(spark, tmp_path):
+    """A thousand runs of a few captures each, merged in groups twice, and ranges that begin within a run's last block."""
+    folder = f"file://{tmp_path}/w"
+    (tmp_path / "w").mkdir()
+    n = 3000
+
+    def run(batches):
+        for batch in batches:
+            for k in batch.column(0).to_pylist():
+                held = sorted(warc.Capture(f"h{(k * 7919 + i * 104729) % n:05d}", "t", warc._WIDE + k * 3 + i, f"r{k}-{i}", "u", 1, "d", "response", None, "a", 0, 1) for i in range(3))
+                yield warc._written_run(folder, iter(held), 2)
+
+    runs = warc.staged(spark.range(0, n // 3, 1, 4).mapInArrow(run, warc._RUN), "test-runs")
+    got = warc.merged_index(runs, folder, fan_in=20, captures_a_task=100, every=2).collect()
+    assert len(got) == n and len({r["range_no"] for r in got}) > 20
+    placed = [(r["url_key"], r["page_id"]) for r in sorted(got, key=lambda r: (r["range_no"], r["position"]))]
+    assert placed == sorted(placed) and len(set(placed)) == n
