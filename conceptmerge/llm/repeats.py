@@ -9,8 +9,9 @@
 3. Confirmed windows are compiled, shard by shard, into Aho-Corasick automata over words.
    The cut passages of every document are streamed through the automaton of the shard that
    their anchor names.  Shards are small, as the automaton searches the many words that may
-   follow its root one by one; the passages of a hot shard
-   are spread over several tasks, each with its own copy of that automaton.
+   follow its root one by one.  The passages of a hot shard are spread over several tasks,
+   each with its own copy of that automaton; the phrases of a hot anchor over several
+   automata, each of which the shard's passages go through.
 4. The words covered by a match of an earlier document's phrase go.
 """
 
@@ -38,21 +39,22 @@ def _anchors(words: Words, width: int, seed: int) -> tuple[np.ndarray, np.ndarra
 
 
 def _occurrences(docs: DataFrame, width: int, seed: int) -> DataFrame:
-    """Rows ``(anchor, doc)``: the anchors of each document's windows, neighbours merged."""
+    """Rows ``(anchor, doc, mark)``: the anchors of each text's windows, neighbours merged."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0).to_numpy()
+            ids, marks = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for lo, hi, w in word_chunks(batch.column(2)):
                 anchor, whole = _anchors(w, width, seed)
                 if not whole.any():
                     continue
-                doc = np.repeat(ids[lo:hi], w.counts)[: len(whole)][whole]
+                row = w.owner()[: len(whole)][whole]
                 anchor = anchor[whole]
-                new = np.append(True, (anchor[1:] != anchor[:-1]) | (doc[1:] != doc[:-1]))
-                yield pa.RecordBatch.from_arrays([pa.array(anchor[new]), pa.array(doc[new])], names=["anchor", "doc"])
+                new = np.append(True, (anchor[1:] != anchor[:-1]) | (row[1:] != row[:-1]))
+                row = lo + row[new]
+                yield pa.RecordBatch.from_arrays([pa.array(anchor[new]), pa.array(ids[row]), pa.array(marks[row])], names=["anchor", "doc", "mark"])
 
-    return docs.select("doc", "mark", "text").mapInArrow(run, "anchor long, doc long")
+    return docs.select("doc", "mark", "text").mapInArrow(run, "anchor long, doc long, mark long")
 
 
 def _passages(docs: DataFrame, width: int, seed: int) -> DataFrame:
@@ -276,7 +278,7 @@ def _cleaned(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text", "gone").mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")
 
 
-def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 13, seed: int = 5, phrases_a_shard: int = 200, pieces_a_task: int = 100_000) -> DataFrame:
+def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 13, seed: int = 5, phrases_a_shard: int = 200, pieces_a_task: int = 100_000, phrases_a_machine: int = 5_000) -> DataFrame:
     """Rows ``(doc, mark, place, n)``: words of ``docs`` that repeat a window of an earlier document.
 
     doc is the id (``NO_ID`` for null), mark a code of the text, place the first word.
@@ -285,10 +287,10 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     keyed = _keyed(docs, id_col, text_col)
     seen = staged(_occurrences(keyed, width, seed), "repeats-anchors", FEW)
     recurring = staged(seen.groupBy("anchor").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo < hi").select("anchor"), "repeats-recurring")
-    hits = staged(seen.join(recurring, "anchor", "left_semi").groupBy("doc").agg(F.collect_set("anchor").alias("hits")), "repeats-hits")
+    hits = staged(seen.join(recurring, "anchor", "left_semi").groupBy("doc", "mark").agg(F.collect_set("anchor").alias("hits")), "repeats-hits")
     dropped(seen, recurring)
     passages = staged(
-        _passages(keyed.join(hits, "doc"), width, seed).withColumn("passage", F.xxhash64("doc", "mark", "place")), "repeats-passages"
+        _passages(keyed.join(hits, ["doc", "mark"]), width, seed).withColumn("passage", F.xxhash64("doc", "mark", "place")), "repeats-passages"
     )
     dropped(hits)
     confirmed = staged(
@@ -300,11 +302,17 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     phrases = staged(_phrases(passages.select("passage", "text").join(found, "passage"), width, seed, shards), "repeats-phrases")
     pieces = staged(_pieces(passages, width, seed, shards), "repeats-pieces")
     dropped(confirmed, passages)
-    load = pieces.groupBy("shard").agg(F.ceil(F.count("*") / pieces_a_task).cast("int").alias("copies"))
+    load = (
+        pieces.groupBy("shard").agg(F.ceil(F.count("*") / pieces_a_task).cast("int").alias("copies"))
+        .join(phrases.groupBy("shard").agg(F.ceil(F.sum(F.size("firsts")) / phrases_a_machine).cast("int").alias("machines")), "shard")
+    )
     load = staged(load, "repeats-load")
+    copies, machines = F.col("copies"), F.col("machines")
+    own = F.pmod(F.xxhash64("text"), machines) * copies  # a phrase is in one machine of its shard, and in each copy of that
+    to = F.pmod(F.xxhash64("doc", "mark", "place"), copies)  # a piece goes to one copy of each machine
     dealt = (
-        phrases.join(load, "shard").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
-        .unionByName(pieces.join(load, "shard").withColumn("salt", F.pmod(F.xxhash64("doc", "mark", "place"), F.col("copies")).cast("int")))
+        phrases.join(load, "shard").withColumn("salt", F.explode(F.transform(F.sequence(F.lit(0), copies - 1), lambda c: (own + c).cast("int"))))
+        .unionByName(pieces.join(load, "shard").withColumn("salt", F.explode(F.transform(F.sequence(F.lit(0), machines - 1), lambda m: (m * copies + to).cast("int")))))
         .select("shard", "salt", "kind", "doc", "mark", "place", "text", "firsts")
         .repartition("shard", "salt").sortWithinPartitions("shard", "salt", "kind")
     )
@@ -328,6 +336,6 @@ def passages_removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     nothing.  Kept words are joined by one space.  An empty input gives an empty result.
     """
     spans = repeated_passages(docs, id_col, text_col, width, **limits)
-    gone = spans.groupBy("doc", "mark").agg(F.collect_list(F.struct("place", "n")).alias("gone"))
+    gone = spans.groupBy("doc", "mark").agg(F.collect_set(F.struct("place", "n")).alias("gone"))  # equal rows of one id find the same
     joined = _keyed(docs, id_col, text_col).join(gone, ["doc", "mark"], "left")
     return _cleaned(joined.select(F.expr(f"nullif(doc, {NO_ID}L)").alias("doc_id"), "text", "gone"))

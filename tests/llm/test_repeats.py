@@ -31,7 +31,7 @@ def result(df):
     return sorted((-1 if r["doc_id"] is None else r["doc_id"], r["n_words"], r["n_removed"], r["kept_sha256"]) for r in df.collect())
 
 
-@pytest.mark.parametrize("width,limits", [(13, {}), (13, {"phrases_a_shard": 3, "pieces_a_task": 4}), (6, {"phrases_a_shard": 10_000})])
+@pytest.mark.parametrize("width,limits", [(13, {}), (13, {"phrases_a_shard": 3, "pieces_a_task": 4}), (13, {"phrases_a_shard": 50, "pieces_a_task": 9, "phrases_a_machine": 7}), (6, {"phrases_a_shard": 10_000})])
 def test_equals_brute_force(docs, width, limits):
     rng = random.Random(width)
     shared = [[f"s{rng.randrange(50)}" for _ in range(rng.randrange(10, 70))] for _ in range(8)]
@@ -47,6 +47,22 @@ def test_equals_brute_force(docs, width, limits):
     assert result(passages_removed(docs(rows), width=width, **limits)) == brute(rows, width)
 
 
+def test_one_anchor_in_every_document(docs):
+    """One line in all texts, with neighbours that some of them share: all phrases have one anchor."""
+    rng = random.Random(8)
+    line = "the same line of words stands in every text".split()
+    rows = [(i, " ".join([f"a{rng.randrange(9)}" for _ in range(6)] + line + [f"b{rng.randrange(9)}" for _ in range(6)])) for i in range(80)]
+    rows += [(i, " ".join([f"a{i % 7}"] * 6 + line + [f"b{i % 5}"] * 6)) for i in range(80, 160)]
+    assert result(passages_removed(docs(rows).repartition(3), phrases_a_shard=10_000, phrases_a_machine=5, pieces_a_task=40)) == brute(rows, 13)
+
+
+def test_all_ids_are_null(docs):
+    rng = random.Random(9)
+    rows = [(None, " ".join(f"w{rng.randrange(6)}" for _ in range(60))) for _ in range(40)] + [(None, "same " * 30)] * 20
+    rows += [(3, rows[0][1]), (4, "same " * 15), (4, "same " * 15)]
+    assert result(passages_removed(docs(rows))) == brute(rows, 13)
+
+
 def test_no_rows(docs):
     assert passages_removed(docs([])).count() == 0
 
