@@ -83,11 +83,18 @@ _CASELESS = {
 _SIGNS = "!#$%&*+-.:?@^_~"
 
 
+#: What every secret of a key word, value behind a word and token has, in lower case or as it stands.
+_HINTS_LOW = ("password", "passwd", "passphrase", "secret", "token", "key", "bearer", "basic")
+_HINTS = ("sk-", "k_live_", "k_test_", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "github_pat_", "glpat-", "xox", "AIza", "hf_", "npm_")
+
+
 def may_hold(text: Column) -> Column:
-    """A cheap necessary test: whatever is an entity has a digit, a sign, or a title."""
-    out = text.rlike(f"[0-9@=]|{_KEY}|(?i:authorization)|{_TOKEN_HEADS}")
-    for title in (*_TITLES_F, *_TITLES_M, *_TITLES_U):
+    """A cheap necessary test: whatever is an entity has a digit, a sign, a key word, or a title."""
+    out = text.rlike("[0-9@=]")
+    for title in (*_TITLES_F, *_TITLES_M, *_TITLES_U, *_HINTS):
         out = out | text.contains(title)
+    for hint in _HINTS_LOW:
+        out = out | F.lower(text).contains(hint)
     return F.coalesce(out, F.lit(False))
 
 
