@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..sources.scratch import fresh_path
@@ -65,19 +67,31 @@ def adaptive_batches(rows: DataFrame, part: str | list[str] | None, order: list[
     automaton whose state is the size of the open batch, so a stretch of rows is a function of
     the size it begins with.  Without ``part`` each range partition is folded for all sizes at
     once, the functions are chained over partitions (a row each, on the driver), and then each
-    partition numbers its batches.  With ``part`` a part is folded in one task.
+    partition numbers its batches.  With ``part`` a part is folded in one task.  Rows stream
+    through in Arrow batches that carry the state on, so no task holds a partition.
     """
     names = rows.columns
+    kinds = rows.withColumn("batch", F.lit(0).cast("long")).schema
     if part is not None:
         keys = [part] if isinstance(part, str) else part
-        before = F.lag(term).over(Window.partitionBy(*keys).orderBy(*order))
-        marked = rows.withColumn("_like", _alike(F.col(term), before, prefix))
-
-        def whole(pdf: pd.DataFrame) -> pd.DataFrame:
-            pdf = pdf.sort_values(order, kind="stable")
-            return pdf[names].assign(batch=_batches(pdf["_like"].to_numpy(), 0, least, most)[0] - 1)
-
-        return marked.groupBy(*keys).applyInPandas(whole, rows.withColumn("batch", F.lit(0).cast("long")).schema)
+        w = Window.partitionBy(*keys).orderBy(*order)
+        marked = rows.withColumn("_like", _alike(F.col(term), F.lag(term).over(w), prefix)).withColumn("_first", F.row_number().over(w) == 1)
+
+        def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            size = n = 0
+            for batch in batches:
+                made, first = np.empty(batch.num_rows, dtype=np.int64), batch.column("_first").to_numpy(zero_copy_only=False)
+                like = batch.column("_like").to_numpy(zero_copy_only=False)
+                cuts = [0, *(np.flatnonzero(first[1:]) + 1).tolist(), batch.num_rows]
+                for lo, hi in zip(cuts, cuts[1:]):
+                    if lo < hi:
+                        size, n = (0, 0) if first[lo] else (size, n)
+                        begun, size = _batches(like[lo:hi], size, least, most)
+                        made[lo:hi] = n + begun - 1
+                        n += int(begun[-1])
+                yield _with_batch(batch, names, made)
+
+        return marked.mapInArrow(whole, kinds)  # the windows leave each part's rows together and in order
 
     dealt = _dealt(rows, order)
     w = Window.partitionBy("_part").orderBy(*order)
@@ -86,15 +100,27 @@ def adaptive_batches(rows: DataFrame, part: str | list[str] | None, order: list[
     ends = ends.select((F.lead("_part").over(Window.orderBy("_part"))).alias("_part"), "_end").where("_part is not null")
     first = F.row_number().over(w) == 1
     marked = dealt.withColumn("_first", first).withColumn("_before", F.lag(term).over(w)).join(F.broadcast(ends), "_part", "left")
-    marked = marked.withColumn("_like", _alike(F.col(term), F.when(F.col("_first"), F.col("_end")).otherwise(F.col("_before")), prefix)).drop("_first", "_before", "_end")
+    marked = marked.withColumn("_like", _alike(F.col(term), F.when(F.col("_first"), F.col("_end")).otherwise(F.col("_before")), prefix)).drop("_before", "_end")
 
-    def folded(pdf: pd.DataFrame) -> pd.DataFrame:
-        like = pdf.sort_values(order, kind="stable")["_like"].to_numpy()
-        made = [_batches(like, size, least, most) for size in range(most + 1)]
-        return pd.DataFrame({"_part": pdf["_part"].iloc[0], "size": range(most + 1), "started": [m[0][-1] for m in made], "left": [m[1] for m in made]})
+    def folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, sizes, counts = None, [], []
+
+        def out() -> pa.RecordBatch:
+            columns = [pa.array([at] * (most + 1), pa.int32()), pa.array(range(most + 1), pa.int32()), pa.array(counts, pa.int64()), pa.array(sizes, pa.int32())]
+            return pa.RecordBatch.from_arrays(columns, names=["_part", "size", "started", "left"])
+
+        for batch in batches:
+            for part_, lo, hi, new in _stretches(batch):
+                if new:
+                    if at is not None:
+                        yield out()
+                    at, sizes, counts = part_, list(range(most + 1)), [0] * (most + 1)
+                sizes, counts = _folded(batch.column("_like").to_numpy(zero_copy_only=False)[lo:hi].tolist(), sizes, counts, least, most)
+        if at is not None:
+            yield out()
 
     by_part: dict[int, dict[int, tuple[int, int]]] = {}
-    for r in marked.groupBy("_part").applyInPandas(folded, "_part int, size int, started long, left int").collect():
+    for r in marked.mapInArrow(folded, "_part int, size int, started long, left int").collect():
         by_part.setdefault(r["_part"], {})[r["size"]] = (r["started"], r["left"])
     size, count, enter = 0, 0, {}
     for p in sorted(by_part):
@@ -102,12 +128,44 @@ def adaptive_batches(rows: DataFrame, part: str | list[str] | None, order: list[
         started, size = by_part[p][size]
         count += started
 
-    def placed(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order, kind="stable")
-        size, count = enter[int(pdf["_part"].iloc[0])]
-        return pdf[names].assign(batch=count + _batches(pdf["_like"].to_numpy(), size, least, most)[0] - 1)
-
-    return marked.groupBy("_part").applyInPandas(placed, rows.withColumn("batch", F.lit(0).cast("long")).schema)
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        size = count = 0
+        for batch in batches:
+            made, like = np.empty(batch.num_rows, dtype=np.int64), batch.column("_like").to_numpy(zero_copy_only=False)
+            for part_, lo, hi, new in _stretches(batch):
+                if new:
+                    size, count = enter[part_]
+                begun, size = _batches(like[lo:hi], size, least, most)
+                made[lo:hi] = count + begun - 1
+                count += int(begun[-1])
+            yield _with_batch(batch, names, made)
+
+    return marked.mapInArrow(placed, kinds)
+
+
+def _with_batch(batch: pa.RecordBatch, names: list[str], made: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(made)], names=[*names, "batch"])
+
+
+def _stretches(batch: pa.RecordBatch) -> Iterator[tuple[int, int, int, bool]]:
+    """Of a batch of sorted rows ``(partition, from, to, whether the partition begins there)``."""
+    part, first = batch.column("_part").to_numpy(), batch.column("_first").to_numpy(zero_copy_only=False)
+    cuts = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), len(part)]
+    for lo, hi in zip(cuts, cuts[1:]):
+        if lo < hi:
+            yield int(part[lo]), lo, hi, bool(first[lo])
+
+
+def _folded(like: list[bool], sizes: list[int], counts: list[int], least: int, most: int) -> tuple[list[int], list[int]]:
+    """Sizes of the open batch and batches begun after some rows, for each size they began with; equal sizes go on together."""
+    for i, same in enumerate(like):
+        if min(sizes) == max(sizes):
+            begun, size = _batches(np.array(like[i:], dtype=bool), sizes[0], least, most)
+            return [size] * len(sizes), [n + int(begun[-1]) for n in counts]
+        stay = [size and (size < least or (same and size < most)) for size in sizes]
+        sizes = [size + 1 if s else 1 for size, s in zip(sizes, stay)]
+        counts = [n if s else n + 1 for n, s in zip(counts, stay)]
+    return sizes, counts
 
 
 def _alike(term: Column, before: Column, prefix: int) -> Column:

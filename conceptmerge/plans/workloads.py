@@ -482,7 +482,23 @@ def coalesced_alternates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _t(spark, sf_dir, "events").select("event_id", text.first_filled(uuid, F.concat(F.lit("id"), F.col("event_id").cast("string"))).alias("uuid"), text.score_of(raw).alias("score"))
 
 
-@query()
+@query("""
+    WITH RECURSIVE d AS (SELECT doc_id AS id, text AS t, length(text) AS n FROM documents WHERE text <> ''),
+    c AS (
+        SELECT id, t, n, 0 AS k, 0::BIGINT AS start FROM d
+        UNION ALL
+        SELECT id, t, n, k + 1, coalesce(
+            CASE WHEN strpos(v, s1) > 0 AND low + strpos(v, s1) + 1 < stop THEN low + strpos(v, s1) + 1 END, CASE WHEN strpos(v, s2) > 0 AND low + strpos(v, s2) < stop THEN low + strpos(v, s2) END,
+            CASE WHEN strpos(v, '. ') > 0 AND low + strpos(v, '. ') + 1 < stop THEN low + strpos(v, '. ') + 1 END, CASE WHEN strpos(v, ', ') > 0 AND low + strpos(v, ', ') + 1 < stop THEN low + strpos(v, ', ') + 1 END,
+            CASE WHEN strpos(v, ' ') > 0 AND low + strpos(v, ' ') < stop THEN low + strpos(v, ' ') END, low)
+        FROM (SELECT *, greatest(start + 1, stop - 200) AS low, substr(t, greatest(start + 1, stop - 200) + 1, stop - greatest(start + 1, stop - 200)) AS v FROM (SELECT *, CASE WHEN start + 1000 >= n THEN n ELSE start + 1000 - coalesce(
+            CASE WHEN strpos(w, s1) > 0 THEN strpos(w, s1) - 1 END, CASE WHEN strpos(w, s2) > 0 THEN strpos(w, s2) - 1 END, CASE WHEN strpos(w, ' .') > 0 THEN strpos(w, ' .') - 1 END,
+            CASE WHEN strpos(w, ' ,') > 0 THEN strpos(w, ' ,') - 1 END, CASE WHEN strpos(w, ' ') > 0 THEN strpos(w, ' ') - 1 END, 0) END AS stop
+            FROM (SELECT *, reverse(substr(t, start + 501, 500)) AS w, chr(10) || chr(10) AS s1, chr(10) AS s2 FROM c)) WHERE stop < n))
+    SELECT id, k AS at, substr(t, start + 1, stop - start) AS chunk, left(sha256(id || chr(1) || k), 32) AS chunk_id FROM (SELECT *, CASE WHEN start + 1000 >= n THEN n ELSE start + 1000 - coalesce(
+            CASE WHEN strpos(w, s1) > 0 THEN strpos(w, s1) - 1 END, CASE WHEN strpos(w, s2) > 0 THEN strpos(w, s2) - 1 END, CASE WHEN strpos(w, ' .') > 0 THEN strpos(w, ' .') - 1 END,
+            CASE WHEN strpos(w, ' ,') > 0 THEN strpos(w, ' ,') - 1 END, CASE WHEN strpos(w, ' ') > 0 THEN strpos(w, ' ') - 1 END, 0) END AS stop
+            FROM (SELECT *, reverse(substr(t, start + 501, 500)) AS w, chr(10) || chr(10) AS s1, chr(10) AS s2 FROM c))""")
 def chunk_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text.chunks(_t(spark, sf_dir, "documents"), "doc_id")
 

@@ -352,3 +352,33 @@ def test_counters_of_the_merges_own_pass(spark):
     nodes, counts = merge.merge_observed(terms(spark), 4)
     assert nodes.count() == merge.merge_concepts(terms(spark)).count()
     assert {r: tuple(x) for r, *x in counts.get()} == {0: (1, 1, 0), 1: (0, 1, 1), 2: (0, 0, 1)}
+
+
+def plain_batches(terms):
+    out, n, i = [], -1, 0
+    while i < len(terms):
+        n, size = n + 1, 0
+        while i < len(terms) and size < 12 and (size < 5 or terms[i][:4].lower() == terms[i - 1][:4].lower()):
+            out.append(n)
+            size, i = size + 1, i + 1
+    return out
+
+
+@pytest.mark.parametrize("rows_a_batch", ["3", "10000"])
+def test_adaptive_batches_carry_on_over_arrow_batches(spark, rows_a_batch):
+    rng = random.Random(7)
+    rows = sorted(f"{rng.choice(['alpha', 'Alph', 'beta', 'gamma', 'delta'])}{rng.randrange(10**6):06d}" for _ in range(300))
+    df = spark.createDataFrame([(t, i % 3) for i, t in enumerate(rows)], "term string, p int").repartition(4)
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, rows_a_batch)
+    try:
+        whole = [r["batch"] for r in batching.adaptive_batches(df, None, ["term"], "term").orderBy("term").collect()]
+        parts = {r["term"]: r["batch"] for r in batching.adaptive_batches(df, "p", ["term"], "term").collect()}
+        assert batching.adaptive_batches(df.limit(0), None, ["term"], "term").count() == 0 == batching.adaptive_batches(df.limit(0), "p", ["term"], "term").count()
+    finally:
+        spark.conf.set(setting, before)
+    assert whole == plain_batches(rows)
+    for p in range(3):
+        mine = rows[p::3]
+        assert [parts[t] for t in mine] == plain_batches(mine)
