@@ -109,6 +109,11 @@ def content_list(c: Column) -> Column:
     return F.transform(items, entry)
 
 
+def distinct_members(lists: Column) -> Column:
+    """The members of lists within a list, each once, where it came first."""
+    return F.array_distinct(F.flatten(lists))
+
+
 def document_text(term: Column, synonyms: Column, description: Column, uuid: Column) -> Column:
     """The text that a concept is indexed under."""
     return F.concat_ws(

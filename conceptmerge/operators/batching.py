@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..functions.scalars import distinct_members
 from ..sources.scratch import fresh_path
 
 
@@ -199,4 +200,4 @@ def summarized_runs(rows: DataFrame, part: list[str], order: list[str], key: str
     one = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)], F.col(terms).alias("t"), F.col(text).alias("d"))
     listed = marked.groupBy(*part, "run", key).agg(F.array_sort(F.collect_list(one)).alias("l"))
     nested = F.transform("l", lambda x: x["t"])
-    return listed.select(*part, "run", key, nested.alias("nested"), F.array_distinct(F.flatten(nested)).alias("distinct_terms"), F.array_join(F.transform("l", lambda x: x["d"]), "\n").alias("descriptions"))
+    return listed.select(*part, "run", key, nested.alias("nested"), distinct_members(nested).alias("distinct_terms"), F.array_join(F.transform("l", lambda x: x["d"]), "\n").alias("descriptions"))

@@ -617,7 +617,7 @@ def format_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT l_orderkey, array_to_string(list_sort(list_distinct(list(l_returnflag) || list(l_linestatus))), '|') AS flags FROM lineitem GROUP BY l_orderkey")
 def flatten_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _t(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.array("l_returnflag", "l_linestatus"))))), "|").alias("flags"))
+    return _t(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.array_join(F.array_sort(s.distinct_members(F.collect_set(F.array("l_returnflag", "l_linestatus")))), "|").alias("flags"))
 
 
 @query("""
