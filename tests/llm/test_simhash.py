@@ -104,3 +104,21 @@ def test_removal(docs):
     assert [k for k in kept if k[1] == 7] == [(False, 7, "another text"), (False, 7, "same words h")]
     assert simhash.near_duplicates_removed(docs([])).count() == 0
     assert simhash.near_duplicates_removed(docs(ODD)).columns == ["doc_id", "text", "mark", "score"]
+
+
+@pytest.mark.parametrize("bucket", [8, 4096])
+@pytest.mark.parametrize("chosen", [[0, 1, 1], [2, 1], [1, -1, 1, 0]])
+def test_unequal_thresholds_lose_nothing(spark, monkeypatch, chosen, bucket):
+    """Plans that only very many fingerprints get: parts with thresholds of their own, probed with flipped bits."""
+    rng = np.random.default_rng(len(chosen))
+    centre = [int(x) for x in rng.integers(0, 2**63, 6)]
+    prints = sorted({c ^ sum(1 << int(b) for b in rng.choice(64, rng.integers(0, 7), replace=False)) for c in centre for _ in range(40)})
+
+    def forced(n, together, radius):
+        return [(g, t) for g, t in zip(simhash.correlated_parts(n, together, len(chosen)), chosen) if t >= 0]
+
+    monkeypatch.setattr(simhash, "plan", forced)
+    nodes = spark.createDataFrame([(x - 2**64 if x >= 2**63 else x,) for x in prints], "fp long")
+    roots = {r["node"] % 2**64: r["root"] for r in component_labels(simhash.near_links(nodes, 4, bucket=bucket, levels=1)).collect()}
+    got, want = [roots.get(p, p) for p in prints], brute(prints, 4)
+    assert len(set(zip(want, got))) == len(set(want)) == len(set(got))
