@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, functions as F
 
 from ..schemas import DISCARD, ERROR
@@ -59,41 +57,31 @@ def missing_keys(raw: Column, keys: Sequence[str]) -> Column:
     return F.array_except(F.array(*map(F.lit, keys)), F.json_object_keys(raw))
 
 
-class _Written(float):
-    """A number with the text that it was written as."""
-
-    def __new__(cls, text: str):
-        out = super().__new__(cls, text)
-        out.text = text
-        return out
-
-
-def _leaves(value: str | None) -> list[str] | None:
-    if value is None:
-        return None
-    try:
-        found = json.loads(value, parse_float=_Written) if value.lstrip().startswith("[") else value
-    except ValueError:
-        found = value
-    out, open_ = [], [found]
-    while open_:
-        x = open_.pop()
-        if isinstance(x, list):
-            open_ += reversed(x)
-        elif x is not None:
-            out.append(x if isinstance(x, str) else x.text if isinstance(x, _Written) else json.dumps(x, ensure_ascii=False, separators=(",", ":")))
-    return out
+_STRING = r'"(?:[^"\\]|\\.)*"'
+_DECIMAL = r"(-?[0-9]+(?:\.[0-9]+(?:[eE][+-]?[0-9]+)?|[eE][+-]?[0-9]+))"
 
 
 def flatten_json_list(c: Column) -> Column:
     """The members of nested JSON lists, in order and at any depth, as strings; a scalar alone is a list of one.
 
-    Only lists within lists go to Python, in Arrow batches; the rest is parsed in place.
+    Lists are opened level by level as VARIANT values, as many times as the brackets go
+    deep, so a string that looks like a list stays a string.  Decimal numbers are kept as they
+    are written: they pass as marked strings.  What begins like a list and is no JSON is one member.
     """
-    deep = F.pandas_udf(lambda values: values.map(_leaves), "array<string>")
     text = c.cast("string")
-    plain = F.filter(F.from_json(text, "array<string>"), lambda x: x.isNotNull())
-    return F.when(~F.ltrim(text).startswith("["), F.array(text)).when(~text.rlike(r"\A\s*\[.*[\[{]"), plain).otherwise(deep(text))
+    pieces = F.regexp_extract_all(text, F.lit(_STRING + r'|[^"]+'), F.lit(0))
+    marked = F.array_join(F.transform(pieces, lambda p: F.when(p.startswith('"'), p).otherwise(F.regexp_replace(p, _DECIMAL, r'"\\u0001$1"'))), "")
+    ready = F.when(text.rlike(r"[0-9][.eE]"), marked).otherwise(text)
+    step = F.transform(F.split(F.regexp_replace(F.regexp_replace(text, _STRING, ""), r"[^\[\]]", ""), ""), lambda b: F.when(b == "[", 1).when(b == "]", -1).otherwise(0))
+    reached = F.aggregate(step, F.struct(F.lit(0).alias("at"), F.lit(0).alias("most")), lambda a, b: F.struct((a["at"] + b).alias("at"), F.greatest(a["most"], a["at"] + b).alias("most")))
+    is_list = lambda x: F.schema_of_variant(x).startswith("ARRAY")
+    opened = F.aggregate(
+        F.sequence(F.lit(1), F.greatest(reached["most"], F.lit(1))), F.array(F.try_parse_json(ready)),
+        lambda found, _: F.flatten(F.transform(found, lambda x: F.when(is_list(x), x.cast("array<variant>")).otherwise(F.array(x)))),
+    )
+    plain = lambda x: F.when(F.schema_of_variant(x) == "STRING", F.regexp_replace(x.cast("string"), "^\u0001", "")).otherwise(F.regexp_replace(F.to_json(x), r'"\\u0001([^"]*)"', "$1"))
+    members = F.transform(F.filter(opened, lambda x: ~F.is_variant_null(x)), plain)
+    return F.when(text.isNull(), F.lit(None)).when(~F.ltrim(text).startswith("["), F.array(text)).when(F.try_parse_json(text).isNull(), F.array(text)).otherwise(members)
 
 
 def content_list(c: Column) -> Column:

@@ -382,3 +382,18 @@ def test_adaptive_batches_carry_on_over_arrow_batches(spark, rows_a_batch):
     for p in range(3):
         mine = rows[p::3]
         assert [parts[t] for t in mine] == plain_batches(mine)
+
+
+def test_nested_lists_of_any_depth_stay_in_the_engine(spark):
+    deep = "[" * 300 + '"x"' + "]" * 300
+    rows = [
+        ('["x",["y",["z"]],"[1]"]', ["x", "y", "z", "[1]"]), ('[1.50,[1e5,-2.0E+3,7],[true,null,{"a":[1.50,"b]"]}]]', ["1.50", "1e5", "-2.0E+3", "7", "true", '{"a":[1.50,"b]"]}']), ("[[[[]]]]", []),
+        ('[1.5"]', ['[1.5"]']), ('["a \\" 2.5, [", ["é"]]', ['a " 2.5, [', "é"]), (deep, ["x"]), ("plain 1.50", ["plain 1.50"]), (None, None), ("[]", []), ("  [1, 2]", ["1", "2"]), ("", [""]),
+        ("[" + ",".join(["[1]"] * 2000) + "]", ["1"] * 2000),
+    ]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "i int, t string").select("i", s.flatten_json_list(F.col("t")).alias("v"))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan
+    got = {r["i"]: r["v"] for r in df.collect()}
+    for i, (t, want) in enumerate(rows):
+        assert got[i] == want, (t, got[i])
