@@ -676,9 +676,10 @@ def numbered_line_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _t(spark, sf_dir, "events").select((F.col("user_id") % 16).alias("part"), "event_id", F.to_json(F.struct("user_id", "event_id")).alias("value"))
     root = fresh_path(spark, "lines")
     events.repartition(16, "part").sortWithinPartitions("part", "event_id").select("part", "value").write.partitionBy("part").text(root)
-    lines = readers.numbered_lines(spark, [f"{root}/part={i}" for i in range(16)])
+    held_parts = sorted(r["part"] for r in events.select("part").distinct().collect())  # sixteen at most
+    lines = readers.numbered_lines(spark, [f"{root}/part={i}" for i in held_parts])
     held = F.from_json("_raw", "user_id long, event_id long")
-    return lines.select(held["user_id"].alias("user_id"), held["event_id"].alias("event_id"), F.col("_line").alias("line"), F.col("_source_rank").alias("source_rank"))
+    return lines.select(held["user_id"].alias("user_id"), held["event_id"].alias("event_id"), F.col("_line").alias("line"), F.element_at(F.lit(held_parts).cast("array<int>"), F.col("_source_rank") + 1).alias("source_rank"))
 
 
 @query("SELECT event_id, CASE WHEN event_id % 7 = 0 THEN 'Others' ELSE event_type END AS classification FROM events")
