@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .staging import FEW, dropped, settings, staged
-from .wordcodes import Words, sliding_min, word_chunks
+from .wordcodes import Words, mixed, sliding_min, word_chunks
 
 NO_ID = (1 << 63) - 1  # a null id counts as later than all others
 
@@ -108,17 +108,22 @@ def _windows(passages: DataFrame, width: int) -> DataFrame:
 _PIECE = "shard long, kind int, doc long, mark long, place int, text string, firsts array<long>"
 
 
-def _cut(w: Words, i: int, wanted: np.ndarray, width: int, anchor: np.ndarray) -> Iterator[tuple[int, int, int]]:
-    """Runs ``(window from, window to, anchor)`` of wanted windows of text i that share an anchor."""
-    a, b = int(w.first[i]), int(w.first[i + 1])
-    if b - a < width:
-        return
-    same = anchor[a : b - width + 1]
-    on = wanted[: len(same)]
-    cuts = np.flatnonzero((same[1:] != same[:-1]) | (on[1:] != on[:-1])) + 1
-    for s, e in zip([0, *cuts.tolist()], [*cuts.tolist(), len(same)]):
-        if on[s]:
-            yield s, e, int(same[s])
+def _stretches(w: Words, anchor: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Runs ``[from, to)`` of neighbouring wanted windows of one text that share an anchor."""
+    owner = w.owner()[: len(anchor)]
+    change = np.ones(len(anchor), dtype=bool)
+    change[1:] = (anchor[1:] != anchor[:-1]) | (owner[1:] != owner[:-1]) | (wanted[1:] != wanted[:-1])
+    begin = np.flatnonzero(change)
+    end = np.append(begin[1:], len(anchor))
+    return begin[wanted[begin]], end[wanted[begin]]
+
+
+def _texts_of(w: Words, begin: np.ndarray, end: np.ndarray, width: int) -> pa.Array:
+    """The words of the windows ``[begin, end)`` as they stand; passages have single spaces."""
+    lo, hi = w.starts[begin], w.ends[end + width - 2]
+    at = np.append(0, np.cumsum(hi - lo))
+    data = w.data[np.arange(at[-1]) + np.repeat(lo - at[:-1], hi - lo)]
+    return pa.LargeStringArray.from_buffers(len(begin), pa.py_buffer(at), pa.py_buffer(data)).cast(pa.string())
 
 
 def _pieces(passages: DataFrame, width: int, seed: int, shards: int) -> DataFrame:
@@ -128,47 +133,55 @@ def _pieces(passages: DataFrame, width: int, seed: int, shards: int) -> DataFram
         for batch in batches:
             ids, marks, places = (batch.column(c).to_numpy() for c in (0, 1, 2))
             for lo, hi, w in word_chunks(batch.column(3)):
-                anchor, _ = _anchors(w, width, seed)
-                out = []
-                for i in range(lo, hi):
-                    a, b = int(w.first[i - lo]), int(w.first[i - lo + 1])
-                    every = np.ones(max(0, b - a - width + 1), dtype=bool)
-                    for s, e, key in _cut(w, i - lo, every, width, anchor):
-                        out.append((key % shards, 1, ids[i], marks[i], places[i] + s, w.text(a + s, a + e + width - 1)))
-                if out:
-                    shard, kind, doc, mark, place, text = zip(*out)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(shard, pa.int64()), pa.array(kind, pa.int32()), pa.array(doc, pa.int64()), pa.array(mark, pa.int64()), pa.array(place, pa.int32()), pa.array(text, pa.binary()).cast(pa.string()), pa.nulls(len(out), pa.list_(pa.int64()))],
-                        names=["shard", "kind", "doc", "mark", "place", "text", "firsts"],
-                    )
+                anchor, whole = _anchors(w, width, seed)
+                begin, end = _stretches(w, anchor, whole)
+                if not len(begin):
+                    continue
+                own = w.owner()[begin]
+                place = places[lo + own] + (begin - w.first[own])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(anchor[begin] % shards), pa.array(np.ones(len(begin), np.int32)), pa.array(ids[lo + own]), pa.array(marks[lo + own]), pa.array(place.astype(np.int32)),
+                        _texts_of(w, begin, end, width), pa.nulls(len(begin), pa.list_(pa.int64())),
+                    ],
+                    names=["shard", "kind", "doc", "mark", "place", "text", "firsts"],
+                )
 
     return passages.select("doc", "mark", "place", "text").mapInArrow(run, _PIECE)
 
 
+def _window_key(owner: np.ndarray, c1: np.ndarray, c2: np.ndarray) -> np.ndarray:
+    return mixed(mixed(c1.view(np.uint64)) + c2.view(np.uint64)) + owner.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+
+
 def _phrases(sources: DataFrame, width: int, seed: int, shards: int) -> DataFrame:
     """What is compiled: of each source passage the confirmed windows, with the first document of each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = batch.column(1).to_pylist()
+            lists = batch.column(1)
+            ends = lists.offsets.to_numpy()
+            f1, f2, first = (lists.values.field(x).to_numpy() for x in ("c1", "c2", "first"))
             for lo, hi, w in word_chunks(batch.column(0)):
-                anchor, _ = _anchors(w, width, seed)
+                anchor, whole = _anchors(w, width, seed)
+                if not whole.any():
+                    continue
                 c1, c2 = (w.runs(width, k)[0].view(np.int64) for k in (1, 2))
-                out = []
-                for i in range(lo, hi):
-                    a, b = int(w.first[i - lo]), int(w.first[i - lo + 1])
-                    first = {(x["c1"], x["c2"]): x["first"] for x in found[i]}
-                    whose = [first.get(x) for x in zip(c1[a : b - width + 1].tolist(), c2[a : b - width + 1].tolist())]
-                    wanted = np.array([x is not None for x in whose], dtype=bool)
-                    for s, e, key in _cut(w, i - lo, wanted, width, anchor):
-                        out.append((key % shards, w.text(a + s, a + e + width - 1), whose[s:e]))
-                if out:
-                    shard, text, firsts = zip(*out)
-                    none = pa.nulls(len(out), pa.int64())
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(shard, pa.int64()), pa.array(np.zeros(len(out), np.int32)), none, none, pa.nulls(len(out), pa.int32()), pa.array(text, pa.binary()).cast(pa.string()), pa.array(firsts, pa.list_(pa.int64()))],
-                        names=["shard", "kind", "doc", "mark", "place", "text", "firsts"],
-                    )
+                at = slice(ends[lo], ends[hi])
+                known = _window_key(np.repeat(np.arange(hi - lo), np.diff(ends[lo : hi + 1])), f1[at], f2[at])
+                order = np.argsort(known)
+                asked = _window_key(w.owner()[: len(c1)], c1, c2)
+                place = np.minimum(np.searchsorted(known[order], asked), len(known) - 1)
+                wanted = whole & (known[order][place] == asked)
+                begin, end = _stretches(w, anchor, wanted)
+                if not len(begin):
+                    continue
+                none = pa.nulls(len(begin), pa.int64())
+                firsts = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(end - begin)).astype(np.int32)), pa.array(first[at][order][place][wanted]))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(anchor[begin] % shards), pa.array(np.zeros(len(begin), np.int32)), none, none, pa.nulls(len(begin), pa.int32()), _texts_of(w, begin, end, width), firsts],
+                    names=["shard", "kind", "doc", "mark", "place", "text", "firsts"],
+                )
 
     return sources.select("text", "found").mapInArrow(run, _PIECE)
 
@@ -227,26 +240,47 @@ def _located(rows: DataFrame, width: int) -> DataFrame:
         at: tuple | None = None
         automaton, open_ = PhraseAutomaton(width), True
         for batch in batches:
-            out = []
-            plain = [batch.column(c).fill_null(0).to_numpy().tolist() for c in ("shard", "salt", "kind", "doc", "mark", "place")]
-            cols = [*plain, batch.column("text").to_pylist(), batch.column("firsts").to_pylist()]
-            for shard, salt, kind, doc, mark, place, text, firsts in zip(*cols):
-                if (shard, salt) != at:
-                    at, automaton, open_ = (shard, salt), PhraseAutomaton(width), True
-                if kind == 0:
-                    automaton.add(text, firsts)
+            if not batch.num_rows:
+                continue
+            shard, salt, kind = (batch.column(c).to_numpy() for c in ("shard", "salt", "kind"))
+            cuts = np.flatnonzero((shard[1:] != shard[:-1]) | (salt[1:] != salt[:-1]) | (kind[1:] != kind[:-1])) + 1
+            for i, j in zip([0, *cuts.tolist()], [*cuts.tolist(), len(kind)]):
+                if (shard[i], salt[i]) != at:
+                    at, automaton, open_ = (shard[i], salt[i]), PhraseAutomaton(width), True
+                part = batch.slice(i, j - i)
+                if kind[i] == 0:
+                    for text, firsts in zip(part.column("text").to_pylist(), part.column("firsts").to_pylist()):
+                        automaton.add(text, firsts)
                     continue
                 if open_:
                     automaton.ready()
                     open_ = False
-                out += [(doc, mark, place + lo, hi - lo) for lo, hi, first in automaton.matches(text) if first < doc]
-            if out:
-                d, m, p, n = zip(*out)
-                yield pa.RecordBatch.from_arrays([pa.array(d, pa.int64()), pa.array(m, pa.int64()), pa.array(p, pa.int32()), pa.array(n, pa.int32())], names=["doc", "mark", "place", "n"])
+                found = _found(part, automaton)
+                if found is not None:
+                    yield found
 
     return rows.mapInArrow(run, "doc long, mark long, place int, n int")
 
 
+def _found(pieces: pa.RecordBatch, automaton: PhraseAutomaton) -> pa.RecordBatch | None:
+    """What the automaton finds of earlier documents; equal texts are searched once."""
+    coded = pieces.column("text").dictionary_encode()
+    matches = [automaton.matches(text) for text in coded.dictionary.to_pylist()]
+    many = np.array([len(m) for m in matches], dtype=np.int64)
+    if not many.any():
+        return None
+    lo, hi, first = np.array([x for m in matches for x in m], dtype=np.int64).T
+    text = coded.indices.to_numpy()
+    row = np.repeat(np.arange(len(text)), many[text])
+    nth = np.arange(len(row)) - np.repeat(np.cumsum(many[text]) - many[text], many[text])
+    hit = (np.cumsum(many) - many)[text[row]] + nth
+    doc, mark, place = (pieces.column(c).to_numpy() for c in ("doc", "mark", "place"))
+    on = first[hit] < doc[row]
+    row, hit = row[on], hit[on]
+    spans = (place[row] + lo[hit]).astype(np.int32), (hi[hit] - lo[hit]).astype(np.int32)
+    return pa.RecordBatch.from_arrays([pa.array(doc[row]), pa.array(mark[row]), *map(pa.array, spans)], names=["doc", "mark", "place", "n"])
+
+
 def _cleaned(docs: DataFrame) -> DataFrame:
     """What is left of each text, with counts and a digest."""
 
