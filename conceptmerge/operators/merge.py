@@ -29,30 +29,32 @@ def concept_states(terms: DataFrame) -> DataFrame:
     order = F.struct("_source_rank", "_line")
     rows = usable_terms(terms).select("term_uuid", "term", "xref", "src_uuid", ids.alias("ids"), F.nullif("gsd_id", F.lit("")).alias("gsd"), order.alias("ord"))
     source = F.struct(F.col("term").alias("src_lbl"), F.col("xref").alias("src"), "src_uuid")
-    return rows.groupBy("term_uuid", "src_uuid").agg(
-        F.min("ord").alias("ord"), F.min_by(source, "ord").alias("source"), F.min_by("term", F.when(F.col("term") != "", F.col("ord"))).alias("lbl"),
-        F.min(F.when(F.col("term") != "", F.col("ord"))).alias("lbl_ord"), F.max_by("gsd", F.when(F.col("gsd").isNotNull(), F.col("ord"))).alias("gsd"),
-        F.max(F.when(F.col("gsd").isNotNull(), F.col("ord"))).alias("gsd_ord"), F.collect_list(F.struct("ord", "ids")).alias("lists"), F.count("*").alias("n"),
-    )
-
-
-def _first_seen(lists: Column) -> Column:
-    """Lists of ids by place: the first as it is, then each further id where it came first."""
-    ordered = F.array_sort(lists)
-    first = F.get(ordered, 0)
-    each = F.flatten(F.transform(F.slice(ordered, 2, F.greatest(F.size(ordered) - 1, F.lit(0))), lambda x: F.transform(x["ids"], lambda i: F.struct(x["ord"].alias("ord"), i.alias("id")))))
-    names = F.transform(each, lambda x: x["id"])
-    new = F.filter(each, lambda x, i: (F.array_position(names, x["id"]) == i + 1) & ~F.array_contains(first["ids"], x["id"]))
-    return F.concat(F.array(first), F.transform(new, lambda x: F.struct(x["ord"].alias("ord"), F.array(x["id"]).alias("ids"))))
+    # a row is the state of itself
+    return folded_states(rows.select(
+        "term_uuid", "src_uuid", "ord", source.alias("source"), F.nullif("term", F.lit("")).alias("lbl"), F.when(F.col("term") != "", F.col("ord")).alias("lbl_ord"),
+        "gsd", F.when(F.col("gsd").isNotNull(), F.col("ord")).alias("gsd_ord"), F.array(F.struct("ord", F.lit(0).alias("pos"), "ids")).alias("lists"), F.lit(1).cast("long").alias("n"),
+    ))
 
 
 def folded_states(states: DataFrame) -> DataFrame:
-    """One state for each ``(term_uuid, src_uuid)``, of all its states in whatever order they came."""
-    folded = states.groupBy("term_uuid", "src_uuid").agg(
-        F.min_by("source", "ord").alias("source"), F.min_by("lbl", "lbl_ord").alias("lbl"), F.max_by("gsd", "gsd_ord").alias("gsd"), F.flatten(F.collect_list("lists")).alias("lists"),
-        *[F.min(c).alias(c) for c in ("ord", "lbl_ord")], F.max("gsd_ord").alias("gsd_ord"), F.sum("n").alias("n"),
-    )
-    return folded.withColumn("lists", _first_seen(F.col("lists"))).select("term_uuid", "src_uuid", *_STATE)
+    """One state for each ``(term_uuid, src_uuid)``, of all its states in whatever order they came.
+
+    Its lists are the ids of the first row as they are, then each further id by the place where
+    it came first.  Places are least by ``(term_uuid, src_uuid, id)`` before a state gathers
+    them, so what is held is as many ids as there are different ones, however often they come.
+    """
+    key = ["term_uuid", "src_uuid"]
+    facts = [F.min_by("source", "ord").alias("source"), F.min_by("lbl", "lbl_ord").alias("lbl"), F.max_by("gsd", "gsd_ord").alias("gsd"), F.min("first").alias("first"),
+             F.min("ord").alias("ord"), F.min("lbl_ord").alias("lbl_ord"), F.max("gsd_ord").alias("gsd_ord"), F.sum("n").alias("n")]
+    places = F.flatten(F.transform("lists", lambda x: F.transform(x["ids"], lambda i, k: F.struct(x["ord"].alias("ord"), (x["pos"] + k).alias("pos"), i.alias("id")))))
+    each = states.select(*key, *[c for c in _STATE if c != "lists"], F.get("lists", 0).alias("first"), F.posexplode_outer(places).alias("at", "place"))
+    once = F.coalesce("at", F.lit(0)) == 0  # a state counts with the first of its ids
+    each = each.withColumns({c: F.when(once, F.col(c)) for c in ("ord", "lbl_ord", "gsd_ord", "first", "n")})
+    by_id = each.groupBy(*key, F.col("place.id").alias("id")).agg(F.min(F.struct("place.ord", "place.pos")).alias("seen"), *facts)
+    further = F.when(F.col("id").isNotNull(), F.struct("seen.ord", "seen.pos", F.array("id").alias("ids")))
+    folded = by_id.groupBy(*key).agg(F.collect_list(further).alias("further"), *facts)
+    new = F.filter("further", lambda x: (x["ord"] > F.col("ord")) | ~F.array_contains(F.col("first.ids"), F.get(x["ids"], 0)))
+    return folded.withColumn("lists", F.concat(F.array("first"), F.array_sort(new))).select(*key, *_STATE)
 
 
 def concepts_of(states: DataFrame, compat: bool = False) -> DataFrame:

@@ -265,6 +265,20 @@ def test_states_fold_in_any_order(spark, compat):
     assert nodes(merge.concepts_of(state, compat)) == nodes(merge.merge_concepts(df, compat))
 
 
+def test_states_hold_an_id_once_and_keep_the_order_of_a_row(spark):
+    schema = "term_uuid string, term string, xref string, src_uuid string, gtc_id array<string>, gsd_id string, _source_rank int, _line int"
+    rows = [("u", "t", "s", "p", ["1", "1"] if i == 0 else ["z", "1", "a"], None, 0, i) for i in range(300)]
+    df = spark.createDataFrame(rows, schema)
+    states = merge.concept_states(df)
+    for _ in range(3):
+        assert [[tuple(x["ids"]) for x in r["lists"]] for r in states.collect()] == [[("1", "1"), ("z",), ("a",)]]
+        assert merge.concepts_of(states).first()["gtc_id"] == ["1", "1", "z", "a"] and states.first()["n"] == 300
+        states = merge.folded_states(states)
+    # rows of one place lose nothing
+    same = spark.createDataFrame([("u", "t", "s", "p", ["1"], None, 0, 7), ("u", "t", "s", "p", ["2"], None, 0, 7)], schema)
+    assert merge.concepts_of(merge.concept_states(same)).first()["gtc_id"] == ["1", "2"]
+
+
 def vectors(spark, n, dims=6, seed=1):
     rng = np.random.default_rng(seed)
     centres = rng.normal(size=(5, dims))
