@@ -5,6 +5,8 @@ packed table is a block of vectors around one pivot.  A block of queries meets t
 the store that can hold anything within the floor: by the triangle inequality for angles, a
 vector near a pivot is no nearer to a query than the pivot's angle less both distances.  Each
 meeting is one product, of which every query keeps its k best; no row is made for a pair.
+A row of a meeting holds two blocks, so Python takes these one by one, and a product some
+queries at a time: what a worker holds is two blocks, however many meetings its task has.
 """
 
 from __future__ import annotations
@@ -16,9 +18,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
+from ..sources.scratch import removed, written
+
 _SLACK = 1e-9
 #: Digits of a score: what differs by less is a tie, as sums of one product may be made in another order.
 DIGITS = 12
+#: Vectors of one side in a product at a time.
+ROWS = 256
 
 
 def unit_rows(lists: pa.Array) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
@@ -94,7 +100,7 @@ def nearest(
     spark = store.sparkSession
     kinds = [dict(df.dtypes)["id"] for df in (queries, store)]
     centre = _pivots(store, pivots)
-    held, asked = _placed(store, centre, kinds[1]), _placed(queries, centre, kinds[0])
+    held, asked = written(_placed(store, centre, kinds[1]), "nearest-store"), written(_placed(queries, centre, kinds[0]), "nearest-queries")
     spread = held.groupBy("dims", "pivot").agg(F.count("*").alias("n"), F.max("angle").alias("radius")).collect()  # a row for each pivot and length
 
     def packed(df: DataFrame, chunks, *more) -> DataFrame:
@@ -110,8 +116,8 @@ def nearest(
     reach_df = spark.createDataFrame(reach, "dims int, pivot int, other int, gap double, chunks long")
     size = reach_df.groupBy("dims", F.col("other").alias("pivot")).agg(F.max("chunks").alias("chunks"))
     blocks = packed(held.join(F.broadcast(size), ["dims", "pivot"]), F.col("chunks")).select("dims", F.col("pivot").alias("other"), "chunk", F.col("block").alias("stored"))
-    n_asked = F.greatest(F.lit(1), F.lit(-(-queries.count() // queries_a_block)))
-    wanted = packed(asked, n_asked, F.max("angle").alias("radius")).select("dims", "pivot", "radius", F.col("block").alias("asked"))
+    parts = asked.groupBy("dims", "pivot").agg(F.ceil(F.count("*") / queries_a_block).alias("chunks"))
+    wanted = packed(asked.join(F.broadcast(parts), ["dims", "pivot"]), F.col("chunks"), F.max("angle").alias("radius")).select("dims", "pivot", "radius", F.col("block").alias("asked"))
     widest = math.acos(max(-1.0, min(1.0, floor))) + _SLACK
     meets = wanted.join(F.broadcast(reach_df), ["dims", "pivot"]).where(F.col("gap") - F.col("radius") <= widest)
     met = meets.select("dims", "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"), "asked").join(blocks, ["dims", "other", "chunk"])
@@ -127,23 +133,26 @@ def nearest(
             for i in range(batch.num_rows):
                 q_ids, q_at, q = sides(batch.column("asked"), i)
                 s_ids, s_at, s = sides(batch.column("stored"), i)
-                score = np.round(q @ s.T, DIGITS)
-                keep = score >= floor
-                if earlier:
-                    keep &= s_at[None, :] < q_at[:, None]
-                rows, cols = np.nonzero(keep)
-                if not len(rows):
-                    continue
                 by_id = np.argsort(np.asarray(s_ids.to_pylist(), dtype=object), kind="stable")
                 place = np.empty(len(by_id), dtype=np.int64)
                 place[by_id] = np.arange(len(by_id))
-                order = np.lexsort((place[cols], -score[rows, cols], rows))
-                rows, cols = rows[order], cols[order]
-                first = np.searchsorted(rows, rows)  # where the query's own rows begin
-                top = np.arange(len(rows)) - first < k
-                rows, cols = rows[top], cols[top]
-                yield pa.RecordBatch.from_arrays([q_ids.take(pa.array(rows)), s_ids.take(pa.array(cols)), pa.array(score[rows, cols])], names=["query_id", "id", "score"])
-
-    found = met.select("asked", "stored").mapInArrow(best, f"query_id {kinds[0]}, id {kinds[1]}, score double")
+                for lo in range(0, len(q), ROWS):
+                    score = np.round(q[lo : lo + ROWS] @ s.T, DIGITS)
+                    keep = score >= floor
+                    if earlier:
+                        keep &= s_at[None, :] < q_at[lo : lo + ROWS, None]
+                    rows, cols = np.nonzero(keep)
+                    if not len(rows):
+                        continue
+                    order = np.lexsort((place[cols], -score[rows, cols], rows))
+                    rows, cols = rows[order], cols[order]
+                    first = np.searchsorted(rows, rows)  # where the query's own rows begin
+                    top = np.arange(len(rows)) - first < k
+                    rows, cols = rows[top], cols[top]
+                    yield pa.RecordBatch.from_arrays([q_ids.take(pa.array(rows + lo)), s_ids.take(pa.array(cols)), pa.array(score[rows, cols])], names=["query_id", "id", "score"])
+
+    found = written(met.select("asked", "stored").mapInArrow(best, f"query_id {kinds[0]}, id {kinds[1]}, score double"), "nearest-found", rows_a_batch=1)
+    removed(held)
+    removed(asked)
     ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "id")))
     return ranked.where(F.col("rank") <= k)

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.scalars import document_text, stable_id, with_synonym
 from ..sources.scratch import fresh_path, removed, written
 from .batching import numbered
-from .nearest import DIGITS, nearest, unit_rows
+from .nearest import DIGITS, ROWS, nearest, unit_rows
 
 
 def cosine(a: Column, b: Column) -> Column:
@@ -87,7 +87,8 @@ def decide_in_order(terms: DataFrame, id_col: str, order: list[str], vector: str
                     here = rows[dims == m.shape[1]]
                     for f in sent.value:
                         if len(f) and f.shape[1] == m.shape[1]:
-                            keep[here] &= np.round(m @ f.T, DIGITS).max(axis=1) < floor
+                            for lo in range(0, len(m), ROWS):
+                                keep[here[lo : lo + ROWS]] &= np.round(m[lo : lo + ROWS] @ f.T, DIGITS).max(axis=1) < floor
                 yield batch.filter(pa.array(keep))
 
         pending = written(pending.where(F.col("at") > last).mapInArrow(still_open, pending.schema), "in-order-open")

@@ -9,6 +9,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; a local one only in local mode without that setting."""
@@ -28,11 +29,20 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """``df`` as a table in the shared folder, read back: what follows does not run it again, whoever is lost."""
-    path = fresh_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def written(df: DataFrame, label: str, rows_a_batch: int | None = None) -> DataFrame:
+    """``df`` as a table in the shared folder, read back: what follows does not run it again, whoever is lost.
+
+    ``rows_a_batch`` holds for the Arrow batches of this table's Python steps alone: few where a row is large.
+    """
+    spark, path = df.sparkSession, fresh_path(df.sparkSession, label)
+    before = spark.conf.get(_BATCH)
+    try:
+        if rows_a_batch:
+            spark.conf.set(_BATCH, str(rows_a_batch))
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_BATCH, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def removed(df: DataFrame) -> None:

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conceptmerge.functions import providers, scalars as s
-from conceptmerge.operators import batching, checks, graph, merge, reconcile, retrieval, text
+from conceptmerge.operators import batching, checks, graph, merge, nearest, reconcile, retrieval, text
 from conceptmerge.schemas import RELATED
 
 TERMS = "term string, xref string, term_uuid string, src_uuid string, gtc_id array<string>, gsd_id string, _source_rank int, _line long"
@@ -322,6 +322,36 @@ def test_decisions_in_order_against_a_loop(spark, prefix):
     assert retrieval.decide_in_order(df.limit(0), "id", ["id"]).count() == 0
 
 
+def test_nearest_takes_few_vectors_at_a_time(spark, monkeypatch):
+    df, rows = vectors(spark, 60)
+    asked = df.withColumnRenamed("id", "query_id")
+    whole = sorted(map(tuple, retrieval.top_k(asked, df, 4).collect()))
+    decided = sorted(map(str, retrieval.decide_in_order(df, "id", ["id"], floor=0.8).collect()))
+    kind = type(df)
+    plain = kind.mapInArrow
+
+    def watched(self, f, schema, *more):
+        def run(batches):
+            def seen():
+                for b in batches:
+                    if "asked" in b.schema.names and b.num_rows > 1:
+                        raise AssertionError(f"{b.num_rows} pairs of blocks at once")
+                    yield b
+
+            return f(seen())
+
+        return plain(self, run, schema, *more)
+
+    monkeypatch.setattr(kind, "mapInArrow", watched)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted(map(tuple, retrieval.top_k(asked, df, 4, store_rows_a_block=3).collect())) == whole
+    monkeypatch.setattr(nearest, "ROWS", 3)
+    monkeypatch.setattr(retrieval, "ROWS", 3)
+    assert sorted(map(tuple, retrieval.top_k(asked, df, 4).collect())) == whole
+    assert sorted(map(str, retrieval.decide_in_order(df, "id", ["id"], floor=0.8, prefix=9).collect())) == decided
+    assert len(decided) == len(rows) and spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
+
+
 @pytest.mark.parametrize("width", [3, 2048])
 def test_first_overlaps_against_all_pairs(spark, width):
     rng = random.Random(4)
