@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.scalars import stable_id, ustrip
@@ -49,29 +52,42 @@ STOP_TERMS = (
 _BREAK = re.compile(r"(?<=\.)\s+")
 
 
-def _spans(text: str | None) -> list[dict[str, int]] | None:
-    if text is None:
-        return None
-    out, start = [], 0
+def _spans(text: str, out: array) -> None:
+    """Appends start and end of each sentence."""
+    start = 0
     for gap in _BREAK.finditer(text):
-        out.append({"s": start, "e": gap.start() + 1})
+        out.extend((start, gap.start() + 1))
         start = gap.end()
     if start < len(text):
-        out.append({"s": start, "e": len(text)})
-    return out
+        out.extend((start, len(text)))
 
 
-def _span_lists(texts: pd.Series) -> pd.Series:
-    return texts.map(_spans)
+def _int_lists(texts: pa.Array, found: Callable[[str, array], None], width: int) -> tuple[pa.Array, np.ndarray]:
+    """The ends of each text's list and all members, ``width`` numbers each; a null text has a null list.
+
+    One text at a time becomes a Python string, and its numbers go into one flat array of four bytes each.
+    """
+    flat, ends = array("i"), np.zeros(len(texts) + 1, dtype=np.int32)
+    for i, text in enumerate(texts):
+        if text.is_valid:
+            found(text.as_py(), flat)
+        ends[i + 1] = len(flat) // width
+    mask = np.append(texts.is_null().to_numpy(zero_copy_only=False), False)
+    return pa.array(ends, pa.int32(), mask=mask), np.frombuffer(flat, dtype=np.int32)
+
+
+def _span_lists(texts: pa.Array) -> pa.Array:
+    ends, flat = _int_lists(texts, _spans, 2)
+    return pa.ListArray.from_arrays(ends, pa.StructArray.from_arrays([pa.array(flat[::2]), pa.array(flat[1::2])], names=["s", "e"]))
 
 
 def sentence_spans(text: Column) -> Column:
     """``array<struct<s, e>>`` of half-open character spans; a sentence ends after a full stop and the first blank behind it.
 
-    One pass over each text in Arrow batches: running offsets as array expressions would copy
-    the list at every sentence.
+    One pass over each text in Arrow batches, without a Python object for a span: running
+    offsets as array expressions would copy the list at every sentence.
     """
-    return F.pandas_udf(_span_lists, "array<struct<s:int,e:int>>")(text)
+    return F.arrow_udf(_span_lists, "array<struct<s:int,e:int>>")(text)
 
 
 def sentences(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -93,10 +109,14 @@ def occurrences(docs: DataFrame, id_col: str, text_col: str, literal: str) -> Da
     """Rows ``(id, start_pos, end_pos)``: all places of the literal in whole texts, from left to right without overlaps, in characters."""
     pattern, n = re.compile(re.escape(literal)), len(literal)
 
-    def places(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: [m.start() for m in pattern.finditer(t)] if t else [])
+    def starts(text: str, out: array) -> None:
+        out.extend(m.start() for m in pattern.finditer(text))
+
+    def places(texts: pa.Array) -> pa.Array:
+        ends, flat = _int_lists(texts, starts, 1)
+        return pa.ListArray.from_arrays(ends, pa.array(flat))
 
-    found = docs.where(F.contains(F.col(text_col), F.lit(literal))).select(F.col(id_col).alias("id"), F.explode(F.pandas_udf(places, "array<int>")(F.col(text_col))).alias("start_pos"))
+    found = docs.where(F.contains(F.col(text_col), F.lit(literal))).select(F.col(id_col).alias("id"), F.explode(F.arrow_udf(places, "array<int>")(F.col(text_col))).alias("start_pos"))
     return found.withColumn("end_pos", F.col("start_pos") + n)
 
 

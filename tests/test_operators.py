@@ -370,6 +370,17 @@ def test_occurrences(spark):
     assert sorted(map(tuple, text.occurrences(df, "id", "text", " the ").collect())) == [(1, 1, 6), (1, 9, 14), (4, 2, 7)]
 
 
+def test_spans_and_places_are_made_without_objects(spark):
+    import pyarrow as pa
+
+    texts = pa.array([None, "", "One. Two.\n Three", " ", "é. x."])
+    got = text._span_lists(texts)
+    assert got.to_pylist() == [None, [], [{"s": 0, "e": 5}, {"s": 5, "e": 10}, {"s": 11, "e": 16}], [{"s": 0, "e": 1}], [{"s": 0, "e": 3}, {"s": 3, "e": 5}]]
+    assert isinstance(got, pa.ListArray) and text._span_lists(texts[1:]).to_pylist() == got.to_pylist()[1:] and text._span_lists(texts[:0]).to_pylist() == []
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts.to_pylist())], "i int, t string")
+    assert [r["x"] and [tuple(p) for p in r["x"]] for r in df.orderBy("i").select(text.sentence_spans(F.col("t")).alias("x")).collect()] == [x and [(p["s"], p["e"]) for p in x] for x in got.to_pylist()]
+
+
 class Flaky:
     def __init__(self, down):
         self.down, self.asked = down, {}
