@@ -25,6 +25,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -81,6 +82,11 @@ def word_counts(texts: DataFrame, flush: int = 300_000) -> DataFrame:
     return texts.select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("c"))
 
 
+def _places(table: dict[bytes, int], words: list[bytes], other: int, kind: type) -> np.ndarray:
+    """The number of each word; ``map`` looks them up without a Python step for each."""
+    return np.fromiter(map(table.get, words, repeat(other)), dtype=kind, count=len(words))
+
+
 @dataclass
 class Units:
     """Numbers of words in the first step: exchanged words by place, all others by spelling after them; ``direct`` holds those of frequent words."""
@@ -95,8 +101,8 @@ class Units:
         return self.exchanged + self.groups
 
     def coded(self, words: list[bytes]) -> np.ndarray:
-        get, low, n = self.direct.get, self.exchanged, self.groups
-        out = np.fromiter((get(x, -1) for x in words), dtype=np.int64, count=len(words))
+        low, n = self.exchanged, self.groups
+        out = _places(self.direct, words, -1, np.int64)
         for k in np.flatnonzero(out < 0).tolist():
             out[k] = low + zlib.crc32(words[k][-3:]) % n
         return out
@@ -190,7 +196,9 @@ def _contexts(texts: DataFrame, units: Units, direct: list[bytes], class_of: np.
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         k2 = 2 * classes
-        place = {w: i for i, w in enumerate(direct)}
+        # one look-up for each token: its unit, or for a word of ``direct`` the number of all units and its place
+        number = {w: u for w, u in units.direct.items() if u < units.exchanged} | {w: units.size + i for i, w in enumerate(direct)}
+        unit_at = np.concatenate([np.arange(units.size), units.coded(direct)])
         table = np.zeros(len(direct) * k2, dtype=np.int64)
         others: dict[bytes, list[int]] = {}
         held = 0
@@ -210,18 +218,18 @@ def _contexts(texts: DataFrame, units: Units, direct: list[bytes], class_of: np.
             found = []
             for text in batch.column(0).to_pylist():
                 got = tokens(text)
-                unit = units.coded([END, *got, END])
-                cls = class_of[unit]
-                at = np.flatnonzero(unit[1:-1] >= units.exchanged)
-                mine = [got[k] for k in at.tolist()]
-                where = np.fromiter((place.get(w, -1) for w in mine), dtype=np.int64, count=len(mine))
-                left, right = cls[at], cls[at + 2]
-                near = where >= 0
-                found += (where[near] * k2 + left[near], where[near] * k2 + classes + right[near])
-                around = (k2 + left * classes + right).tolist()
-                for k in np.flatnonzero(~near).tolist():
-                    others.setdefault(mine[k], []).append(around[k])
-                    held += 1
+                code = _places(number, [END, *got, END], -1, np.int64)
+                far = np.flatnonzero(code < 0)
+                unheld = [got[k] for k in (far - 1).tolist()]
+                code[far] = [units.exchanged + spelling_group(w, units.groups) for w in unheld]
+                cls = class_of[unit_at[code]]
+                near = np.flatnonzero(code >= units.size)
+                where = (code[near] - units.size) * k2
+                found += (where + cls[near - 1], where + classes + cls[near + 1])
+                around = (k2 + cls[far - 1] * classes + cls[far + 1]).tolist()
+                for w, cell in zip(unheld, around):
+                    others.setdefault(w, []).append(cell)
+                held += len(around)
             if found:
                 table += np.bincount(np.concatenate(found), minlength=len(table))
             if held > flush:
@@ -331,14 +339,13 @@ def _sequences(texts: DataFrame, held: Vocabulary) -> DataFrame:
     """Per document its tokens as places among the held words (or that of any other word), and the other words with their positions."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        get = held.place.get
         inner_type = pa.struct([("word", pa.string()), ("at", pa.int32())])
         for batch in batches:
             n, seq, words, at, ends = [], [], [], [], [0]
             for text in batch.column(1).to_pylist():
                 got = tokens(text)
                 got.append(END)
-                place = np.fromiter((get(x, _OTHER) for x in got), dtype=np.uint16, count=len(got))
+                place = _places(held.place, got, _OTHER, np.uint16)
                 other = np.flatnonzero(place == _OTHER)
                 words += [got[k] for k in other.tolist()]
                 at.append(other.astype(np.int32))

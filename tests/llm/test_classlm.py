@@ -106,3 +106,8 @@ def test_no_training(docs):
     only = [i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2][:3]
     got = classlm.document_scores(docs([(i, "a b") for i in only]), held()).collect()
     assert [(r["n_known"], r["train_tokens"], r["n_tokens"]) for r in got] == [(0, 0, 3)] * 3
+
+
+def test_places_of_words():
+    got = classlm._places({b"": 0, b"a": 7}, [b"a", b"x", b"", b"a"], 65535, np.uint16)
+    assert got.dtype == np.uint16 and got.tolist() == [7, 65535, 0, 7] and len(classlm._places({}, [], -1, np.int64)) == 0
